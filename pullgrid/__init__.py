@@ -1,12 +1,5 @@
 """Pull requests of a code host as Spark tables, SQL views and streams."""
 
-from pyspark import cloudpickle as _cloudpickle
-
-import pullgrid as _self
-
-# Python workers need not have this package installed: its functions travel by value.
-_cloudpickle.register_pickle_by_value(_self)
-
-from pullgrid.session import register, scratch_dir  # noqa: E402
+from pullgrid.session import register, scratch_dir
 
 __all__ = ["register", "scratch_dir"]

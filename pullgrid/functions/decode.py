@@ -27,10 +27,11 @@ OVERFLOW = "OVERFLOW"
 BAD_TIMESTAMP = "BAD_TIMESTAMP"
 
 # Fixed value: seconds resolution, and an offset that is Z, +hh, +hhmm or +hh:mm.
-TIMESTAMP_PATTERN = (
-    r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}"
-    r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+TIMESTAMP_TEXT = (
+    r"(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}"
+    r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)"
 )
+_TIMESTAMP_LINE = rf"^{TIMESTAMP_TEXT}\z"
 # Integers beyond 64 bits are decimals of scale 0 in a variant.
 _BIG_INTEGER = r"^DECIMAL\((19|2[0-9]|3[0-9]),0\)$"
 _NUMBER = r"BIGINT|DOUBLE|DECIMAL\([0-9]+,[0-9]+\)"
@@ -86,7 +87,7 @@ def _value(raw: Column, node: Node) -> Column:
         return leaf
     if isinstance(node.type, T.TimestampType):
         text = leaf.try_cast("string")
-        return F.when(text.rlike(TIMESTAMP_PATTERN), text.try_cast("timestamp"))
+        return F.when(text.rlike(_TIMESTAMP_LINE), text.try_cast("timestamp"))
     return leaf.try_cast(node.type)
 
 
@@ -133,7 +134,7 @@ def _rule_for(doc: Column, node: Column, kind: Column, parent: Column) -> Column
         )
     )
     stamp = F.when(kind != "STRING", wrong).when(
-        ~text.rlike(TIMESTAMP_PATTERN) | text.try_cast("timestamp").isNull(), F.lit(BAD_TIMESTAMP)
+        ~text.rlike(_TIMESTAMP_LINE) | text.try_cast("timestamp").isNull(), F.lit(BAD_TIMESTAMP)
     )
     # a missing, null or mistyped parent is reported once, at the parent
     return F.when(

@@ -18,7 +18,7 @@ from pullgrid.operators.ranking import newest_per_key
 from pullgrid.sources.storage import check_cache_dir
 
 CACHE_SCHEMA = T.StructType.fromDDL(
-    "id bigint, version string, body string, fetched_at timestamp, "
+    "id bigint, version string, body string, fetched_ms bigint, "
     "status int, reason string, outcome string"
 )
 KEY = ["id", "version"]
@@ -44,7 +44,7 @@ def read_file_cache(spark: SparkSession, directory: str) -> DataFrame:
             F.regexp_extract(name, pattern, 1).cast("long").alias("id"),
             F.translate(F.regexp_extract(name, pattern, 2), "=", ":").alias("version"),
             F.col("value").alias("body"),
-            F.col("_metadata.file_modification_time").alias("fetched_at"),
+            F.unix_millis("_metadata.file_modification_time").alias("fetched_ms"),
             F.lit(200).alias("status"),
             F.lit(None).cast("string").alias("reason"),
             F.lit("ok").alias("outcome"),
@@ -77,9 +77,9 @@ def cached_pulls(cached: DataFrame) -> DataFrame:
         cached.withColumnsRenamed({"id": "__id", "body": "__json"}),
         "__json",
         PULL_REQUEST_SCHEMA,
-        ["__id", "version", "fetched_at"],
+        ["__id", "version", "fetched_ms"],
     )
-    return newest_per_key(rows, ["__id", "version"], [F.desc("fetched_at")])
+    return newest_per_key(rows, ["__id", "version"], [F.desc("fetched_ms")])
 
 
 def fetch_misses(
@@ -103,7 +103,7 @@ def fetch_misses(
     ).otherwise(F.concat(F.lit("Invalid body: "), F.col("reason")))
     seen = Observation()
     failed = F.col("outcome") == "failed"
-    watched = answers.withColumn("fetched_at", F.current_timestamp()).observe(
+    watched = answers.withColumn("fetched_ms", F.unix_millis(F.current_timestamp())).observe(
         seen,
         F.count(F.lit(1)).alias("fetched"),
         F.count_if(failed).alias("failed"),

@@ -13,7 +13,9 @@ from pullgrid.functions.decode import (
 )
 from pullgrid.functions.keys import MAX_PAGE_SIZE, cache_key, repo_error, version_date
 from pullgrid.functions.schema import LISTING_SCHEMA
+from pullgrid.operators.fetch import bodies_or_fail, fetch, mirror_table, played
 from pullgrid.operators.ranking import newest_per_key, top_per_group
+from pullgrid.sources.transport import is_mirror
 
 NOT_ARRAY = "NOT_ARRAY"
 
@@ -51,6 +53,37 @@ def page_plan(
     )
 
 
+def list_pages(
+    plan: DataFrame,
+    endpoint: str,
+    token: str | None = None,
+    retries: int = 2,
+    parallelism: int | None = None,
+) -> DataFrame:
+    """Send every planned listing request: adds ``status``, ``attempts`` and ``body``."""
+    if not is_mirror(endpoint):
+        query = F.format_string("/pulls?per_page=%d&page=%d", F.col("per_page"), F.col("page"))
+        base = F.lit(f"{endpoint.rstrip('/')}/repos/")
+        asked = plan.withColumn("url", F.concat(base, "full_name", query))
+        return fetch(asked, endpoint, token, retries, parallelism).drop("url")
+    status, attempts = played(F.col("statuses"), retries)
+    stored = mirror_table(plan.sparkSession, endpoint, "pages").select(
+        F.concat_ws("/", "owner", "repo").alias("full_name"),
+        "page",
+        status.alias("__status"),
+        attempts.alias("__attempts"),
+        F.col("body").alias("__body"),
+    )
+    # past the last page the answer is an empty list; without a first page there is no repository
+    empty = F.when(F.col("page") == 1, F.lit(404)).otherwise(F.lit(200))
+    return plan.join(stored, ["full_name", "page"], "left").select(
+        *plan.columns,
+        F.coalesce("__status", empty).alias("status"),
+        F.coalesce("__attempts", F.lit(1)).alias("attempts"),
+        F.coalesce("__body", F.lit("[]")).alias("body"),
+    )
+
+
 def _elements(pages: DataFrame, strict: bool) -> DataFrame:
     """(full_name, page, per_page, rows_wanted, body) -> one JSON text per listed element."""
     elements = F.try_variant_get(F.try_parse_json("body"), "$", "array<variant>")
@@ -79,9 +112,9 @@ def _dates_missing(updated_at: Column, created_at: Column) -> Column:
 
 
 def decode_listing(pages: DataFrame) -> DataFrame:
-    """Listing page bodies -> work items; one bad element or page fails the job."""
+    """Listing answers -> work items; one bad status, page or element fails the job."""
     rows = decode_strict(
-        _elements(pages, strict=True), "__text", LISTING_SCHEMA, ["full_name", "rank"]
+        _elements(bodies_or_fail(pages), strict=True), "__text", LISTING_SCHEMA, ["full_name", "rank"]
     )
     missing = _dates_missing(F.col("updated_at"), F.col("created_at"))
     dated = F.when(

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pullgrid.functions.keys import MAX_PAGE_SIZE, pull_url, version_date
-from pullgrid.operators.cache import write_cache
+from pullgrid.operators.cache import read_cache, write_cache
 from pullgrid.operators.ranking import rank_in_group
 from pullgrid.session import scratch_dir
+from pullgrid.streaming.log import record_tick
 
 HOST = "https://api.example.test"
 FIRST_ID = 2147480000
@@ -274,7 +275,7 @@ def prior_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
             "id",
             iso(version).alias("version"),
             body_json(k, F.col("updated_at")).alias("body"),
-            F.timestamp_seconds(F.lit(946684800)).alias("fetched_at"),
+            F.lit(0).cast("long").alias("fetched_ms"),
             F.lit(200).alias("status"),
             F.lit(None).cast("string").alias("reason"),
             F.lit("ok").alias("outcome"),
@@ -329,8 +330,28 @@ def tick_mirror(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "ticks", build)
 
 
+def tick_log(spark: SparkSession, sf_dir: str) -> str:
+    """Listing log with one complete snapshot per tick."""
+
+    def build(root: str) -> None:
+        versions = tick_versions(spark, sf_dir).drop("k")
+        ranks = ranked_listing(spark, sf_dir).select("id", "rank")
+        for tick in range(1, TICKS + 1):
+            at = versions.where(F.col("tick") == tick).join(ranks, "id")
+            record_tick(at, root, tick)
+
+    return _once(spark, sf_dir, "log", build)
+
+
 def warm_cache(spark: SparkSession, sf_dir: str) -> str:
-    """A fresh copy of the prior cache, free to be appended to."""
-    root = scratch_dir(spark, "cache")
-    write_cache(prior_cache(spark, sf_dir), root)
+    """The prior cache, for reading."""
+    return _once(
+        spark, sf_dir, "cache", lambda root: write_cache(prior_cache(spark, sf_dir), root)
+    )
+
+
+def fresh_cache(spark: SparkSession, sf_dir: str) -> str:
+    """A copy of the prior cache that may be appended to."""
+    root = scratch_dir(spark, "cache-copy")
+    write_cache(read_cache(spark, warm_cache(spark, sf_dir)), root)
     return root

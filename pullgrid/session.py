@@ -4,9 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the session's Python workers this package, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="pullgrid-ship-")) / f"pullgrid-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a local temporary one only where none is set."""
@@ -27,6 +45,7 @@ def register(spark: SparkSession) -> None:
     """Make ``format("pull_requests")`` and ``USING pull_requests`` available."""
     from pullgrid.sources.pull_requests import PullRequestSource, with_pushdown
 
+    ship(spark)
     pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false") == "true"
     base = with_pushdown() if pushdown else PullRequestSource
     # workers have no session, so its defaults travel with the class

@@ -41,3 +41,17 @@ def check_cache_dir(uri: str) -> str:
             )
         return f"file:{path}"
     return uri
+
+
+def complete_dirs(parent: str, key: str) -> dict[int, float]:
+    """``<key>=<n>`` directories with a success mark: n -> time of the mark."""
+    from pyarrow.fs import FileSelector, FileType
+
+    fs, path = open_dir(parent)
+    found = {}
+    for entry in fs.get_file_info(FileSelector(path, allow_not_found=True)):
+        if entry.type == FileType.Directory and entry.base_name.startswith(f"{key}="):
+            mark = fs.get_file_info(f"{entry.path}/_SUCCESS")
+            if mark.type == FileType.File:
+                found[int(entry.base_name[len(key) + 1 :])] = mark.mtime.timestamp()
+    return found

@@ -14,6 +14,8 @@ import urllib.request
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
+from pullgrid.sources.storage import open_dir
+
 # The host's API root and the statuses that are worth a retry.
 DEFAULT_ENDPOINT = "https://api.github.com"
 RETRYABLE = (429, 500, 502, 503, 504)
@@ -135,19 +137,16 @@ class MirrorEndpoint:
 
     def _table(self, table: str, user: str, repo: str, columns: list[str], condition):
         import pyarrow.dataset as ds
-
-        from pullgrid.sources.storage import open_dir
+        from pyarrow.fs import FileType
 
         _check_name("user", user)
         _check_name("repo", repo)
         quote = urllib.parse.quote
         fs, path = open_dir(f"{self.root}/{table}/owner={quote(user)}/repo={quote(repo)}")
-        from pyarrow.fs import FileType
-
         if fs.get_file_info(path).type != FileType.Directory:
             return None
         data = ds.dataset(path, filesystem=fs, format="parquet", exclude_invalid_files=False)
-        return data.to_table(columns=columns, filter=condition)
+        return data.to_table(columns=columns, filter=condition, use_threads=False)
 
     def page(self, user: str, repo: str, per_page: int, page: int) -> Response:
         import pyarrow.compute as pc
@@ -163,10 +162,13 @@ class MirrorEndpoint:
         return Response(status, row["body"], attempts)
 
     def details(self, user: str, repo: str, items: Iterable[Item]) -> Iterator[Response]:
+        import pyarrow as pa
         import pyarrow.compute as pc
 
         items = list(items)
-        wanted = pc.field("url").isin([i.url for i in items])
+        if not items:
+            return
+        wanted = pc.field("url").isin(pa.array([i.url for i in items], pa.string()))
         columns = ["url", "version", "statuses", "body"]
         found = self._table("details", user, repo, columns, wanted)
         rows = {} if found is None else {(r["url"], r["version"]): r for r in found.to_pylist()}
