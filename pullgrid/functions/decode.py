@@ -10,7 +10,7 @@ is) and which rules it breaks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +36,7 @@ _TIMESTAMP_LINE = rf"^{TIMESTAMP_TEXT}\z"
 _BIG_INTEGER = r"^DECIMAL\((19|2[0-9]|3[0-9]),0\)$"
 _NUMBER = r"BIGINT|DOUBLE|DECIMAL\([0-9]+,[0-9]+\)"
 
+_OBJECT = "OBJECT<"
 _VIOLATIONS = "array<struct<rule:string,field:string>>"
 _CORRUPT = "__corrupt"
 # The same dialect as parse_json: no single quotes, no NaN.
@@ -46,18 +47,6 @@ _JSON_OPTIONS = {
 }
 
 
-def json_path(path: Sequence[str]) -> str:
-    steps = []
-    for name in path:
-        if "'" not in name:
-            steps.append(f"['{name}']")
-        elif '"' not in name:
-            steps.append(f'["{name}"]')
-        else:
-            raise ValueError(f"Field name with both quote characters: {name}")
-    return "$" + "".join(steps)
-
-
 def _parsed_by_type(node: Node) -> bool:
     return node.required and isinstance(node.type, (T.IntegerType, T.LongType, T.BooleanType))
 
@@ -120,81 +109,99 @@ def _looks_valid(raw: Column, all_nodes: Sequence[Node]) -> Column:
     return F.coalesce(clean, F.lit(False))
 
 
-def _rule_for(doc: Column, node: Column, kind: Column, parent: Column) -> Column:
-    """The rule the field ``node`` breaks, or null. All arguments are lambda-bound."""
-    want = node["want"]
-    text = F.try_variant_get(doc, node["path"], "string")
+def _rule_for(want: Column, required: Column, value: Column, kind: Column) -> Column:
+    """The rule one field breaks, or null. All arguments are lambda-bound."""
     wrong = F.lit(WRONG_TYPE)
+    text = value.try_cast("string")
     integer = (
         F.when(kind.rlike(_BIG_INTEGER), F.lit(OVERFLOW))
         .when(kind != "BIGINT", wrong)
-        .when(
-            (want == "int") & F.try_variant_get(doc, node["path"], "int").isNull(),
-            F.lit(OVERFLOW),
-        )
+        .when((want == "int") & value.try_cast("int").isNull(), F.lit(OVERFLOW))
     )
     stamp = F.when(kind != "STRING", wrong).when(
         ~text.rlike(_TIMESTAMP_LINE) | text.try_cast("timestamp").isNull(), F.lit(BAD_TIMESTAMP)
     )
-    # a missing, null or mistyped parent is reported once, at the parent
-    return F.when(
-        F.coalesce(parent.startswith("OBJECT<"), F.lit(False)),
+    return (
         F.when(kind.isNull(), F.lit(MISSING_KEY))
-        .when(kind == "VOID", F.when(node["required"], F.lit(REQUIRED_NULL)))
-        .when(want == "struct", F.when(~kind.startswith("OBJECT<"), wrong))
+        .when(kind == "VOID", F.when(required, F.lit(REQUIRED_NULL)))
+        .when(want == "struct", F.when(~kind.startswith(_OBJECT), wrong))
         .when(want.isin("int", "bigint"), integer)
         .when(want == "boolean", F.when(kind != "BOOLEAN", wrong))
         .when(want == "double", F.when(~kind.rlike(f"^({_NUMBER})$"), wrong))
         .when(want == "string", F.when(kind != "STRING", wrong))
-        .when(want == "timestamp", stamp),
+        .when(want == "timestamp", stamp)
     )
 
 
-def _close_look(body: Column, all_nodes: Sequence[Node]) -> Column:
-    """Every (rule, field) a body breaks, from its full variant."""
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _fields_rules(members: Column, fields: Sequence[T.StructField], prefix: str) -> Column:
+    """(rule or null, field) of some fields of an object given as a map."""
     table = F.array(
         *[
             F.struct(
-                F.lit(json_path(n.path)).alias("path"),
-                F.lit(json_path(n.parent)).alias("parent"),
-                F.lit(n.name).alias("name"),
+                F.lit(f.name).alias("key"),
+                F.lit(prefix + f.name).alias("name"),
                 F.lit(
-                    "struct" if isinstance(n.type, T.StructType) else n.type.simpleString()
+                    "struct" if isinstance(f.dataType, T.StructType) else f.dataType.simpleString()
                 ).alias("want"),
-                F.lit(n.required).alias("required"),
+                F.lit(not f.nullable).alias("required"),
             )
-            for n in all_nodes
+            for f in fields
         ]
     )
 
-    def kind_at(doc: Column, path: Column) -> Column:
-        return F.schema_of_variant(F.try_variant_get(doc, path, "variant"))
-
-    def by_field(doc: Column) -> Column:
-        def one(node: Column) -> Column:
-            # bind the two kinds once per field
-            bound = F.array(
-                F.struct(
-                    kind_at(doc, node["path"]).alias("kind"),
-                    kind_at(doc, node["parent"]).alias("parent"),
-                )
-            )
-            rule = F.transform(bound, lambda k: _rule_for(doc, node, k["kind"], k["parent"]))
-            return F.struct(F.get(rule, F.lit(0)).alias("rule"), node["name"].alias("field"))
+    def one(field: Column) -> Column:
+        value = F.try_element_at(members, field["key"])
+        bound = F.struct(value.alias("value"), F.schema_of_variant(value).alias("kind"))
+        rule = _bind(
+            bound, lambda b: _rule_for(field["want"], field["required"], b["value"], b["kind"])
+        )
+        return F.struct(rule.alias("rule"), field["name"].alias("field"))
 
-        return F.filter(F.transform(table, one), lambda x: x["rule"].isNotNull())
+    return F.transform(table, one)
+
+
+def _object_rules(doc: Column, schema: T.StructType, prefix: str = "") -> Column:
+    """(rule or null, field) of all fields below an object, in schema order."""
+
+    def by_member(members: Column) -> Column:
+        parts, run = [], []
+        for field in schema.fields:
+            run.append(field)
+            if isinstance(field.dataType, T.StructType):
+                parts.append(_fields_rules(members, run, prefix))
+                run = []
+                child = F.try_element_at(members, F.lit(field.name))
+                # a missing, null or mistyped object is reported once, at the object
+                below = _object_rules(child, field.dataType, f"{prefix}{field.name}.")
+                inside = F.schema_of_variant(child).startswith(_OBJECT)
+                parts.append(F.when(inside, below).otherwise(F.array().cast(_VIOLATIONS)))
+        if run:
+            parts.append(_fields_rules(members, run, prefix))
+        return F.concat(*parts)
+
+    return _bind(F.try_variant_get(doc, "$", "map<string,variant>"), by_member)
 
-    def whole(doc: Column) -> Column:
-        def alone(rule: str) -> Column:
-            return F.array(F.struct(F.lit(rule).alias("rule"), F.lit("").alias("field")))
 
+def _close_look(body: Column, schema: T.StructType) -> Column:
+    """Every (rule, field) a body breaks, from its full variant."""
+
+    def alone(rule: str) -> Column:
+        return F.array(F.struct(F.lit(rule).alias("rule"), F.lit("").alias("field")))
+
+    def whole(doc: Column) -> Column:
+        broken = F.filter(_object_rules(doc, schema), lambda x: x["rule"].isNotNull())
         return (
             F.when(doc.isNull(), alone(MALFORMED))
-            .when(~F.schema_of_variant(doc).startswith("OBJECT<"), alone(NOT_OBJECT))
-            .otherwise(by_field(doc))
+            .when(~F.schema_of_variant(doc).startswith(_OBJECT), alone(NOT_OBJECT))
+            .otherwise(broken)
         )
 
-    return F.get(F.transform(F.array(F.try_parse_json(body)), whole), F.lit(0)).cast(_VIOLATIONS)
+    return _bind(F.try_parse_json(body), whole).cast(_VIOLATIONS)
 
 
 def _fence(df: DataFrame, *columns: Column) -> DataFrame:
@@ -235,7 +242,7 @@ def _analysed(
         *[v.alias(f"__v{i}") for i, v in enumerate(values)],
     )
     violations = F.when(F.col("__clean"), F.array().cast(_VIOLATIONS)).otherwise(
-        _close_look(F.col("__body"), all_nodes)
+        _close_look(F.col("__body"), schema)
     )
     return staged, all_nodes, violations
 

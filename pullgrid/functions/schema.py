@@ -86,6 +86,12 @@ LISTING_SCHEMA = _struct(
     ("created_at", _S, True),
 )
 
+
+def plain_schema(**columns: T.DataType) -> T.StructType:
+    """A flat schema of nullable columns."""
+    return _struct(*[(name, dtype, True) for name, dtype in columns.items()])
+
+
 _LEAF_TYPES = (
     T.IntegerType,
     T.LongType,

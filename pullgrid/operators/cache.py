@@ -12,14 +12,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pullgrid.functions.decode import decode_strict
-from pullgrid.functions.schema import PULL_REQUEST_SCHEMA
+from pullgrid.functions.schema import PULL_REQUEST_SCHEMA, plain_schema
 from pullgrid.operators.fetch import fetch, judged, request_failure
 from pullgrid.operators.ranking import newest_per_key
 from pullgrid.sources.storage import check_cache_dir
 
-CACHE_SCHEMA = T.StructType.fromDDL(
-    "id bigint, version string, body string, fetched_ms bigint, "
-    "status int, reason string, outcome string"
+CACHE_SCHEMA = plain_schema(
+    id=T.LongType(),
+    version=T.StringType(),
+    body=T.StringType(),
+    fetched_ms=T.LongType(),
+    status=T.IntegerType(),
+    reason=T.StringType(),
+    outcome=T.StringType(),
 )
 KEY = ["id", "version"]
 

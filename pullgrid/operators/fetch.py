@@ -11,11 +11,13 @@ from pyspark.sql import types as T
 
 from pullgrid.functions.decode import decode_permissive, decode_strict, first_violation
 from pullgrid.functions.keys import pull_url, repo_error
-from pullgrid.functions.schema import PULL_REQUEST_SCHEMA
+from pullgrid.functions.schema import PULL_REQUEST_SCHEMA, plain_schema
 from pullgrid.session import ship
 from pullgrid.sources.transport import RETRYABLE, HttpsEndpoint, is_mirror
 
-_ANSWER = "status int, attempts int, body string"
+_ANSWER = plain_schema(
+    status=T.IntegerType(), attempts=T.IntegerType(), body=T.StringType()
+)
 
 
 def played(statuses: Column, retries: int) -> tuple[Column, Column]:
@@ -77,9 +79,7 @@ def _fetch_https(
                     names=[*part.schema.names, "status", "attempts", "body"],
                 )
 
-    schema = T.StructType(
-        [*spread.schema.fields, *T.StructType.fromDDL(_ANSWER).fields]
-    )
+    schema = T.StructType([*spread.schema.fields, *_ANSWER.fields])
     return spread.mapInArrow(get, schema)
 
 

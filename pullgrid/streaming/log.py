@@ -7,11 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from pullgrid.functions.schema import plain_schema
 from pullgrid.operators.cache import fetch_misses
 from pullgrid.operators.ranking import newest_per_key
 
-LOG_SCHEMA = T.StructType.fromDDL(
-    "full_name string, rank bigint, id bigint, number int, url string, version string, tick int"
+LOG_SCHEMA = plain_schema(
+    full_name=T.StringType(),
+    rank=T.LongType(),
+    id=T.LongType(),
+    number=T.IntegerType(),
+    url=T.StringType(),
+    version=T.StringType(),
+    tick=T.IntegerType(),
 )
 LOG_COLUMNS = LOG_SCHEMA.names[:-1]
 
