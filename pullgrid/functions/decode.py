@@ -6,11 +6,14 @@ a variant keeps apart an absent key, a JSON null and a value of another type.
 A row that passes this cheap check is valid. Any other row is looked at again,
 field by field, to decide whether it is valid after all (a null nested object
 is) and which rules it breaks.
+
+The expressions are written as SQL text: a schema of 34 fields is a few strings
+for the driver to hand over, instead of thousands of column objects.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,13 +34,12 @@ TIMESTAMP_TEXT = (
     r"(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}"
     r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)"
 )
-_TIMESTAMP_LINE = rf"^{TIMESTAMP_TEXT}\z"
 # Integers beyond 64 bits are decimals of scale 0 in a variant.
 _BIG_INTEGER = r"^DECIMAL\((19|2[0-9]|3[0-9]),0\)$"
 _NUMBER = r"BIGINT|DOUBLE|DECIMAL\([0-9]+,[0-9]+\)"
 
-_OBJECT = "OBJECT<"
 _VIOLATIONS = "array<struct<rule:string,field:string>>"
+_NONE = f"cast(array() AS {_VIOLATIONS})"
 _CORRUPT = "__corrupt"
 # The same dialect as parse_json: no single quotes, no NaN.
 _JSON_OPTIONS = {
@@ -47,6 +49,22 @@ _JSON_OPTIONS = {
 }
 
 
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _name(value: str) -> str:
+    return "`" + value.replace("`", "``") + "`"
+
+
+_TIMESTAMP_LINE = _text(rf"^{TIMESTAMP_TEXT}\z")
+
+
+def _is_struct(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.StructType)
+
+
 def _parsed_by_type(node: Node) -> bool:
     return node.required and isinstance(node.type, (T.IntegerType, T.LongType, T.BooleanType))
 
@@ -55,38 +73,36 @@ def _raw_schema(schema: T.StructType) -> T.StructType:
     fields = []
     for field in schema.fields:
         node = Node((field.name,), field.dataType, not field.nullable)
-        if isinstance(field.dataType, T.StructType):
-            fields.append(T.StructField(field.name, _raw_schema(field.dataType)))
-        elif _parsed_by_type(node):
-            fields.append(T.StructField(field.name, field.dataType))
+        if _is_struct(field.dataType):
+            kind = _raw_schema(field.dataType)
         else:
-            fields.append(T.StructField(field.name, T.VariantType()))
+            kind = field.dataType if _parsed_by_type(node) else T.VariantType()
+        fields.append(T.StructField(field.name, kind))
     return T.StructType(fields)
 
 
-def _field(raw: Column, path: Sequence[str]) -> Column:
-    for name in path:
-        raw = raw.getField(name)
-    return raw
+def _raw(node: Node) -> str:
+    return ".".join(["__raw", *map(_name, node.path)])
 
 
-def _value(raw: Column, node: Node) -> Column:
-    leaf = _field(raw, node.path)
+def _value(node: Node) -> str:
+    raw = _raw(node)
     if _parsed_by_type(node):
-        return leaf
+        return raw
     if isinstance(node.type, T.TimestampType):
-        text = leaf.try_cast("string")
-        return F.when(text.rlike(_TIMESTAMP_LINE), text.try_cast("timestamp"))
-    return leaf.try_cast(node.type)
+        text = f"try_cast({raw} AS STRING)"
+        return (
+            f"CASE WHEN {text} RLIKE {_TIMESTAMP_LINE} THEN try_cast({text} AS TIMESTAMP) END"
+        )
+    return f"try_cast({raw} AS {node.type.simpleString()})"
 
 
-def _looks_valid(raw: Column, all_nodes: Sequence[Node]) -> Column:
-    """True only for valid bodies; false or null means "look closer"."""
-    kinds, expected, tests = [], [], [raw.getField(_CORRUPT).isNull()]
+def _looks_valid(all_nodes: Sequence[Node]) -> str:
+    """True only for valid bodies; false means "look closer"."""
+    kinds, expected, tests = [], [], [f"__raw.{_CORRUPT} IS NULL"]
     for node in all_nodes:
-        leaf = _field(raw, node.path)
-        if isinstance(node.type, T.StructType) or _parsed_by_type(node):
-            tests.append(leaf.isNotNull())
+        if _is_struct(node.type) or _parsed_by_type(node):
+            tests.append(f"{_raw(node)} IS NOT NULL")
             continue
         kind = {
             T.IntegerType: "BIGINT",
@@ -94,173 +110,147 @@ def _looks_valid(raw: Column, all_nodes: Sequence[Node]) -> Column:
             T.BooleanType: "BOOLEAN",
             T.DoubleType: _NUMBER,
         }.get(type(node.type), "STRING")
-        kinds.append(F.schema_of_variant(leaf))
+        kinds.append(f"schema_of_variant({_raw(node)})")
         expected.append(f"({kind})" if node.required else f"({kind}|VOID)")
         if isinstance(node.type, (T.IntegerType, T.TimestampType)):
             # out of range, or not a timestamp
-            empty = F.schema_of_variant(leaf) == "VOID"
-            tests.append(empty | _value(raw, node).isNotNull())
+            tests.append(f"({kinds[-1]} = 'VOID' OR ({_value(node)}) IS NOT NULL)")
     if kinds:
         # absent keys leave a gap, so one pattern covers presence and types
-        tests.append(F.concat_ws(",", *kinds).rlike("^" + ",".join(expected) + "$"))
-    clean = tests[0]
-    for test in tests[1:]:
-        clean = clean & test
-    return F.coalesce(clean, F.lit(False))
-
-
-def _rule_for(want: Column, required: Column, value: Column, kind: Column) -> Column:
-    """The rule one field breaks, or null. All arguments are lambda-bound."""
-    wrong = F.lit(WRONG_TYPE)
-    text = value.try_cast("string")
-    integer = (
-        F.when(kind.rlike(_BIG_INTEGER), F.lit(OVERFLOW))
-        .when(kind != "BIGINT", wrong)
-        .when((want == "int") & value.try_cast("int").isNull(), F.lit(OVERFLOW))
-    )
-    stamp = F.when(kind != "STRING", wrong).when(
-        ~text.rlike(_TIMESTAMP_LINE) | text.try_cast("timestamp").isNull(), F.lit(BAD_TIMESTAMP)
+        pattern = _text("^" + ",".join(expected) + "$")
+        tests.append(f"concat_ws(',', {', '.join(kinds)}) RLIKE {pattern}")
+    return f"coalesce({' AND '.join(tests)}, false)"
+
+
+def _bind(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is evaluated once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+_RULE = f"""CASE
+  WHEN b.kind IS NULL THEN '{MISSING_KEY}'
+  WHEN b.kind = 'VOID' THEN CASE WHEN f.required THEN '{REQUIRED_NULL}' END
+  WHEN f.want = 'struct' THEN
+    CASE WHEN NOT startswith(b.kind, 'OBJECT<') THEN '{WRONG_TYPE}' END
+  WHEN f.want IN ('int', 'bigint') THEN CASE
+    WHEN b.kind RLIKE {_text(_BIG_INTEGER)} THEN '{OVERFLOW}'
+    WHEN b.kind <> 'BIGINT' THEN '{WRONG_TYPE}'
+    WHEN f.want = 'int' AND try_cast(b.value AS INT) IS NULL THEN '{OVERFLOW}' END
+  WHEN f.want = 'boolean' THEN CASE WHEN b.kind <> 'BOOLEAN' THEN '{WRONG_TYPE}' END
+  WHEN f.want = 'double' THEN
+    CASE WHEN NOT b.kind RLIKE {_text(f"^({_NUMBER})$")} THEN '{WRONG_TYPE}' END
+  WHEN b.kind <> 'STRING' THEN '{WRONG_TYPE}'
+  WHEN f.want = 'timestamp' AND (
+    NOT try_cast(b.value AS STRING) RLIKE {_TIMESTAMP_LINE}
+    OR try_cast(try_cast(b.value AS STRING) AS TIMESTAMP) IS NULL) THEN '{BAD_TIMESTAMP}'
+END"""
+
+
+def _fields_rules(members: str, fields: Sequence[T.StructField], prefix: str) -> str:
+    """(rule or null, field) of some fields of an object given as a map."""
+    table = ", ".join(
+        f"named_struct('key', {_text(f.name)}, 'name', {_text(prefix + f.name)}, "
+        f"'want', '{'struct' if _is_struct(f.dataType) else f.dataType.simpleString()}', "
+        f"'required', {'false' if f.nullable else 'true'})"
+        for f in fields
     )
+    value = f"try_element_at({members}, f.key)"
+    bound = f"named_struct('value', {value}, 'kind', schema_of_variant({value}))"
     return (
-        F.when(kind.isNull(), F.lit(MISSING_KEY))
-        .when(kind == "VOID", F.when(required, F.lit(REQUIRED_NULL)))
-        .when(want == "struct", F.when(~kind.startswith(_OBJECT), wrong))
-        .when(want.isin("int", "bigint"), integer)
-        .when(want == "boolean", F.when(kind != "BOOLEAN", wrong))
-        .when(want == "double", F.when(~kind.rlike(f"^({_NUMBER})$"), wrong))
-        .when(want == "string", F.when(kind != "STRING", wrong))
-        .when(want == "timestamp", stamp)
-    )
-
-
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _fields_rules(members: Column, fields: Sequence[T.StructField], prefix: str) -> Column:
-    """(rule or null, field) of some fields of an object given as a map."""
-    table = F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("key"),
-                F.lit(prefix + f.name).alias("name"),
-                F.lit(
-                    "struct" if isinstance(f.dataType, T.StructType) else f.dataType.simpleString()
-                ).alias("want"),
-                F.lit(not f.nullable).alias("required"),
-            )
-            for f in fields
-        ]
+        f"transform(array({table}), f -> "
+        f"named_struct('rule', {_bind(bound, 'b', _RULE)}, 'field', f.name))"
     )
 
-    def one(field: Column) -> Column:
-        value = F.try_element_at(members, field["key"])
-        bound = F.struct(value.alias("value"), F.schema_of_variant(value).alias("kind"))
-        rule = _bind(
-            bound, lambda b: _rule_for(field["want"], field["required"], b["value"], b["kind"])
-        )
-        return F.struct(rule.alias("rule"), field["name"].alias("field"))
-
-    return F.transform(table, one)
 
-
-def _object_rules(doc: Column, schema: T.StructType, prefix: str = "") -> Column:
+def _object_rules(doc: str, schema: T.StructType, prefix: str = "", depth: int = 0) -> str:
     """(rule or null, field) of all fields below an object, in schema order."""
-
-    def by_member(members: Column) -> Column:
-        parts, run = [], []
-        for field in schema.fields:
-            run.append(field)
-            if isinstance(field.dataType, T.StructType):
-                parts.append(_fields_rules(members, run, prefix))
-                run = []
-                child = F.try_element_at(members, F.lit(field.name))
-                # a missing, null or mistyped object is reported once, at the object
-                below = _object_rules(child, field.dataType, f"{prefix}{field.name}.")
-                inside = F.schema_of_variant(child).startswith(_OBJECT)
-                parts.append(F.when(inside, below).otherwise(F.array().cast(_VIOLATIONS)))
-        if run:
+    members = f"m{depth}"
+    parts, run = [], []
+    for field in schema.fields:
+        run.append(field)
+        if _is_struct(field.dataType):
             parts.append(_fields_rules(members, run, prefix))
-        return F.concat(*parts)
-
-    return _bind(F.try_variant_get(doc, "$", "map<string,variant>"), by_member)
-
-
-def _close_look(body: Column, schema: T.StructType) -> Column:
+            run = []
+            child = f"try_element_at({members}, {_text(field.name)})"
+            # a missing, null or mistyped object is reported once, at the object
+            below = _object_rules(child, field.dataType, f"{prefix}{field.name}.", depth + 1)
+            inside = f"startswith(schema_of_variant({child}), 'OBJECT<')"
+            parts.append(f"CASE WHEN {inside} THEN {below} ELSE {_NONE} END")
+    if run:
+        parts.append(_fields_rules(members, run, prefix))
+    value = f"try_variant_get({doc}, '$', 'map<string,variant>')"
+    return _bind(value, members, f"concat({', '.join(parts)})")
+
+
+def _close_look(body: str, schema: T.StructType) -> str:
     """Every (rule, field) a body breaks, from its full variant."""
 
-    def alone(rule: str) -> Column:
-        return F.array(F.struct(F.lit(rule).alias("rule"), F.lit("").alias("field")))
+    def alone(rule: str) -> str:
+        return f"array(named_struct('rule', '{rule}', 'field', ''))"
 
-    def whole(doc: Column) -> Column:
-        broken = F.filter(_object_rules(doc, schema), lambda x: x["rule"].isNotNull())
-        return (
-            F.when(doc.isNull(), alone(MALFORMED))
-            .when(~F.schema_of_variant(doc).startswith(_OBJECT), alone(NOT_OBJECT))
-            .otherwise(broken)
-        )
+    whole = f"""CASE
+      WHEN doc IS NULL THEN {alone(MALFORMED)}
+      WHEN NOT startswith(schema_of_variant(doc), 'OBJECT<') THEN {alone(NOT_OBJECT)}
+      ELSE filter({_object_rules("doc", schema)}, x -> x.rule IS NOT NULL) END"""
+    return f"cast({_bind(f'try_parse_json({body})', 'doc', whole)} AS {_VIOLATIONS})"
 
-    return _bind(F.try_parse_json(body), whole).cast(_VIOLATIONS)
 
-
-def _fence(df: DataFrame, *columns: Column) -> DataFrame:
-    """Append ``columns`` behind a one-row generator.
+def _fence(df: DataFrame, column: Column | str, name: str) -> DataFrame:
+    """Append one column behind a one-row generator.
 
     Filters and projections are never copied below a generator whose output
     they read, so what is computed here is computed once per row however the
     result is used. Filters on carried columns still reach the scan.
     """
-    return df.select("*", F.inline(F.array(F.struct(*columns))))
-
-
-def _names(columns: Sequence[str]) -> list[Column]:
-    return [F.col(f"`{c}`") for c in columns]
+    value = F.expr(column) if isinstance(column, str) else column
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
 
 
 def _analysed(
     df: DataFrame, body: str, schema: T.StructType, keep: Sequence[str]
-) -> tuple[DataFrame, list[Node], Column]:
-    """``keep``, one ``__v<i>`` column per leaf, ``__s<i>`` per struct, and violations."""
+) -> tuple[DataFrame, list[Node], str]:
+    """``keep``, one ``__v<i>`` column per leaf, ``__v<i>`` presence per struct, violations."""
     check_supported(schema)
     all_nodes = list(nodes(schema))
     raw_schema = _raw_schema(schema).add(_CORRUPT, T.StringType())
-    text = F.col(f"`{body}`")
+    kept = [_name(c) for c in keep]
     parsed = _fence(
-        df.select(*_names(keep), text.alias("__body")),
-        F.from_json("__body", raw_schema, _JSON_OPTIONS).alias("__raw"),
+        df.selectExpr(*kept, f"{_name(body)} AS __body"),
+        F.from_json("__body", raw_schema, _JSON_OPTIONS),
+        "__raw",
     )
-    raw = F.col("__raw")
     values = [
-        (_field(raw, n.path).isNotNull() if isinstance(n.type, T.StructType) else _value(raw, n))
-        for n in all_nodes
+        f"{_raw(n)} IS NOT NULL" if _is_struct(n.type) else _value(n) for n in all_nodes
     ]
-    staged = parsed.select(
-        *_names(keep),
+    staged = parsed.selectExpr(
+        *kept,
         "__body",
-        _looks_valid(raw, all_nodes).alias("__clean"),
-        *[v.alias(f"__v{i}") for i, v in enumerate(values)],
-    )
-    violations = F.when(F.col("__clean"), F.array().cast(_VIOLATIONS)).otherwise(
-        _close_look(F.col("__body"), schema)
+        f"{_looks_valid(all_nodes)} AS __clean",
+        *[f"{v} AS __v{i}" for i, v in enumerate(values)],
     )
+    violations = f"CASE WHEN __clean THEN {_NONE} ELSE {_close_look('__body', schema)} END"
     return staged, all_nodes, violations
 
 
-def _build(schema: T.StructType, index: dict, prefix: tuple = ()) -> list[Column]:
-    columns = []
-    for field in schema.fields:
-        path = (*prefix, field.name)
-        value = F.col(f"__v{index[path]}")
-        if isinstance(field.dataType, T.StructType):
-            value = F.when(value, F.struct(*_build(field.dataType, index, path)))
-        columns.append(value.alias(field.name))
-    return columns
+def _build(schema: T.StructType, all_nodes: Sequence[Node]) -> dict[str, str]:
+    """Expression of every top-level field over the staged columns."""
+    index = {n.path: i for i, n in enumerate(all_nodes)}
+
+    def field(f: T.StructField, path: tuple[str, ...]) -> str:
+        column = f"__v{index[path]}"
+        if not _is_struct(f.dataType):
+            return column
+        inner = ", ".join(
+            f"{_text(x.name)}, {field(x, (*path, x.name))}" for x in f.dataType.fields
+        )
+        return f"CASE WHEN {column} THEN named_struct({inner}) END"
+
+    return {f.name: field(f, (f.name,)) for f in schema.fields}
 
 
-def first_violation(violations: Column) -> Column:
-    head = F.get(violations, F.lit(0))
-    return F.rtrim(F.concat_ws(" ", head["rule"], head["field"]))
+def first_violation(violations: str) -> str:
+    """SQL text: "RULE field" of the first violation."""
+    return f"rtrim(concat_ws(' ', get({violations}, 0).rule, get({violations}, 0).field))"
 
 
 def decode_strict(
@@ -268,18 +258,16 @@ def decode_strict(
 ) -> DataFrame:
     """``keep`` columns plus the typed fields; the first bad body fails the job."""
     staged, all_nodes, violations = _analysed(df, body, schema, keep)
-    message = F.concat(F.lit("Invalid body: "), first_violation(violations))
-    ok = F.when(F.size(violations) == 0, F.lit(True)).otherwise(
-        F.raise_error(message).cast("boolean")
-    )
-    checked = _fence(staged, F.when(F.col("__clean"), F.lit(True)).otherwise(ok).alias("__ok"))
-    index = {n.path: i for i, n in enumerate(all_nodes)}
+    verdict = f"""CASE WHEN size(bad) = 0 THEN true ELSE
+        cast(raise_error(concat('Invalid body: ', {first_violation("bad")})) AS BOOLEAN) END"""
+    ok = f"CASE WHEN __clean THEN true ELSE {_bind(violations, 'bad', verdict)} END"
+    checked = _fence(staged, ok, "__ok")
     # every field reads the check, so no filter on a field can run ahead of it
     fields = [
-        F.when(F.col("__ok"), column).alias(field.name)
-        for field, column in zip(schema.fields, _build(schema, index), strict=True)
+        f"CASE WHEN __ok THEN {value} END AS {_name(name)}"
+        for name, value in _build(schema, all_nodes).items()
     ]
-    return checked.select(*_names(keep), *fields)
+    return checked.selectExpr(*[_name(c) for c in keep], *fields)
 
 
 def decode_violations(
@@ -287,7 +275,8 @@ def decode_violations(
 ) -> DataFrame:
     """``keep`` columns plus ``violations``: every (rule, field) a body breaks."""
     staged, _, violations = _analysed(df, body, schema, keep)
-    return _fence(staged, violations.alias("violations")).select(*_names(keep), "violations")
+    checked = _fence(staged, violations, "violations")
+    return checked.selectExpr(*[_name(c) for c in keep], "violations")
 
 
 def decode_permissive(
@@ -295,7 +284,7 @@ def decode_permissive(
 ) -> DataFrame:
     """``keep``, ``violations``, and a ``row`` struct that is null on a bad body."""
     staged, all_nodes, violations = _analysed(df, body, schema, keep)
-    checked = _fence(staged, violations.alias("violations"))
-    index = {n.path: i for i, n in enumerate(all_nodes)}
-    row = F.when(F.size("violations") == 0, F.struct(*_build(schema, index)))
-    return checked.select(*_names(keep), "violations", row.alias("row"))
+    checked = _fence(staged, violations, "violations")
+    inner = ", ".join(f"{_text(n)}, {v}" for n, v in _build(schema, all_nodes).items())
+    row = f"CASE WHEN size(violations) = 0 THEN named_struct({inner}) END AS row"
+    return checked.selectExpr(*[_name(c) for c in keep], "violations", row)

@@ -117,7 +117,7 @@ def judged(responses: DataFrame, schema: T.StructType = PULL_REQUEST_SCHEMA) ->
     looked = decode_permissive(responses, "body", schema, keep)
     got = is_success(F.col("status"))
     reason = F.when(~got, F.concat(F.lit("HTTP_"), F.col("status"))).when(
-        F.size("violations") > 0, first_violation(F.col("violations"))
+        F.size("violations") > 0, F.expr(first_violation("violations"))
     )
     return looked.select(
         *[F.col(f"`{c}`") for c in keep],
