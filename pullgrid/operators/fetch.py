@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pullgrid.functions.decode import decode_permissive, decode_strict, first_violation
 from pullgrid.functions.keys import pull_url, repo_error
 from pullgrid.functions.schema import PULL_REQUEST_SCHEMA, plain_schema
-from pullgrid.session import ship
+from pullgrid.shipping import ship_package
 from pullgrid.sources.transport import RETRYABLE, HttpsEndpoint, is_mirror
 
 _ANSWER = plain_schema(
@@ -59,7 +59,7 @@ def _fetch_https(
     items: DataFrame, endpoint: str, token: str | None, retries: int, parallelism: int
 ) -> DataFrame:
     """One request per row, spread by URL so a large repository is no hot task."""
-    ship(items.sparkSession)
+    ship_package(items.sparkSession)
     spread = items.repartition(parallelism, "url")
     client = HttpsEndpoint(endpoint, token, retries)
 

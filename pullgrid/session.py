@@ -2,29 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the session's Python workers this package, once per application."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    package = Path(__file__).parent
-    archive = Path(tempfile.mkdtemp(prefix="pullgrid-ship-")) / f"pullgrid-{uuid.uuid4().hex}.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for source in sorted(package.rglob("*.py")):
-            out.write(source, source.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    _SHIPPED.add(context.applicationId)
-
+from pullgrid.shipping import ship_package
+from pullgrid.sources.pull_requests import PullRequestSource, with_pushdown
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a local temporary one only where none is set."""
@@ -43,15 +29,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 def register(spark: SparkSession) -> None:
     """Make ``format("pull_requests")`` and ``USING pull_requests`` available."""
-    from pullgrid.sources.pull_requests import PullRequestSource, with_pushdown
-
-    ship(spark)
+    ship_package(spark)
     pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false") == "true"
     base = with_pushdown() if pushdown else PullRequestSource
     # workers have no session, so its defaults travel with the class
-    width = spark.sparkContext.defaultParallelism
+    attributes = {"default_partitions": spark.sparkContext.defaultParallelism}
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    attributes = {"default_partitions": width}
     if configured:
         attributes["default_cache_dir"] = f"{configured.rstrip('/')}/pull-requests-cache"
-    spark.dataSource.register(type("SessionPullRequestSource", (base,), attributes))
+    source = type("SessionPullRequestSource", (base,), attributes)
+    # the process that plans a stream does not see shipped files, so the source
+    # travels by value
+    package = sys.modules[__package__]
+    cloudpickle.register_pickle_by_value(package)
+    try:
+        spark.dataSource.register(source)
+    finally:
+        cloudpickle.unregister_pickle_by_value(package)

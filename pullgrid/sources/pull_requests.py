@@ -32,9 +32,9 @@ from pyspark.sql.datasource import (
 from pullgrid.functions.decode import REQUIRED_NULL
 from pullgrid.functions.schema import LISTING_SCHEMA, PULL_REQUEST_SCHEMA
 from pullgrid.operators.slicing import slice_bounds
-from pullgrid.sources import listing_log
+from pullgrid.sources.listing_log import Segment, last_tick, plan_tick, read_segments, write_tick
 from pullgrid.sources.options import DEFAULT_CACHE_DIR, Options, parse
-from pullgrid.sources.rows import StrictDecoder, arrow_schema, parse_json
+from pullgrid.sources.rows import StrictDecoder, arrow_schema
 from pullgrid.sources.storage import check_cache_dir, open_dir
 from pullgrid.sources.transport import Item, connect, succeeded
 
@@ -74,7 +74,7 @@ class LogPartition(InputPartition):
     """A slice of one tick of the listing log."""
 
     tick: int
-    segments: list[listing_log.Segment]
+    segments: list[Segment]
 
 
 def list_page(options: Options, user: str, repo: str, page: int) -> list[tuple[int, Item]]:
@@ -83,10 +83,10 @@ def list_page(options: Options, user: str, repo: str, page: int) -> list[tuple[i
     answer = client.page(user, repo, options.per_page, page)
     if not succeeded(answer.status):
         raise RuntimeError(f"Request failed with code {answer.status}: {answer.body}")
-    elements = parse_json(answer.body)
+    decoder = StrictDecoder(LISTING_SCHEMA)
+    elements = decoder.parse(answer.body)
     if not isinstance(elements, list):
         raise RuntimeError(f"Invalid listing: NOT_ARRAY in page {page} of {user}/{repo}")
-    decoder = StrictDecoder(LISTING_SCHEMA)
     ahead = (page - 1) * options.per_page
     # a page may hold more rows than this batch asks for
     wanted = max(0, min(options.per_page, options.batch - ahead))
@@ -111,14 +111,20 @@ class _Fetcher:
         self.schema = arrow_schema(schema)
         self.decoder = StrictDecoder(PULL_REQUEST_SCHEMA)
         self.client = connect(options.endpoint, options.token, options.retries)
+        # the cache as it is when the task starts; footers are read once
+        fs, root = open_dir(options.cache_dir)
+        path = f"{root}/outcome=ok"
+        there = fs.get_file_info(path).type == FileType.Directory
+        self._cache = (
+            ds.dataset(path, schema=_CACHE_ARROW, filesystem=fs, format="parquet")
+            if there
+            else None
+        )
 
     def _cached(self, items: list[Item]) -> dict[tuple[int, str], str]:
-        fs, root = open_dir(self.options.cache_dir)
-        path = f"{root}/outcome=ok"
-        if fs.get_file_info(path).type != FileType.Directory:
+        if self._cache is None:
             return {}
-        data = ds.dataset(path, schema=_CACHE_ARROW, filesystem=fs, format="parquet")
-        table = data.to_table(
+        table = self._cache.to_table(
             columns=["id", "version", "body", "fetched_ms"],
             filter=pc.field("id").isin(pa.array([i.id for i in items], pa.int64())),
             use_threads=False,
@@ -265,17 +271,17 @@ class PullRequestStreamReader(DataSourceStreamReader):
             for user, repo, page in options.pages
             for rank, item in list_page(options, user, repo, page)
         ]
-        listing_log.write_tick(options.listing_dir, tick, rows)
+        write_tick(options.listing_dir, tick, rows)
 
     def initialOffset(self) -> dict:
         start = self.options.starting_tick
         if start is None:
             # a new query begins with the current listing, not with old ones
-            start = max(listing_log.last_tick(self.options.listing_dir)[0] - 1, 0)
+            start = max(last_tick(self.options.listing_dir)[0] - 1, 0)
         return {"tick": start}
 
     def latestOffset(self) -> dict:
-        tick, age = listing_log.last_tick(self.options.listing_dir)
+        tick, age = last_tick(self.options.listing_dir)
         if age >= self.options.poll_seconds:
             tick += 1
             self._poll(tick)
@@ -287,13 +293,13 @@ class PullRequestStreamReader(DataSourceStreamReader):
         return [
             LogPartition(tick, segments)
             for tick in range(start["tick"] + 1, end["tick"] + 1)
-            for segments in listing_log.plan_tick(
+            for segments in plan_tick(
                 self.options.listing_dir, tick, self.options.partitions
             )
         ]
 
-    def _work(self, segments: list[listing_log.Segment]) -> Iterator[Work]:
-        for batch in listing_log.read_segments(self.options.listing_dir, segments):
+    def _work(self, segments: list[Segment]) -> Iterator[Work]:
+        for batch in read_segments(self.options.listing_dir, segments):
             for row in batch.to_pylist():
                 user, repo = row["full_name"].split("/")
                 yield user, repo, Item(row["id"], row["number"], row["url"], row["version"])

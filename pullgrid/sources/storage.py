@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import os
 
+from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
+
 
 def open_dir(uri: str):
     """(file system, path) of a directory URI; a plain path is a local one."""
-    from pyarrow.fs import FileSystem, LocalFileSystem
-
     if uri.startswith("file:"):
         return LocalFileSystem(), "/" + uri[len("file:") :].lstrip("/")
     if "://" in uri:
@@ -21,8 +21,6 @@ def check_cache_dir(uri: str) -> str:
 
     Returns the qualified URI.
     """
-    from pyarrow.fs import FileType, LocalFileSystem
-
     fs, path = open_dir(uri)
     local = isinstance(fs, LocalFileSystem)
     if fs.get_file_info(path).type == FileType.NotFound:
@@ -45,8 +43,6 @@ def check_cache_dir(uri: str) -> str:
 
 def complete_dirs(parent: str, key: str) -> dict[int, float]:
     """``<key>=<n>`` directories with a success mark: n -> time of the mark."""
-    from pyarrow.fs import FileSelector, FileType
-
     fs, path = open_dir(parent)
     found = {}
     for entry in fs.get_file_info(FileSelector(path, allow_not_found=True)):

@@ -9,10 +9,15 @@ from __future__ import annotations
 
 import time
 import urllib.error
-import urllib.parse
 import urllib.request
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
+from urllib.parse import quote
+
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.dataset as ds
+from pyarrow.fs import FileType
 
 from pullgrid.sources.storage import open_dir
 
@@ -134,23 +139,27 @@ class MirrorEndpoint:
     def __init__(self, root: str, retries: int = 2):
         self.root = root.rstrip("/")
         self.retries = retries
+        self._open: dict = {}
 
-    def _table(self, table: str, user: str, repo: str, columns: list[str], condition):
-        import pyarrow.dataset as ds
-        from pyarrow.fs import FileType
-
+    def _data(self, table: str, user: str, repo: str):
+        """Dataset of one repository; its file footers are read once per task."""
         _check_name("user", user)
         _check_name("repo", repo)
-        quote = urllib.parse.quote
-        fs, path = open_dir(f"{self.root}/{table}/owner={quote(user)}/repo={quote(repo)}")
-        if fs.get_file_info(path).type != FileType.Directory:
+        key = (table, user, repo)
+        if key not in self._open:
+            directory = f"{self.root}/{table}/owner={quote(user)}/repo={quote(repo)}"
+            fs, path = open_dir(directory)
+            there = fs.get_file_info(path).type == FileType.Directory
+            self._open[key] = ds.dataset(path, filesystem=fs, format="parquet") if there else None
+        return self._open[key]
+
+    def _table(self, table: str, user: str, repo: str, columns: list[str], condition):
+        data = self._data(table, user, repo)
+        if data is None:
             return None
-        data = ds.dataset(path, filesystem=fs, format="parquet", exclude_invalid_files=False)
         return data.to_table(columns=columns, filter=condition, use_threads=False)
 
     def page(self, user: str, repo: str, per_page: int, page: int) -> Response:
-        import pyarrow.compute as pc
-
         listing_url("", user, repo, per_page, page)
         found = self._table("pages", user, repo, ["statuses", "body"], pc.field("page") == page)
         if found is None:
@@ -162,9 +171,6 @@ class MirrorEndpoint:
         return Response(status, row["body"], attempts)
 
     def details(self, user: str, repo: str, items: Iterable[Item]) -> Iterator[Response]:
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
         items = list(items)
         if not items:
             return
