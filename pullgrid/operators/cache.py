@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pullgrid.folders import ready_dir
 from pullgrid.functions.decode import decode_strict
 from pullgrid.functions.schema import PULL_REQUEST_SCHEMA, plain_schema
 from pullgrid.operators.fetch import fetch, judged, request_failure
 from pullgrid.operators.ranking import newest_per_key
-from pullgrid.sources.storage import check_cache_dir
 
 CACHE_SCHEMA = plain_schema(
     id=T.LongType(),
@@ -31,7 +31,7 @@ KEY = ["id", "version"]
 
 def read_cache(spark: SparkSession, cache_dir: str, outcome: str = "ok") -> DataFrame:
     """Cache rows as stored. A key written twice at the same time appears twice."""
-    location = check_cache_dir(cache_dir)
+    location = ready_dir(spark, cache_dir)
     rows = spark.read.schema(CACHE_SCHEMA).parquet(location)
     return rows.where(F.col("outcome") == outcome)
 
@@ -58,8 +58,17 @@ def read_file_cache(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def write_cache(rows: DataFrame, cache_dir: str) -> None:
-    location = check_cache_dir(cache_dir)
-    rows.select(*CACHE_SCHEMA.names).write.mode("append").partitionBy("outcome").parquet(location)
+    """Append rows. What a finished task wrote stays, even if the job fails later:
+    a fetched body costs a request, and a key written twice is resolved on read.
+    """
+    location = ready_dir(rows.sparkSession, cache_dir)
+    (
+        rows.select(*CACHE_SCHEMA.names)
+        .write.mode("append")
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        .partitionBy("outcome")
+        .parquet(location)
+    )
 
 
 def cache_hits(items: DataFrame, cached: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import uuid
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+from pullgrid.folders import qualified
 from pullgrid.shipping import ship_package
 from pullgrid.sources.pull_requests import PullRequestSource, with_pushdown
 
@@ -16,7 +17,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a local temporary one only where none is set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        return configured.rstrip("/")
+        return qualified(spark, configured)
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="pullgrid-")
@@ -34,9 +35,8 @@ def register(spark: SparkSession) -> None:
     base = with_pushdown() if pushdown else PullRequestSource
     # workers have no session, so its defaults travel with the class
     attributes = {"default_partitions": spark.sparkContext.defaultParallelism}
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        attributes["default_cache_dir"] = f"{configured.rstrip('/')}/pull-requests-cache"
+    if spark.conf.get("spark.checkpoint.dir", None):
+        attributes["default_cache_dir"] = f"{shared_dir(spark)}/pull-requests-cache"
     source = type("SessionPullRequestSource", (base,), attributes)
     # the process that plans a stream does not see shipped files, so the source
     # travels by value

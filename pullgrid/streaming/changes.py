@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from pullgrid.folders import complete_dirs, ready_dir
 from pullgrid.operators.ranking import newest_per_key
-from pullgrid.sources.storage import check_cache_dir, complete_dirs
 
 BATCH = "batch_id"
 KEY = ["id", "version"]
@@ -21,7 +21,7 @@ KEY = ["id", "version"]
 
 def _sink_rows(spark: SparkSession, directory: str, schema: T.StructType) -> DataFrame:
     full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    return spark.read.schema(full).parquet(check_cache_dir(directory))
+    return spark.read.schema(full).parquet(ready_dir(spark, directory))
 
 
 def _start(stream: DataFrame, run, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -57,19 +57,27 @@ def read_changes(spark: SparkSession, sink: str, schema: T.StructType) -> DataFr
     return _sink_rows(spark, sink, schema)
 
 
-def current_state(
+def _history(
     spark: SparkSession, table: str, schema: T.StructType, before: int | None = None
 ) -> DataFrame:
-    """The newest version of every id: the last base plus the deltas after it."""
-    bases = [n for n in complete_dirs(f"{table}/base", "upto") if before is None or n < before]
-    base = max(bases, default=-1)
+    """The last base plus the deltas after it, as they were before a batch."""
+    bases = complete_dirs(spark, f"{table}/base", "upto")
+    base = max((n for n in bases if before is None or n < before), default=-1)
     deltas = _sink_rows(spark, f"{table}/delta", schema).where(F.col(BATCH) > base)
     if before is not None:
         deltas = deltas.where(F.col(BATCH) < before)
     rows = deltas.drop(BATCH)
     if base >= 0:
         rows = rows.unionByName(spark.read.schema(schema).parquet(f"{table}/base/upto={base}"))
-    return newest_per_key(rows, ["id"], [F.desc("version")])
+    return rows
+
+
+def current_state(
+    spark: SparkSession, table: str, schema: T.StructType, before: int | None = None
+) -> DataFrame:
+    """The newest version of every id."""
+    history = _history(spark, table, schema, before)
+    return newest_per_key(history, ["id"], [F.desc("version")])
 
 
 def start_upsert(
@@ -90,8 +98,9 @@ def start_upsert(
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         newest = newest_per_key(batch, ["id"], [F.desc("version")])
-        state = current_state(spark, table, schema, before=batch_id)
-        held = state.select("id", F.col("version").alias("__held"))
+        # two columns of the table, aggregated before their shuffle
+        history = _history(spark, table, schema, before=batch_id)
+        held = history.groupBy("id").agg(F.max("version").alias("__held"))
         changed = newest.join(held, "id", "left").where(
             F.col("__held").isNull() | (F.col("__held") < F.col("version"))
         )

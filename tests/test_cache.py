@@ -121,3 +121,25 @@ def test_latest_snapshot_of_a_hot_id(spark):
     found = {r["id"]: r["version"] for r in cache.latest_snapshot(rows).collect()}
     assert len(found) == 3334
     assert found[0] == "04998"
+
+
+def test_cache_folder_through_hadoop(spark, tmp_path):
+    from pullgrid.folders import ready_dir
+
+    path = tmp_path / "a" / "b"
+    assert ready_dir(spark, str(path)) == f"file:{path}"
+    assert path.stat().st_mode & 0o777 == 0o777
+    (tmp_path / "file").write_text("x")
+    with pytest.raises(ValueError, match="is not a directory"):
+        ready_dir(spark, str(tmp_path / "file"))
+    (tmp_path / "locked").mkdir(mode=0o444)
+    with pytest.raises(ValueError, match="Expected read/write access"):
+        ready_dir(spark, str(tmp_path / "locked"))
+
+
+def test_absent_and_damaged_entries(spark, tmp_path):
+    assert cache.read_cache(spark, str(tmp_path / "new")).count() == 0
+    rows = spark.createDataFrame([(1, "v", "{", 2, 200, None, "ok")], cache.CACHE_SCHEMA)
+    cache.write_cache(rows, str(tmp_path / "new"))
+    with pytest.raises(Exception, match="Invalid body: MALFORMED"):
+        cache.cached_pulls(cache.read_cache(spark, str(tmp_path / "new"))).collect()

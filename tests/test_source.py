@@ -111,8 +111,8 @@ def faulty_endpoint(spark, sf, tmp_path):
     root = tmp_path / "faulty"
     root.mkdir()
     good, bad = mirror.host_mirror(spark, sf), mirror.faulty_mirror(spark, sf)
-    (root / "pages").symlink_to(f"{good}/pages")
-    (root / "details").symlink_to(f"{bad}/details")
+    (root / "pages").symlink_to(f"{good.removeprefix('file:')}/pages")
+    (root / "details").symlink_to(f"{bad.removeprefix('file:')}/details")
     return str(root)
 
 
