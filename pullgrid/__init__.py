@@ -1,5 +1,6 @@
 """Pull requests of a code host as Spark tables, SQL views and streams."""
 
-from pullgrid.session import register, scratch_dir
+from pullgrid.folders import scratch_dir
+from pullgrid.session import register
 
 __all__ = ["register", "scratch_dir"]

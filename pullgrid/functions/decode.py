@@ -253,21 +253,37 @@ def first_violation(violations: str) -> str:
     return f"rtrim(concat_ws(' ', get({violations}, 0).rule, get({violations}, 0).field))"
 
 
-def decode_strict(
+def decode_leaves(
     df: DataFrame, body: str, schema: T.StructType, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """``keep`` columns plus the typed fields; the first bad body fails the job."""
+    """``keep`` columns plus checked flat columns for ``assemble``.
+
+    For rows that are shuffled or sorted between decoding and use: flat columns
+    move much faster than nested ones, and unused ones are pruned on the way.
+    """
     staged, all_nodes, violations = _analysed(df, body, schema, keep)
     verdict = f"""CASE WHEN size(bad) = 0 THEN true ELSE
         cast(raise_error(concat('Invalid body: ', {first_violation("bad")})) AS BOOLEAN) END"""
     ok = f"CASE WHEN __clean THEN true ELSE {_bind(violations, 'bad', verdict)} END"
-    checked = _fence(staged, ok, "__ok")
+    leaves = [f"__v{i}" for i in range(len(all_nodes))]
+    return _fence(staged, ok, "__ok").selectExpr(*[_name(c) for c in keep], "__ok", *leaves)
+
+
+def assemble(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` columns plus the typed fields, from ``decode_leaves`` columns."""
     # every field reads the check, so no filter on a field can run ahead of it
     fields = [
         f"CASE WHEN __ok THEN {value} END AS {_name(name)}"
-        for name, value in _build(schema, all_nodes).items()
+        for name, value in _build(schema, list(nodes(schema))).items()
     ]
-    return checked.selectExpr(*[_name(c) for c in keep], *fields)
+    return df.selectExpr(*[_name(c) for c in keep], *fields)
+
+
+def decode_strict(
+    df: DataFrame, body: str, schema: T.StructType, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``keep`` columns plus the typed fields; the first bad body fails the job."""
+    return assemble(decode_leaves(df, body, schema, keep), schema, keep)
 
 
 def decode_violations(

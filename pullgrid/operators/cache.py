@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pullgrid.folders import ready_dir
-from pullgrid.functions.decode import decode_strict
+from pullgrid.functions.decode import assemble, decode_leaves
 from pullgrid.functions.schema import PULL_REQUEST_SCHEMA, plain_schema
 from pullgrid.operators.fetch import fetch, judged, request_failure
 from pullgrid.operators.ranking import newest_per_key
@@ -81,19 +81,22 @@ def cache_misses(items: DataFrame, cached: DataFrame) -> DataFrame:
     return items.join(cached.select(*KEY), KEY, "left_anti")
 
 
-def cached_pulls(cached: DataFrame) -> DataFrame:
-    """Decoded cache rows, newest per key.
+def _newest_leaves(cached: DataFrame) -> DataFrame:
+    """Checked flat columns of the newest row per key.
 
     Decoding comes first, so only the columns a query reads are shuffled, not
     the bodies.
     """
-    rows = decode_strict(
-        cached.withColumnsRenamed({"id": "__id", "body": "__json"}),
-        "__json",
-        PULL_REQUEST_SCHEMA,
-        ["__id", "version", "fetched_ms"],
-    )
-    return newest_per_key(rows, ["__id", "version"], [F.desc("fetched_ms")])
+    named = cached.withColumnsRenamed({"id": "__id", "body": "__json"})
+    keep = ["__id", "version", "fetched_ms"]
+    leaves = decode_leaves(named, "__json", PULL_REQUEST_SCHEMA, keep)
+    return newest_per_key(leaves, ["__id", "version"], [F.desc("fetched_ms")])
+
+
+def cached_pulls(cached: DataFrame) -> DataFrame:
+    """Decoded cache rows, newest per key."""
+    keep = ["__id", "version", "fetched_ms"]
+    return assemble(_newest_leaves(cached), PULL_REQUEST_SCHEMA, keep)
 
 
 def fetch_misses(
@@ -144,9 +147,11 @@ def fetch_through_cache(
     cache, so a lost executor never repeats a request.
     """
     fetch_misses(items, endpoint, cache_dir, mode, token, retries)
-    rows = cached_pulls(read_cache(items.sparkSession, cache_dir))
+    rows = _newest_leaves(read_cache(items.sparkSession, cache_dir))
     wanted = items.select(F.col("id").alias("__id"), "version", "full_name", "rank")
-    return wanted.join(rows, ["__id", "version"]).drop("__id")
+    # the cache side is already shuffled and sorted on this key
+    joined = wanted.join(rows.hint("merge"), ["__id", "version"])
+    return assemble(joined, PULL_REQUEST_SCHEMA, ["full_name", "rank", "version", "fetched_ms"])
 
 
 def latest_snapshot(versions: DataFrame) -> DataFrame:

@@ -40,13 +40,17 @@ def mirror_table(spark, endpoint: str, table: str) -> DataFrame:
 
 
 def _fetch_mirror(items: DataFrame, endpoint: str, retries: int) -> DataFrame:
-    """One equi-join against the mirror; unmatched items are 404."""
+    """One equi-join against the mirror; unmatched items are 404.
+
+    Bodies are never broadcast: they compress so well that a file size says
+    little about what they take in memory.
+    """
     status, attempts = played(F.col("statuses"), retries)
     keys = ["url", "version"] if "version" in items.columns else ["url"]
     details = mirror_table(items.sparkSession, endpoint, "details").select(
         *keys, status.alias("status"), attempts.alias("attempts"), "body"
     )
-    joined = items.join(details, keys, "left")
+    joined = items.join(details.hint("merge"), keys, "left")
     return joined.select(
         *[F.col(f"`{c}`") for c in items.columns],
         F.coalesce("status", F.lit(404)).alias("status"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pullgrid.folders import scratch_dir
+
 
 def slice_bounds(length: int, slices: int) -> list[tuple[int, int]]:
     """Half-open bounds of every slice of a list; empty slices are legal."""
@@ -18,17 +20,19 @@ def slice_items(items: DataFrame, slices: int) -> DataFrame:
 
     Work is ordered by repository and rank. Rows ahead of a repository come
     from per-repository counts, summed in two levels (hash prefix, then name),
-    so neither the rows nor the repositories pass through one task.
+    so neither the rows nor the repositories pass through one task. The counts
+    are written to the shared folder: the rows are then read once more only,
+    and Spark knows the size of what it might broadcast.
     """
     if slices < 1:
         raise ValueError(f"Positive number of slices required, found {slices} slices")
     # 3 hex digits: at most 4096 first-level rows
     prefix = F.substring(F.md5("full_name"), 1, 3)
-    per_repo = (
-        items.groupBy("full_name")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__prefix", prefix)
-    )
+    spark = items.sparkSession
+    counts = scratch_dir(spark, "slice-counts")
+    counted = items.groupBy("full_name").agg(F.count(F.lit(1)).alias("__n"))
+    counted.withColumn("__prefix", prefix).write.parquet(counts)
+    per_repo = spark.read.parquet(counts)
     level1 = (
         per_repo.groupBy("__prefix")
         .agg(F.sum("__n").alias("__m"))

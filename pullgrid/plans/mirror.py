@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pullgrid.functions.keys import MAX_PAGE_SIZE, pull_url, version_date
 from pullgrid.operators.cache import read_cache, write_cache
 from pullgrid.operators.ranking import rank_in_group
-from pullgrid.session import scratch_dir
+from pullgrid.folders import scratch_dir
 from pullgrid.streaming.log import record_tick
 
 HOST = "https://api.example.test"

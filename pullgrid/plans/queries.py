@@ -11,7 +11,8 @@ from pullgrid.functions.decode import decode_strict, decode_violations
 from pullgrid.functions.schema import PULL_REQUEST_SCHEMA
 from pullgrid.operators import cache, fetch, listing, slicing
 from pullgrid.plans import mirror
-from pullgrid.session import register, scratch_dir
+from pullgrid.folders import scratch_dir
+from pullgrid.session import register
 from pullgrid.streaming import changes, log
 
 BATCH = 245

@@ -1,33 +1,16 @@
-"""Session-level helpers: shared scratch space and data source registration."""
+"""Data source registration."""
 
 from __future__ import annotations
 
 import sys
-import tempfile
-import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
-from pullgrid.folders import qualified
+from pullgrid.folders import shared_dir
 from pullgrid.shipping import ship_package
 from pullgrid.sources.pull_requests import PullRequestSource, with_pushdown
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local temporary one only where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return qualified(spark, configured)
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="pullgrid-")
-
-
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh directory path under the shared folder (not created)."""
-    return f"{shared_dir(spark)}/pullgrid-{name}-{uuid.uuid4().hex[:12]}"
-
-
 def register(spark: SparkSession) -> None:
     """Make ``format("pull_requests")`` and ``USING pull_requests`` available."""
     ship_package(spark)
