@@ -11,6 +11,7 @@ from pullgrid.folders import shared_dir
 from pullgrid.shipping import ship_package
 from pullgrid.sources.pull_requests import PullRequestSource, with_pushdown
 
+
 def register(spark: SparkSession) -> None:
     """Make ``format("pull_requests")`` and ``USING pull_requests`` available."""
     ship_package(spark)
