@@ -55,8 +55,8 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
 def _with_salt(lines: DataFrame) -> DataFrame:
     bucket = F.pmod("h1", F.lit(BUCKETS))
     counts = lines.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    hot = counts.join(F.broadcast(total), F.col("n") > HOT_SHARE * F.col("total"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # over BUCKETS rows at most
+    hot = counts.withColumn("total", total).where(F.col("n") > HOT_SHARE * F.col("total"))
     hot = hot.select("bucket", F.lit(True).alias("is_hot"))
     salt = F.pmod(F.xxhash64("doc", "tag", "pos"), F.lit(SALTS))
     return (
@@ -108,11 +108,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
         F.sequence(F.lit(0), F.array_max(F.map_keys(by_word))),
         lambda w: F.coalesce(F.element_at(by_word, w), whole_word),
     )
-    met = rows.join(bitmaps, same, "left").withColumn("words", words)
-    at = lambda i: F.coalesce(F.get("words", F.shiftright(i, 6)), whole_word)
-    cut = F.filter(
-        split_lines(F.col("row.text")), lambda _, i: F.getbit(at(i), F.pmod(i, F.lit(64))) == 1
-    )
+    met = rows.join(bitmaps, same, "left")
+    at = lambda dense, i: F.coalesce(F.get(dense, F.shiftright(i, 6)), whole_word)
+    bit = lambda dense, i: F.getbit(at(dense, i), F.pmod(i, F.lit(64)))
+    lines = split_lines(F.col("row.text"))
+    # one layout per text: as a lambda's variable it is not computed again for each line
+    cut = F.transform(
+        F.array(words), lambda dense: F.filter(lines, lambda _, i: bit(dense, i) == 1)
+    )[0]
     kept = F.when(F.col("bitmap").isNull(), F.coalesce("row.text", F.lit(""))).otherwise(
         F.array_join(cut, "\n")
     )

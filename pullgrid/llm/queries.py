@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pullgrid.llm import line_dedup
+from pullgrid.llm import line_dedup, quality_rules
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
+    "op6_quality_rules": quality_rules.query,
 }
 
 ORACLE = {
     "op1_line_dedup": line_dedup.SQL,
+    "op6_quality_rules": quality_rules.SQL,
 }
