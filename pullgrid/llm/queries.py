@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pullgrid.llm import line_dedup, quality_rules
+from pullgrid.llm import bpe, line_dedup, quality_rules
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op6_quality_rules": quality_rules.query,
+    "op7_bpe": bpe.query,
 }
 
 ORACLE = {
