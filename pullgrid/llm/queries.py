@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pullgrid.llm import bpe, line_dedup, quality_rules, sharding, token_files
+from pullgrid.llm import bpe, line_dedup, quality_rules, secret_links, sharding, token_files
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op5_token_files": token_files.query,
     "op6_quality_rules": quality_rules.query,
     "op7_bpe": bpe.query,
+    "op8_secret_links": secret_links.query,
     "op10_sharding": sharding.query,
 }
 
