@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from pullgrid.llm import bpe, line_dedup, quality_rules, secret_links, sharding, token_files
+from pullgrid.llm import (
+    bpe,
+    line_dedup,
+    ngram_join,
+    quality_rules,
+    secret_links,
+    sharding,
+    token_files,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
+    "op2_ngram_join": ngram_join.query,
     "op5_token_files": token_files.query,
     "op6_quality_rules": quality_rules.query,
     "op7_bpe": bpe.query,
@@ -15,5 +24,6 @@ QUERIES = {
 
 ORACLE = {
     "op1_line_dedup": line_dedup.SQL,
+    "op2_ngram_join": ngram_join.SQL,
     "op6_quality_rules": quality_rules.SQL,
 }
