@@ -17,8 +17,10 @@ _random = np.random.default_rng(20_240_117)
 _draw = lambda n: _random.integers(1, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE, _PLACE, _STEP, _COUNT = _draw(256), _draw(PLACES), _draw(16), _draw(64)
 _BYTE[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]
-_BLANK = np.zeros(256, bool)
-_BLANK[[32, *range(9, 14)]] = True
+BLANK = np.zeros(256, bool)
+BLANK[[32, *range(9, 14)]] = True
+BLANK_OR_MARK = BLANK.copy()  # ASCII punctuation parts words too
+BLANK_OR_MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -46,9 +48,9 @@ class Words:
         return np.diff(self.bounds)
 
 
-def words_of(flat: np.ndarray, ends: np.ndarray) -> Words:
+def words_of(flat: np.ndarray, ends: np.ndarray, blank: np.ndarray = BLANK) -> Words:
     """flat: the texts' UTF-8 bytes end to end; ends: their offsets, from 0."""
-    solid = ~_BLANK[flat]
+    solid = ~blank[flat]
     edge = np.zeros(len(flat) + 1, bool)
     edge[ends] = True
     before = np.zeros(len(flat), bool)
