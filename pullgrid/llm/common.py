@@ -33,3 +33,17 @@ def ascii_lower(text: Column) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+BROADCAST_IDS = 1_000_000  # eight bytes each
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose ``doc_id`` is not in the written table ``ids``; nulls stay.
+
+    Few ids are broadcast, so texts stay where they are; more are joined by key.
+    """
+    ids = ids.select(F.col("doc_id").alias("gone_id"))
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, F.col("doc_id") == F.col("gone_id"), "left_anti")
