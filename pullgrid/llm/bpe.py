@@ -37,6 +37,7 @@ from pullgrid.llm.common import table
 from pullgrid.llm.pieces import PieceEncoder
 from pullgrid.llm.ragged import gather, offsets
 from pullgrid.llm.slices import text_slices
+from pullgrid.shipping import ship_package
 
 LEXICON_WORDS = 50_000
 LEXICON_WORD_BYTES = 40
@@ -276,7 +277,7 @@ class Lexicon:
         letters, starts = np.frombuffer(b"".join(words), np.uint8), offsets(lengths)[:-1]
         place = np.full(len(words), -1, np.int64)
         if not len(self.edge_key):
-            return place
+            return np.where(lengths == 0, self.final[self.root] - 1, -1)
         active = np.arange(len(words))
         state, skipped = np.full(len(words), self.root, np.int64), np.zeros(len(words), np.int64)
         step = 0
@@ -375,6 +376,7 @@ def encode(
     ``ids`` adds ids (array<int>) and decoded (string).
     """
     spark = docs.sparkSession
+    ship_package(spark)
     lexicon = deliver_lexicon(spark, docs, tokenizer, n_words)
     added = (
         "n_tokens long, ids_sha256 string, decoded_sha256 string"

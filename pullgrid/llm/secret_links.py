@@ -2,8 +2,8 @@
 
 Base kinds (assignments, access ids, long hex) are reported wherever they stand. Weaker
 parts (a user or client name, a bare 40-letter key, an endpoint) are reported only when
-a complementary part lies within ``REACH`` code points: names need a secret, keys need
-an identifier, endpoints need either. The link is an interval join over all documents:
+a complementary part lies within ``REACH`` code points: names and
+endpoints need a secret, keys need an identifier. The link is an interval join over all documents:
 parts are laid on a grid of ``REACH`` wide cells, what each cell holds is aggregated to
 one interval per role before the join, and a weak part meets the cells around it. So a
 text with many parts costs a few rows per part and never their pairs.
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from pullgrid.llm.common import table, written
 from pullgrid.llm.slices import text_slices
+from pullgrid.shipping import ship_package
 
 REACH = 200
 
@@ -56,7 +57,7 @@ ROLES = {
     "key": "secret",
     "endpoint": "endpoint",
 }
-NEEDS = {"name": ("secret",), "key": ("identifier",), "endpoint": ("identifier", "secret")}
+NEEDS = {"name": ("secret",), "key": ("identifier",), "endpoint": ("secret",)}
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -98,6 +99,7 @@ def _as_rows(spans: list[tuple[str, int, int]]) -> list[dict]:
 
 def scan(docs: DataFrame, carried: list[str]) -> DataFrame:
     """(row, key_id, key_text, base, weak) per document: spans of every whole text."""
+    ship_package(docs.sparkSession)
     packed = docs.select(
         F.struct(*carried).alias("row"),
         F.col("doc_id").cast("string").alias("key_id"),

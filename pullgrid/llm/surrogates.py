@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from pullgrid.llm.common import table, written
 from pullgrid.llm.slices import text_slices
+from pullgrid.shipping import ship_package
 
 BROADCAST_ROWS = 100_000
 MAX_DRAWS = 64
@@ -359,6 +360,7 @@ OUT = ", ".join(f"n_{k} long" for k in KINDS) + ", rewritten string"
 
 def replace_pii(docs: DataFrame, key: str, carried: list[str] | None = None) -> DataFrame:
     """(row, n_email, ..., rewritten) per document; ``row`` holds the carried columns."""
+    ship_package(docs.sparkSession)
     again = redraws(docs, key)
     packed = docs.select(F.struct(*(carried or docs.columns)).alias("row"), "text")
     row_type = packed.schema["row"].dataType.simpleString()

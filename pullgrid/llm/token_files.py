@@ -38,6 +38,7 @@ from pullgrid.llm.common import partitions, table, written
 from pullgrid.llm.pieces import PieceEncoder
 from pullgrid.llm.ragged import offsets
 from pullgrid.llm.slices import text_slices
+from pullgrid.shipping import ship_package
 
 SEQUENCE = 1024
 BATCH_ROWS = 256
@@ -157,6 +158,7 @@ def write_files(
     batch_rows: int = BATCH_ROWS,
 ) -> DataFrame:
     """Write the files; (part, path, n_tokens, start) of each, in the order of ``doc_id``."""
+    ship_package(docs.sparkSession)
     ordered = (
         docs.select("doc_id", "text")
         .repartitionByRange(partitions(docs.sparkSession), "doc_id")

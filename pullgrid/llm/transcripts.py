@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pullgrid.llm.common import partitions, table, written
+from pullgrid.shipping import ship_package
 
 ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)  # 2r: role r begins a turn; 2r + 1: it goes on
@@ -164,6 +165,7 @@ def recover_turns(lines: DataFrame, model: dict) -> DataFrame:
 
     ``lines``: (conv_id, turn, tie, pos, line), where turn, tie and pos only order the lines.
     """
+    ship_package(lines.sparkSession)
     n, spark = partitions(lines.sparkSession), lines.sparkSession
     shared = spark.sparkContext.broadcast(model)
     placed = lines.select(

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi".split()
@@ -7,7 +9,8 @@ WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu x
 
 def prose(seed: int, n: int) -> str:
     """n words that hold no five in a row twice, different for each seed."""
-    return " ".join(f"{WORDS[(seed * 7 + k * (k + seed)) % 16]}{(seed * 31 + k) % 97}" for k in range(n))
+    draw = random.Random(seed)
+    return " ".join(f"{draw.choice(WORDS)}{draw.randrange(5000)}" for _ in range(n))
 
 
 # names that operators use inside
