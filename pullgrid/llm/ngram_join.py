@@ -7,11 +7,12 @@
    another only if three quarters of its shingles are in other documents too, so most
    documents end here.
 2. *Copies.* Documents with equal sets become one node.
-3. *Stars.* Nodes that share a min-hash are compared with the least node that has it,
-   exactly; a group of near copies becomes a few components with a few comparisons per
-   node. This only saves work.
-4. *Product.* Links that may be missing lie between different components, so only
-   shingles that occur in two components count, and only nodes of which they make up
+3. *Row blocks.* Nodes that share a min-hash with the same popular node are a family: it
+   holds most links. A family is cut into parts of bounded size, and each two parts are
+   multiplied as incidence matrices, which counts every overlap; what comes back is not
+   the pairs but one edge per node that connects the same components.
+4. *Product.* Links that may be missing lie between different components and families, so
+   only shingles that occur in two components count, and only nodes of which they make up
    three quarters. Of those the rarest few that a match must touch are multiplied:
    matches are summed per pair, and a pair is discarded once its count and what is left
    behind its last match cannot reach the bound given by the two sizes.
@@ -42,15 +43,18 @@ from pullgrid.llm.components import components
 from pullgrid.llm.ragged import offsets
 from pullgrid.llm.slices import raw_bytes, text_slices
 from pullgrid.llm.words import distinct_per_text, mixed, shingle_hashes, words_of
+from pullgrid.shipping import ship_package
 
 SHINGLE = 5
 SIMILARITY = 75  # per cent
 BLOCKS_PER_PARTITION = 4
 CHUNK_SHINGLES = 4_000_000
 CHUNK_DOCS = 60_000  # below 2^16: a document's place in its chunk takes two bytes
-STAR_KEYS = 4
+MIN_HASHES = 8
+TILE_NODES, TILE_SHINGLES = 1_000, 300_000
+DENSE_FROM, DENSE_COLUMNS = 32, 4_096
 BROADCAST_ROWS = 500_000
-_SEEDS = np.random.default_rng(7).integers(1, 1 << 62, STAR_KEYS).astype(np.uint64)
+_SEEDS = np.random.default_rng(7).integers(1, 1 << 62, MIN_HASHES).astype(np.uint64)
 
 
 def _sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -217,6 +221,7 @@ def _sum_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sketch(docs: DataFrame) -> DataFrame:
     """(doc_id, sig, n, shared): set signature, set size, shingles that other documents may hold."""
+    ship_package(docs.sparkSession)
     n = partitions(docs.sparkSession)
     sent = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _send(n * BLOCKS_PER_PARTITION), _WIRE
@@ -288,18 +293,97 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(100 * F.col("both") >= SIMILARITY * union).select("u", "v")
 
 
-def star_links(sets: DataFrame) -> DataFrame:
-    keyed = sets.select("node", "n", F.posexplode("keys").alias("k", "key"))
-    centres = keyed.groupBy("k", "key").agg(
-        F.min(F.struct("node", "n")).alias("centre"), F.count("*").alias("held")
+def families(sets: DataFrame) -> DataFrame:
+    """(node, family): the most popular of the nodes that lead one of its min-hashes.
+
+    Popular is who shares its min-hashes with many, as the original of edited copies does.
+    """
+    keyed = sets.select("node", F.posexplode("keys").alias("k", "key"))
+    held = keyed.groupBy("k", "key").agg(F.count("*").alias("held")).where("held > 1")
+    shared = written(keyed.join(held, ["k", "key"]), "keys")
+    popular = shared.groupBy("node").agg(F.sum("held").alias("popular"))
+    leaders = (
+        shared.join(popular, "node")
+        .groupBy("k", "key")
+        .agg(F.max(F.struct("popular", "node")).alias("leader"))
+    )
+    return (
+        shared.join(leaders, ["k", "key"])
+        .groupBy("node")
+        .agg(F.max("leader")["node"].alias("family"))
     )
-    pairs = (
-        keyed.join(centres.where("held > 1"), ["k", "key"])
-        .where((F.col("node") != F.col("centre.node")) & _may_match("n", "centre.n"))
-        .select(F.col("node").alias("u"), F.col("centre.node").alias("v"))
-        .distinct()
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two of the sets share: the product of their incidence rows."""
+    size = len(sets)
+    row = np.repeat(np.arange(size), [len(s) for s in sets])
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    total = np.zeros((size, size), np.float32)
+    # columns that many hold: dense blocks; the others: their few pairs, one by one
+    many = np.flatnonzero(held > DENSE_FROM)
+    place = np.full(len(held), -1)
+    place[many] = np.arange(len(many))
+    for start in range(0, len(many), DENSE_COLUMNS):
+        width = min(DENSE_COLUMNS, len(many) - start)
+        own = (place[column] >= start) & (place[column] < start + width)
+        block = np.zeros((size, width), np.float32)
+        block[row[own], place[column[own]] - start] = 1
+        total += block @ block.T
+    few = (held[column] > 1) & (place[column] < 0)
+    order = np.argsort(column[few], kind="stable")
+    row, column = row[few][order], column[few][order]
+    for step in range(1, DENSE_FROM):
+        same = np.flatnonzero(column[step:] == column[:-step]) if step < len(column) else []
+        if not len(same):
+            break
+        code = row[same] * size + row[same + step]
+        total += np.bincount(code, minlength=size * size).reshape(size, size)
+        code = row[same + step] * size + row[same]
+        total += np.bincount(code, minlength=size * size).reshape(size, size)
+    return total
+
+
+def _tile_links(tile: pa.Table) -> pa.Table:
+    """(u, v) that connect a tile's nodes as their links do: each node and the least it reaches."""
+    nodes_ = tile.column("node").to_numpy()
+    sets = [s.values.to_numpy() for s in tile.column("shingles")]
+    order = np.argsort(nodes_)
+    nodes_, sets = nodes_[order], [sets[k] for k in order]
+    n = np.array([len(s) for s in sets], np.float64)
+    both = overlaps(sets).astype(np.float64)
+    linked = 100 * both >= SIMILARITY * (n[:, None] + n[None, :] - both)
+    label = np.arange(len(sets))
+    while True:
+        least = np.where(linked, label[None, :], len(sets)).min(1)
+        least = np.minimum(label, least)
+        least = least[least]
+        if (least == label).all():
+            break
+        label = least
+    moved = np.flatnonzero(label != np.arange(len(sets)))
+    return pa.table({"u": nodes_[moved], "v": nodes_[label[moved]]})
+
+
+def family_links(sets: DataFrame) -> DataFrame:
+    """Links within families, found tile by tile; a tile is two parts of bounded size."""
+    sizes = sets.groupBy("family").agg(F.count("*").alias("held"), F.sum("n").alias("total"))
+    parts = sizes.where("held > 1").select(
+        "family",
+        F.ceil(F.greatest(F.col("held") / TILE_NODES, F.col("total") / TILE_SHINGLES))
+        .cast("int")
+        .alias("parts"),
+    )
+    placed = sets.select("node", "family", "shingles").join(parts, "family")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    tiles = placed.select("node", "family", "shingles", part.alias("part"), other.alias("other"))
+    tiles = tiles.select(
+        "node",
+        "shingles",
+        F.struct("family", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")).alias("tile"),
     )
-    return verified(pairs, sets)
+    return tiles.groupBy("tile").applyInArrow(_tile_links, "u long, v long")
 
 
 def _labelled(sets: DataFrame, links: DataFrame) -> DataFrame:
@@ -309,8 +393,8 @@ def _labelled(sets: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def product_pairs(sets: DataFrame) -> DataFrame:
-    """(u, v) in different components that the sizes and counted matches still allow."""
-    entries = sets.select("node", "label", "n", F.explode("shingles").alias("s"))
+    """(u, v) of different components and families that sizes and counted matches still allow."""
+    entries = sets.select("node", "label", "family", "n", F.explode("shingles").alias("s"))
     crossing = (
         entries.groupBy("s")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("held"))
@@ -319,7 +403,7 @@ def product_pairs(sets: DataFrame) -> DataFrame:
     )
     columns = entries.join(crossing, "s")
     # ascending by how often a shingle is held: what a match must touch comes first
-    rows = columns.groupBy("node", "label", "n").agg(
+    rows = columns.groupBy("node", "label", "family", "n").agg(
         F.array_sort(F.collect_list(F.struct("held", "s"))).alias("row")
     )
     crosses = F.size("row").cast("long")
@@ -328,16 +412,18 @@ def product_pairs(sets: DataFrame) -> DataFrame:
     entry = rows.select(
         "node",
         "label",
+        "family",
         "n",
         "crosses",
         F.posexplode(F.slice("row", F.lit(1), (F.col("crosses") - must + 1).cast("int"))).alias(
             "at", "cell"
         ),
-    ).select("node", "label", "n", "crosses", "at", F.col("cell.s").alias("s"))
+    ).select("node", "label", "family", "n", "crosses", "at", F.col("cell.s").alias("s"))
     named = lambda x: entry.select("s", *[F.col(c).alias(f"{c}_{x}") for c in entry.columns if c != "s"])
     matches = named("u").join(named("v"), "s").where(
         (F.col("node_u") < F.col("node_v"))
         & (F.col("label_u") != F.col("label_v"))
+        & (F.col("family_u") != F.col("family_v"))
         & _may_match("n_u", "n_v")
     )
     summed = matches.groupBy("node_u", "node_v", "n_u", "n_v", "crosses_u", "crosses_v").agg(
@@ -354,10 +440,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs``."""
     sketched = written(sketch(docs), "sketch")
     sets = nodes(docs, sketched)
-    stars = written(star_links(sets), "stars")
-    labelled = written(_labelled(sets, stars), "labels")
+    member = families(sets).withColumnRenamed("node", "member")
+    sets = sets.join(member, F.col("node") == F.col("member"), "left").drop("member", "keys")
+    sets = written(sets.withColumn("family", F.coalesce("family", "node")), "families")
+    within = written(family_links(sets), "within")
+    labelled = written(_labelled(sets, within), "labels")
     more = verified(product_pairs(labelled), labelled)
-    final = _labelled(labelled.drop("label"), stars.unionByName(more)).select("sig", "label")
+    final = _labelled(labelled.drop("label"), within.unionByName(more)).select("sig", "label")
     known = sketched.where("doc_id IS NOT NULL AND n > 0")
     firsts = known.groupBy("sig").agg(F.min("doc_id").alias("first_id"))
     # the least document of each component, told to each of its signatures

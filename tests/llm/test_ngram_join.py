@@ -68,8 +68,8 @@ def test_random_edits_match_brute_force(spark, seed):
     assert found(frame(spark, rows).repartition(4)) == brute(rows)
 
 
-def test_links_that_stars_miss_are_found_by_the_product(spark, monkeypatch):
-    """Without star links the product alone must give the same components."""
+def test_links_between_families_are_found_by_the_product(spark, monkeypatch):
+    """With every node a family of its own, the product alone must give the same components."""
     draw, rows = random.Random(5), []
     for family in range(4):
         words = prose(family + 40, 60).split()
@@ -77,11 +77,22 @@ def test_links_that_stars_miss_are_found_by_the_product(spark, monkeypatch):
             words[draw.randrange(len(words))] = f"new{draw.random():.6f}"
             rows.append((len(rows), " ".join(words), "en"))
     df = frame(spark, rows)
-    none = spark.createDataFrame([], "u long, v long")
-    monkeypatch.setattr(ngram_join, "star_links", lambda sets: none)
+    alone = lambda sets: sets.selectExpr("node", "node AS family")
+    monkeypatch.setattr(ngram_join, "families", alone)
     assert found(df) == brute(rows)
 
 
+def test_a_family_of_many_parts_gives_the_same_components(spark, monkeypatch):
+    draw, rows, words = random.Random(8), [], prose(60, 50).split()
+    for k in range(60):
+        edited = [f"new{draw.random():.6f}" if draw.random() < 0.03 else w for w in words]
+        rows.append((k, " ".join(edited), "en"))
+    monkeypatch.setattr(ngram_join, "TILE_NODES", 7)
+    monkeypatch.setattr(ngram_join, "DENSE_FROM", 3)
+    monkeypatch.setattr(ngram_join, "DENSE_COLUMNS", 5)
+    assert found(frame(spark, rows)) == brute(rows)
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     pairs = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 180)]
     links = spark.createDataFrame(pairs, "u long, v long")
