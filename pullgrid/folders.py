@@ -22,20 +22,25 @@ def qualified(spark: SparkSession, uri: str) -> str:
 
 
 def ready_dir(spark: SparkSession, uri: str) -> str:
-    """Create the folder, open to all, if absent; it must be one we can read and write."""
+    """The folder's full URI; made for everyone if absent. The file system says if we may use it."""
     fs, path, hadoop = _open(spark, uri)
-    if not fs.exists(path):
+    full = fs.makeQualified(path).toString()
+    kind = fs.getFileStatus(path) if fs.exists(path) else None
+    if kind is None:
         fs.mkdirs(path)
         fs.setPermission(path, hadoop.permission.FsPermission("777"))
-    status = fs.getFileStatus(path)
-    if not status.isDirectory():
-        raise ValueError(f"{uri} is not a directory")
-    permission = status.getPermission()
-    if not permission.getUserAction().implies(hadoop.permission.FsAction.READ_WRITE):
-        raise ValueError(
-            f"Expected read/write access for {uri}, found {permission.toString()}"
-        )
-    return status.getPath().toString()
+    elif kind.isFile():
+        raise ValueError(f"a cache folder is wanted, but {full} is not a directory")
+    try:
+        fs.access(path, hadoop.permission.FsAction.READ_WRITE)
+    except Exception as refused:
+        raise ValueError(f"no right to read and write in {full}: {refused}") from refused
+    return full
+
+
+def there(spark: SparkSession, uri: str) -> bool:
+    fs, path, _ = _open(spark, uri)
+    return fs.exists(path)
 
 
 def complete_dirs(spark: SparkSession, parent: str, key: str) -> list[int]:

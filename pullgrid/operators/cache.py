@@ -7,14 +7,15 @@ runs; the failed ones are the quarantine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pullgrid.folders import ready_dir
-from pullgrid.functions.decode import assemble, decode_leaves
+from pullgrid.folders import ready_dir, scratch_dir, there
+from pullgrid.functions.decode import assemble, decode_leaves, decode_permissive
 from pullgrid.functions.schema import PULL_REQUEST_SCHEMA, plain_schema
 from pullgrid.operators.fetch import fetch, judged, request_failure
+from pullgrid.operators.listing import newest_version
 from pullgrid.operators.ranking import newest_per_key
 
 CACHE_SCHEMA = plain_schema(
@@ -30,9 +31,13 @@ KEY = ["id", "version"]
 
 
 def read_cache(spark: SparkSession, cache_dir: str, outcome: str = "ok") -> DataFrame:
-    """Cache rows as stored. A key written twice at the same time appears twice."""
-    location = ready_dir(spark, cache_dir)
-    rows = spark.read.schema(CACHE_SCHEMA).parquet(location)
+    """Cache rows as stored. A key written twice at the same time appears twice.
+
+    Reading makes no folder: without one there are no rows.
+    """
+    if not there(spark, cache_dir):
+        return spark.createDataFrame([], CACHE_SCHEMA)
+    rows = spark.read.schema(CACHE_SCHEMA).parquet(cache_dir)
     return rows.where(F.col("outcome") == outcome)
 
 
@@ -93,6 +98,23 @@ def _newest_leaves(cached: DataFrame) -> DataFrame:
     return newest_per_key(leaves, ["__id", "version"], [F.desc("fetched_ms")])
 
 
+def newest_asked(cached: DataFrame, asked: DataFrame) -> DataFrame:
+    """The newest cache row of every asked (id, version).
+
+    Which row that is is settled on the key columns; only those bodies are read on.
+    """
+    times = cached.select(*KEY, "fetched_ms").join(asked.select(*KEY), KEY, "left_semi")
+    newest = times.groupBy(*KEY).agg(F.max("fetched_ms").alias("fetched_ms"))
+    # a key written twice at the same time has equal bodies, or either will do
+    return cached.join(newest, [*KEY, "fetched_ms"], "left_semi").dropDuplicates(KEY)
+
+
+def damaged(cached: DataFrame) -> DataFrame:
+    """(id, version) of rows whose stored body no longer decodes."""
+    looked = decode_permissive(cached.select(*KEY, "body"), "body", PULL_REQUEST_SCHEMA, KEY)
+    return looked.where(F.size("violations") > 0).select(*KEY)
+
+
 def cached_pulls(cached: DataFrame) -> DataFrame:
     """Decoded cache rows, newest per key."""
     keep = ["__id", "version", "fetched_ms"]
@@ -114,10 +136,20 @@ def fetch_misses(
     """
     spark = items.sparkSession
     missing = cache_misses(items, read_cache(spark, cache_dir)).select("url", *KEY)
+    return _fetch_all(missing, endpoint, cache_dir, mode, token, retries)
+
+
+def _fetch_all(
+    missing: DataFrame, endpoint: str, cache_dir: str, mode: str, token: str | None, retries: int
+) -> dict[str, int]:
     answers = judged(fetch(missing, endpoint, token, retries))
     message = F.when(
         F.col("reason").startswith("HTTP_"), request_failure(F.col("status"), F.col("body"))
     ).otherwise(F.concat(F.lit("Invalid body: "), F.col("reason")))
+    return _append(answers, cache_dir, mode, message)
+
+
+def _append(answers: DataFrame, cache_dir: str, mode: str, message: Column) -> dict[str, int]:
     seen = Observation()
     failed = F.col("outcome") == "failed"
     watched = answers.withColumn("fetched_ms", F.unix_millis(F.current_timestamp())).observe(
@@ -144,17 +176,27 @@ def fetch_through_cache(
     """Every listed item decoded, from the cache where possible.
 
     The misses are fetched and written first; the result then reads only the
-    cache, so a lost executor never repeats a request.
+    cache, so a lost executor never repeats a request. Rows nobody asks for are
+    not decoded. An asked row that is damaged counts as a miss.
     """
+    spark = items.sparkSession
+    before = newest_asked(read_cache(spark, cache_dir), items)
+    path = scratch_dir(spark, "damaged")
+    damaged(before).write.parquet(path)
+    broken = spark.read.schema(plain_schema(id=T.LongType(), version=T.StringType())).parquet(path)
+    if broken.head(1):
+        again = items.join(broken, KEY, "left_semi").select("url", *KEY)
+        _fetch_all(again, endpoint, cache_dir, mode, token, retries)
     fetch_misses(items, endpoint, cache_dir, mode, token, retries)
-    rows = _newest_leaves(read_cache(items.sparkSession, cache_dir))
-    wanted = items.select(F.col("id").alias("__id"), "version", "full_name", "rank")
-    # the cache side is already shuffled and sorted on this key
-    joined = wanted.join(rows.hint("merge"), ["__id", "version"])
-    return assemble(joined, PULL_REQUEST_SCHEMA, ["full_name", "rank", "version", "fetched_ms"])
+    held = newest_asked(read_cache(spark, cache_dir), items)
+    wanted = items.select(*KEY, "full_name", "rank")
+    joined = held.join(wanted, KEY).withColumnsRenamed({"id": "__id", "body": "__json"})
+    keep = ["__id", "full_name", "rank", "version", "fetched_ms"]
+    leaves = decode_leaves(joined, "__json", PULL_REQUEST_SCHEMA, keep)
+    return assemble(leaves, PULL_REQUEST_SCHEMA, keep[1:])
 
 
 def latest_snapshot(versions: DataFrame) -> DataFrame:
     """The current row of every pull request from a table of its versions."""
-    order = [F.desc("version")] + ([F.desc("tick")] if "tick" in versions.columns else [])
+    order = newest_version() + ([F.desc("tick")] if "tick" in versions.columns else [])
     return newest_per_key(versions, ["id"], order)

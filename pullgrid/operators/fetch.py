@@ -13,24 +13,13 @@ from pullgrid.functions.decode import decode_permissive, decode_strict, first_vi
 from pullgrid.functions.keys import pull_url, repo_error
 from pullgrid.functions.schema import PULL_REQUEST_SCHEMA, plain_schema
 from pullgrid.shipping import ship_package
-from pullgrid.sources.transport import RETRYABLE, HttpsEndpoint, is_mirror
+from pullgrid.sources.transport import HttpsEndpoint, is_mirror
 
 _ANSWER = plain_schema(
     status=T.IntegerType(), attempts=T.IntegerType(), body=T.StringType()
 )
 
 
-def played(statuses: Column, retries: int) -> tuple[Column, Column]:
-    """Final status and attempt count when attempt i is answered by ``statuses[i]``."""
-    tried = F.slice(statuses, 1, retries + 1)
-    settled = F.filter(tried, lambda s: ~s.isin(*RETRYABLE))
-    status = F.coalesce(F.get(settled, F.lit(0)), F.element_at(tried, -1))
-    attempts = F.when(
-        F.size(settled) > 0, F.array_position(tried, F.get(settled, F.lit(0)))
-    ).otherwise(F.lit(retries + 1))
-    return status, attempts.cast("int")
-
-
 def is_success(status: Column) -> Column:
     return status.between(200, 299)
 
@@ -39,18 +28,29 @@ def mirror_table(spark, endpoint: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{endpoint.rstrip('/')}/{table}")
 
 
-def _fetch_mirror(items: DataFrame, endpoint: str, retries: int) -> DataFrame:
+def _fetch_mirror(items: DataFrame, endpoint: str) -> DataFrame:
     """One equi-join against the mirror; unmatched items are 404.
 
+    Without a version, an item gets the newest body of its URL, as a request would.
     Bodies are never broadcast: they compress so well that a file size says
     little about what they take in memory.
     """
-    status, attempts = played(F.col("statuses"), retries)
-    keys = ["url", "version"] if "version" in items.columns else ["url"]
-    details = mirror_table(items.sparkSession, endpoint, "details").select(
-        *keys, status.alias("status"), attempts.alias("attempts"), "body"
-    )
-    joined = items.join(details.hint("merge"), keys, "left")
+    details = mirror_table(items.sparkSession, endpoint, "details")
+    if "version" in items.columns:
+        keys = ["url", "version"]
+    else:
+        # which version is newest is settled on two columns, before any body moves
+        keys = ["url"]
+        asked = items.select("url").distinct()
+        newest = (
+            details.select("url", "version")
+            .join(asked, "url", "left_semi")
+            .groupBy("url")
+            .agg(F.max_by("version", F.struct(F.try_to_timestamp("version"), "version")).alias("version"))
+        )
+        details = details.join(newest, ["url", "version"], "left_semi")
+    found = details.select(*keys, "status", F.lit(1).alias("attempts"), "body")
+    joined = items.join(found.hint("merge") if len(keys) > 1 else found, keys, "left")
     return joined.select(
         *[F.col(f"`{c}`") for c in items.columns],
         F.coalesce("status", F.lit(404)).alias("status"),
@@ -72,7 +72,7 @@ def _fetch_https(
             # small steps: a lost task repeats little, and nothing is buffered whole
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
-                answers = [client.get(url) for url in part.column("url").to_pylist()]
+                answers = client.get_all(part.column("url").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [
                         *part.columns,
@@ -96,7 +96,7 @@ def fetch(
 ) -> DataFrame:
     """Add ``status``, ``attempts`` and ``body`` to rows with a ``url``."""
     if is_mirror(endpoint):
-        return _fetch_mirror(items, endpoint, retries)
+        return _fetch_mirror(items, endpoint)
     width = parallelism or items.sparkSession.sparkContext.defaultParallelism
     return _fetch_https(items, endpoint, token, retries, width)
 

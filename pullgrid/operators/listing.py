@@ -13,7 +13,7 @@ from pullgrid.functions.decode import (
 )
 from pullgrid.functions.keys import MAX_PAGE_SIZE, cache_key, repo_error, version_date
 from pullgrid.functions.schema import LISTING_SCHEMA
-from pullgrid.operators.fetch import bodies_or_fail, fetch, mirror_table, played
+from pullgrid.operators.fetch import bodies_or_fail, fetch, mirror_table
 from pullgrid.operators.ranking import newest_per_key, top_per_group
 from pullgrid.sources.transport import is_mirror
 
@@ -66,12 +66,10 @@ def list_pages(
         base = F.lit(f"{endpoint.rstrip('/')}/repos/")
         asked = plan.withColumn("url", F.concat(base, "full_name", query))
         return fetch(asked, endpoint, token, retries, parallelism).drop("url")
-    status, attempts = played(F.col("statuses"), retries)
     stored = mirror_table(plan.sparkSession, endpoint, "pages").select(
         F.concat_ws("/", "owner", "repo").alias("full_name"),
         "page",
-        status.alias("__status"),
-        attempts.alias("__attempts"),
+        F.col("status").alias("__status"),
         F.col("body").alias("__body"),
     )
     # past the last page the answer is an empty list; without a first page there is no repository
@@ -80,7 +78,7 @@ def list_pages(
     return plan.join(stored.hint("merge"), ["full_name", "page"], "left").select(
         *plan.columns,
         F.coalesce("__status", empty).alias("status"),
-        F.coalesce("__attempts", F.lit(1)).alias("attempts"),
+        F.lit(1).alias("attempts"),
         F.coalesce("__body", F.lit("[]")).alias("body"),
     )
 
@@ -149,6 +147,11 @@ def work_items(listing: DataFrame, version: Column | None = None) -> DataFrame:
     )
 
 
+def newest_version() -> list[Column]:
+    """Sort order of versions by the instant they name; offsets may differ."""
+    return [F.try_to_timestamp("version").desc(), F.desc("version")]
+
+
 def list_top_batch(listing: DataFrame, batch: int) -> DataFrame:
     """The newest ``batch`` rows of every repository, ranked newest first."""
     order = [F.desc("created_at"), F.desc("id")]
@@ -157,4 +160,4 @@ def list_top_batch(listing: DataFrame, batch: int) -> DataFrame:
 
 def dedup_listing(listing: DataFrame) -> DataFrame:
     """One row per (id, number), the newest version, from overlapping pages."""
-    return newest_per_key(listing, ["id", "number"], [F.desc("version")])
+    return newest_per_key(listing, ["id", "number"], newest_version())

@@ -170,8 +170,6 @@ def body_json(k: Column, updated_at: Column) -> Column:
 def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the host answers for every pull request URL."""
     k = F.col("k")
-    ok = F.array(F.lit(200))
-    flaky = F.array(F.lit(503), F.lit(200))
     return pulls(spark, sf_dir).select(
         "owner",
         "repo",
@@ -179,7 +177,7 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id",
         "url",
         "version",
-        F.when(k % 13 == 0, flaky).otherwise(ok).alias("statuses"),
+        F.lit(200).alias("status"),
         body_json(k, F.col("updated_at")).alias("body"),
     )
 
@@ -206,8 +204,8 @@ def faulty_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(case == 9, F.lit("[]"))
         .otherwise(body)
     )
-    statuses = F.when(case == 8, F.array(F.lit(404))).otherwise(F.array(F.lit(200)))
-    return details(spark, sf_dir).withColumns({"statuses": statuses, "body": broken})
+    status = F.when(case == 8, 404).otherwise(200)
+    return details(spark, sf_dir).withColumns({"status": status, "body": broken})
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,7 +225,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get(parts, F.lit(0)).alias("owner"),
         F.get(parts, F.lit(1)).alias("repo"),
         "page",
-        F.array(F.lit(200)).alias("statuses"),
+        F.lit(200).alias("status"),
         body.alias("body"),
     )
 
@@ -258,7 +256,7 @@ def tick_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         "repo",
         "url",
         version_date(updated, F.col("created_at")).alias("version"),
-        F.array(F.lit(200)).alias("statuses"),
+        F.lit(200).alias("status"),
         body_json(F.col("k"), updated).alias("body"),
     )
 
@@ -303,7 +301,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build) -> str:
 
 
 def host_mirror(spark: SparkSession, sf_dir: str) -> str:
-    """Endpoint whose answers are all good (after retries)."""
+    """Endpoint whose answers are all good."""
 
     def build(root: str) -> None:
         _write(pages(spark, sf_dir), f"{root}/pages", ["page"])

@@ -80,7 +80,7 @@ ticks AS (
   FROM ids CROSS JOIN (SELECT unnest(range(1, {TICKS + 1})) AS tick))"""
 
 ORACLE: dict[str, str] = {
-    "pr_scan": f"WITH {_PULLS} {_FLAT} WHERE rank <= 1000",
+    "pr_scan": f"WITH {_PULLS} {_FLAT}",
     "pr_table": f"WITH {_PULLS} {_FLAT}",
     "decode_strict": f"WITH {_PULLS} {_FLAT}",
     "page_plan": """
@@ -140,9 +140,6 @@ ORACLE: dict[str, str] = {
                    ELSE '' END AS field
           FROM ids)
         SELECT rule, field, count(*) AS n FROM found WHERE rule IS NOT NULL GROUP BY 1, 2""",
-    "fetch_status": f"""
-        WITH {_IDS} SELECT id, 200 AS status,
-          CASE WHEN k % 13 = 0 THEN 2 ELSE 1 END AS attempts FROM ids""",
     "fetch_quarantine": f"""
         WITH {_IDS}
         SELECT id, CASE WHEN k % 11 = 8 THEN 404 ELSE 200 END AS status,
@@ -155,7 +152,7 @@ ORACLE: dict[str, str] = {
         FROM ids""",
     "point_lookup": f"""
         WITH {_IDS}, keys AS (
-          SELECT full_name, number FROM ids WHERE k % 50 = 0
+          SELECT full_name, number FROM ids
           UNION ALL
           SELECT replace(r_name, ' ', '-') || '/' || n_name,
                  CAST(100000000 + n_nationkey AS INTEGER)

@@ -61,13 +61,13 @@ def _all_repos(spark: SparkSession, sf_dir: str) -> str:
 
 
 def source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The data source over all repositories, newest 1000 of each (its upper bound)."""
+    """The data source over all repositories, each listed to its end."""
     register(spark)
     return (
         spark.read.format("pull_requests")
         .option("endpoint", mirror.host_mirror(spark, sf_dir))
         .option("repos", _all_repos(spark, sf_dir))
-        .option("batch", 1000)
+        .option("batch", "all")
         .option("cacheDir", scratch_dir(spark, "scan-cache"))
         .load()
     )
@@ -171,14 +171,8 @@ def fetch_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers.select("id", "status", "outcome", "reason")
 
 
-def fetch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = mirror.listing(spark, sf_dir).select("id", "url", "version")
-    answers = fetch.fetch(work, mirror.host_mirror(spark, sf_dir))
-    return answers.select("id", "status", "attempts")
-
-
 def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = mirror.listing(spark, sf_dir).where(F.col("k") % 50 == 0).select("full_name", "number")
+    known = mirror.listing(spark, sf_dir).select("full_name", "number")
     unknown = mirror.repos(spark, sf_dir).select(
         "full_name", (100000000 + F.col("n_nationkey")).cast("int").alias("number")
     )
@@ -237,7 +231,7 @@ def sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = {
         "endpoint": mirror.host_mirror(spark, sf_dir),
         "repos": _all_repos(spark, sf_dir),
-        "batch": "1000",
+        "batch": "all",
         "cacheDir": scratch_dir(spark, "view-cache"),
     }
     text = ", ".join(f"{name} '{value}'" for name, value in options.items())
@@ -346,7 +340,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fetch_through_cache": fetch_through_cache,
     "decode_strict": decode_strict_rows,
     "decode_violations": violations,
-    "fetch_status": fetch_status,
     "fetch_quarantine": fetch_quarantine,
     "point_lookup": point_lookup,
     "dedup_listing": dedup_listing,

@@ -8,10 +8,11 @@ a Spark job (any number of rows); both are read the same way.
 from __future__ import annotations
 
 import time
+import uuid
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyarrow.fs import FileSelector
+from pyarrow.fs import FileSelector, FileType
 
 from pullgrid.operators.slicing import slice_bounds
 from pullgrid.sources.storage import complete_dirs, open_dir
@@ -42,16 +43,39 @@ def last_tick(log_dir: str) -> tuple[int, float]:
     return newest, time.time() - ticks[newest] if newest else float("inf")
 
 
+def check_identity(log_dir: str, identity: str) -> None:
+    """Refuse a log that another poll has begun; a new one is marked as ours."""
+    fs, path = open_dir(log_dir)
+    mark = f"{path}/_identity"
+    if fs.get_file_info(mark).type == FileType.NotFound:
+        fs.create_dir(path, recursive=True)
+        with fs.open_output_stream(mark) as out:
+            out.write(identity.encode())
+        return
+    with fs.open_input_stream(mark) as source:
+        if source.read().decode() != identity:
+            raise ValueError(f"the listing log {log_dir} belongs to other repositories")
+
+
 def write_tick(log_dir: str, tick: int, rows: list[dict]) -> None:
-    """Write one snapshot; it counts only from its success mark on."""
+    """Write one snapshot, unless another poller has: the first whole one stays.
+
+    The folder is filled under a name of its own and renamed; a rename onto a filled
+    folder fails.
+    """
     fs, path = open_dir(log_dir)
-    directory = f"{path}/tick={tick}"
-    fs.create_dir(directory, recursive=True)
+    final, own = f"{path}/tick={tick}", f"{path}/.tick={tick}-{uuid.uuid4().hex}"
+    fs.create_dir(own, recursive=True)
     table = pa.Table.from_pylist(rows, schema=LOG_SCHEMA)
-    pq.write_table(table, f"{directory}/.part-0.parquet", filesystem=fs)
-    fs.move(f"{directory}/.part-0.parquet", f"{directory}/part-0.parquet")
-    with fs.open_output_stream(f"{directory}/_SUCCESS"):
+    pq.write_table(table, f"{own}/part-0.parquet", filesystem=fs)
+    with fs.open_output_stream(f"{own}/_SUCCESS"):
         pass
+    try:
+        fs.move(own, final)
+    except OSError:
+        if fs.get_file_info(f"{final}/_SUCCESS").type != FileType.File:
+            raise
+        fs.delete_dir(own)
 
 
 def plan_tick(log_dir: str, tick: int, slices: int) -> list[list[Segment]]:

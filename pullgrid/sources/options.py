@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from hashlib import sha256
+from typing import NamedTuple
 
 from pullgrid.functions.keys import MAX_PAGE_SIZE
 from pullgrid.sources.transport import DEFAULT_ENDPOINT
@@ -14,15 +16,26 @@ DEFAULT_REPO = "spark"
 DEFAULT_BATCH = 25
 MIN_BATCH, MAX_BATCH = 1, 1000
 POLL_SECONDS = 59.0
+ALL = "all"
 DEFAULT_CACHE_DIR = "file:/tmp/.pull-requests-cache"
 
 MODES = ("FAILFAST", "PERMISSIVE")
 
 
+class Walk(NamedTuple):
+    """Pages first, first + step, ... of a repository, up to the last or the first short one."""
+
+    user: str
+    repo: str
+    first: int
+    step: int
+    last: int | None
+
+
 @dataclass(frozen=True)
 class Options:
     repos: tuple[tuple[str, str], ...]
-    batch: int
+    batch: int | None  # None: all
     cache_dir: str
     endpoint: str
     mode: str
@@ -32,17 +45,29 @@ class Options:
     poll_seconds: float
     starting_tick: int | None
     include_tick: bool
+    identity: str  # of a poll: endpoint, batch and repositories
     token: str | None = field(default=None, repr=False)
 
     @property
     def per_page(self) -> int:
         """One page size for all pages, so that pages never overlap."""
-        return min(self.batch, MAX_PAGE_SIZE)
+        return MAX_PAGE_SIZE if self.batch is None else min(self.batch, MAX_PAGE_SIZE)
 
     @property
-    def pages(self) -> list[tuple[str, str, int]]:
-        count = -(-self.batch // MAX_PAGE_SIZE)
-        return [(user, repo, page + 1) for user, repo in self.repos for page in range(count)]
+    def walks(self) -> list[Walk]:
+        """Every task's way through the pages; together they meet each page once.
+
+        The number of pages of a whole repository is not known, so its pages are dealt
+        to as many walks as there are tasks for it, and each ends at its first short page.
+        """
+        share = -(-self.partitions // len(self.repos))
+        count = share if self.batch is None else -(-self.batch // MAX_PAGE_SIZE)
+        step = max(1, min(share, count))
+        return [
+            Walk(user, repo, first + 1, step, self.batch and count)
+            for first in range(step)
+            for user, repo in self.repos
+        ]
 
 
 def _name(options: Mapping[str, str], key: str, default: str, meaning: str) -> str:
@@ -78,10 +103,12 @@ def _repos(options: Mapping[str, str]) -> tuple[tuple[str, str], ...]:
     return tuple(pairs)
 
 
-def _batch(options: Mapping[str, str]) -> int:
+def _batch(options: Mapping[str, str]) -> int | None:
     if "batch" not in options:
         return DEFAULT_BATCH
     text = options["batch"]
+    if text == ALL:
+        return None
     try:
         # like a plain integer literal: no surrounding blanks, no underscores
         if text != text.strip() or "_" in text:
@@ -99,6 +126,10 @@ def _batch(options: Mapping[str, str]) -> int:
     return size
 
 
+def batch_text(batch: int | None) -> str:
+    return ALL if batch is None else str(batch)
+
+
 def _number(options: Mapping[str, str], key: str, default, kind, least):
     if key not in options:
         return default
@@ -122,14 +153,16 @@ def parse(
     if mode not in MODES:
         raise ValueError(f"Option 'mode' must be one of {', '.join(MODES)}, found {mode}")
     cache_dir = options["cacheDir"] if "cacheDir" in options else default_cache_dir
-    label = "+".join(f"{user}-{repo}" for user, repo in repos[:4])
-    default_listing = f"{default_cache_dir.rstrip('/')}-listing/{label}-{len(repos)}-{batch}"
+    endpoint = options["endpoint"] if "endpoint" in options else DEFAULT_ENDPOINT
+    identity = "\n".join([endpoint, batch_text(batch), *sorted(f"{u}/{r}" for u, r in repos)])
+    default_listing = f"{default_cache_dir.rstrip('/')}-listing/{sha256(identity.encode()).hexdigest()}"
     return Options(
         repos=repos,
         batch=batch,
         token=options["token"] if "token" in options else None,
         cache_dir=cache_dir,
-        endpoint=options["endpoint"] if "endpoint" in options else DEFAULT_ENDPOINT,
+        endpoint=endpoint,
+        identity=identity,
         mode=mode,
         partitions=_number(options, "numPartitions", default_partitions, int, 1),
         retries=_number(options, "retries", 2, int, 0),

@@ -1,14 +1,14 @@
 """``spark.read`` / ``spark.readStream`` / SQL ``USING`` for ``pull_requests``.
 
-This is the fetch edge: one read covers the newest ``batch`` (at most 1000)
-pull requests of each named repository. Whole hosts are processed with the
-DataFrame operators instead.
+This is the fetch edge: one read covers the newest ``batch`` pull requests of each
+named repository, or all of them. Tasks list their own pages.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -32,11 +32,18 @@ from pyspark.sql.datasource import (
 from pullgrid.functions.decode import REQUIRED_NULL
 from pullgrid.functions.schema import LISTING_SCHEMA, PULL_REQUEST_SCHEMA
 from pullgrid.operators.slicing import slice_bounds
-from pullgrid.sources.listing_log import Segment, last_tick, plan_tick, read_segments, write_tick
-from pullgrid.sources.options import DEFAULT_CACHE_DIR, Options, parse
+from pullgrid.sources.listing_log import (
+    Segment,
+    check_identity,
+    last_tick,
+    plan_tick,
+    read_segments,
+    write_tick,
+)
+from pullgrid.sources.options import DEFAULT_CACHE_DIR, Options, Walk, parse
 from pullgrid.sources.rows import StrictDecoder, arrow_schema
 from pullgrid.sources.storage import check_cache_dir, open_dir
-from pullgrid.sources.transport import Item, connect, succeeded
+from pullgrid.sources.transport import Item, ListingPage, connect, is_mirror, succeeded
 
 # Rows decoded, cached and handed to Spark at a time.
 CHUNK = 2048
@@ -56,17 +63,10 @@ Work = tuple[str, str, Item]
 
 
 @dataclass
-class ItemsPartition(InputPartition):
-    """Listed items, sliced on the planner (a batch or less per repository)."""
+class WalksPartition(InputPartition):
+    """Walks through listing pages, for the task to make."""
 
-    work: list[Work]
-
-
-@dataclass
-class PagesPartition(InputPartition):
-    """Pages the task lists itself."""
-
-    pages: list[tuple[str, str, int]]
+    walks: list[Walk]
 
 
 @dataclass
@@ -77,21 +77,23 @@ class LogPartition(InputPartition):
     segments: list[Segment]
 
 
-def list_page(options: Options, user: str, repo: str, page: int) -> list[tuple[int, Item]]:
-    """(rank, item) of one listing page, cut at the batch."""
+def list_page(options: Options, user: str, repo: str, page: int) -> tuple[list, bool]:
+    """((rank, item) of one listing page, cut at the batch; whether it was the last page)."""
     client = connect(options.endpoint, options.token, options.retries)
-    answer = client.page(user, repo, options.per_page, page)
+    answer = client.page(ListingPage(user, repo, options.per_page, page))
     if not succeeded(answer.status):
         raise RuntimeError(f"Request failed with code {answer.status}: {answer.body}")
     decoder = StrictDecoder(LISTING_SCHEMA)
     elements = decoder.parse(answer.body)
     if not isinstance(elements, list):
         raise RuntimeError(f"Invalid listing: NOT_ARRAY in page {page} of {user}/{repo}")
+    short = len(elements) < options.per_page
     ahead = (page - 1) * options.per_page
-    # a page may hold more rows than this batch asks for
-    wanted = max(0, min(options.per_page, options.batch - ahead))
+    if options.batch is not None:
+        # a page may hold more rows than this batch asks for
+        elements = elements[: max(0, min(options.per_page, options.batch - ahead))]
     items = []
-    for position, element in enumerate(elements[:wanted]):
+    for position, element in enumerate(elements):
         row, found = decoder.document(element)
         version = row and (row["updated_at"] or row["created_at"])
         if row is not None and version is None:
@@ -100,7 +102,26 @@ def list_page(options: Options, user: str, repo: str, page: int) -> list[tuple[i
             raise RuntimeError(f"Invalid listing element {element}: {' '.join(found[0])}")
         item = Item(row["id"], row["number"], row["url"], version)
         items.append((ahead + position + 1, item))
-    return items
+    return items, short
+
+
+def walk_pages(options: Options, walk: Walk) -> Iterator[tuple[int, Item]]:
+    """(rank, item) of a walk's pages, until the last wanted or the first short one."""
+    page = walk.first
+    while walk.last is None or page <= walk.last:
+        items, short = list_page(options, walk.user, walk.repo, page)
+        yield from items
+        if short:
+            return
+        page += walk.step
+
+
+def warn_without_token(options: Options) -> None:
+    if options.token is None and not is_mirror(options.endpoint):
+        warnings.warn(
+            "no 'token' option: the host serves anonymous readers few requests an hour",
+            stacklevel=2,
+        )
 
 
 class _Fetcher:
@@ -151,6 +172,7 @@ class _Fetcher:
     def _chunk(self, user: str, repo: str, items: list[Item]) -> list[dict]:
         cached = self._cached(items)
         missing = [i for i in items if (i.id, i.version) not in cached]
+        missing = list(dict.fromkeys(missing))
         answers = dict(zip(missing, self.client.details(user, repo, missing), strict=True))
         good, bad, out, failure = [], [], [], None
         now = int(time.time() * 1000)
@@ -208,28 +230,16 @@ class PullRequestReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         options = self.options
         check_cache_dir(options.cache_dir)
-        pages = options.pages
-        if len(pages) >= options.partitions:
-            bounds = slice_bounds(len(pages), options.partitions)
-            return [PagesPartition(pages[low:high]) for low, high in bounds]
-        # fewer requests than tasks: list here and spread the items
-        work = [
-            (user, repo, item)
-            for user, repo, page in pages
-            for _, item in list_page(options, user, repo, page)
-            if self._selected(item)
-        ]
-        bounds = slice_bounds(len(work), min(max(len(work), 1), options.partitions))
-        return [ItemsPartition(work[low:high]) for low, high in bounds]
-
-    def _work(self, partition) -> Iterator[Work]:
-        if isinstance(partition, ItemsPartition):
-            yield from partition.work
-            return
-        for user, repo, page in partition.pages:
-            for _, item in list_page(self.options, user, repo, page):
+        warn_without_token(options)
+        walks = options.walks
+        bounds = slice_bounds(len(walks), min(len(walks), options.partitions))
+        return [WalksPartition(walks[low:high]) for low, high in bounds]
+
+    def _work(self, partition: WalksPartition) -> Iterator[Work]:
+        for walk in partition.walks:
+            for _, item in walk_pages(self.options, walk):
                 if self._selected(item):
-                    yield user, repo, item
+                    yield walk.user, walk.repo, item
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
         if partition is not None:
@@ -259,17 +269,19 @@ class PullRequestStreamReader(DataSourceStreamReader):
 
     def _poll(self, tick: int) -> None:
         options = self.options
+        check_identity(options.listing_dir, options.identity)
+        warn_without_token(options)
         rows = [
             {
-                "full_name": f"{user}/{repo}",
+                "full_name": f"{walk.user}/{walk.repo}",
                 "rank": rank,
                 "id": item.id,
                 "number": item.number,
                 "url": item.url,
                 "version": item.version,
             }
-            for user, repo, page in options.pages
-            for rank, item in list_page(options, user, repo, page)
+            for walk in options.walks
+            for rank, item in walk_pages(options, walk)
         ]
         write_tick(options.listing_dir, tick, rows)
 

@@ -17,28 +17,22 @@ def open_dir(uri: str):
 
 
 def check_cache_dir(uri: str) -> str:
-    """Create the directory if absent; it must be a directory we can read and write.
+    """The folder's full URI, made if absent; tells at planning time if it cannot be used.
 
-    Returns the qualified URI.
+    Runs where no session is; a remote file system refuses by itself when it is used.
     """
     fs, path = open_dir(uri)
-    local = isinstance(fs, LocalFileSystem)
-    if fs.get_file_info(path).type == FileType.NotFound:
-        if local:
-            os.makedirs(path, exist_ok=True)
-            os.chmod(path, 0o777)
-        else:
-            fs.create_dir(path, recursive=True)
-    if fs.get_file_info(path).type != FileType.Directory:
-        raise ValueError(f"{uri} is not a directory")
-    if local:
-        mode = os.stat(path).st_mode
-        if mode & 0o600 != 0o600:
-            raise ValueError(
-                f"Expected read/write access for {uri}, found {oct(mode & 0o777)[2:]}"
-            )
-        return f"file:{path}"
-    return uri
+    if not isinstance(fs, LocalFileSystem):
+        fs.create_dir(path, recursive=True)
+        return uri
+    if not os.path.lexists(path):
+        os.makedirs(path)
+        os.chmod(path, 0o777)
+    if not os.path.isdir(path):
+        raise ValueError(f"a cache folder is wanted, but {path} is not a directory")
+    if not os.access(path, os.R_OK | os.W_OK | os.X_OK):
+        raise ValueError(f"no right to read and write in {path}")
+    return f"file:{path}"
 
 
 def complete_dirs(parent: str, key: str) -> dict[int, float]:

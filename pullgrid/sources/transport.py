@@ -1,18 +1,20 @@
 """The two places a pull request can come from: a code host, or a mirror of one.
 
 Both answer the same two questions inside a task: a listing page, and the
-bodies of some listed items. Nothing here runs outside a Spark task, except
-the bounded listing a single-repository read does while it is planned.
+bodies of some listed items. Nothing here runs outside a Spark task, except a
+stream's poll.
 """
 
 from __future__ import annotations
 
+import http.client
+import threading
 import time
-import urllib.error
-import urllib.request
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from email.utils import parsedate_to_datetime
 from typing import NamedTuple
-from urllib.parse import quote
+from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,6 +28,9 @@ DEFAULT_ENDPOINT = "https://api.github.com"
 RETRYABLE = (429, 500, 502, 503, 504)
 # Status given to a request that got no answer at all.
 NO_ANSWER = 599
+# Requests of one task under way together, and the longest wait a task sits out (seconds).
+AT_ONCE = 8
+MAX_WAIT = 900.0
 
 
 class Response(NamedTuple):
@@ -43,29 +48,32 @@ class Item(NamedTuple):
     version: str
 
 
-def _check_name(kind: str, name: str) -> None:
-    if not name:
-        raise ValueError(f"'{kind}' parameter is empty")
-    if "/" in name:
-        raise ValueError(f"'{kind}' parameter contains '/' which will alter URL")
+def _segment(name: str) -> str:
+    """A name as one segment of a path; what would add or drop a segment is refused."""
+    if name.count("/") or quote(name, safe="") in ("", ".", ".."):
+        raise ValueError(f"{name!r} is no single path segment")
+    return name
 
 
-def listing_url(base: str, user: str, repo: str, per_page: int, page: int) -> str:
-    _check_name("user", user)
-    _check_name("repo", repo)
-    if per_page <= 0:
-        raise ValueError(f"Non-positive batch size {per_page}")
-    if page <= 0:
-        raise ValueError(f"Non-positive page number {page}")
-    return f"{base}/repos/{user}/{repo}/pulls?per_page={per_page}&page={page}"
+class ListingPage(NamedTuple):
+    """A listing request, checked when its address is asked for."""
 
+    user: str
+    repo: str
+    per_page: int
+    page: int
 
-def detail_url(base: str, user: str, repo: str, number: int) -> str:
-    _check_name("user", user)
-    _check_name("repo", repo)
+    def path(self) -> str:
+        if min(self.per_page, self.page) < 1:
+            raise ValueError(f"page {self.page} of {self.per_page} rows does not exist")
+        owner, name = _segment(self.user), _segment(self.repo)
+        return f"/repos/{owner}/{name}/pulls?per_page={self.per_page}&page={self.page}"
+
+
+def detail_path(user: str, repo: str, number: int) -> str:
     if number < 0:
-        raise ValueError(f"Negative pull request number {number}")
-    return f"{base}/repos/{user}/{repo}/pulls/{number}"
+        raise ValueError(f"no pull request has the number {number}")
+    return f"/repos/{_segment(user)}/{_segment(repo)}/pulls/{number}"
 
 
 def request_headers(token: str | None) -> dict[str, str]:
@@ -76,76 +84,111 @@ def succeeded(status: int) -> bool:
     return 200 <= status < 300
 
 
-class _NoRedirect(urllib.request.HTTPRedirectHandler):
-    def redirect_request(self, *args, **kwargs):
-        return None
+def seconds_to_wait(headers: Mapping[str, str], now: float) -> float | None:
+    """What the host asks for: Retry-After as seconds or a date, else the end of a used-up quota."""
+    told = headers.get("Retry-After")
+    if told and told.strip().isdigit():
+        return float(told)
+    if told:
+        try:
+            return max(0.0, parsedate_to_datetime(told).timestamp() - now)
+        except ValueError:
+            return None
+    if headers.get("X-RateLimit-Remaining") == "0" and headers.get("X-RateLimit-Reset", "").isdigit():
+        return max(0.0, float(headers["X-RateLimit-Reset"]) - now)
+    return None
 
 
 class HttpsEndpoint:
-    """GET with bounded retries; redirects count as failures."""
+    """GET over kept connections, a few at a time, with bounded retries.
+
+    Redirects count as failures. The token goes to the endpoint's own host only. A wait
+    the host asks for is kept; one beyond ``MAX_WAIT`` ends the task with an error.
+    """
 
     def __init__(self, base: str, token: str | None = None, retries: int = 2, timeout: float = 30):
         self.base = base.rstrip("/")
         self._token = token
         self.retries = retries
         self.timeout = timeout
+        self._kept = None  # connections of each thread, made on the worker
 
     def __repr__(self) -> str:
         shown = "*****" if self._token is not None else None
         return f"HttpsEndpoint(base={self.base}, token={shown}, retries={self.retries})"
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_kept": None}
+
+    def _connection(self, scheme: str, host: str):
+        if self._kept is None:
+            self._kept = threading.local()
+        held = self._kept.__dict__
+        if (scheme, host) not in held:
+            kind = http.client.HTTPSConnection if scheme == "https" else http.client.HTTPConnection
+            held[scheme, host] = kind(host, timeout=self.timeout)
+        return held[scheme, host]
+
+    def headers_for(self, host: str) -> dict[str, str]:
+        own = {"User-Agent": "pullgrid", "Accept": "application/json"}
+        same = host == urlsplit(self.base).netloc
+        return own | request_headers(self._token if same else None)
+
     def _once(self, url: str) -> tuple[int, str | None, float | None]:
-        request = urllib.request.Request(url, headers=request_headers(self._token))
-        opener = urllib.request.build_opener(_NoRedirect)
+        """(status, body or None if it is not UTF-8, seconds to wait or None)."""
+        at = urlsplit(url)
+        connection = self._connection(at.scheme, at.netloc)
         try:
-            with opener.open(request, timeout=self.timeout) as answer:
-                return answer.status, answer.read().decode("utf-8", "replace"), None
-        except urllib.error.HTTPError as error:
-            wait = error.headers.get("Retry-After") if error.headers else None
-            seconds = float(wait) if wait and wait.isdigit() else None
-            return error.code, error.read().decode("utf-8", "replace"), seconds
-        except (urllib.error.URLError, TimeoutError, ConnectionError) as error:
+            target = at.path + (f"?{at.query}" if at.query else "")
+            connection.request("GET", target, headers=self.headers_for(at.netloc))
+            answer = connection.getresponse()
+            raw = answer.read()
+        except (OSError, http.client.HTTPException) as error:
+            connection.close()
             return NO_ANSWER, str(error), None
+        try:
+            body = raw.decode("utf-8")
+        except UnicodeDecodeError:
+            body = None
+        return answer.status, body, seconds_to_wait(answer.headers, time.time())
 
     def get(self, url: str) -> Response:
         for attempt in range(self.retries + 1):
             status, body, wait = self._once(url)
-            again = status in RETRYABLE or status == NO_ANSWER
+            limited = status == 403 and wait is not None
+            again = limited or status in RETRYABLE or status == NO_ANSWER
             if not again or attempt == self.retries:
                 return Response(status, body, attempt + 1)
-            time.sleep(min(wait if wait is not None else 2.0**attempt, 60.0))
+            if wait is not None and wait > MAX_WAIT:
+                raise RuntimeError(f"the host asks to wait {wait:.0f} s before the next request")
+            time.sleep(2.0**attempt if wait is None else wait)
         raise AssertionError("unreachable")
 
-    def page(self, user: str, repo: str, per_page: int, page: int) -> Response:
-        return self.get(listing_url(self.base, user, repo, per_page, page))
+    def get_all(self, urls: list[str]) -> list[Response]:
+        """Answers in the order of the URLs, ``AT_ONCE`` requests at a time."""
+        if len(urls) < 2:
+            return [self.get(url) for url in urls]
+        self._kept = self._kept or threading.local()
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            return list(pool.map(self.get, urls))
 
-    def details(self, user: str, repo: str, items: Iterable[Item]) -> Iterator[Response]:
-        for item in items:
-            yield self.get(item.url)
+    def page(self, asked: ListingPage) -> Response:
+        return self.get(self.base + asked.path())
 
-
-def play(statuses: list[int], retries: int) -> tuple[int, int]:
-    """Final status and attempt count when attempt i is answered by ``statuses[i]``."""
-    for attempt in range(retries + 1):
-        status = statuses[min(attempt, len(statuses) - 1)]
-        if status not in RETRYABLE:
-            break
-    return status, attempt + 1
+    def details(self, user: str, repo: str, items: Iterable[Item]) -> Iterator[Response]:
+        yield from self.get_all([item.url for item in items])
 
 
 class MirrorEndpoint:
     """Parquet tables ``pages`` and ``details``, laid out like the host's URL space."""
 
-    def __init__(self, root: str, retries: int = 2):
+    def __init__(self, root: str):
         self.root = root.rstrip("/")
-        self.retries = retries
         self._open: dict = {}
 
     def _data(self, table: str, user: str, repo: str):
         """Dataset of one repository; its file footers are read once per task."""
-        _check_name("user", user)
-        _check_name("repo", repo)
-        key = (table, user, repo)
+        key = (table, _segment(user), _segment(repo))
         if key not in self._open:
             directory = f"{self.root}/{table}/owner={quote(user)}/repo={quote(repo)}"
             fs, path = open_dir(directory)
@@ -159,23 +202,23 @@ class MirrorEndpoint:
             return None
         return data.to_table(columns=columns, filter=condition, use_threads=False)
 
-    def page(self, user: str, repo: str, per_page: int, page: int) -> Response:
-        listing_url("", user, repo, per_page, page)
-        found = self._table("pages", user, repo, ["statuses", "body"], pc.field("page") == page)
+    def page(self, asked: ListingPage) -> Response:
+        asked.path()
+        condition = pc.field("page") == asked.page
+        found = self._table("pages", asked.user, asked.repo, ["status", "body"], condition)
         if found is None:
             return Response(404, '{"message":"Not Found"}', 1)
         if found.num_rows == 0:
             return Response(200, "[]", 1)
         row = found.to_pylist()[0]
-        status, attempts = play(row["statuses"], self.retries)
-        return Response(status, row["body"], attempts)
+        return Response(row["status"], row["body"], 1)
 
     def details(self, user: str, repo: str, items: Iterable[Item]) -> Iterator[Response]:
         items = list(items)
         if not items:
             return
         wanted = pc.field("url").isin(pa.array([i.url for i in items], pa.string()))
-        columns = ["url", "version", "statuses", "body"]
+        columns = ["url", "version", "status", "body"]
         found = self._table("details", user, repo, columns, wanted)
         rows = {} if found is None else {(r["url"], r["version"]): r for r in found.to_pylist()}
         for item in items:
@@ -183,8 +226,7 @@ class MirrorEndpoint:
             if row is None:
                 yield Response(404, '{"message":"Not Found"}', 1)
                 continue
-            status, attempts = play(row["statuses"], self.retries)
-            yield Response(status, row["body"], attempts)
+            yield Response(row["status"], row["body"], 1)
 
 
 def is_mirror(endpoint: str) -> bool:
@@ -193,5 +235,5 @@ def is_mirror(endpoint: str) -> bool:
 
 def connect(endpoint: str, token: str | None = None, retries: int = 2):
     if is_mirror(endpoint):
-        return MirrorEndpoint(endpoint, retries)
+        return MirrorEndpoint(endpoint)
     return HttpsEndpoint(endpoint, token, retries)

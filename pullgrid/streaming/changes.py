@@ -7,7 +7,7 @@ its output is the same however often it runs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -72,12 +72,17 @@ def _history(
     return rows
 
 
+def _newest(columns: list[str]) -> list[Column]:
+    """Newest version first; among equal ones, of the later tick."""
+    return [F.desc("version")] + ([F.desc("tick")] if "tick" in columns else [])
+
+
 def current_state(
     spark: SparkSession, table: str, schema: T.StructType, before: int | None = None
 ) -> DataFrame:
     """The newest version of every id."""
     history = _history(spark, table, schema, before)
-    return newest_per_key(history, ["id"], [F.desc("version")])
+    return newest_per_key(history, ["id"], _newest(history.columns))
 
 
 def start_upsert(
@@ -97,7 +102,7 @@ def start_upsert(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        newest = newest_per_key(batch, ["id"], [F.desc("version")])
+        newest = newest_per_key(batch, ["id"], _newest(batch.columns))
         # two columns of the table, aggregated before their shuffle
         history = _history(spark, table, schema, before=batch_id)
         held = history.groupBy("id").agg(F.max("version").alias("__held"))

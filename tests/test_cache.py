@@ -133,7 +133,7 @@ def test_cache_folder_through_hadoop(spark, tmp_path):
     with pytest.raises(ValueError, match="is not a directory"):
         ready_dir(spark, str(tmp_path / "file"))
     (tmp_path / "locked").mkdir(mode=0o444)
-    with pytest.raises(ValueError, match="Expected read/write access"):
+    with pytest.raises(ValueError, match="no right to read and write"):
         ready_dir(spark, str(tmp_path / "locked"))
 
 
@@ -143,3 +143,25 @@ def test_absent_and_damaged_entries(spark, tmp_path):
     cache.write_cache(rows, str(tmp_path / "new"))
     with pytest.raises(Exception, match="Invalid body: MALFORMED"):
         cache.cached_pulls(cache.read_cache(spark, str(tmp_path / "new"))).collect()
+
+
+def test_an_unasked_damaged_row_harms_nothing_and_an_asked_one_is_a_miss(spark, sf, endpoint, tmp_path):
+    from pullgrid.plans import mirror
+
+    work = mirror.ranked_listing(spark, sf).where("k < 4")
+    rows = work.select("id", "version").orderBy("id").collect()
+    held = str(tmp_path / "held")
+    bad = [
+        (rows[0]["id"], rows[0]["version"], "{", 0, 200, None, "ok"),
+        (1, "2020-01-01T00:00:00Z", "{", 0, 200, None, "ok"),
+    ]
+    cache.write_cache(spark.createDataFrame(bad, cache.CACHE_SCHEMA), held)
+    got = cache.fetch_through_cache(work, endpoint, held)
+    assert {r["id"] for r in got.select("id").collect()} == {r["id"] for r in rows}
+    assert cache.read_cache(spark, held).where("fetched_ms > 0").count() == 4
+
+
+def test_versions_order_by_the_instant_they_name(spark):
+    rows = [(1, "2020-01-01T10:00:00+05:00", "old"), (1, "2020-01-01T09:00:00Z", "new")]
+    found = cache.latest_snapshot(spark.createDataFrame(rows, "id long, version string, state string"))
+    assert [r["state"] for r in found.collect()] == ["new"]

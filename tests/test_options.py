@@ -44,10 +44,37 @@ def test_batch_out_of_bound(value):
 
 
 @pytest.mark.parametrize(("batch", "per_page", "pages"), [(1, 1, 1), (100, 100, 1), (245, 100, 3)])
-def test_pages_have_one_size(batch, per_page, pages):
-    options = parse({"batch": str(batch)}, 1)
+@pytest.mark.parametrize("partitions", [1, 2, 8])
+def test_walks_meet_every_page_once(batch, per_page, pages, partitions):
+    options = parse({"batch": str(batch), "repos": "a/b,c/d"}, partitions)
     assert options.per_page == per_page
-    assert [p for _, _, p in options.pages] == list(range(1, pages + 1))
+    for repo in ("b", "d"):
+        met = [
+            page
+            for w in options.walks
+            if w.repo == repo
+            for page in range(w.first, w.last + 1, w.step)
+        ]
+        assert sorted(met) == list(range(1, pages + 1))
+
+
+def test_a_whole_repository_is_dealt_to_all_tasks():
+    options = parse({"batch": "all", "repos": "a/b,c/d"}, 7)
+    assert options.batch is None and options.per_page == 100
+    own = [w for w in options.walks if w.repo == "b"]
+    assert [(w.first, w.step, w.last) for w in own] == [(k, 4, None) for k in range(1, 5)]
+
+
+def test_different_polls_never_share_a_log():
+    def log(**options):
+        return parse(options, 1).listing_dir
+
+    many = "a/1,a/2,a/3,a/4"
+    assert log(repos=f"{many},a/5") != log(repos=f"{many},z/9")
+    assert log(repos="a-b/c") != log(repos="a/b-c")
+    assert log(repos="a/b", endpoint="/x") != log(repos="a/b", endpoint="/y")
+    assert log(repos="a/b", batch="7") != log(repos="a/b", batch="all")
+    assert log(repos="a/b,c/d") == log(repos="c/d,a/b")
 
 
 def test_token_is_not_shown():
@@ -90,8 +117,8 @@ def test_cache_dir_must_be_a_directory(tmp_path):
         check_cache_dir(str(path))
 
 
-def test_cache_dir_needs_read_and_write(tmp_path):
-    path = tmp_path / "locked"
-    path.mkdir(mode=0o444)
-    with pytest.raises(ValueError, match="Expected read/write access"):
-        check_cache_dir(str(path))
+def test_cache_dir_needs_read_and_write(tmp_path, monkeypatch):
+    """The system is asked about the caller's rights; whoever runs this may have all of them."""
+    monkeypatch.setattr("os.access", lambda path, mode: False)
+    with pytest.raises(ValueError, match="no right to read and write"):
+        check_cache_dir(str(tmp_path))

@@ -9,10 +9,9 @@ from pullgrid.operators.listing import list_top_batch
 from pullgrid.plans import mirror
 from pullgrid.sources.options import parse
 from pullgrid.sources.pull_requests import (
-    ItemsPartition,
-    PagesPartition,
     PullRequestReader,
     PushdownReader,
+    WalksPartition,
 )
 
 
@@ -53,15 +52,29 @@ def test_partition_count_never_changes_rows(spark, sf, endpoint, tmp_path, parti
     assert sorted(r["id"] for r in rows) == sorted(expected)
 
 
-def test_small_reads_are_listed_once_and_sliced(endpoint, tmp_path):
-    options = {"user": "AFRICA", "repo": "NATION_0", "endpoint": endpoint}
+def test_listing_is_left_to_tasks(endpoint, tmp_path):
+    options = {"user": "AFRICA", "repo": "NATION_0", "endpoint": "/nowhere", "batch": "all"}
     options["cacheDir"] = str(tmp_path)
     parts = PullRequestReader(parse(options, 8)).partitions()
-    assert all(isinstance(p, ItemsPartition) for p in parts)
-    assert [len(p.work) for p in parts] == [3, 3, 3, 3, 3, 3, 3, 4]
-    options["numPartitions"] = "1"
-    (part,) = PullRequestReader(parse(options, 8)).partitions()
-    assert isinstance(part, PagesPartition)
+    assert [len(p.walks) for p in parts] == [1] * 8
+    assert all(isinstance(p, WalksPartition) for p in parts)
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 9])
+def test_whole_repositories(spark, sf, endpoint, tmp_path, partitions):
+    """More pages than tasks, fewer, and a short last page."""
+    repos = ["AFRICA/NATION_0", "ASIA/NATION_2"]
+    df = read(spark, endpoint, tmp_path, repos=",".join(repos), batch="all", numPartitions=partitions)
+    listed = mirror.listing(spark, sf).where(F.col("full_name").isin(repos))
+    assert sorted(r["id"] for r in df.select("id").collect()) == sorted(
+        r["id"] for r in listed.select("id").collect()
+    )
+
+
+def test_a_missing_token_is_told(tmp_path):
+    options = {"endpoint": "https://host.test", "cacheDir": str(tmp_path)}
+    with pytest.warns(UserWarning, match="no 'token' option"):
+        PullRequestReader(parse(options, 8)).partitions()
 
 
 def test_cache_is_written_and_read(spark, endpoint, tmp_path):
@@ -144,16 +157,16 @@ def test_filters_save_requests(endpoint, tmp_path):
 
     options = {"user": "AFRICA", "repo": "NATION_0", "endpoint": endpoint}
     options["cacheDir"] = str(tmp_path)
-    everything = PullRequestReader(parse(options, 8)).partitions()
-    numbers = [item.number for p in everything for _, _, item in p.work]
+    listed = lambda r: [w for p in r.partitions() for w in r._work(p)]
+    everything = PullRequestReader(parse(options, 8))
+    numbers = [item.number for _, _, item in listed(everything)]
     reader = PushdownReader(parse(options, 8))
     filters = [In(("number",), tuple(numbers[:3])), GreaterThan(("commits",), 1)]
     assert list(reader.pushFilters(filters)) == filters
-    work = [w for p in reader.partitions() for w in p.work]
-    assert sorted(w[2].number for w in work) == sorted(numbers[:3])
+    assert sorted(w[2].number for w in listed(reader)) == sorted(numbers[:3])
     reader = PushdownReader(parse(options, 8))
     list(reader.pushFilters([EqualTo(("base", "repo", "id"), 1)]))
-    assert sum(len(p.work) for p in reader.partitions()) == 25
+    assert len(listed(reader)) == 25
 
 
 def test_pushdown_through_spark(spark, endpoint, tmp_path):

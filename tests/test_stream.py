@@ -67,6 +67,24 @@ def test_incomplete_ticks_do_not_count(endpoint, tmp_path):
         listing_log.plan_tick(str(tmp_path / "log"), 2, 1)
 
 
+def test_two_pollers_keep_one_snapshot(endpoint, tmp_path):
+    log_dir = str(tmp_path / "log")
+    row = {"full_name": "a/b", "rank": 1, "id": 1, "number": 1, "url": "u", "version": "v"}
+    listing_log.write_tick(log_dir, 1, [row])
+    listing_log.write_tick(log_dir, 1, [row | {"id": 2}, row | {"id": 3}])
+    ((segments,),) = (listing_log.plan_tick(log_dir, 1, 1),)
+    (batch,) = listing_log.read_segments(log_dir, segments)
+    assert [r["id"] for r in batch.to_pylist()] == [1]
+    assert [p.name for p in (tmp_path / "log").iterdir()] == ["tick=1"]
+
+
+def test_a_log_of_other_repositories_is_refused(endpoint, tmp_path):
+    reader(endpoint, tmp_path).latestOffset()
+    other = reader(endpoint, tmp_path, user="ASIA", repo="NATION_2", pollInterval="0")
+    with pytest.raises(ValueError, match="belongs to other repositories"):
+        other.latestOffset()
+
+
 def test_restart_neither_loses_nor_repeats(spark, endpoint, tmp_path):
     def run(query_ticks):
         stream = (
@@ -144,6 +162,15 @@ def test_upsert(spark, tmp_path, compact_every):
     assert bool(bases) == (compact_every == 2)
 
 
+def test_of_equal_versions_the_later_tick_stays(spark, tmp_path):
+    steps = [[(1, 10, "early", 1), (1, 10, "late", 2)]]
+    table, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
+    schema = batches(
+        spark, tmp_path, "in", steps, lambda s: changes.start_upsert(s, table, checkpoint)
+    )
+    assert [r["state"] for r in changes.current_state(spark, table, schema).collect()] == ["late"]
+
+
 def test_ingest_fetches_each_version_once(spark, sf, tmp_path):
     """Tick by tick, with a fresh query each time, against the recorded log."""
     endpoint = mirror.tick_mirror(spark, sf)

@@ -6,18 +6,18 @@ from pullgrid.sources import transport
 from pullgrid.sources.transport import (
     HttpsEndpoint,
     Item,
-    detail_url,
-    listing_url,
-    play,
+    ListingPage,
+    detail_path,
     request_headers,
+    seconds_to_wait,
 )
 
 BASE = "https://host.test"
 
 
 def test_listing_request():
-    url = listing_url(BASE, "user", "repo", 7, 2)
-    assert url == f"{BASE}/repos/user/repo/pulls?per_page=7&page=2"
+    path = ListingPage("user", "repo", 7, 2).path()
+    assert path == "/repos/user/repo/pulls?per_page=7&page=2"
 
 
 @pytest.mark.parametrize(
@@ -33,14 +33,14 @@ def test_listing_request():
 )
 def test_listing_request_checks(bad):
     with pytest.raises(ValueError):
-        listing_url(BASE, *bad)
+        ListingPage(*bad).path()
 
 
 def test_detail_request():
-    assert detail_url(BASE, "user", "repo", 12345) == f"{BASE}/repos/user/repo/pulls/12345"
+    assert detail_path("user", "repo", 12345) == "/repos/user/repo/pulls/12345"
     for bad in [("", "r", 1), ("u", "", 1), ("a/b", "r", 1), ("u", "a/b", 1), ("u", "r", -1)]:
         with pytest.raises(ValueError):
-            detail_url(BASE, *bad)
+            detail_path(*bad)
 
 
 def test_token_header():
@@ -91,32 +91,48 @@ def test_final_statuses_are_not_retried(client, status):
 
 def test_pages_and_details_ask_the_right_urls(client):
     endpoint, asked, _ = client([(200, "[]", None), (200, "{}", None)])
-    endpoint.page("user", "repo", 5, 2)
+    endpoint.page(ListingPage("user", "repo", 5, 2))
     item = Item(1, 2, f"{BASE}/x", "v")
     assert list(endpoint.details("user", "repo", [item])) == [(200, "{}", 1)]
     assert asked == [f"{BASE}/repos/user/repo/pulls?per_page=5&page=2", f"{BASE}/x"]
 
 
-@pytest.mark.parametrize(
-    ("statuses", "retries", "expected"),
-    [
-        ([200], 2, (200, 1)),
-        ([503, 200], 2, (200, 2)),
-        ([503, 200], 0, (503, 1)),
-        ([503], 2, (503, 3)),
-        ([404, 200], 2, (404, 1)),
-        ([500, 502, 404], 1, (502, 2)),
-    ],
-)
-def test_played_statuses(spark, statuses, retries, expected):
-    from pyspark.sql import functions as F
+def test_what_the_host_asks_to_wait():
+    assert seconds_to_wait({"Retry-After": "7"}, 0) == 7
+    assert seconds_to_wait({"Retry-After": "Wed, 21 Oct 2015 07:28:00 GMT"}, 1445412470.0) == 10
+    quota = {"X-RateLimit-Remaining": "0", "X-RateLimit-Reset": "130"}
+    assert seconds_to_wait(quota, 100) == 30
+    assert seconds_to_wait(quota | {"X-RateLimit-Remaining": "3"}, 100) is None
+    assert seconds_to_wait({"Retry-After": "soon"}, 0) is None
+
+
+def test_a_long_wait_is_kept_or_ends_the_task(client):
+    endpoint, _, slept = client([(429, "x", 600.0), (200, "ok", None)])
+    assert endpoint.get("u").status == 200 and slept == [600.0]
+    endpoint, asked, _ = client([(429, "x", 3600.0), (200, "ok", None)])
+    with pytest.raises(RuntimeError, match="wait 3600 s"):
+        endpoint.get("u")
+    assert len(asked) == 1
+
+
+def test_a_used_up_quota_is_waited_for_and_other_refusals_are_final(client):
+    endpoint, _, slept = client([(403, "x", 30.0), (200, "ok", None)])
+    assert endpoint.get("u").status == 200 and slept == [30.0]
+    endpoint, asked, _ = client([(403, "x", None)])
+    assert endpoint.get("u").status == 403 and len(asked) == 1
+
+
+def test_the_token_stays_with_its_host():
+    endpoint = HttpsEndpoint(BASE, "secret")
+    assert endpoint.headers_for("host.test")["Authorization"] == "token secret"
+    assert "Authorization" not in endpoint.headers_for("elsewhere.test")
 
-    from pullgrid.operators.fetch import played
 
-    assert play(statuses, retries) == expected
-    status, attempts = played(F.col("s"), retries)
-    row = spark.createDataFrame([(statuses,)], "s array<int>").select(status, attempts).first()
-    assert tuple(row) == expected
+def test_answers_keep_their_order(monkeypatch):
+    endpoint = HttpsEndpoint(BASE)
+    monkeypatch.setattr(endpoint, "_once", lambda url: (200, url, None))
+    urls = [f"{BASE}/{k}" for k in range(40)]
+    assert [a.body for a in endpoint.get_all(urls)] == urls
 
 
 def test_https_fetch_runs_in_tasks(spark):
