@@ -188,12 +188,21 @@ def fetch_through_cache(
         again = items.join(broken, KEY, "left_semi").select("url", *KEY)
         _fetch_all(again, endpoint, cache_dir, mode, token, retries)
     fetch_misses(items, endpoint, cache_dir, mode, token, retries)
-    held = newest_asked(read_cache(spark, cache_dir), items)
-    wanted = items.select(*KEY, "full_name", "rank")
-    joined = held.join(wanted, KEY).withColumnsRenamed({"id": "__id", "body": "__json"})
-    keep = ["__id", "full_name", "rank", "version", "fetched_ms"]
-    leaves = decode_leaves(joined, "__json", PULL_REQUEST_SCHEMA, keep)
-    return assemble(leaves, PULL_REQUEST_SCHEMA, keep[1:])
+    return decode_held(items, cache_dir, ["full_name", "rank", "version", "fetched_ms"])
+
+
+def decode_held(items: DataFrame, cache_dir: str, keep: list[str]) -> DataFrame:
+    """Decoded rows of the items the cache holds; a version listed often is decoded once.
+
+    ``keep``: columns of ``items``, and ``fetched_ms``, that stand beside the decoded ones.
+    """
+    once = items.select(*KEY).distinct()
+    held = newest_asked(read_cache(items.sparkSession, cache_dir), once)
+    named = held.withColumnsRenamed({"id": "__id", "body": "__json"})
+    leaves = decode_leaves(named, "__json", PULL_REQUEST_SCHEMA, ["__id", "version", "fetched_ms"])
+    own = [c for c in keep if c not in ("version", "fetched_ms")]
+    wanted = items.select(F.col("id").alias("__id"), "version", *own)
+    return assemble(wanted.join(leaves, ["__id", "version"]), PULL_REQUEST_SCHEMA, keep)
 
 
 def latest_snapshot(versions: DataFrame) -> DataFrame:

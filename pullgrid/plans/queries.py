@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pullgrid.functions.decode import decode_strict, decode_violations
-from pullgrid.functions.schema import PULL_REQUEST_SCHEMA
+from pullgrid.functions.schema import PULL_REQUEST_SCHEMA, plain_schema
 from pullgrid.operators import cache, fetch, listing, slicing
 from pullgrid.plans import mirror
 from pullgrid.folders import scratch_dir
@@ -282,25 +283,34 @@ def stream_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+_VERSIONS = plain_schema(
+    id=T.LongType(), version=T.LongType(), state=T.StringType(), tick=T.LongType()
+)
+
+
+def _run_decoded(spark: SparkSession, sf_dir: str, out: str, write: changes.Writer) -> None:
+    """The recorded ticks as a file stream, decoded, with second-resolution versions."""
     version = F.unix_seconds(F.coalesce("updated_at", "created_at")).alias("version")
-    return _poll_stream(spark, sf_dir).select("id", version, "state", "tick")
+
+    def narrow(rows: DataFrame, batch_id: int) -> None:
+        tick = F.col("tick").cast("long").alias("tick")
+        write(rows.select("id", version, "state", tick), batch_id)
+
+    listed = log.listing_stream(spark, mirror.tick_log(spark, sf_dir))
+    endpoint = mirror.tick_mirror(spark, sf_dir)
+    _run(log.start_decoded(listed, endpoint, f"{out}/cache", f"{out}/checkpoint", narrow))
 
 
 def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scratch_dir(spark, "changes")
-    stream = _versions(spark, sf_dir)
-    _run(changes.start_changes(stream, f"{out}/rows", f"{out}/checkpoint"))
-    rows = changes.read_changes(spark, f"{out}/rows", stream.schema)
-    return rows.select("id", "version", "tick")
+    out, schema = scratch_dir(spark, "changes"), _VERSIONS
+    _run_decoded(spark, sf_dir, out, changes.changes_writer(f"{out}/rows", schema))
+    return changes.read_changes(spark, f"{out}/rows", schema).select("id", "version", "tick")
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scratch_dir(spark, "upsert")
-    stream = _versions(spark, sf_dir)
-    _run(changes.start_upsert(stream, f"{out}/table", f"{out}/checkpoint"))
-    state = changes.current_state(spark, f"{out}/table", stream.schema)
-    return state.select("id", "version", "state")
+    out, schema = scratch_dir(spark, "upsert"), _VERSIONS
+    _run_decoded(spark, sf_dir, out, changes.upsert_writer(f"{out}/table", schema))
+    return changes.current_state(spark, f"{out}/table", schema).select("id", "version", "state")
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ its output is the same however often it runs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,7 @@ from pullgrid.operators.ranking import newest_per_key
 
 BATCH = "batch_id"
 KEY = ["id", "version"]
+Writer = Callable[[DataFrame, int], None]
 
 
 def _sink_rows(spark: SparkSession, directory: str, schema: T.StructType) -> DataFrame:
@@ -33,15 +36,12 @@ def _start(stream: DataFrame, run, checkpoint: str, trigger: dict | None) -> Str
     )
 
 
-def start_changes(
-    stream: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None
-) -> StreamingQuery:
-    """Append each (id, version) of ``stream`` once, ever, to ``sink``.
+def changes_writer(sink: str, schema: T.StructType) -> Writer:
+    """Appends each (id, version) of its micro-batches once, ever, to ``sink``.
 
     The history is the sink itself: an anti join on its two key columns, with
     no limit on how far back a repeat may lie. Nothing is kept in stream state.
     """
-    schema = stream.schema
 
     def run(batch: DataFrame, batch_id: int) -> None:
         seen = _sink_rows(batch.sparkSession, sink, schema).where(F.col(BATCH) < batch_id)
@@ -50,7 +50,14 @@ def start_changes(
         fresh = once.join(seen.select(*KEY), KEY, "left_anti")
         fresh.select(*schema.names).write.mode("overwrite").parquet(f"{sink}/{BATCH}={batch_id}")
 
-    return _start(stream, run, checkpoint, trigger)
+    return run
+
+
+def start_changes(
+    stream: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """``changes_writer`` on a stream."""
+    return _start(stream, changes_writer(sink, stream.schema), checkpoint, trigger)
 
 
 def read_changes(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame:
@@ -85,20 +92,13 @@ def current_state(
     return newest_per_key(history, ["id"], _newest(history.columns))
 
 
-def start_upsert(
-    stream: DataFrame,
-    table: str,
-    checkpoint: str,
-    compact_every: int = 16,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """Keep the newest version of every id in ``table``.
+def upsert_writer(table: str, schema: T.StructType, compact_every: int = 16) -> Writer:
+    """Keeps the newest version of every id of its micro-batches in ``table``.
 
     A micro-batch writes only rows that differ from the current state; every
     ``compact_every`` batches the state is written out as a new base, so a read
     merges a bounded number of deltas and no batch rewrites the table.
     """
-    schema = stream.schema
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -115,4 +115,15 @@ def start_upsert(
             merged = current_state(spark, table, schema, before=batch_id + 1)
             merged.write.mode("overwrite").parquet(f"{table}/base/upto={batch_id}")
 
-    return _start(stream, run, checkpoint, trigger)
+    return run
+
+
+def start_upsert(
+    stream: DataFrame,
+    table: str,
+    checkpoint: str,
+    compact_every: int = 16,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """``upsert_writer`` on a stream."""
+    return _start(stream, upsert_writer(table, stream.schema, compact_every), checkpoint, trigger)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pullgrid.functions.schema import plain_schema
-from pullgrid.operators.cache import fetch_misses
+from pullgrid.operators.cache import decode_held, fetch_misses
 from pullgrid.operators.ranking import newest_per_key
 
 LOG_SCHEMA = plain_schema(
@@ -67,3 +69,33 @@ def start_ingest(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def start_decoded(
+    listed: DataFrame,
+    endpoint: str,
+    cache_dir: str,
+    checkpoint: str,
+    write: Callable[[DataFrame, int], None],
+    mode: str = "FAILFAST",
+    token: str | None = None,
+    retries: int = 2,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Hand every listed row, decoded and with its ``tick``, to ``write``.
+
+    Versions a micro-batch lists at several ticks are fetched and decoded once; what the
+    cache holds is not fetched at all.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        once = newest_per_key(batch, ["id", "version"], [F.desc("tick")])
+        fetch_misses(once, endpoint, cache_dir, mode, token, retries)
+        write(decode_held(batch, cache_dir, ["tick"]), batch_id)
+
+    return (
+        listed.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

@@ -190,3 +190,21 @@ def test_ingest_fetches_each_version_once(spark, sf, tmp_path):
         assert keys.where("count > 1").count() == 0
         assert keys.count() == expected.count()
         assert keys.join(expected, ["id", "version"], "left_anti").count() == 0
+
+
+def test_decoded_stream_fetches_a_version_once(spark, sf, tmp_path):
+    """All ticks in one micro-batch: every listed row is written, every version fetched once."""
+    from pullgrid.operators.cache import read_cache
+
+    out, held = str(tmp_path / "out"), str(tmp_path / "cache")
+
+    def write(rows, batch_id):
+        rows.select("id", "tick", "state").write.mode("overwrite").parquet(f"{out}/b={batch_id}")
+
+    listed = log.listing_stream(spark, mirror.tick_log(spark, sf))
+    endpoint, checkpoint = mirror.tick_mirror(spark, sf), str(tmp_path / "checkpoint")
+    log.start_decoded(listed, endpoint, held, checkpoint, write).awaitTermination()
+    versions = mirror.tick_versions(spark, sf)
+    assert spark.read.parquet(out).count() == versions.count()
+    distinct = versions.select("id", "version").distinct().count()
+    assert read_cache(spark, held).count() == distinct
