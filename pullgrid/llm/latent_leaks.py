@@ -31,11 +31,14 @@ from pyspark.sql import functions as F
 from pullgrid.llm.common import table, written
 from pullgrid.llm.slices import raw_bytes, text_slices
 from pullgrid.llm.words import BLANK_OR_MARK, Words, words_of
+from pullgrid.shipping import ship_package
 
 BLOCK_ITEMS = 256  # items searched in one pass; their words bound what is broadcast
 RANK = 256
 OVERSAMPLE = 16
 FIT_DOCS = 4_000
+COMMON_SHARE = 0.1
+WINDOWS_AT_ONCE = 8_192
 COSINE = 0.4
 COVERED = 0.75  # of an item's words, in order
 COVERED_WITH_ANSWER = 0.6
@@ -257,46 +260,46 @@ class Search:
         for k, words in enumerate(self.items.words):
             np.add.at(counts[k], terms(words, self.items.vocabulary), 1)
         vectors = counts * self.weights
-        norms = np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)
-        self.latent = ((vectors @ self.space) / norms[:, None]).astype(np.float32)
+        norms = np.sqrt((counts * self.weights**2).sum(1))
+        told = norms > 0  # an item of words that are everywhere has no direction
+        self.latent = ((vectors @ self.space) / np.where(told, norms, 1)[:, None]).astype(np.float32)
         self.weighted = (self.weights[:, None] * self.space).astype(np.float32)
         sizes = np.array([window_size(len(w)) for w in self.items.words])
-        most = np.maximum(counts.max(1), 1)
-        self.classes = [
-            # a passage of mass m scores at most sqrt(m) * most / norm
-            (int(s), np.flatnonzero(sizes == s), ((norms / most)[sizes == s].min() * self.cosine) ** 2)
-            for s in np.unique(sizes)
-        ]
+        self.classes = [(int(s), np.flatnonzero(sizes == s)) for s in np.unique(sizes)]
         self.places = [places_of(w) for w in self.items.words]
         self.answer_places = [places_of(a) for a in self.items.answers]
 
     def matches(self, words: Words) -> dict[tuple[int, int], float]:
         """{(text, item): share of the item's words covered} of what passes the checks."""
         found = terms(words.hashes, self.items.vocabulary)
-        mass = np.where(found >= 0, self.weights[found] ** 2, 0.0)
+        telling = np.flatnonzero((found >= 0) & (self.weights[found] > 0))
+        found = found[telling]
+        mass = self.weights[found] ** 2
         out: dict[tuple[int, int], float] = {}
-        for size, members, least in self.classes:
+        for size, members in self.classes:
             text, starts, stops = windows(words, size)
-            heavy = np.flatnonzero(_sums(mass, starts, stops) >= least)
-            for at in np.array_split(heavy, -(-len(heavy) // 4096) or 1):
-                for k, i in self._candidates(found, starts[at], stops[at], members):
-                    w = at[k]
+            first, last = np.searchsorted(telling, starts), np.searchsorted(telling, stops)
+            masses = _sums(mass, first, last)
+            used = np.flatnonzero(last > first)
+            for at in np.array_split(used, -(-len(used) // WINDOWS_AT_ONCE) or 1):
+                for w, i in self._candidates(found, at, first[at], last[at], masses[at], members):
                     self._settle(words, int(text[w]), int(starts[w]), int(stops[w]), i, out)
         return out
 
-    def _candidates(self, found, starts, stops, members) -> list[tuple[int, int]]:
-        if not len(starts):
+    def _candidates(self, found, at, first, last, masses, members) -> list[tuple[int, int]]:
+        """(window, item) of the windows ``at`` whose latent cosine reaches the bound."""
+        if not len(at):
             return []
-        sums = np.zeros((len(starts), self.weighted.shape[1]), np.float32)
-        norms = np.zeros(len(starts), np.float32)
-        for k, (a, b) in enumerate(zip(starts.tolist(), stops.tolist(), strict=True)):
-            own = found[a:b]
-            own, n = np.unique(own[own >= 0], return_counts=True)
-            sums[k] = n.astype(np.float32) @ self.weighted[own]
-            norms[k] = np.sqrt(((n * self.weights[own]) ** 2).sum())
-        scores = (sums @ self.latent[members].T) / np.maximum(norms, 1e-12)[:, None]
-        at, item = np.nonzero(scores >= self.cosine)
-        return list(zip(at.tolist(), members[item].tolist(), strict=True))
+        low = first[0]
+        # half steps: every window is two stretches, each summed once
+        cuts = np.unique(np.concatenate([first, last])) - low
+        stretches = self.weighted[found[low : last[-1]]]
+        sums = np.zeros((len(cuts), stretches.shape[1]), np.float32)
+        np.cumsum(np.add.reduceat(stretches, cuts[:-1], axis=0), axis=0, out=sums[1:])
+        vectors = sums[np.searchsorted(cuts, last - low)] - sums[np.searchsorted(cuts, first - low)]
+        scores = (vectors @ self.latent[members].T) / np.sqrt(masses)[:, None].astype(np.float32)
+        row, item = np.nonzero(scores >= self.cosine)
+        return list(zip(at[row].tolist(), members[item].tolist(), strict=True))
 
     def _settle(self, words: Words, text: int, start: int, stop: int, item: int, out: dict) -> None:
         n = len(self.items.words[item])
@@ -343,9 +346,21 @@ def _search(docs: DataFrame, search: Search) -> DataFrame:
     )
 
 
+def word_weights(items: Items, counts: np.ndarray, n_docs: int) -> np.ndarray:
+    """Inverse document frequencies; 0 for common words that are not of an item's rarer half.
+
+    So an item keeps its weight however many documents hold it.
+    """
+    common = counts > COMMON_SHARE * n_docs
+    for words in items.words:
+        own = np.unique(terms(words, items.vocabulary))
+        common[own[np.argsort(counts[own], kind="stable")[: -(-len(own) // 2)]]] = False
+    return np.where(common, 0.0, np.log((1 + n_docs) / (1 + counts)) + 0.1)
+
+
 def fitted(docs: DataFrame, items: Items, cosine: float = COSINE, rank: int = RANK) -> Search:
     counts, n_docs = document_counts(docs, items.vocabulary)
-    weights = np.log((1 + n_docs) / (1 + counts)) + 0.01
+    weights = word_weights(items, counts, n_docs)
     rows = np.zeros((len(items.ids), len(weights)))
     for k, words in enumerate(items.words):
         np.add.at(rows[k], terms(words, items.vocabulary), 1)
@@ -356,6 +371,7 @@ def fitted(docs: DataFrame, items: Items, cosine: float = COSINE, rank: int = RA
 
 def leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(doc_id, item_id, covered): documents that hold a benchmark item, and how much of it."""
+    ship_package(docs.sparkSession)
     numbered = benchmark.select("item_id", "text").where("text IS NOT NULL")
     blocks = max(1, -(-numbered.count() // block_items))
     found = None
