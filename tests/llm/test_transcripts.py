@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import itertools
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pullgrid.llm import transcripts as t
+from pullgrid.llm.common import table
+
+
+@pytest.fixture(scope="module")
+def model():
+    draw = np.random.default_rng(4)
+    step = np.full((t.STATES, t.STATES), -np.inf)
+    step[:, ::2] = np.log(draw.dirichlet(np.ones(3), t.STATES))
+    for r in range(3):
+        step[[2 * r, 2 * r + 1], 2 * r + 1] = np.log(draw.random(2))
+    start = np.where(np.arange(t.STATES) % 2 == 0, np.log(1 / 3), -np.inf)
+    return {"start": start, "step": step, "emit": np.log(draw.dirichlet(np.ones(t.SYMBOLS), t.STATES))}
+
+
+def best_by_force(model, symbols):
+    def score(path):
+        total = model["start"][path[0]] + model["emit"][path[0], symbols[0]]
+        for a, b, s in zip(path[:-1], path[1:], symbols[1:], strict=True):
+            total += model["step"][a, b] + model["emit"][b, s]
+        return total
+
+    return max(itertools.product(range(t.STATES), repeat=len(symbols)), key=score)
+
+
+@pytest.mark.parametrize("cuts", [(), (1,), (2, 3), (1, 2, 3, 4, 5)])
+def test_segments_give_the_best_path_of_the_whole(model, cuts):
+    symbols = np.random.default_rng(9).integers(0, t.SYMBOLS, 6)
+    parts = np.split(symbols, cuts)
+    edges = t.edges([t.segment_matrix(model, p) for p in parts])
+    path = [s for p, (a, b) in zip(parts, edges, strict=True) for s in t.segment_path(model, p, a, b)]
+    assert tuple(path) == best_by_force(model, symbols)
+
+
+def test_marks(spark):
+    lines = ["User: hi", "### Assistant: x", "[system] y", "**user**: z", "> q", "A: b", "plain", "used: x", "Human", ""]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    rows = df.select((t.symbol(F.col("line")) / 6).cast("int"), t.unmarked(F.col("line"))).collect()
+    assert [t.MARKS[r[0]] for r in rows] == [
+        "user", "assistant", "system", "user", "quote", "assistant", "none", "none", "none", "none",
+    ]
+    assert [r[1] for r in rows][:6] == ["hi", "x", "y", "z", "q", "b"]
+
+
+def turns(df):
+    out = defaultdict(list)
+    for r in sorted(df.collect(), key=lambda r: (r.conv_id is not None, r.conv_id or 0, r.turn)):
+        assert r.turn == len(out[r.conv_id])
+        out[r.conv_id].append((r.role, r.text))
+    return out
+
+
+def test_held_out_accuracy(spark, sf):
+    """Trained on four fifths of the conversations, roles of the last fifth come back."""
+    lines = t.marked_lines(table(spark, sf.replace("0.001", "0.01"), "conversations"))
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "conv_id"), F.lit(5))
+    held = lines.where(fold == 0)
+    found = turns(t.recover_turns(held.drop("role"), t.train(lines.where(fold != 0))))
+    want = defaultdict(list)
+    for r in held.where("pos = 0").orderBy("conv_id", "turn").collect():
+        want[r.conv_id].append(r.role)
+    good = sum([role for role, _ in found[c]] == roles for c, roles in want.items())
+    assert len(found) == len(want) and good >= 0.85 * len(want)
+
+
+def test_a_conversation_of_many_segments(spark, model, monkeypatch):
+    """Segments of two turns and one for all give the same turns."""
+    rows = [(1, k, 0, p, f"{'User: ' if k % 2 else 'Bot: '}line {k} {p}" if p == 0 else f"more {k}")
+            for k in range(23) for p in range(1 + k % 3)]
+    lines = spark.createDataFrame(rows, "conv_id long, turn long, tie long, pos int, line string")
+    empty = spark.createDataFrame([], "conv_id long, turn long, tie long, pos int, line string, role string")
+    untrained = t.train(empty)
+    results = []
+    for size in (2, 1000):
+        monkeypatch.setattr(t, "SEGMENT", size)
+        results.append(turns(t.recover_turns(lines, untrained)))
+    assert results[0] == results[1]
+    assert [role for role, _ in results[0][1]] == ["assistant", "user"] * 11 + ["assistant"]
+
+
+def test_odd_rows_and_nothing(spark):
+    rows = [
+        (1, 0, "user", "hello\nthere"), (1, 0, "user", "hello\nthere"), (1, None, None, None),
+        (None, 0, "assistant", ""), (None, 1, "alien", "x" * 5000), (2, 5, "system", "be kind"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    lines = t.marked_lines(df.withColumn("segment", F.lit("clash")))
+    found = turns(t.recover_turns(lines.drop("role"), t.train(lines)))
+    assert set(found) == {1, 2, None}
+    text = "\n".join(x for c in found.values() for _, x in c)
+    assert text.count("hello") == 2 and "x" * 5000 in text
+    none = t.marked_lines(df.limit(0))
+    assert t.recover_turns(none.drop("role"), t.train(none)).count() == 0
