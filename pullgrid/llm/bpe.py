@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pullgrid.folders import shared_dir
-from pullgrid.llm.common import table
+from pullgrid.llm.common import table, written
 from pullgrid.llm.pieces import PieceEncoder
 from pullgrid.llm.ragged import gather, offsets
 from pullgrid.llm.slices import text_slices
@@ -329,20 +329,24 @@ def encoder(tokenizer: str, lexicon: str) -> PieceEncoder:
 
 
 def frequent_pieces(docs: DataFrame, n_words: int) -> DataFrame:
-    """(piece, n): the pieces that all documents together hold most often."""
+    """(piece, n): ``n_words`` pieces at most, those that all documents together hold most often."""
     pieces = docs.select(F.explode(F.split("text", " ", -1)).alias("piece"))
     plain = pieces.where(
         (F.octet_length("piece") < LEXICON_WORD_BYTES)
         & (F.col("piece") != "")
         & ~F.col("piece").rlike(r"(?U)^\s|\s$")
     )
-    return (
-        plain.groupBy("piece")
-        .agg(F.count("*").alias("n"))
-        .where("n > 1")
-        .orderBy(F.desc("n"), "piece")
-        .limit(n_words)
-    )
+    counted = written(plain.groupBy("piece").agg(F.count("*").alias("n")).where("n > 1"), "pieces")
+    # the least count that at most n_words pieces reach, from a few hundred count classes
+    level = F.floor(F.log2("n") * 16).cast("int")
+    sizes = counted.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
+    total, cut = 0, None
+    for row in sizes:
+        total += row["count"]
+        if total > n_words:
+            break
+        cut = row["level"]
+    return counted.where(F.lit(False) if cut is None else level >= cut)
 
 
 def deliver_lexicon(spark: SparkSession, docs: DataFrame, tokenizer: str, n_words: int) -> str:
