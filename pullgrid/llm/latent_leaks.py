@@ -34,11 +34,12 @@ from pullgrid.llm.words import BLANK_OR_MARK, Words, words_of
 from pullgrid.shipping import ship_package
 
 BLOCK_ITEMS = 256  # items searched in one pass; their words bound what is broadcast
-RANK = 256
+RANK = 288
 OVERSAMPLE = 16
 FIT_DOCS = 4_000
 COMMON_SHARE = 0.1
-WINDOWS_AT_ONCE = 8_192
+WINDOWS_AT_ONCE = 2_048
+SLICE = 1_000_000  # bytes of text at once: what is made of them stays in the cache
 COSINE = 0.4
 COVERED = 0.75  # of an item's words, in order
 COVERED_WITH_ANSWER = 0.6
@@ -101,7 +102,7 @@ def document_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         counts, seen = np.zeros(len(own) + 1, np.int64), np.zeros(len(own), bool)
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, most=SLICE):
             words = _words_in(batch)
             found = terms(words.hashes, own)
             for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True):
@@ -142,12 +143,6 @@ def windows(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return text, start, np.minimum(start + size, words.bounds[text + 1])
 
 
-def _sums(values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(values) + 1)
-    np.cumsum(values, out=total[1:])
-    return total[stops] - total[starts]
-
-
 # ---- the latent space ------------------------------------------------------------------
 
 
@@ -160,7 +155,7 @@ def sampled_passages(docs: DataFrame, vocabulary: np.ndarray, n_docs: int, size:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, most=SLICE):
             words = _words_in(batch)
             found = terms(words.hashes, shared.value)
             _, starts, stops = windows(words, size)
@@ -213,13 +208,14 @@ def latent_space(
     n = min(len(weights), rank + OVERSAMPLE)
     right = np.random.default_rng(11).standard_normal((len(weights), n))
     wide = _multiplied(passages, weights, right, gram=False)
-    # items stand for most of the energy, so that what tells them apart is kept
-    scale = 1 + np.abs(wide).sum() / max(1e-12, np.abs(items.T @ (items @ right)).sum())
-    wide += 10 * scale * (items.T @ (items @ right))
+    # each item outweighs all sampled passages together, so the space holds every item
+    unit = items / np.maximum(np.linalg.norm(items, axis=1, keepdims=True), 1e-12)
+    energy = 1 + 10 * max(0.0, (right * wide).sum() / n)
+    wide += energy * (unit.T @ (unit @ right))
     basis, _ = np.linalg.qr(wide)
     small = _multiplied(passages, weights, basis, gram=True)
-    inner = items @ basis
-    small += 10 * scale * (inner.T @ inner)
+    inner = unit @ basis
+    small += energy * (inner.T @ inner)
     values, rotation = np.linalg.eigh(small)
     return basis @ rotation[:, np.argsort(-values)[: min(n, rank)]]
 
@@ -263,7 +259,7 @@ class Search:
         norms = np.sqrt((counts * self.weights**2).sum(1))
         told = norms > 0  # an item of words that are everywhere has no direction
         self.latent = ((vectors @ self.space) / np.where(told, norms, 1)[:, None]).astype(np.float32)
-        self.weighted = (self.weights[:, None] * self.space).astype(np.float32)
+        self.weighted = np.ascontiguousarray(self.weights[:, None] * self.space, np.float32)
         sizes = np.array([window_size(len(w)) for w in self.items.words])
         self.classes = [(int(s), np.flatnonzero(sizes == s)) for s in np.unique(sizes)]
         self.places = [places_of(w) for w in self.items.words]
@@ -274,33 +270,33 @@ class Search:
         found = terms(words.hashes, self.items.vocabulary)
         telling = np.flatnonzero((found >= 0) & (self.weights[found] > 0))
         found = found[telling]
-        mass = self.weights[found] ** 2
+        if not len(found):
+            return {}
+        # all windows begin and end at these words, so running sums are kept for them only
+        _, cuts, _ = windows(words, self.classes[0][0])
+        cuts = np.append(cuts, words.bounds[-1])
+        edges = np.searchsorted(telling, cuts)
+        running = np.zeros((len(found) + 1, self.weighted.shape[1]), np.float32)
+        np.cumsum(self.weighted[found], axis=0, out=running[1:])
+        sums = running[edges]
+        mass = np.zeros(len(found) + 1)
+        np.cumsum(self.weights[found] ** 2, out=mass[1:])
+        mass = mass[edges]
         out: dict[tuple[int, int], float] = {}
         for size, members in self.classes:
             text, starts, stops = windows(words, size)
-            first, last = np.searchsorted(telling, starts), np.searchsorted(telling, stops)
-            masses = _sums(mass, first, last)
-            used = np.flatnonzero(last > first)
+            first, last = np.searchsorted(cuts, starts), np.searchsorted(cuts, stops)
+            masses = mass[last] - mass[first]
+            used = np.flatnonzero(masses > 0)
             for at in np.array_split(used, -(-len(used) // WINDOWS_AT_ONCE) or 1):
-                for w, i in self._candidates(found, at, first[at], last[at], masses[at], members):
+                vectors = sums[last[at]] - sums[first[at]]
+                scores = vectors @ self.latent[members].T
+                bound = self.cosine * np.sqrt(masses[at])
+                row, item = np.nonzero(scores >= bound[:, None].astype(np.float32))
+                for w, i in zip(at[row].tolist(), members[item].tolist(), strict=True):
                     self._settle(words, int(text[w]), int(starts[w]), int(stops[w]), i, out)
         return out
 
-    def _candidates(self, found, at, first, last, masses, members) -> list[tuple[int, int]]:
-        """(window, item) of the windows ``at`` whose latent cosine reaches the bound."""
-        if not len(at):
-            return []
-        low = first[0]
-        # half steps: every window is two stretches, each summed once
-        cuts = np.unique(np.concatenate([first, last])) - low
-        stretches = self.weighted[found[low : last[-1]]]
-        sums = np.zeros((len(cuts), stretches.shape[1]), np.float32)
-        np.cumsum(np.add.reduceat(stretches, cuts[:-1], axis=0), axis=0, out=sums[1:])
-        vectors = sums[np.searchsorted(cuts, last - low)] - sums[np.searchsorted(cuts, first - low)]
-        scores = (vectors @ self.latent[members].T) / np.sqrt(masses)[:, None].astype(np.float32)
-        row, item = np.nonzero(scores >= self.cosine)
-        return list(zip(at[row].tolist(), members[item].tolist(), strict=True))
-
     def _settle(self, words: Words, text: int, start: int, stop: int, item: int, out: dict) -> None:
         n = len(self.items.words[item])
         low, high = words.bounds[text], words.bounds[text + 1]
@@ -329,7 +325,7 @@ def _search(docs: DataFrame, search: Search) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, most=SLICE):
             hits = own.matches(_words_in(batch))
             ids = batch.column("doc_id").to_pylist()
             yield pa.RecordBatch.from_arrays(
@@ -366,6 +362,7 @@ def fitted(docs: DataFrame, items: Items, cosine: float = COSINE, rank: int = RA
         np.add.at(rows[k], terms(words, items.vocabulary), 1)
     size = window_size(int(np.median([len(w) for w in items.words])))
     passages = written(sampled_passages(docs, items.vocabulary, n_docs, size), "passages")
+    rank = min(rank, len(items.ids) + OVERSAMPLE)
     return Search(items, weights, latent_space(passages, rows * weights, weights, rank), cosine)
 
 
