@@ -36,13 +36,14 @@ from pullgrid.folders import scratch_dir
 from pullgrid.llm.bpe import merger
 from pullgrid.llm.common import partitions, table, written
 from pullgrid.llm.pieces import PieceEncoder
-from pullgrid.llm.ragged import offsets
+from pullgrid.llm.ragged import gather, offsets
 from pullgrid.llm.slices import text_slices
 from pullgrid.shipping import ship_package
 
 SEQUENCE = 1024
 BATCH_ROWS = 256
 END_ID = 2
+TABLE_PIECES = 250_000  # encoded pieces a worker keeps
 
 
 @lru_cache(maxsize=2)
@@ -56,7 +57,9 @@ def library_encoder(path: str) -> PieceEncoder:
     sizes = merger(path).lengths
 
     def encode_whole(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        # one text at a time, without the offsets that are not used here
+        (encoded,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(encoded.ids, np.uint32)
 
     def encode_many(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces with a space before them go as one text; ids fall to pieces by their bytes."""
@@ -65,17 +68,20 @@ def library_encoder(path: str) -> PieceEncoder:
         bounds = offsets(np.array([len(p.encode()) for p in spaced], np.int64))
         ends = np.cumsum(sizes[joined])
         cuts = np.searchsorted(ends, bounds, "right")
-        parts, at = [], 0
-        for p in pieces:
-            if p[0] == " ":
-                parts.append(joined[cuts[at] : cuts[at + 1]])
-                at += 1
-            else:
-                parts.append(encode_whole(p))
-        lengths = np.array([len(p) for p in parts], np.int64)
-        return np.concatenate(parts), lengths
-
-    return PieceEncoder(encode_many, encode_whole, tuple(merger(path).special))
+        if len(spaced) == len(pieces):
+            return joined, np.diff(cuts)
+        # the first pieces of texts have no space before them and stand alone
+        alone = [encode_whole(p) for p in pieces if p[0] != " "]
+        is_spaced = np.fromiter((p[0] == " " for p in pieces), bool, len(pieces))
+        flat = np.concatenate([joined, *alone])
+        sizes_alone = np.array([len(p) for p in alone], np.int64)
+        lengths, starts = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        lengths[is_spaced], starts[is_spaced] = np.diff(cuts), cuts[:-1]
+        lengths[~is_spaced] = sizes_alone
+        starts[~is_spaced] = len(joined) + offsets(sizes_alone)[:-1]
+        return gather(flat, starts, lengths), lengths
+
+    return PieceEncoder(encode_many, encode_whole, tuple(merger(path).special), TABLE_PIECES)
 
 
 def id_type(path: str) -> pa.DataType:
