@@ -1,16 +1,16 @@
-"""Benchmark decontamination by latent semantic retrieval.
+"""Benchmark decontamination by words that a match cannot lack.
 
 Benchmark items are taken in blocks. For a block, all documents are read once to count
-in how many of them each of its words occurs. Passages (overlapping windows of words)
-become TF-IDF vectors over these words. A randomised SVD gives the latent space: a
-random range is multiplied through the passages task by task, the small products are
-summed, orthogonalised, multiplied through again and rotated. It is fitted on the
-items and on passages of a bounded sample of documents (``FIT_DOCS``); every passage of
-every document is searched. A passage whose weight cannot reach the cosine bound is
-passed over, which the Cauchy inequality allows; the others are projected and scored
-against the items. What scores is settled on the words themselves: the longest common
-subsequence of item and passage, and the same for the item's answer, its last line or
-sentence, so that paraphrases count and shared topics do not.
+in how many of them each of its words occurs. A document holds an item if some stretch
+of twice the item's length holds three quarters of its words in order (their longest
+common subsequence), or three fifths if the item's answer, its last line or sentence, is
+in or near the stretch too; so paraphrases count and shared topics do not.
+
+Which stretches are compared follows from that: a match leaves out so many of the item's
+places at most, so of the rarest places, that many and a quarter of the item more, it has
+a quarter at least. All words of all documents are looked up among these; what has
+too few within a stretch cannot match, and everything else is settled on the words.
+However common an item or its words are, no match is lost.
 
 Defined results. Null or empty text, item or document: no match. Null ids stay null and
 match like others. Repeated rows: found each, reported once per pair of ids. Items of
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pullgrid.llm.common import table, written
+from pullgrid.llm.ragged import gather, offsets
 from pullgrid.llm.slices import raw_bytes, text_slices
 from pullgrid.llm.words import BLANK_OR_MARK, Words, words_of
 from pullgrid.shipping import ship_package
@@ -37,14 +38,17 @@ BLOCK_ITEMS = 256  # items searched in one pass; their words bound what is broad
 RANK = 288
 OVERSAMPLE = 16
 FIT_DOCS = 4_000
-COMMON_SHARE = 0.1
-WINDOWS_AT_ONCE = 2_048
 SLICE = 1_000_000  # bytes of text at once: what is made of them stays in the cache
-COSINE = 0.4
 COVERED = 0.75  # of an item's words, in order
 COVERED_WITH_ANSWER = 0.6
 ANSWER_COVERED = 0.75
 LEAST_WORDS = 2
+STRETCH = 2  # times an item's words: where its words are looked for
+NEAR = 3  # times an item's words, before and after: where its answer may be
+WHOLE = STRETCH + 2 * NEAR
+HITS_OF = 4  # a quarter of an item's places: how many of its rarer ones are asked for
+WINDOW = 1 << 16  # words of a text searched at once
+HITS_AT_ONCE = 2_000_000
 
 
 def item_words(texts: list[str | None]) -> Words:
@@ -225,13 +229,16 @@ def latent_space(
 
 def common_subsequence(words: np.ndarray, places: dict[int, int], n: int) -> int:
     """Length of the longest common subsequence; ``places``: bits of each item word's places."""
+    return subsequence([hit for hit in map(places.get, words.tolist()) if hit], n)
+
+
+def subsequence(hits: list[int], n: int) -> int:
+    """The same, of words given by the bits of their places."""
     free = (1 << n) - 1
     full = free
-    for word in words.tolist():
-        hit = places.get(word)
-        if hit:
-            taken = free & hit
-            free = ((free + taken) | (free - taken)) & full
+    for hit in hits:
+        taken = free & hit
+        free = ((free + taken) | (free - taken)) & full
     return n - free.bit_count()
 
 
@@ -247,77 +254,133 @@ class Search:
     """What a task needs to search its documents for a block of items."""
 
     items: Items
-    weights: np.ndarray
-    space: np.ndarray  # words x dimensions
-    cosine: float
+    counts: np.ndarray  # in how many documents each word of the vocabulary occurs
 
     def __post_init__(self):
-        counts = np.zeros((len(self.items.ids), len(self.weights)))
-        for k, words in enumerate(self.items.words):
-            np.add.at(counts[k], terms(words, self.items.vocabulary), 1)
-        vectors = counts * self.weights
-        norms = np.sqrt((counts * self.weights**2).sum(1))
-        told = norms > 0  # an item of words that are everywhere has no direction
-        self.latent = ((vectors @ self.space) / np.where(told, norms, 1)[:, None]).astype(np.float32)
-        self.weighted = np.ascontiguousarray(self.weights[:, None] * self.space, np.float32)
-        sizes = np.array([window_size(len(w)) for w in self.items.words])
-        self.classes = [(int(s), np.flatnonzero(sizes == s)) for s in np.unique(sizes)]
+        self.sizes = np.array([len(w) for w in self.items.words], np.int64)
         self.places = [places_of(w) for w in self.items.words]
         self.answer_places = [places_of(a) for a in self.items.answers]
+        # every stretch lies whole in one of these windows, with what is near it
+        self.window = max(WINDOW, window_size(WHOLE * int(self.sizes.max())))
+        self.needed = np.zeros(len(self.sizes), np.int64)
+        self.hits = np.zeros(len(self.sizes), np.int64)
+        told, item, weight = [], [], []
+        for k, words in enumerate(self.items.words):
+            own, n = terms(words, self.items.vocabulary), len(words)
+            least = COVERED_WITH_ANSWER if len(self.items.answers[k]) else COVERED
+            self.needed[k] = next(x for x in range(n + 1) if x / n >= least)
+            missed = n - self.needed[k]
+            self.hits[k] = min(self.needed[k], -(-n // HITS_OF))
+            # a match misses ``missed`` places at most, so it has ``hits`` of these
+            rare = own[np.argsort(self.counts[own], kind="stable")[: missed + self.hits[k]]]
+            rare, places = np.unique(rare, return_counts=True)
+            told.append(rare)
+            item.append(np.full(len(rare), k))
+            weight.append(places)
+        told = np.concatenate(told)
+        order = np.argsort(told, kind="stable")
+        self.told_item = np.concatenate(item)[order]
+        self.told_weight = np.concatenate(weight)[order]
+        self.told_counts = np.bincount(told, minlength=len(self.counts))
+        self.told_starts = offsets(self.told_counts)[:-1]
 
     def matches(self, words: Words) -> dict[tuple[int, int], float]:
         """{(text, item): share of the item's words covered} of what passes the checks."""
         found = terms(words.hashes, self.items.vocabulary)
-        telling = np.flatnonzero((found >= 0) & (self.weights[found] > 0))
-        found = found[telling]
-        if not len(found):
-            return {}
-        # all windows begin and end at these words, so running sums are kept for them only
-        _, cuts, _ = windows(words, self.classes[0][0])
-        cuts = np.append(cuts, words.bounds[-1])
-        edges = np.searchsorted(telling, cuts)
-        running = np.zeros((len(found) + 1, self.weighted.shape[1]), np.float32)
-        np.cumsum(self.weighted[found], axis=0, out=running[1:])
-        sums = running[edges]
-        mass = np.zeros(len(found) + 1)
-        np.cumsum(self.weights[found] ** 2, out=mass[1:])
-        mass = mass[edges]
+        counts = np.where(found >= 0, self.told_counts[found], 0)
+        text, starts, stops = windows(words, self.window)
+        held = offsets(counts)
+        held = np.cumsum(held[stops] - held[starts])
         out: dict[tuple[int, int], float] = {}
-        for size, members in self.classes:
-            text, starts, stops = windows(words, size)
-            first, last = np.searchsorted(cuts, starts), np.searchsorted(cuts, stops)
-            masses = mass[last] - mass[first]
-            used = np.flatnonzero(masses > 0)
-            for at in np.array_split(used, -(-len(used) // WINDOWS_AT_ONCE) or 1):
-                vectors = sums[last[at]] - sums[first[at]]
-                scores = vectors @ self.latent[members].T
-                bound = self.cosine * np.sqrt(masses[at])
-                row, item = np.nonzero(scores >= bound[:, None].astype(np.float32))
-                for w, i in zip(at[row].tolist(), members[item].tolist(), strict=True):
-                    self._settle(words, int(text[w]), int(starts[w]), int(stops[w]), i, out)
+        first = 0
+        while first < len(text):
+            before = held[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(held, before + HITS_AT_ONCE, "right")))
+            group = slice(first, last)
+            for w, i, low, high in self._regions(found, counts, starts[group], stops[group]):
+                w += first
+                self._settle(words.hashes, (low, high), (starts[w], stops[w]), int(text[w]), i, out)
+            first = last
         return out
 
-    def _settle(self, words: Words, text: int, start: int, stop: int, item: int, out: dict) -> None:
-        n = len(self.items.words[item])
-        low, high = words.bounds[text], words.bounds[text + 1]
-        near = words.hashes[max(low, start - n // 2) : min(high, stop + n // 2)]
-        covered = self._best(near, self.places[item], n)
-        answer = len(self.items.answers[item])
-        told = answer and (
-            common_subsequence(near, self.answer_places[item], answer) >= ANSWER_COVERED * answer
-        )
-        if covered >= COVERED or (told and covered >= COVERED_WITH_ANSWER):
-            out[text, item] = max(covered, out.get((text, item), 0.0))
-
-    @staticmethod
-    def _best(near: np.ndarray, places: dict[int, int], n: int) -> float:
-        """Covered share of an item of n words within the best stretch of twice its length."""
-        best = 0
-        for a in range(0, max(1, len(near) - n), max(1, n // 4)):
-            best = max(best, common_subsequence(near[a : a + 2 * n], places, n))
-            if best == n:
-                break
-        return best / n
+    def _regions(
+        self, found: np.ndarray, counts: np.ndarray, starts: np.ndarray, stops: np.ndarray
+    ) -> Iterator[tuple[int, int, int, int]]:
+        """(window, item, first word, end) of what holds all stretches with enough rare words."""
+        window = np.repeat(np.arange(len(starts)), stops - starts)
+        at = gather(np.arange(len(found)), starts, stops - starts)
+        used = np.flatnonzero(counts[at])
+        window, at = window[used], at[used]
+        n = counts[at]
+        entry = gather(np.arange(len(self.told_item)), self.told_starts[found[at]], n)
+        window, at, item = np.repeat(window, n), np.repeat(at, n), self.told_item[entry]
+        base = (item * len(starts) + window) * (len(found) + 1)
+        order = np.argsort(base + at)
+        window, at, item, base = window[order], at[order], item[order], base[order]
+        weights = offsets(self.told_weight[entry][order])
+        reach = STRETCH * self.sizes[item]
+        ends = np.searchsorted(base + at, base + np.minimum(at + reach, stops[window]))
+        good = np.flatnonzero(weights[ends] - weights[:-1] >= self.hits[item])
+        if not len(good):
+            return
+        window, at, item, base, reach = (x[good] for x in (window, at, item, base, reach))
+        low = np.maximum(at - reach + 1, starts[window])
+        high = np.minimum(at + reach, stops[window])
+        new = np.ones(len(good), bool)
+        new[1:] = (base[1:] != base[:-1]) | (low[1:] > high[:-1])
+        heads = np.flatnonzero(new)
+        tails = np.append(heads[1:], len(good)) - 1
+        columns = (window[heads], item[heads], low[heads], high[tails])
+        yield from zip(*(c.tolist() for c in columns), strict=True)
+
+    def _settle(
+        self, hashes: np.ndarray, region: tuple, window: tuple, text: int, item: int, out: dict
+    ) -> None:
+        """Score the stretches of a region: twice as many words as the item has, from any word on.
+
+        Of long items the starts are taken together by 32nds of the item's length, and
+        the stretch is longer by so much.
+        """
+        n, needed = int(self.sizes[item]), int(self.needed[item])
+        best = out.get((text, item), 0.0)
+        if best == 1:
+            return
+        get, whole = self.places[item].get, 0
+        at, bits = [], []
+        for k, word in enumerate(hashes[region[0] : region[1]].tolist(), int(region[0])):
+            places = get(word)
+            if places:
+                at.append(k)
+                bits.append(places)
+                whole |= places
+        if whole.bit_count() < needed:
+            return
+        step = max(1, n // 32)
+        answer, end, a = len(self.items.answers[item]), 0, 0
+        while a < len(at):
+            start = at[a]
+            stop = start + STRETCH * n + step - 1
+            while end < len(at) and at[end] < stop:
+                end += 1
+            if end - a >= needed and min(n, end - a) / n > best:
+                covered = subsequence(bits[a:end], n) / n
+                if covered > best and (
+                    covered >= COVERED
+                    or (covered >= COVERED_WITH_ANSWER and answer and self._told(hashes, start, window, item))
+                ):
+                    out[text, item] = best = covered
+                    if best == 1:
+                        return
+            a += 1
+            while step > 1 and a < len(at) and at[a] < start + step:
+                a += 1
+
+    def _told(self, hashes: np.ndarray, start: int, window: tuple, item: int) -> bool:
+        """Whether the item's answer is in or near the stretch."""
+        n, answer = int(self.sizes[item]), len(self.items.answers[item])
+        low, high = start - NEAR * n, start + (STRETCH + NEAR) * n
+        near = hashes[max(int(window[0]), low) : min(int(window[1]), high)]
+        return common_subsequence(near, self.answer_places[item], answer) >= ANSWER_COVERED * answer
 
 
 def _search(docs: DataFrame, search: Search) -> DataFrame:
@@ -342,28 +405,9 @@ def _search(docs: DataFrame, search: Search) -> DataFrame:
     )
 
 
-def word_weights(items: Items, counts: np.ndarray, n_docs: int) -> np.ndarray:
-    """Inverse document frequencies; 0 for common words that are not of an item's rarer half.
-
-    So an item keeps its weight however many documents hold it.
-    """
-    common = counts > COMMON_SHARE * n_docs
-    for words in items.words:
-        own = np.unique(terms(words, items.vocabulary))
-        common[own[np.argsort(counts[own], kind="stable")[: -(-len(own) // 2)]]] = False
-    return np.where(common, 0.0, np.log((1 + n_docs) / (1 + counts)) + 0.1)
-
-
-def fitted(docs: DataFrame, items: Items, cosine: float = COSINE, rank: int = RANK) -> Search:
-    counts, n_docs = document_counts(docs, items.vocabulary)
-    weights = word_weights(items, counts, n_docs)
-    rows = np.zeros((len(items.ids), len(weights)))
-    for k, words in enumerate(items.words):
-        np.add.at(rows[k], terms(words, items.vocabulary), 1)
-    size = window_size(int(np.median([len(w) for w in items.words])))
-    passages = written(sampled_passages(docs, items.vocabulary, n_docs, size), "passages")
-    rank = min(rank, len(items.ids) + OVERSAMPLE)
-    return Search(items, weights, latent_space(passages, rows * weights, weights, rank), cosine)
+def fitted(docs: DataFrame, items: Items) -> Search:
+    counts, _ = document_counts(docs, items.vocabulary)
+    return Search(items, counts)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:

@@ -86,6 +86,52 @@ def test_an_item_that_a_third_of_the_documents_hold_is_found(spark):
     assert found(spark, rows, [(1, item)]) == {(k, 1) for k in range(0, 150, 3)}
 
 
+def brute(docs, items):
+    """{(document, item): covered} by comparing each item with every stretch of every document."""
+    out = {}
+    for d, text in docs:
+        words = text.split()
+        for i, item, answer in items:
+            n = len(item)
+            if 10 * len([w for w in item if w in set(words)]) < 6 * n:
+                continue
+            for a in range(len(words)):
+                covered = subsequence(words[a : a + 2 * n], item) / n
+                told = answer and covered >= 0.6 and (
+                    subsequence(words[max(0, a - 3 * n) : a + 5 * n], answer) >= 0.75 * len(answer)
+                )
+                if covered >= 0.75 or told:
+                    out[d, i] = max(covered, out.get((d, i), 0))
+    return out
+
+
+def test_common_items_and_rewordings_match_brute_force(spark):
+    """200 items, one of them in a third of all documents, copies in rare words, and reworded ones."""
+    draw = random.Random(17)
+    rare = lambda n: [f"rare{draw.randrange(10**9)}" for _ in range(n)]
+    items = []
+    for k in range(200):
+        words = [f"w{draw.randrange(400)}" for _ in range(draw.choice((17, 20, 37)))]
+        items.append((k, words, words[-5:] if k % 2 else []))
+    rows = []
+    for d in range(120):
+        text = rare(draw.randint(100, 400))
+        for k in draw.sample(range(1, 200), 2):
+            copy, lost = list(items[k][1]), draw.choice((0, 0.2, 0.3, 0.4, 0.5))
+            copy = [w for x in copy for w in (rare(2) if draw.random() < lost else [x])]
+            at = draw.randrange(len(text))
+            text[at:at] = copy
+        if d % 3 == 0:
+            text += items[0][1] + rare(draw.randint(0, 40))
+        rows.append((d, " ".join(text), "en"))
+    texts = [(k, " ".join(w) if not a else f"{' '.join(w[:-5])}\n{' '.join(a)}") for k, w, a in items]
+    benchmark = spark.createDataFrame(texts, "item_id long, text string")
+    got = leaks_.leaks(frame(spark, rows).repartition(4), benchmark).collect()
+    want = brute([(d, t) for d, t, _ in rows], items)
+    assert {(d, 0) for d in range(0, 120, 3)} <= set(want)
+    assert {(r.doc_id, r.item_id): r.covered for r in got} == want
+
+
 def test_odd_rows_and_nothing(spark, odd_rows, nothing):
     items = [(1, prose(1, 30)), (None, prose(12, 40)), (2, prose(1, 30))]
     got = found(spark, odd_rows, items)
