@@ -10,7 +10,8 @@ Which stretches are compared follows from that: a match leaves out so many of th
 places at most, so of the rarest places, that many and a quarter of the item more, it has
 a quarter at least. All words of all documents are looked up among these; what has
 too few within a stretch cannot match, and everything else is settled on the words.
-However common an item or its words are, no match is lost.
+However common an item or its words are, no match is lost. Nothing latent is searched: a
+match is defined on the words, so a latent score could only add work or lose matches.
 
 Defined results. Null or empty text, item or document: no match. Null ids stay null and
 match like others. Repeated rows: found each, reported once per pair of ids. Items of
@@ -28,16 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pullgrid.llm.common import table, written
+from pullgrid.llm.common import table
 from pullgrid.llm.ragged import gather, offsets
 from pullgrid.llm.slices import raw_bytes, text_slices
 from pullgrid.llm.words import BLANK_OR_MARK, Words, words_of
 from pullgrid.shipping import ship_package
 
 BLOCK_ITEMS = 256  # items searched in one pass; their words bound what is broadcast
-RANK = 288
-OVERSAMPLE = 16
-FIT_DOCS = 4_000
 SLICE = 1_000_000  # bytes of text at once: what is made of them stays in the cache
 COVERED = 0.75  # of an item's words, in order
 COVERED_WITH_ANSWER = 0.6
@@ -99,22 +97,21 @@ def _words_in(batch: pa.RecordBatch) -> Words:
     return words_of(flat, ends, BLANK_OR_MARK)
 
 
-def document_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
-    """In how many documents each word occurs, and how many documents there are."""
+def document_counts(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
+    """In how many documents each word occurs."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        counts, seen = np.zeros(len(own) + 1, np.int64), np.zeros(len(own), bool)
+        counts, seen = np.zeros(len(own), np.int64), np.zeros(len(own), bool)
         for batch in text_slices(batches, most=SLICE):
             words = _words_in(batch)
             found = terms(words.hashes, own)
             for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True):
                 here = found[a:b]
                 seen[here[here >= 0]] = True
-                counts[:-1] += seen
+                counts += seen
                 seen[:] = False
-            counts[-1] += batch.num_rows
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["term", "n"])
 
@@ -125,9 +122,9 @@ def document_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray
         .agg(F.sum("n").alias("n"))
         .toArrow()  # a row per word of the block
     )
-    counts = np.zeros(len(vocabulary) + 1, np.int64)
+    counts = np.zeros(len(vocabulary), np.int64)
     counts[rows.column("term").to_numpy()] = rows.column("n").to_numpy()
-    return counts[:-1], int(counts[-1])
+    return counts
 
 
 def window_size(n_words: int) -> int:
@@ -147,83 +144,6 @@ def windows(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return text, start, np.minimum(start + size, words.bounds[text + 1])
 
 
-# ---- the latent space ------------------------------------------------------------------
-
-
-def sampled_passages(docs: DataFrame, vocabulary: np.ndarray, n_docs: int, size: int) -> DataFrame:
-    """Terms of the passages of about ``FIT_DOCS`` documents, chosen by a hash of their text."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    share = min(1.0, FIT_DOCS / max(1, n_docs))
-    chosen = docs.select("text").where(
-        F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(int(1_000_000 * share))
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, most=SLICE):
-            words = _words_in(batch)
-            found = terms(words.hashes, shared.value)
-            _, starts, stops = windows(words, size)
-            out = [found[a:b] for a, b in zip(starts[::2], stops[::2], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[o >= 0] for o in out], pa.list_(pa.int64()))], ["terms"]
-            )
-
-    return chosen.mapInArrow(run, "terms array<long>")
-
-
-def _multiplied(passages: DataFrame, weights: np.ndarray, right: np.ndarray, gram: bool) -> np.ndarray:
-    """With A the passages' TF-IDF rows: (A right)' (A right) if ``gram``, else A' A right."""
-    shared = passages.sparkSession.sparkContext.broadcast((weights, right))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, matrix = shared.value
-        weighted = weight[:, None] * matrix
-        total = np.zeros((matrix.shape[1] if gram else len(matrix), matrix.shape[1]))
-        for batch in batches:
-            for own in batch.column("terms"):
-                own = own.values.to_numpy()
-                if not len(own):
-                    continue
-                row = weighted[own].sum(0)
-                if gram:
-                    total += np.outer(row, row)
-                else:
-                    np.add.at(total, own, weight[own][:, None] * row)
-        n = np.arange(len(total))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(n), pa.array(list(total), pa.list_(pa.float64()))], ["row", "values"]
-        )
-
-    rows = passages.mapInArrow(run, "row long, values array<double>")
-    summed = rows.groupBy("row").agg(
-        F.array(*[F.sum(F.col("values")[k]) for k in range(right.shape[1])]).alias("values")
-    )
-    out = np.zeros((right.shape[1] if gram else len(right), right.shape[1]))
-    arrow = summed.toArrow()  # a row per word of the block, or per dimension
-    for n, values in zip(arrow.column("row").to_pylist(), arrow.column("values").to_pylist(), strict=True):
-        out[n] = values
-    return out
-
-
-def latent_space(
-    passages: DataFrame, items: np.ndarray, weights: np.ndarray, rank: int
-) -> np.ndarray:
-    """(words x dimensions): right singular vectors of sampled passages and weighted items."""
-    n = min(len(weights), rank + OVERSAMPLE)
-    right = np.random.default_rng(11).standard_normal((len(weights), n))
-    wide = _multiplied(passages, weights, right, gram=False)
-    # each item outweighs all sampled passages together, so the space holds every item
-    unit = items / np.maximum(np.linalg.norm(items, axis=1, keepdims=True), 1e-12)
-    energy = 1 + 10 * max(0.0, (right * wide).sum() / n)
-    wide += energy * (unit.T @ (unit @ right))
-    basis, _ = np.linalg.qr(wide)
-    small = _multiplied(passages, weights, basis, gram=True)
-    inner = unit @ basis
-    small += energy * (inner.T @ inner)
-    values, rotation = np.linalg.eigh(small)
-    return basis @ rotation[:, np.argsort(-values)[: min(n, rank)]]
-
-
 # ---- search and check --------------------------------------------------------------------
 
 
@@ -405,11 +325,6 @@ def _search(docs: DataFrame, search: Search) -> DataFrame:
     )
 
 
-def fitted(docs: DataFrame, items: Items) -> Search:
-    counts, _ = document_counts(docs, items.vocabulary)
-    return Search(items, counts)
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(doc_id, item_id, covered): documents that hold a benchmark item, and how much of it."""
     ship_package(docs.sparkSession)
@@ -420,7 +335,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS)
     for b in range(blocks):
         items = Items.of(numbered.where(block == b).orderBy("item_id", "text").collect())
         if len(items.ids):
-            part = _search(docs, fitted(docs, items))
+            part = _search(docs, Search(items, document_counts(docs, items.vocabulary)))
             found = part if found is None else found.unionByName(part)
     if found is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, covered double")
