@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pullgrid.llm import bpe, latent_leaks, line_dedup, ngram_join, quality_rules
-from pullgrid.llm.common import table, without, written
+from pullgrid.llm.common import ROW, by_row, numbered, table, without, written
+
+BROADCAST_GROUPS = 200_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,17 +38,30 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the least id."""
-    found = ngram_join.jaccard_components(docs)
-    later = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return without(docs, written(later, "copies"))
+    """One row of each group of near copies: the one with the least id, null ids last.
+
+    Rows are told apart by a key of their own, so null and repeated ids count like others.
+    """
+    rows = numbered(docs, "rows")
+    found = ngram_join.jaccard_components(by_row(rows)).withColumnRenamed("doc_id", "row_key")
+    # ties of an id go to the text's hash: rows that agree in both are alike
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), ROW)
+    places = rows.select(F.col(ROW).alias("place_key"), order.alias("place"))
+    met = found.join(places, F.col("row_key") == F.col("place_key"))
+    members = written(met.select("row_key", "component_id", "place"), "members")
+    sized = members.groupBy("component_id").agg(F.min("place").alias("first"), F.count("*").alias("held"))
+    firsts = written(sized.where("held > 1").select("component_id", "first"), "firsts")
+    if firsts.count() <= BROADCAST_GROUPS:
+        firsts = F.broadcast(firsts)
+    later = members.join(firsts, "component_id").where(f"place.{ROW} <> first.{ROW}")
+    return without(rows, written(later.select(F.col("row_key").alias("doc_id")), "copies"))
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = latent_leaks.leaks(docs, table(spark, sf_dir, "benchmark"))
-    holders = found.where("doc_id IS NOT NULL").select("doc_id").distinct()
-    return without(docs, written(holders, "leaks"))
+    """Rows that hold no benchmark item, whatever their ids."""
+    rows = numbered(docs, "rows")
+    found = latent_leaks.leaks(by_row(rows), table(spark, sf_dir, "benchmark"))
+    return without(rows, written(found.select("doc_id").distinct(), "leaks"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,14 +36,25 @@ def partitions(spark: SparkSession) -> int:
 
 
 BROADCAST_IDS = 1_000_000  # eight bytes each
+ROW = "__row_key"
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose ``doc_id`` is not in the written table ``ids``; nulls stay.
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """The documents with a key of their own for every row, written so that it stays the same."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), name)
 
-    Few ids are broadcast, so texts stay where they are; more are joined by key.
+
+def by_row(rows: DataFrame) -> DataFrame:
+    """(doc_id, text) of numbered documents, with the row's key as ``doc_id``."""
+    return rows.select(F.col(ROW).alias("doc_id"), "text")
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The numbered documents whose key is not in the written table ``gone`` (doc_id), without it.
+
+    Few keys are broadcast, so texts stay where they are; more are joined by key.
     """
-    ids = ids.select(F.col("doc_id").alias("gone_id"))
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    gone = gone.select(F.col("doc_id").alias("gone_key"))
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return rows.join(gone, F.col(ROW) == F.col("gone_key"), "left_anti").drop(ROW)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -7,7 +9,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from pullgrid.llm.common import table, written
 
-from .conftest import frame
+from .conftest import frame, prose
 from .test_line_dedup import brute as line_brute
 from .test_ngram_join import brute as join_brute
 
@@ -82,3 +84,29 @@ def test_nothing_and_odd_rows(spark, sf, odd_rows):
         for name, stage in corpus_pipeline.STAGES:
             docs = written(stage(spark, docs, sf), name.replace(" ", "-"))
         assert docs.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
+
+
+def test_null_and_repeated_ids_lose_their_own_rows_only(spark, sf):
+    """Copies and leaks go row by row, as brute force over numbered rows says."""
+    item = next(r.text for r in table(spark, sf, "benchmark").collect() if len(r.text.split()) > 12)
+    held = f"{prose(900, 30)} {item} {prose(901, 30)}"
+    given = [
+        (None, prose(1, 60)), (None, prose(1, 60)), (5, prose(1, 60)), (5, prose(2, 60)), (5, prose(2, 60)),
+        (6, prose(2, 60)), (None, prose(3, 60)), (None, prose(3, 60) + " more"), (7, held), (7, prose(4, 60)),
+        (None, held), (None, prose(5, 60)), (8, None), (8, ""), (None, None),
+    ]
+    docs = written(frame(spark, [(i, t, "en") for i, t in given], clashing=False), "given")
+    after = corpus_pipeline.near_copies(spark, docs, sf).collect()
+    least = {}
+    for n, (_, _, group) in enumerate(sorted(join_brute([(n, t) for n, (_, t) in enumerate(given)]))):
+        least.setdefault(group, []).append(n)
+    first = lambda n: (given[n][0] is None, given[n][0] or 0)
+    want = [given[min(group, key=first)][0] for group in least.values()]
+    assert Counter(r.doc_id for r in after) == Counter(want)
+    texts = Counter(r.text for r in after)
+    assert texts[prose(1, 60)] == texts[prose(2, 60)] == 1
+    kept = corpus_pipeline.leaks(spark, docs, sf)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        row for row in given if item not in (row[1] or "")
+    )
