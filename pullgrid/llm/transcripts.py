@@ -2,8 +2,9 @@
 
 A transcript's lines emit a speaker mark, a length class and whether they ask. Hidden
 states are a role and whether the line begins a turn. The model is counted from a
-bounded sample of labelled conversations. Viterbi runs in segments of ``SEGMENT``
-turns, so a transcript of any length spreads over tasks: each segment becomes the best
+bounded sample of labelled conversations. Lines are dealt to tasks by ranges of their
+order and cut there into segments of ``SEGMENT`` lines, so a transcript of any length
+spreads over tasks, whatever its ids and turn numbers. Each segment becomes the best
 score from any state before it to any state at its end (a max-plus matrix), a pass over
 the matrices of a transcript settles the states at the segments' edges, and every
 segment then finds its own path between them. The path is the best one of the whole
@@ -17,11 +18,13 @@ only speaker marks count. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,7 +34,8 @@ from pullgrid.shipping import ship_package
 
 ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)  # 2r: role r begins a turn; 2r + 1: it goes on
-SEGMENT = 64
+SEGMENT = 64  # lines at most
+SEGMENT_CHARS = 1_000_000  # no further line once a segment has so many
 TRAIN_CONVERSATIONS = 20_000
 
 # words before a colon or bracket that name a speaker
@@ -140,24 +144,39 @@ def segment_path(model: dict, symbols: np.ndarray, before: int, last: int) -> np
     return path
 
 
-def edges(matrices: list[np.ndarray]) -> list[tuple[int, int]]:
+def edges(matrices: Iterable[np.ndarray]) -> list[tuple[int, int]]:
     """(state before, last state) of each segment on the best path through all."""
-    best, back = matrices[0][STATES], []
-    for m in matrices[1:]:
+    best, back = None, bytearray()  # six bytes a segment
+    for m in matrices:
+        if best is None:
+            best = m[STATES]
+            continue
         options = best[:, None] + m[:STATES]
-        back.append(options.argmax(0))
+        back += options.argmax(0).astype(np.uint8).tobytes()
         best = options.max(0)
     lasts = [int(best.argmax())]
-    for pointers in reversed(back):
-        lasts.append(int(pointers[lasts[-1]]))
+    for at in range(len(back) - STATES, -1, -STATES):
+        lasts.append(back[at + lasts[-1]])
     lasts.reverse()
     return list(zip([-1, *lasts[:-1]], lasts, strict=True))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tuple, list[dict]]]:
+def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, Iterator[dict]]]:
     rows = (row for batch in batches for row in batch.to_pylist())
-    for key, group in groupby(rows, key=lambda r: tuple(r[k] for k in keys)):
-        yield key, list(group)
+    yield from groupby(rows, key=lambda r: r[key])
+
+
+def _cut(rows: Iterator[dict]) -> Iterator[list[dict]]:
+    """Consecutive rows in segments."""
+    held, chars = [], 0
+    for row in rows:
+        held.append(row)
+        chars += len(row["line"])
+        if len(held) >= SEGMENT or chars >= SEGMENT_CHARS:
+            yield held
+            held, chars = [], 0
+    if held:
+        yield held
 
 
 def recover_turns(lines: DataFrame, model: dict) -> DataFrame:
@@ -168,35 +187,31 @@ def recover_turns(lines: DataFrame, model: dict) -> DataFrame:
     ship_package(lines.sparkSession)
     n, spark = partitions(lines.sparkSession), lines.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    placed = lines.select(
-        "conv_id",
-        F.floor(F.coalesce("turn", F.lit(-1)) / SEGMENT).alias("segment"),
-        "turn",
-        "tie",
-        "pos",
-        symbol(F.col("line")).alias("symbol"),
-        "line",
-        unmarked(F.col("line")).alias("bare"),
+    order = ["conv_id", "turn", "tie", "pos"]
+    dealt = lines.select(*order, "line").repartitionByRange(n, *order).sortWithinPartitions(*order)
+    placed = dealt.select(
+        "conv_id", symbol(F.col("line")).alias("symbol"), "line", unmarked(F.col("line")).alias("bare")
     )
 
     def to_matrix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (conv, segment), rows in _groups(batches, "conv_id", "segment"):
-            symbols = np.array([r["symbol"] for r in rows])
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "conv_id": pa.array([conv], pa.int64()),
-                    "segment": pa.array([segment], pa.int64()),
-                    "symbols": pa.array([symbols.tolist()], pa.list_(pa.int32())),
-                    "lines": pa.array([[r["line"] for r in rows]], pa.list_(pa.string())),
-                    "bare": pa.array([[r["bare"] for r in rows]], pa.list_(pa.string())),
-                    "matrix": [segment_matrix(shared.value, symbols).ravel().tolist()],
-                }
-            )
+        segment = TaskContext.get().partitionId() << 32  # ranges are numbered in their order
+        for conv, rows in _groups(batches, "conv_id"):
+            for cut in _cut(rows):
+                symbols = np.array([r["symbol"] for r in cut])
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "conv_id": pa.array([conv], pa.int64()),
+                        "segment": pa.array([segment], pa.int64()),
+                        "symbols": pa.array([symbols.tolist()], pa.list_(pa.int32())),
+                        "lines": pa.array([[r["line"] for r in cut]], pa.list_(pa.string())),
+                        "bare": pa.array([[r["bare"] for r in cut]], pa.list_(pa.string())),
+                        "matrix": [segment_matrix(shared.value, symbols).ravel().tolist()],
+                    }
+                )
+                segment += 1
 
     segments = written(
-        placed.repartition(n, "conv_id", "segment")
-        .sortWithinPartitions("conv_id", "segment", "turn", "tie", "pos")
-        .mapInArrow(
+        placed.mapInArrow(
             to_matrix,
             "conv_id long, segment long, symbols array<int>, lines array<string>, "
             "bare array<string>, matrix array<double>",
@@ -205,12 +220,19 @@ def recover_turns(lines: DataFrame, model: dict) -> DataFrame:
     )
 
     def to_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (conv,), rows in _groups(batches, "conv_id"):
-            found = edges([np.array(r["matrix"]).reshape(STATES + 1, STATES) for r in rows])
+        for conv, rows in _groups(batches, "conv_id"):
+            numbers = array("q")
+
+            def matrices(rows=rows, numbers=numbers) -> Iterator[np.ndarray]:
+                for r in rows:
+                    numbers.append(r["segment"])
+                    yield np.array(r["matrix"]).reshape(STATES + 1, STATES)
+
+            found = edges(matrices())
             yield pa.RecordBatch.from_pydict(
                 {
-                    "conv": pa.array([conv] * len(rows), pa.int64()),
-                    "seg": pa.array([r["segment"] for r in rows], pa.int64()),
+                    "conv": pa.array([conv] * len(numbers), pa.int64()),
+                    "seg": pa.array(np.array(numbers), pa.int64()),
                     "before": pa.array([b for b, _ in found], pa.int32()),
                     "last": pa.array([a for _, a in found], pa.int32()),
                 }

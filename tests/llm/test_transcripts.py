@@ -87,6 +87,36 @@ def test_a_conversation_of_many_segments(spark, model, monkeypatch):
     assert [role for role, _ in results[0][1]] == ["assistant", "user"] * 11 + ["assistant"]
 
 
+def test_segments_are_bounded_whatever_the_ids_and_turns(spark, monkeypatch):
+    """One transcript of null ids, null turns, one repeated turn and one turn of many lines."""
+    rows = [(None, k % 3, k, 0, f"User: line {k}") for k in range(400)]
+    rows += [(None, None, k, 0, f"Bot: line {k}") for k in range(400)]
+    rows += [(1, 7, k, 0, f"User: turn {k}") for k in range(400)]
+    rows += [(2, 0, 0, p, f"more {p}" if p else "Bot: first") for p in range(400)]
+    schema = "conv_id long, turn long, tie long, pos int, line string"
+    lines = spark.createDataFrame(rows, schema)
+    kept, written = {}, t.written
+
+    def noted(df, name):
+        kept[name] = written(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(t, "written", noted)
+    untrained = t.train(spark.createDataFrame([], schema + ", role string"))
+    found = turns(t.recover_turns(lines, untrained))
+    sizes = [r[0] for r in kept["segments"].select(F.size("symbols")).collect()]
+    assert max(sizes) <= t.SEGMENT and sum(sizes) == len(rows)
+    of_null = sorted((r for r in rows if r[0] is None), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+    assert [x for _, x in found[None]] == [r[4].split(": ")[1] for r in of_null]
+    assert [x for _, x in found[1]] == [f"turn {k}" for k in range(400)]
+    assert "\n".join(x for _, x in found[2]).split("\n") == ["first", *(f"more {p}" for p in range(1, 400))]
+
+
+def test_a_segment_of_long_lines_ends_early():
+    cut = list(t._cut(iter([{"line": "x" * (t.SEGMENT_CHARS // 2)}] * 7)))
+    assert [len(c) for c in cut] == [2, 2, 2, 1]
+
+
 def test_odd_rows_and_nothing(spark):
     rows = [
         (1, 0, "user", "hello\nthere"), (1, 0, "user", "hello\nthere"), (1, None, None, None),
