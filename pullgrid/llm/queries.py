@@ -7,6 +7,7 @@ from pullgrid.llm import (
     latent_leaks,
     line_dedup,
     ngram_join,
+    prefix_trie,
     quality_rules,
     secret_links,
     sharding,
@@ -26,10 +27,12 @@ QUERIES = {
     "op8_secret_links": secret_links.query,
     "op9_latent_leaks": latent_leaks.query,
     "op10_sharding": sharding.query,
+    "op13_prefix_trie": prefix_trie.query,
 }
 
 ORACLE = {
     "op1_line_dedup": line_dedup.SQL,
     "op2_ngram_join": ngram_join.SQL,
     "op6_quality_rules": quality_rules.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }
