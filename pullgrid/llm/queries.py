@@ -7,6 +7,8 @@ from pullgrid.llm import (
     latent_leaks,
     line_dedup,
     ngram_join,
+    norm_search,
+    packing,
     prefix_trie,
     quality_rules,
     secret_links,
@@ -27,6 +29,8 @@ QUERIES = {
     "op8_secret_links": secret_links.query,
     "op9_latent_leaks": latent_leaks.query,
     "op10_sharding": sharding.query,
+    "op11_norm_search": norm_search.query,
+    "op12_best_fit": packing.query,
     "op13_prefix_trie": prefix_trie.query,
 }
 
@@ -34,5 +38,6 @@ ORACLE = {
     "op1_line_dedup": line_dedup.SQL,
     "op2_ngram_join": ngram_join.SQL,
     "op6_quality_rules": quality_rules.SQL,
+    "op11_norm_search": norm_search.SQL,
     "op13_prefix_trie": prefix_trie.SQL,
 }
