@@ -1,6 +1,6 @@
 """Pull requests of a code host as Spark tables, SQL views and streams."""
 
 from pullgrid.folders import scratch_dir
-from pullgrid.session import register
+from pullgrid.session import create_view, pull_requests, register
 
-__all__ = ["register", "scratch_dir"]
+__all__ = ["create_view", "pull_requests", "register", "scratch_dir"]

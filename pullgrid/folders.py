@@ -70,3 +70,44 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory path under the shared folder (not created)."""
     return f"{shared_dir(spark)}/pullgrid-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def create_once(spark: SparkSession, uri: str, text: str) -> bool:
+    """Make a file with this text unless there is one; whether it is ours.
+
+    The file system's exclusive create decides between two writers.
+    """
+    fs, path, _ = _open(spark, uri)
+    try:
+        out = fs.create(path, False)
+    except Exception:
+        if fs.exists(path):
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def text_of(spark: SparkSession, uri: str) -> str:
+    """A small file's text."""
+    fs, path, _ = _open(spark, uri)
+    source = fs.open(path)
+    try:
+        raw = spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source)
+    finally:
+        source.close()
+    return bytes(raw).decode()
+
+
+def names_in(spark: SparkSession, uri: str) -> dict[str, int]:
+    """Names in a folder and when they were last written (milliseconds); none if it is absent."""
+    fs, path, _ = _open(spark, uri)
+    if not fs.exists(path):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(path)}
+
+
+def remove(spark: SparkSession, uri: str) -> None:
+    fs, path, _ = _open(spark, uri)
+    fs.delete(path, True)

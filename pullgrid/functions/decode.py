@@ -1,6 +1,7 @@
 """Strict JSON text -> typed nested columns, as Catalyst expressions.
 
-Each body is parsed once. Required integers and booleans are parsed by type;
+Each body is parsed once by type, and scanned for what parsers pass over: text behind the
+document and repeated keys. Required integers and booleans are parsed by type;
 fields whose null is legal, and all text, are parsed as variants, because only
 a variant keeps apart an absent key, a JSON null and a value of another type.
 A row that passes this cheap check is valid. Any other row is looked at again,
@@ -22,6 +23,8 @@ from pyspark.sql import types as T
 from pullgrid.functions.schema import Node, check_supported, nodes
 
 MALFORMED = "MALFORMED"
+TRAILING_TEXT = "TRAILING_TEXT"
+REPEATED_KEY = "REPEATED_KEY"
 NOT_OBJECT = "NOT_OBJECT"
 MISSING_KEY = "MISSING_KEY"
 REQUIRED_NULL = "REQUIRED_NULL"
@@ -97,9 +100,29 @@ def _value(node: Node) -> str:
     return f"try_cast({raw} AS {node.type.simpleString()})"
 
 
+def is_whole(body: str) -> str:
+    """Whether a text is one JSON document and nothing else.
+
+    Parsers stop behind the first document. Text behind it would have to go on an array, or
+    close it, for the first scan to end well, and go on an object, or close it, for the
+    second: no text does both. Scans skip values without building them.
+    """
+    one = f"coalesce(json_array_length(concat('[', {body}, ']')) = 1, false)"
+    alone = f"""coalesce(json_object_keys(concat('{{"v":', {body}, '}}')) = array('v'), false)"""
+    return f"({one} AND {alone})"
+
+
+def _is_json(body: str) -> str:
+    """Whether a text begins with an object in the strict dialect, whatever its fields."""
+    options = ", ".join(f"{_text(k)}, {_text(v)}" for k, v in _JSON_OPTIONS.items())
+    return f"(from_json({body}, '{_CORRUPT} STRING', map({options})).{_CORRUPT} IS NULL)"
+
+
 def _looks_valid(all_nodes: Sequence[Node]) -> str:
     """True only for valid bodies; false means "look closer"."""
-    kinds, expected, tests = [], [], [f"__raw.{_CORRUPT} IS NULL"]
+    # a variant refuses an object with a repeated key, however deep
+    whole = [is_whole("__body"), "try_parse_json(__body) IS NOT NULL"]
+    kinds, expected, tests = [], [], [f"__raw.{_CORRUPT} IS NULL", *whole]
     for node in all_nodes:
         if _is_struct(node.type) or _parsed_by_type(node):
             tests.append(f"{_raw(node)} IS NOT NULL")
@@ -189,7 +212,9 @@ def _close_look(body: str, schema: T.StructType) -> str:
         return f"array(named_struct('rule', '{rule}', 'field', ''))"
 
     whole = f"""CASE
+      WHEN doc IS NULL AND {is_whole(body)} AND {_is_json(body)} THEN {alone(REPEATED_KEY)}
       WHEN doc IS NULL THEN {alone(MALFORMED)}
+      WHEN NOT {is_whole(body)} THEN {alone(TRAILING_TEXT)}
       WHEN NOT startswith(schema_of_variant(doc), 'OBJECT<') THEN {alone(NOT_OBJECT)}
       ELSE filter({_object_rules("doc", schema)}, x -> x.rule IS NOT NULL) END"""
     return f"cast({_bind(f'try_parse_json({body})', 'doc', whole)} AS {_VIOLATIONS})"
@@ -269,6 +294,16 @@ def decode_leaves(
     return _fence(staged, ok, "__ok").selectExpr(*[_name(c) for c in keep], "__ok", *leaves)
 
 
+def checked_leaves(
+    df: DataFrame, body: str, schema: T.StructType, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Like ``decode_leaves``, but ``__ok`` is false where a body breaks a rule."""
+    staged, all_nodes, violations = _analysed(df, body, schema, keep)
+    ok = f"CASE WHEN __clean THEN true ELSE size({violations}) = 0 END"
+    leaves = [f"__v{i}" for i in range(len(all_nodes))]
+    return _fence(staged, ok, "__ok").selectExpr(*[_name(c) for c in keep], "__ok", *leaves)
+
+
 def assemble(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """``keep`` columns plus the typed fields, from ``decode_leaves`` columns."""
     # every field reads the check, so no filter on a field can run ahead of it

@@ -1,22 +1,29 @@
-"""The body cache: one Parquet table keyed by (id, version).
+"""The body cache, keyed by (id, version).
 
-Rows land in ``outcome=ok`` or ``outcome=failed``. Only validated bodies are
-ever ``ok``, and only those are read back, so a bad body cannot poison later
-runs; the failed ones are the quarantine.
+Only validated bodies are ever ``ok``, and only those are read back, so a bad body
+cannot poison later runs; the failed ones are the quarantine. A body is kept under the
+version it carries: a host that has moved on since the listing answers with a newer one.
+The version that was listed is kept beside it and finds the same body. ``body_store``
+says where rows lie.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pullgrid.folders import ready_dir, scratch_dir, there
-from pullgrid.functions.decode import assemble, decode_leaves, decode_permissive
+from pullgrid.folders import scratch_dir, there
+from pullgrid.functions.decode import assemble, checked_leaves, decode_leaves
 from pullgrid.functions.schema import PULL_REQUEST_SCHEMA, plain_schema
+from pullgrid.operators import body_store
+from pullgrid.operators.body_store import Generation, open_store
 from pullgrid.operators.fetch import fetch, judged, request_failure
 from pullgrid.operators.listing import newest_version
 from pullgrid.operators.ranking import newest_per_key
+from pullgrid.sources.transport import UNASKED
 
 CACHE_SCHEMA = plain_schema(
     id=T.LongType(),
@@ -31,14 +38,17 @@ KEY = ["id", "version"]
 
 
 def read_cache(spark: SparkSession, cache_dir: str, outcome: str = "ok") -> DataFrame:
-    """Cache rows as stored. A key written twice at the same time appears twice.
+    """Cache rows as stored, and the version each was ``listed`` under. A key written twice
+    appears twice.
 
     Reading makes no folder: without one there are no rows.
     """
     if not there(spark, cache_dir):
-        return spark.createDataFrame([], CACHE_SCHEMA)
-    rows = spark.read.schema(CACHE_SCHEMA).parquet(cache_dir)
-    return rows.where(F.col("outcome") == outcome)
+        return spark.createDataFrame([], CACHE_SCHEMA).withColumn("listed", F.col("version"))
+    store = open_store(spark, cache_dir)
+    read = body_store.rejected if outcome == "failed" else body_store.good
+    rows = read(spark, store).withColumn("outcome", F.lit(outcome))
+    return rows.select(*CACHE_SCHEMA.names, "listed")
 
 
 def read_file_cache(spark: SparkSession, directory: str) -> DataFrame:
@@ -63,27 +73,41 @@ def read_file_cache(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def write_cache(rows: DataFrame, cache_dir: str) -> None:
-    """Append rows. What a finished task wrote stays, even if the job fails later:
-    a fetched body costs a request, and a key written twice is resolved on read.
+    """Append rows by their ``outcome``; ``listed``, where it is given, finds a body too."""
+    if "listed" not in rows.columns:
+        rows = rows.withColumn("listed", F.col("version"))
+    # a row with a reason is one of the quarantine
+    reason = F.when(F.col("outcome") == "failed", F.coalesce("reason", F.lit("FAILED")))
+    body_store.append(rows.withColumn("reason", reason), open_store(rows.sparkSession, cache_dir))
+
+
+def _answered(asked_version: Column, cached: DataFrame) -> Column:
+    """Whether a cache row answers for a version: it carries it, or was fetched for it.
+
+    Beside an equal id this is no further join key, so rows stay in their buckets.
     """
-    location = ready_dir(rows.sparkSession, cache_dir)
-    (
-        rows.select(*CACHE_SCHEMA.names)
-        .write.mode("append")
-        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-        .partitionBy("outcome")
-        .parquet(location)
-    )
+    listed = cached["listed"] if "listed" in cached.columns else cached["version"]
+    return F.array_contains(F.array(cached["version"], listed), asked_version)
+
+
+def _meeting(items: DataFrame, cached: DataFrame) -> Column:
+    return (items["id"] == cached["id"]) & _answered(items["version"], cached)
+
+
+def _keys(cached: DataFrame) -> DataFrame:
+    return cached.select(*KEY, *[c for c in ("listed",) if c in cached.columns])
 
 
 def cache_hits(items: DataFrame, cached: DataFrame) -> DataFrame:
     """Items whose current version is cached. Reads no bodies."""
-    return items.join(cached.select(*KEY), KEY, "left_semi")
+    keys = _keys(cached)
+    return items.join(keys, _meeting(items, keys), "left_semi")
 
 
 def cache_misses(items: DataFrame, cached: DataFrame) -> DataFrame:
     """Items whose current version is not cached. Reads no bodies."""
-    return items.join(cached.select(*KEY), KEY, "left_anti")
+    keys = _keys(cached)
+    return items.join(keys, _meeting(items, keys), "left_anti")
 
 
 def _newest_leaves(cached: DataFrame) -> DataFrame:
@@ -99,20 +123,23 @@ def _newest_leaves(cached: DataFrame) -> DataFrame:
 
 
 def newest_asked(cached: DataFrame, asked: DataFrame) -> DataFrame:
-    """The newest cache row of every asked (id, version).
+    """Per asked (id, version) the cache row that answers: the same version, then the newest.
 
-    Which row that is is settled on the key columns; only those bodies are read on.
+    Columns: the asked ``id`` and ``version``, ``carried`` (the body's own version), ``body``,
+    ``fetched_ms``. Bodies of a bucketed cache stay where they are.
     """
-    times = cached.select(*KEY, "fetched_ms").join(asked.select(*KEY), KEY, "left_semi")
-    newest = times.groupBy(*KEY).agg(F.max("fetched_ms").alias("fetched_ms"))
-    # a key written twice at the same time has equal bodies, or either will do
-    return cached.join(newest, [*KEY, "fetched_ms"], "left_semi").dropDuplicates(KEY)
-
-
-def damaged(cached: DataFrame) -> DataFrame:
-    """(id, version) of rows whose stored body no longer decodes."""
-    looked = decode_permissive(cached.select(*KEY, "body"), "body", PULL_REQUEST_SCHEMA, KEY)
-    return looked.where(F.size("violations") > 0).select(*KEY)
+    once = asked.select(F.col("id").alias("__id"), F.col("version").alias("__version")).distinct()
+    listed = cached["listed"] if "listed" in cached.columns else cached["version"]
+    rows = cached.select("id", F.col("version").alias("carried"), listed.alias("__listed"), "body", "fetched_ms")
+    met = rows.join(
+        once,
+        (rows["id"] == once["__id"])
+        & F.array_contains(F.array(rows["carried"], rows["__listed"]), once["__version"]),
+    )
+    order = [F.desc(F.col("carried") == F.col("__version")), F.desc("fetched_ms")]
+    return newest_per_key(met, ["__id", "__version"], order).select(
+        F.col("__id").alias("id"), F.col("__version").alias("version"), "carried", "body", "fetched_ms"
+    )
 
 
 def cached_pulls(cached: DataFrame) -> DataFrame:
@@ -128,41 +155,98 @@ def fetch_misses(
     mode: str = "FAILFAST",
     token: str | None = None,
     retries: int = 2,
+    budget: int | None = None,
+    by_version: bool = True,
 ) -> dict[str, int]:
-    """Fetch what the cache lacks and append it. Returns the counts of one job.
+    """Fetch what the cache lacks and append it. Returns the counts of the run.
 
     Good bodies are kept even when others fail, so a rerun does not spend
-    requests on them again; FAILFAST raises after the write.
+    requests on them again; FAILFAST raises after the write. With a ``budget`` all tasks
+    together make that many requests at most, and the counts say how many were made and
+    how many items were not asked for. ``by_version``: a mirror answers for the version
+    that was listed; otherwise with what it has now, as a host does.
     """
     spark = items.sparkSession
-    missing = cache_misses(items, read_cache(spark, cache_dir)).select("url", *KEY)
-    return _fetch_all(missing, endpoint, cache_dir, mode, token, retries)
+    store = open_store(spark, cache_dir)
+    missing = cache_misses(items, body_store.good(spark, store)).select("url", *KEY)
+    return _fetch_all(missing, endpoint, store, mode, token, retries, budget, by_version)
 
 
 def _fetch_all(
-    missing: DataFrame, endpoint: str, cache_dir: str, mode: str, token: str | None, retries: int
+    missing: DataFrame,
+    endpoint: str,
+    store: Generation,
+    mode: str,
+    token: str | None,
+    retries: int,
+    budget: int | None = None,
+    by_version: bool = True,
 ) -> dict[str, int]:
-    answers = judged(fetch(missing, endpoint, token, retries))
+    if budget is None:
+        answers = fetch(missing, endpoint, token, retries, by_version=by_version)
+        counts = _append(judged(answers), store, mode)
+        return {"fetched": counts["fetched"], "failed": counts["failed"]}
+    return _fetch_within(missing, endpoint, store, mode, token, retries, budget, by_version)
+
+
+def _fetch_within(missing, endpoint, store, mode, token, retries, budget, by_version) -> dict[str, int]:
+    """Rounds of requests: each deals what is left of the budget to its tasks.
+
+    A task that needs less than its share leaves the rest to the next round; one that needs
+    more leaves items to it. A round that could ask for nothing is followed by one of a
+    single task.
+    """
+    spark = missing.sparkSession
+    path = scratch_dir(spark, "asked")
+    missing.select("url", *KEY).write.parquet(path)
+    pending = spark.read.schema(missing.select("url", *KEY).schema).parquet(path)
+    left, width, total = budget, None, {"fetched": 0, "failed": 0}
+    unasked = pending.count()
+    while unasked and left > 0:
+        tasks = min(width or spark.sparkContext.defaultParallelism, unasked, left)
+        answers = judged(fetch(pending, endpoint, token, retries, tasks, left, by_version))
+        path = scratch_dir(spark, "answers")
+        answers.drop("row").write.parquet(path)
+        answers = spark.read.schema(answers.drop("row").schema).parquet(path)
+        done = answers.where(F.col("status") != UNASKED)
+        counts = _append(done, store, "PERMISSIVE" if mode.upper() == "FAILFAST" else mode)
+        for name in total:
+            total[name] += counts[name]
+        if counts["failed"] and mode.upper() == "FAILFAST":
+            raise RuntimeError(counts["message"])
+        left -= counts["requests"]
+        pending = answers.where(F.col("status") == UNASKED).select("url", *KEY)
+        width = None if counts["requests"] else 1
+        unasked -= counts["fetched"]
+    return total | {"requests": budget - left, "unasked": unasked}
+
+
+def _append(answers: DataFrame, store: Generation, mode: str) -> dict:
+    """Keep good answers under the version they carry; those with a reason are the quarantine."""
     message = F.when(
         F.col("reason").startswith("HTTP_"), request_failure(F.col("status"), F.col("body"))
     ).otherwise(F.concat(F.lit("Invalid body: "), F.col("reason")))
-    return _append(answers, cache_dir, mode, message)
-
-
-def _append(answers: DataFrame, cache_dir: str, mode: str, message: Column) -> dict[str, int]:
-    seen = Observation()
+    carried = F.coalesce(
+        F.get_json_object("body", "$.updated_at"), F.get_json_object("body", "$.created_at")
+    )
     failed = F.col("outcome") == "failed"
-    watched = answers.withColumn("fetched_ms", F.unix_millis(F.current_timestamp())).observe(
-        seen,
+    own = F.when(failed, F.col("version")).otherwise(F.coalesce(carried, "version"))
+    # one time for the whole run
+    kept = answers.withColumns(
+        {"fetched_ms": F.lit(int(time.time() * 1000)), "listed": F.col("version"), "version": own}
+    )
+    seen = Observation()
+    counted = [
         F.count(F.lit(1)).alias("fetched"),
         F.count_if(failed).alias("failed"),
+        F.coalesce(F.sum("attempts"), F.lit(0)).alias("requests"),
         F.max(F.when(failed, message)).alias("message"),
-    )
-    write_cache(watched, cache_dir)
+    ]
+    body_store.append(kept, store, lambda rows: rows.observe(seen, *counted))
     counts = seen.get
     if counts["failed"] and mode.upper() == "FAILFAST":
         raise RuntimeError(counts["message"])
-    return {"fetched": counts["fetched"], "failed": counts["failed"]}
+    return counts
 
 
 def fetch_through_cache(
@@ -172,23 +256,56 @@ def fetch_through_cache(
     mode: str = "FAILFAST",
     token: str | None = None,
     retries: int = 2,
+    by_version: bool = True,
 ) -> DataFrame:
     """Every listed item decoded, from the cache where possible.
 
-    The misses are fetched and written first; the result then reads only the
-    cache, so a lost executor never repeats a request. Rows nobody asks for are
-    not decoded. An asked row that is damaged counts as a miss.
+    The misses are fetched and written first; what was asked for is then decoded once, from
+    one generation of the cache, and written as typed columns, so a lost executor never
+    repeats a request and a reader reads the columns it wants. An asked row that no
+    longer decodes counts as a miss. Beside ``fetched_ms`` there is ``carried``, the version
+    of the body: a newer one than listed if the host had moved on.
     """
     spark = items.sparkSession
-    before = newest_asked(read_cache(spark, cache_dir), items)
-    path = scratch_dir(spark, "damaged")
-    damaged(before).write.parquet(path)
-    broken = spark.read.schema(plain_schema(id=T.LongType(), version=T.StringType())).parquet(path)
-    if broken.head(1):
-        again = items.join(broken, KEY, "left_semi").select("url", *KEY)
-        _fetch_all(again, endpoint, cache_dir, mode, token, retries)
-    fetch_misses(items, endpoint, cache_dir, mode, token, retries)
-    return decode_held(items, cache_dir, ["full_name", "rank", "version", "fetched_ms"])
+    store = open_store(spark, cache_dir)
+    # the listing is asked for once, however many steps follow
+    path = scratch_dir(spark, "items")
+    wanted = items.select("full_name", "rank", "url", *KEY)
+    wanted.write.parquet(path)
+    wanted = spark.read.schema(wanted.schema).parquet(path)
+    once = wanted.groupBy(*KEY).agg(F.min("url").alias("url"))
+    _fetch_all(
+        cache_misses(once, body_store.good(spark, store)).select("url", *KEY),
+        endpoint, store, mode, token, retries, by_version=by_version,
+    )
+    leaves, broken = _decode_asked(once, store)
+    if broken:
+        again = once.join(leaves.where("NOT __ok").select(*KEY), KEY, "left_semi")
+        _fetch_all(again.select("url", *KEY), endpoint, store, mode, token, retries, by_version=by_version)
+        mended, _ = _decode_asked(again, store)
+        leaves = leaves.where("__ok").unionByName(mended)
+    leaves = leaves.where("__ok").withColumnsRenamed({"id": "__id", "version": "__version"})
+    own = wanted.select(F.col("id").alias("__id"), F.col("version").alias("__version"), "full_name", "rank")
+    rows = assemble(
+        own.join(leaves, ["__id", "__version"]),
+        PULL_REQUEST_SCHEMA,
+        ["full_name", "rank", "__version", "carried", "fetched_ms"],
+    )
+    return rows.withColumnRenamed("__version", "version")
+
+
+def _decode_asked(asked: DataFrame, store: Generation) -> tuple[DataFrame, int]:
+    """(flat columns of the asked rows, ``__ok`` or not, as a table; how many are not)."""
+    spark = asked.sparkSession
+    held = newest_asked(body_store.good(spark, store), asked)
+    named = held.withColumnRenamed("body", "__json")
+    keep = [*KEY, "carried", "fetched_ms"]
+    looked = checked_leaves(named, "__json", PULL_REQUEST_SCHEMA, keep)
+    seen = Observation()
+    path = scratch_dir(spark, "decoded")
+    watched = looked.observe(seen, F.count_if(~F.col("__ok")).alias("broken"))
+    watched.write.parquet(path)
+    return spark.read.schema(looked.schema).parquet(path), seen.get["broken"]
 
 
 def decode_held(items: DataFrame, cache_dir: str, keep: list[str]) -> DataFrame:
@@ -196,8 +313,9 @@ def decode_held(items: DataFrame, cache_dir: str, keep: list[str]) -> DataFrame:
 
     ``keep``: columns of ``items``, and ``fetched_ms``, that stand beside the decoded ones.
     """
-    once = items.select(*KEY).distinct()
-    held = newest_asked(read_cache(items.sparkSession, cache_dir), once)
+    spark = items.sparkSession
+    store = open_store(spark, cache_dir)
+    held = newest_asked(body_store.good(spark, store), items)
     named = held.withColumnsRenamed({"id": "__id", "body": "__json"})
     leaves = decode_leaves(named, "__json", PULL_REQUEST_SCHEMA, ["__id", "version", "fetched_ms"])
     own = [c for c in keep if c not in ("version", "fetched_ms")]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,15 +29,16 @@ def mirror_table(spark, endpoint: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{endpoint.rstrip('/')}/{table}")
 
 
-def _fetch_mirror(items: DataFrame, endpoint: str) -> DataFrame:
+def _fetch_mirror(items: DataFrame, endpoint: str, by_version: bool) -> DataFrame:
     """One equi-join against the mirror; unmatched items are 404.
 
     Without a version, an item gets the newest body of its URL, as a request would.
-    Bodies are never broadcast: they compress so well that a file size says
-    little about what they take in memory.
+    Which body answers is settled on keys, and only those are shuffled. Bodies are never
+    broadcast: they compress so well that a file size says little about what they take
+    in memory.
     """
     details = mirror_table(items.sparkSession, endpoint, "details")
-    if "version" in items.columns:
+    if by_version and "version" in items.columns:
         keys = ["url", "version"]
     else:
         # which version is newest is settled on two columns, before any body moves
@@ -48,7 +50,7 @@ def _fetch_mirror(items: DataFrame, endpoint: str) -> DataFrame:
             .groupBy("url")
             .agg(F.max_by("version", F.struct(F.try_to_timestamp("version"), "version")).alias("version"))
         )
-        details = details.join(newest, ["url", "version"], "left_semi")
+        details = details.join(newest, ["url", "version"], "left_semi").drop("version")
     found = details.select(*keys, "status", F.lit(1).alias("attempts"), "body")
     joined = items.join(found.hint("merge") if len(keys) > 1 else found, keys, "left")
     return joined.select(
@@ -59,15 +61,31 @@ def _fetch_mirror(items: DataFrame, endpoint: str) -> DataFrame:
     )
 
 
+def task_share(budget: int | None, tasks: int, task: int) -> int | None:
+    """The requests that one of some tasks may make, of what all together may."""
+    if budget is None:
+        return None
+    return budget // tasks + (1 if task < budget % tasks else 0)
+
+
 def _fetch_https(
-    items: DataFrame, endpoint: str, token: str | None, retries: int, parallelism: int
+    items: DataFrame,
+    endpoint: str,
+    token: str | None,
+    retries: int,
+    parallelism: int,
+    budget: int | None,
 ) -> DataFrame:
-    """One request per row, spread by URL so a large repository is no hot task."""
+    """One request per row, spread evenly so a large repository is no hot task.
+
+    A budget is dealt to the tasks; rows beyond a task's share come back ``UNASKED``.
+    """
     ship_package(items.sparkSession)
-    spread = items.repartition(parallelism, "url")
-    client = HttpsEndpoint(endpoint, token, retries)
+    spread = items.repartition(parallelism, "url") if budget is None else items.repartition(parallelism)
 
     def get(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        client = HttpsEndpoint(endpoint, token, retries, task_share(budget, parallelism, task))
         for batch in batches:
             # small steps: a lost task repeats little, and nothing is buffered whole
             for start in range(0, batch.num_rows, 64):
@@ -93,12 +111,18 @@ def fetch(
     token: str | None = None,
     retries: int = 2,
     parallelism: int | None = None,
+    budget: int | None = None,
+    by_version: bool = True,
 ) -> DataFrame:
-    """Add ``status``, ``attempts`` and ``body`` to rows with a ``url``."""
+    """Add ``status``, ``attempts`` and ``body`` to rows with a ``url``.
+
+    ``budget``: requests that all tasks together may make; a mirror asks nobody.
+    ``by_version``: a mirror answers for the ``version`` of a row, where there is one.
+    """
     if is_mirror(endpoint):
-        return _fetch_mirror(items, endpoint)
+        return _fetch_mirror(items, endpoint, by_version)
     width = parallelism or items.sparkSession.sparkContext.defaultParallelism
-    return _fetch_https(items, endpoint, token, retries, width)
+    return _fetch_https(items, endpoint, token, retries, width, budget)
 
 
 def request_failure(status: Column, body: Column) -> Column:

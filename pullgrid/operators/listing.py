@@ -10,6 +10,7 @@ from pullgrid.functions.decode import (
     REQUIRED_NULL,
     decode_permissive,
     decode_strict,
+    is_whole,
 )
 from pullgrid.functions.keys import MAX_PAGE_SIZE, cache_key, repo_error, version_date
 from pullgrid.functions.schema import LISTING_SCHEMA
@@ -29,9 +30,9 @@ def page_plan(
     overlap; ``rows_wanted`` says how many rows of the page belong to the batch.
     """
     if max_page_size <= 0:
-        raise ValueError(f"Expected positive max page size, found {max_page_size}")
+        raise ValueError(f"a page of {max_page_size} rows holds nothing")
     size = F.col(batch)
-    message = F.concat(F.lit("Expected positive batch size, found "), size.cast("string"))
+    message = F.concat(F.lit("no repository has a batch of "), F.coalesce(size.cast("string"), F.lit("null")))
     checked = F.when(size > 0, size).otherwise(F.raise_error(message).cast("long"))
     name_error = repo_error(F.col("full_name"))
     named = F.when(name_error.isNull(), F.col("full_name")).otherwise(
@@ -85,7 +86,8 @@ def list_pages(
 
 def _elements(pages: DataFrame, strict: bool) -> DataFrame:
     """(full_name, page, per_page, rows_wanted, body) -> one JSON text per listed element."""
-    elements = F.try_variant_get(F.try_parse_json("body"), "$", "array<variant>")
+    whole = F.when(F.expr(is_whole("body")), F.col("body"))
+    elements = F.try_variant_get(F.try_parse_json(whole), "$", "array<variant>")
     keep = ["full_name", "page", "per_page", "rows_wanted"]
     parsed = pages.select(*keep, F.inline(F.array(F.struct(elements.alias("__items")))))
     if strict:

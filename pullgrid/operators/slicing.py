@@ -11,7 +11,7 @@ from pullgrid.folders import scratch_dir
 def slice_bounds(length: int, slices: int) -> list[tuple[int, int]]:
     """Half-open bounds of every slice of a list; empty slices are legal."""
     if slices < 1:
-        raise ValueError(f"Positive number of slices required, found {slices} slices")
+        raise ValueError(f"{slices} slices cannot hold any work")
     return [(i * length // slices, (i + 1) * length // slices) for i in range(slices)]
 
 
@@ -25,7 +25,7 @@ def slice_items(items: DataFrame, slices: int) -> DataFrame:
     and Spark knows the size of what it might broadcast.
     """
     if slices < 1:
-        raise ValueError(f"Positive number of slices required, found {slices} slices")
+        raise ValueError(f"{slices} slices cannot hold any work")
     # 3 hex digits: at most 4096 first-level rows
     prefix = F.substring(F.md5("full_name"), 1, 3)
     spark = items.sparkSession

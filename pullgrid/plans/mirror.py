@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pullgrid.functions.keys import MAX_PAGE_SIZE, pull_url, version_date
+from pullgrid.functions.keys import MAX_PAGE_SIZE, cache_key, pull_url, version_date
 from pullgrid.operators.cache import read_cache, write_cache
 from pullgrid.operators.ranking import rank_in_group
 from pullgrid.folders import scratch_dir
+from pullgrid.shipping import ship_package
+from pullgrid.sources.storage import open_dir
 from pullgrid.streaming.log import record_tick
 
 HOST = "https://api.example.test"
@@ -242,11 +244,12 @@ def tick_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("version", version_date(F.col("updated_at"), F.col("created_at")))
 
 
-def tick_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the host answers for every version that is listed at some tick."""
+def tick_details(spark: SparkSession, sf_dir: str, last_only: bool = False) -> DataFrame:
+    """What the host answers for every version that is listed at some tick, or for the last one."""
     late = (F.col("k") % 4).cast("int")
     # version 0, and the late one unless it is the same
-    shifts = F.explode(F.array_distinct(F.array(F.lit(0), late))).alias("shift")
+    held = F.array(late) if last_only else F.array_distinct(F.array(F.lit(0), late))
+    shifts = F.explode(held).alias("shift")
     moved = F.when(
         F.col("shift") > 0, iso(F.col("version_ts") + F.make_dt_interval(F.col("shift")))
     )
@@ -261,6 +264,89 @@ def tick_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def listed_at(spark: SparkSession, sf_dir: str, tick: int) -> DataFrame:
+    """The whole listing at a tick, ranked."""
+    at = tick_versions(spark, sf_dir).where(F.col("tick") == tick)
+    return at.join(ranked_listing(spark, sf_dir).select("id", "rank"), "id")
+
+
+def torn_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, body) with what parsers pass over: text behind the document, and repeated keys."""
+    body, case = F.col("body"), F.col("k") % 5
+    torn = (
+        F.when(case == 0, F.concat(body, F.lit(" junk")))
+        .when(case == 1, F.concat(body, F.lit(","), body))
+        .when(case == 2, F.replace(body, F.lit('"ref":'), F.lit('"ref":"other","ref":')))
+        .when(case == 3, F.replace(body, F.lit('"number":'), F.lit('"number":0,"number":')))
+        .otherwise(F.concat(F.lit("\n "), body, F.lit("\t\n")))
+    )
+    return details(spark, sf_dir).select("id", torn.alias("body"))
+
+
+def faulty_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing answers with one fault per element by ``k % 7``; second pages are no arrays."""
+    case = F.col("k") % 7
+    number = F.when(case != 0, F.col("number"))
+    fields = [
+        ("id", F.when(case == 1, F.concat(F.lit('"'), "id", F.lit('"'))).otherwise(F.col("id").cast("string"))),
+        ("number", F.when(case == 2, F.lit("4294967297")).otherwise(number.cast("string"))),
+        ("url", F.when(case == 3, F.lit("null")).otherwise(F.to_json(F.struct("url")).substr(F.lit(8), F.length("url") + 2))),
+        *[
+            (c, F.when((case == 4) | F.col(c).isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), c, F.lit('"'))))
+            for c in ("created_at", "updated_at")
+        ],
+    ]
+    # a missing value leaves its key out
+    members = [F.concat(F.lit(f'"{name}":'), value) for name, value in fields]
+    element = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+    page = F.ceil(F.col("rank") / MAX_PAGE_SIZE).cast("int")
+    grouped = (
+        ranked_listing(spark, sf_dir)
+        .groupBy("full_name", page.alias("page"))
+        .agg(F.array_sort(F.collect_list(F.struct("rank", element.alias("text")))).alias("items"))
+    )
+    array = F.concat(F.lit("["), F.array_join(F.transform("items", lambda x: x["text"]), ","), F.lit("]"))
+    return grouped.select(
+        "full_name",
+        "page",
+        F.lit(MAX_PAGE_SIZE).alias("per_page"),
+        F.lit(MAX_PAGE_SIZE).alias("rows_wanted"),
+        F.when(F.col("page") == 2, F.lit('{"message":"busy"}')).otherwise(array).alias("body"),
+    )
+
+
+def entry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, body) of one text entry per supplier, as older caches kept them."""
+    k, day = F.col("s_suppkey"), F.make_dt_interval((F.col("s_suppkey") % 400).cast("int"))
+    start = F.lit("2016-01-01 00:00:00").cast("timestamp_ntz")
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    places = nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
+    number = (k + 1).cast("int")
+    rows = (
+        table(spark, sf_dir, "supplier")
+        .join(places, F.col("s_nationkey") == F.col("n_nationkey"))
+        .withColumns(
+            {
+                "k": k,
+                "id": FIRST_ID + k,
+                "number": number,
+                "full_name": F.concat(F.translate("r_name", " ", "-"), F.lit("/"), "n_name"),
+                "repo": F.col("n_name"),
+                "o_orderdate": start + day,
+                "o_orderstatus": F.lit("F"),
+                "o_orderpriority": F.col("s_name"),
+                "c_name": F.col("s_name"),
+                "c_custkey": k,
+                "created_at": iso(start + day),
+            }
+        )
+        .withColumn("url", pull_url(HOST, F.col("full_name"), number))
+        .withColumns({c: F.lit(1) for c in ("comments", "commits", "additions", "deletions", "changed_files")})
+    )
+    body = body_json(k, F.lit(None).cast("string"))
+    return rows.select(cache_key(F.col("id"), F.col("created_at")).alias("name"), body.alias("body"))
+
+
 def prior_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cache rows: a third current, a third one day stale, a third absent."""
     k = F.col("k")
@@ -328,6 +414,44 @@ def tick_mirror(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "ticks", build)
 
 
+def moved_mirror(spark: SparkSession, sf_dir: str) -> str:
+    """Endpoint that knows the last version only."""
+
+    def build(root: str) -> None:
+        _write(tick_details(spark, sf_dir, last_only=True), f"{root}/details", ["url"])
+
+    return _once(spark, sf_dir, "moved", build)
+
+
+def gap_log(spark: SparkSession, sf_dir: str) -> str:
+    """Listing log in which every pull request with 1 <= k % 6 <= 4 is missing at one tick."""
+
+    def build(root: str) -> None:
+        for tick in range(1, TICKS + 1):
+            record_tick(listed_at(spark, sf_dir, tick).where(F.col("k") % 6 != tick), root, tick)
+
+    return _once(spark, sf_dir, "gap-log", build)
+
+
+def entry_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of text entries, written by tasks."""
+
+    def build(root: str) -> None:
+        def write(batches):
+            fs, path = open_dir(root)
+            fs.create_dir(path, recursive=True)
+            for batch in batches:
+                for name, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    with fs.open_output_stream(f"{path}/{name}") as out:
+                        out.write(body.encode())
+                yield batch.select(["name"])
+
+        ship_package(spark)
+        entry_rows(spark, sf_dir).mapInArrow(write, "name string").count()
+
+    return _once(spark, sf_dir, "entries", build)
+
+
 def tick_log(spark: SparkSession, sf_dir: str) -> str:
     """Listing log with one complete snapshot per tick."""
 
@@ -348,8 +472,22 @@ def warm_cache(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
-def fresh_cache(spark: SparkSession, sf_dir: str) -> str:
-    """A copy of the prior cache that may be appended to."""
+_SPARE: dict[tuple[str, str], list[str]] = {}
+
+
+def spare_caches(spark: SparkSession, sf_dir: str, copies: int = 2) -> None:
+    """Copies of the prior cache made ahead, so that making them is no part of a query."""
+    held = _SPARE.setdefault((spark.sparkContext.applicationId, sf_dir), [])
+    held += [_cache_copy(spark, sf_dir) for _ in range(copies)]
+
+
+def _cache_copy(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_dir(spark, "cache-copy")
     write_cache(read_cache(spark, warm_cache(spark, sf_dir)), root)
     return root
+
+
+def fresh_cache(spark: SparkSession, sf_dir: str) -> str:
+    """A copy of the prior cache that may be appended to."""
+    held = _SPARE.get((spark.sparkContext.applicationId, sf_dir))
+    return held.pop() if held else _cache_copy(spark, sf_dir)

@@ -207,4 +207,61 @@ ORACLE: dict[str, str] = {
                CAST(sum(deletions) AS BIGINT) AS deletions,
                CAST(sum(commits) AS BIGINT) AS commits
         FROM pulls GROUP BY 1""",
+    "cache_compact": f"""
+        WITH {_IDS}
+        SELECT id, CASE WHEN k % 3 = 0 THEN version
+                        ELSE strftime(version_ts - INTERVAL 1 DAY, {_ISO}) END AS version,
+               CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END AS fetched_ms
+        FROM ids WHERE k % 3 <> 2""",
+    "cache_retention": f"""
+        WITH {_IDS}, {_TICKS}
+        SELECT id, arg_max(version, seconds) AS version FROM ticks GROUP BY id""",
+    "fetch_versions": f"""
+        WITH {_IDS}, {_TICKS}
+        SELECT a.id, a.version, b.version AS carried, true AS known_later
+        FROM ticks a JOIN ticks b ON a.id = b.id AND a.tick = 1 AND b.tick = {TICKS}""",
+    "file_cache": f"""
+        SELECT {FIRST_ID} + s_suppkey AS id,
+               strftime(TIMESTAMP '2016-01-01' + to_days(CAST(s_suppkey % 400 AS INTEGER)), {_ISO})
+                 AS version,
+               CAST(s_suppkey + 1 AS INTEGER) AS number, s_name AS title,
+               s_suppkey % 2 = 0 AS merged
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey
+             JOIN region ON n_regionkey = r_regionkey""",
+    "listing_violations": f"""
+        WITH {_IDS}, elements AS (
+          SELECT full_name, k, (rank - 1) // 100 + 1 AS page FROM ranked),
+        found AS (
+          SELECT CASE k % 7 WHEN 0 THEN 'MISSING_KEY' WHEN 1 THEN 'WRONG_TYPE' WHEN 2 THEN 'OVERFLOW'
+                   ELSE 'REQUIRED_NULL' END AS rule,
+                 CASE k % 7 WHEN 0 THEN 'number' WHEN 1 THEN 'id' WHEN 2 THEN 'number'
+                   WHEN 3 THEN 'url' ELSE 'created_at' END AS field
+          FROM elements WHERE page <> 2 AND k % 7 < 5
+          UNION ALL
+          SELECT 'NOT_ARRAY', '' FROM elements WHERE page = 2 GROUP BY full_name)
+        SELECT rule, field, count(*) AS n FROM found GROUP BY 1, 2""",
+    "text_violations": f"""
+        WITH {_IDS}
+        SELECT CASE WHEN k % 5 IN (0, 1) THEN 'TRAILING_TEXT' WHEN k % 5 IN (2, 3)
+                 THEN 'REPEATED_KEY' ELSE 'none' END AS rule, count(*) AS n
+        FROM ids GROUP BY 1""",
+    "poll_listing": f"""
+        WITH {_IDS} SELECT full_name, rank, id, version FROM ranked""",
+    "stream_diff": f"""
+        WITH {_IDS}, {_TICKS}, here AS (
+          SELECT tick, id, version FROM ticks WHERE (id - {FIRST_ID}) % 6 <> tick),
+        steps AS (SELECT id, tick FROM ids CROSS JOIN (SELECT unnest(range(1, {TICKS + 1})) AS tick))
+        SELECT CAST(s.tick AS BIGINT) AS tick, s.id,
+               CASE WHEN b.id IS NULL THEN 'insert' WHEN a.id IS NULL THEN 'gone'
+                 ELSE 'update' END AS change,
+               a.version, b.version AS was
+        FROM steps s LEFT JOIN here a ON a.id = s.id AND a.tick = s.tick
+             LEFT JOIN here b ON b.id = s.id AND b.tick = s.tick - 1
+        WHERE a.version IS DISTINCT FROM b.version""",
+    "stream_changes_bounded": f"""
+        WITH {_IDS}, {_TICKS}, here AS (
+          SELECT tick, id, version FROM ticks WHERE (id - {FIRST_ID}) % 6 <> tick)
+        SELECT a.id, a.version, CAST(a.tick AS BIGINT) AS tick
+        FROM here a LEFT JOIN here b ON b.id = a.id AND b.tick = a.tick - 1
+        WHERE a.version IS DISTINCT FROM b.version""",
 }

@@ -10,10 +10,10 @@ from pyspark.sql import types as T
 
 from pullgrid.functions.decode import decode_strict, decode_violations
 from pullgrid.functions.schema import PULL_REQUEST_SCHEMA, plain_schema
-from pullgrid.operators import cache, fetch, listing, slicing
+from pullgrid.operators import body_store, cache, fetch, listing, slicing
 from pullgrid.plans import mirror
 from pullgrid.folders import scratch_dir
-from pullgrid.session import register
+from pullgrid.session import create_view, pull_requests
 from pullgrid.streaming import changes, log
 
 BATCH = 245
@@ -61,28 +61,30 @@ def _all_repos(spark: SparkSession, sf_dir: str) -> str:
     return ",".join(sorted(r["full_name"] for r in names))
 
 
-def source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The data source over all repositories, each listed to its end."""
-    register(spark)
+def _whole_host(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """All repositories, each listed to its end, through a cache that is empty."""
+    return {
+        "endpoint": mirror.host_mirror(spark, sf_dir),
+        "repos": _all_repos(spark, sf_dir),
+        "batch": "all",
+        "cacheDir": scratch_dir(spark, "scan-cache"),
+    }
+
+
+def _page_counts(spark: SparkSession, endpoint: str) -> DataFrame:
+    """(full_name, batch) of all repositories, each to its end."""
     return (
-        spark.read.format("pull_requests")
-        .option("endpoint", mirror.host_mirror(spark, sf_dir))
-        .option("repos", _all_repos(spark, sf_dir))
-        .option("batch", "all")
-        .option("cacheDir", scratch_dir(spark, "scan-cache"))
-        .load()
+        fetch.mirror_table(spark, endpoint, "pages")
+        .groupBy(F.concat_ws("/", "owner", "repo").alias("full_name"))
+        .agg((F.max("page") * 100).alias("batch"))
     )
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Work items of the whole host, through page plan, listing requests and decode."""
     endpoint = mirror.host_mirror(spark, sf_dir)
-    whole = (
-        fetch.mirror_table(spark, endpoint, "pages")
-        .groupBy(F.concat_ws("/", "owner", "repo").alias("full_name"))
-        .agg((F.max("page") * 100).alias("batch"))
-    )
-    return listing.decode_listing(listing.list_pages(listing.page_plan(whole), endpoint))
+    plan = listing.page_plan(_page_counts(spark, endpoint))
+    return listing.decode_listing(listing.list_pages(plan, endpoint))
 
 
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +94,7 @@ def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pr_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(source(spark, sf_dir))
+    return flat(pull_requests(spark, **_whole_host(spark, sf_dir)))
 
 
 def pr_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,48 +230,25 @@ def top_prs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register(spark)
-    options = {
-        "endpoint": mirror.host_mirror(spark, sf_dir),
-        "repos": _all_repos(spark, sf_dir),
-        "batch": "all",
-        "cacheDir": scratch_dir(spark, "view-cache"),
-    }
-    text = ", ".join(f"{name} '{value}'" for name, value in options.items())
-    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW prs USING pull_requests OPTIONS ({text})")
+    create_view(spark, "prs", **_whole_host(spark, sf_dir))
     return spark.sql("SELECT number, title FROM prs ORDER BY created_at DESC, id DESC LIMIT 10")
 
 
-def _poll_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The recorded ticks, replayed through the stream source."""
-    register(spark)
-    return (
-        spark.readStream.format("pull_requests")
-        .option("endpoint", mirror.tick_mirror(spark, sf_dir))
-        .option("repos", _all_repos(spark, sf_dir))
-        .option("listingDir", mirror.tick_log(spark, sf_dir))
-        .option("startingTick", 0)
-        .option("pollInterval", 1e9)
-        .option("includeTick", True)
-        .option("cacheDir", scratch_dir(spark, "stream-cache"))
-        .load()
-    )
-
-
 def _run(query) -> None:
     query.awaitTermination()
 
 
 def stream_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every listed row of every tick, decoded."""
     out = scratch_dir(spark, "full")
-    _run(
-        _poll_stream(spark, sf_dir)
-        .select("tick", "id", "additions")
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{out}/checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{out}/rows")
-    )
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        narrow = rows.select(F.col("tick").cast("long").alias("tick"), "id", "additions")
+        narrow.write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
+
+    listed = log.listing_stream(spark, mirror.tick_log(spark, sf_dir))
+    endpoint = mirror.tick_mirror(spark, sf_dir)
+    _run(log.start_decoded(listed, endpoint, f"{out}/cache", f"{out}/checkpoint", write))
     return (
         spark.read.schema("tick bigint, id bigint, additions int")
         .parquet(f"{out}/rows")
@@ -314,11 +293,97 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scratch_dir(spark, "ingest")
+    held = _ingested(spark, sf_dir, scratch_dir(spark, "ingest"))
+    return cache.read_cache(spark, held).select("id", "version", "status")
+
+
+def _ingested(spark: SparkSession, sf_dir: str, out: str) -> str:
+    """A cache that holds every version of every tick."""
     listed = log.listing_stream(spark, mirror.tick_log(spark, sf_dir))
     endpoint = mirror.tick_mirror(spark, sf_dir)
     _run(log.start_ingest(listed, endpoint, f"{out}/cache", f"{out}/checkpoint"))
-    return cache.read_cache(spark, f"{out}/cache").select("id", "version", "status")
+    return f"{out}/cache"
+
+
+def cache_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prior cache, a third of it written again later, merged into one base."""
+    root = mirror.fresh_cache(spark, sf_dir)
+    held = cache.read_cache(spark, mirror.warm_cache(spark, sf_dir))
+    again = held.where((F.col("id") - mirror.FIRST_ID) % 3 == 0)
+    cache.write_cache(again.withColumn("fetched_ms", F.lit(1).cast("long")), root)
+    body_store.compact(spark, root)
+    return cache.read_cache(spark, root).select("id", "version", "fetched_ms")
+
+
+def cache_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cache of all versions, cut down to the newest of each id."""
+    root = _ingested(spark, sf_dir, scratch_dir(spark, "retention"))
+    body_store.compact(spark, root, keep=1)
+    return cache.read_cache(spark, root).select("id", "version")
+
+
+def fetch_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A host that has moved on since its listing: what was listed, what came, what is known later."""
+    root, endpoint = scratch_dir(spark, "versions"), mirror.moved_mirror(spark, sf_dir)
+    early = mirror.listed_at(spark, sf_dir, 1)
+    rows = cache.fetch_through_cache(early, endpoint, root, by_version=False)
+    late = mirror.listed_at(spark, sf_dir, mirror.TICKS).select("id", "version")
+    known = cache.cache_hits(late, cache.read_cache(spark, root)).select(
+        "id", F.lit(True).alias("known_later")
+    )
+    return rows.select("id", "version", "carried").join(known, "id", "left")
+
+
+def file_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text entries of an older cache, decoded."""
+    rows = cache.read_file_cache(spark, mirror.entry_files(spark, sf_dir))
+    return cache.cached_pulls(rows).select("id", "version", "number", "title", "merged")
+
+
+def listing_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = listing.reject_listing(mirror.faulty_pages(spark, sf_dir))
+    return found.groupBy("rule", "field").agg(F.count(F.lit(1)).alias("n"))
+
+
+def text_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stands behind a document, and keys that an object repeats."""
+    found = decode_violations(mirror.torn_details(spark, sf_dir), "body", PULL_REQUEST_SCHEMA)
+    rule = F.coalesce(F.get(F.col("violations"), F.lit(0))["rule"], F.lit("none"))
+    return found.groupBy(rule.alias("rule")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def poll_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole host, listed by tasks and recorded as one tick."""
+    endpoint, listing_dir = mirror.host_mirror(spark, sf_dir), scratch_dir(spark, "poll")
+    log.poll_tick(_page_counts(spark, endpoint), endpoint, listing_dir, 1)
+    return log.read_tick(spark, listing_dir, 1).select("full_name", "rank", "id", "version")
+
+
+def stream_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tick against the one before, with what is gone."""
+    out = scratch_dir(spark, "diff")
+
+    def write(rows: DataFrame, tick: int) -> None:
+        rows.drop("tick").write.mode("overwrite").parquet(f"{out}/rows/tick={tick}")
+
+    _run(log.start_difference(spark, mirror.gap_log(spark, sf_dir), write, f"{out}/checkpoint"))
+    rows = spark.read.schema("id bigint, change string, version string, was string, tick bigint")
+    return rows.parquet(f"{out}/rows").select("tick", "id", "change", "version", "was")
+
+
+def stream_changes_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New versions; an id that was not listed for longer than a tick counts as new."""
+    out = scratch_dir(spark, "bounded")
+    listed = log.listing_stream(spark, mirror.gap_log(spark, sf_dir), ticks_per_batch=1)
+    timed = listed.withColumn("at", F.timestamp_seconds(F.col("tick") * 60))
+    _run(
+        changes.bounded_changes(timed, "at", 60)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{out}/rows")
+    )
+    return spark.read.schema("id bigint, version string, tick bigint").parquet(f"{out}/rows")
 
 
 def repo_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,4 +428,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_upsert": stream_upsert,
     "stream_ingest": stream_ingest,
     "repo_summary": repo_summary,
+    "cache_compact": cache_compact,
+    "cache_retention": cache_retention,
+    "fetch_versions": fetch_versions,
+    "file_cache": file_cache,
+    "listing_violations": listing_violations,
+    "text_violations": text_violations,
+    "poll_listing": poll_listing,
+    "stream_diff": stream_diff,
+    "stream_changes_bounded": stream_changes_bounded,
 }

@@ -75,20 +75,17 @@ def _name(options: Mapping[str, str], key: str, default: str, meaning: str) -> s
         return default
     value = options[key].strip()
     if not value:
-        raise ValueError(
-            f"Expected non-empty '{key}' option, found empty value. '{key}' option is "
-            f"{meaning}, default value is {default}"
-        )
+        raise ValueError(f"option '{key}' is blank; leave it out for {meaning} {default!r}")
     return value
 
 
 def _repos(options: Mapping[str, str]) -> tuple[tuple[str, str], ...]:
     if "repos" not in options:
-        user = _name(options, "user", DEFAULT_USER, "a user or organization name")
-        repo = _name(options, "repo", DEFAULT_REPO, "a repository name without user prefix")
+        user = _name(options, "user", DEFAULT_USER, "the owner")
+        repo = _name(options, "repo", DEFAULT_REPO, "the repository")
         for key, value in (("user", user), ("repo", repo)):
             if "/" in value:
-                raise ValueError(f"'{key}' parameter contains '/' which will alter URL")
+                raise ValueError(f"option '{key}' is one name, without '/': {value!r}")
         return ((user, repo),)
     if "user" in options or "repo" in options:
         raise ValueError("Give either 'repos' or 'user' and 'repo'")
@@ -115,14 +112,9 @@ def _batch(options: Mapping[str, str]) -> int | None:
             raise ValueError(text)
         size = int(text)
     except ValueError as error:
-        raise ValueError(
-            f"Invalid batch size {text}, should be positive integer, see cause for more info"
-        ) from error
+        raise ValueError(f"option 'batch' is {text!r}, neither a number nor {ALL!r}") from error
     if not MIN_BATCH <= size <= MAX_BATCH:
-        raise ValueError(
-            f"Batch size {size} is out of bound, expected positive integer between "
-            f"{MIN_BATCH} and {MAX_BATCH}, found {size}"
-        )
+        raise ValueError(f"option 'batch' is {size}, outside {MIN_BATCH} to {MAX_BATCH}")
     return size
 
 
@@ -145,7 +137,7 @@ def _number(options: Mapping[str, str], key: str, default, kind, least):
 def parse(
     options: Mapping[str, str],
     default_partitions: int,
-    default_cache_dir: str = DEFAULT_CACHE_DIR,
+    default_cache_dir: str | None = DEFAULT_CACHE_DIR,
 ) -> Options:
     repos = _repos(options)
     batch = _batch(options)
@@ -153,9 +145,13 @@ def parse(
     if mode not in MODES:
         raise ValueError(f"Option 'mode' must be one of {', '.join(MODES)}, found {mode}")
     cache_dir = options["cacheDir"] if "cacheDir" in options else default_cache_dir
+    if cache_dir is None:
+        raise ValueError(
+            "set spark.checkpoint.dir or option 'cacheDir' to a folder that all executors share"
+        )
     endpoint = options["endpoint"] if "endpoint" in options else DEFAULT_ENDPOINT
     identity = "\n".join([endpoint, batch_text(batch), *sorted(f"{u}/{r}" for u, r in repos)])
-    default_listing = f"{default_cache_dir.rstrip('/')}-listing/{sha256(identity.encode()).hexdigest()}"
+    default_listing = f"{(default_cache_dir or cache_dir).rstrip('/')}-listing/{sha256(identity.encode()).hexdigest()}"
     return Options(
         repos=repos,
         batch=batch,

@@ -6,18 +6,15 @@ named repository, or all of them. Tasks list their own pages.
 
 from __future__ import annotations
 
+import operator
 import time
-import uuid
 import warnings
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from datetime import UTC, datetime
 from itertools import islice
 
 import pyarrow as pa
-import pyarrow.compute as pc
-import pyarrow.dataset as ds
-import pyarrow.parquet as pq
-from pyarrow.fs import FileType
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource,
@@ -25,42 +22,50 @@ from pyspark.sql.datasource import (
     DataSourceStreamReader,
     EqualTo,
     Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
     In,
     InputPartition,
+    LessThan,
+    LessThanOrEqual,
 )
 
 from pullgrid.functions.decode import REQUIRED_NULL
-from pullgrid.functions.schema import LISTING_SCHEMA, PULL_REQUEST_SCHEMA
+from pullgrid.functions.schema import LISTING_SCHEMA, PULL_REQUEST_SCHEMA, plain_schema
 from pullgrid.operators.slicing import slice_bounds
+from pullgrid.sources.cached_bodies import CachedBodies
 from pullgrid.sources.listing_log import (
     Segment,
+    begin_tick,
     check_identity,
+    finish_tick,
     last_tick,
+    list_walk,
+    open_walks,
     plan_tick,
     read_segments,
-    write_tick,
 )
 from pullgrid.sources.options import DEFAULT_CACHE_DIR, Options, Walk, parse
 from pullgrid.sources.rows import StrictDecoder, arrow_schema
-from pullgrid.sources.storage import check_cache_dir, open_dir
+from pullgrid.sources.storage import check_cache_dir
 from pullgrid.sources.transport import Item, ListingPage, connect, is_mirror, succeeded
 
 # Rows decoded, cached and handed to Spark at a time.
 CHUNK = 2048
 
-_CACHE_ARROW = pa.schema(
-    [
-        ("id", pa.int64()),
-        ("version", pa.string()),
-        ("body", pa.string()),
-        ("fetched_ms", pa.int64()),
-        ("status", pa.int32()),
-        ("reason", pa.string()),
-    ]
+Work = tuple[str, str, int, Item]
+
+# What the host answered for each listed item, as text.
+BODY_SCHEMA = plain_schema(
+    full_name=T.StringType(),
+    rank=T.LongType(),
+    id=T.LongType(),
+    number=T.IntegerType(),
+    url=T.StringType(),
+    version=T.StringType(),
+    body=T.StringType(),
 )
 
-Work = tuple[str, str, Item]
-
 
 @dataclass
 class WalksPartition(InputPartition):
@@ -71,12 +76,21 @@ class WalksPartition(InputPartition):
 
 @dataclass
 class LogPartition(InputPartition):
-    """A slice of one tick of the listing log."""
+    """A slice of one complete tick of the listing log."""
 
     tick: int
     segments: list[Segment]
 
 
+@dataclass
+class ListPartition(InputPartition):
+    """Some of the walks of a tick that is not complete, for the task to list and log."""
+
+    tick: int
+    walks: list[tuple[int, Walk]]
+    of: int
+
+
 def list_page(options: Options, user: str, repo: str, page: int) -> tuple[list, bool]:
     """((rank, item) of one listing page, cut at the batch; whether it was the last page)."""
     client = connect(options.endpoint, options.token, options.retries)
@@ -100,7 +114,7 @@ def list_page(options: Options, user: str, repo: str, page: int) -> tuple[list,
             found = [(REQUIRED_NULL, "created_at")]
         if found:
             raise RuntimeError(f"Invalid listing element {element}: {' '.join(found[0])}")
-        item = Item(row["id"], row["number"], row["url"], version)
+        item = Item(row["id"], row["number"], row["url"], version, row["created_at"], row["updated_at"])
         items.append((ahead + position + 1, item))
     return items, short
 
@@ -125,107 +139,105 @@ def warn_without_token(options: Options) -> None:
 
 
 class _Fetcher:
-    """Items -> record batches, through the cache."""
+    """Items -> (full name, rank, item, body) of valid bodies, through the cache."""
 
-    def __init__(self, options: Options, schema: T.StructType):
+    def __init__(self, options: Options):
         self.options = options
-        self.schema = arrow_schema(schema)
         self.decoder = StrictDecoder(PULL_REQUEST_SCHEMA)
         self.client = connect(options.endpoint, options.token, options.retries)
-        # the cache as it is when the task starts; footers are read once
-        fs, root = open_dir(options.cache_dir)
-        path = f"{root}/outcome=ok"
-        there = fs.get_file_info(path).type == FileType.Directory
-        self._cache = (
-            ds.dataset(path, schema=_CACHE_ARROW, filesystem=fs, format="parquet")
-            if there
-            else None
-        )
+        self.cache = CachedBodies(options.cache_dir)
 
-    def _cached(self, items: list[Item]) -> dict[tuple[int, str], str]:
-        if self._cache is None:
-            return {}
-        table = self._cache.to_table(
-            columns=["id", "version", "body", "fetched_ms"],
-            filter=pc.field("id").isin(pa.array([i.id for i in items], pa.int64())),
-            use_threads=False,
-        )
-        newest: dict[tuple[int, str], tuple[int, str]] = {}
-        for row in table.to_pylist():
-            key, value = (row["id"], row["version"]), (row["fetched_ms"], row["body"])
-            if key not in newest or newest[key] < value:
-                newest[key] = value
-        return {key: body for key, (_, body) in newest.items()}
-
-    def _store(self, outcome: str, rows: list[dict]) -> None:
-        if not rows:
-            return
-        fs, root = open_dir(self.options.cache_dir)
-        directory = f"{root}/outcome={outcome}"
-        fs.create_dir(directory, recursive=True)
-        name = uuid.uuid4().hex
-        hidden = f"{directory}/.{name}.parquet"
-        table = pa.Table.from_pylist(rows, schema=_CACHE_ARROW)
-        pq.write_table(table, hidden, filesystem=fs)
-        fs.move(hidden, f"{directory}/part-{name}.parquet")
-
-    def _chunk(self, user: str, repo: str, items: list[Item]) -> list[dict]:
-        cached = self._cached(items)
-        missing = [i for i in items if (i.id, i.version) not in cached]
-        missing = list(dict.fromkeys(missing))
-        answers = dict(zip(missing, self.client.details(user, repo, missing), strict=True))
-        good, bad, out, failure = [], [], [], None
+    def _fetch(self, user: str, repo: str, missing: list[Item]) -> tuple[dict, str | None]:
+        """(bodies of valid answers, the first failure); what was fetched is kept either way.
+
+        A host that has moved on since the listing answers with a newer version: the body
+        is kept under the version it carries, beside the one that was listed.
+        """
+        good, bad, bodies, failure = [], [], {}, None
         now = int(time.time() * 1000)
-        for item in items:
-            answer = answers.get(item)
-            body = cached[(item.id, item.version)] if answer is None else answer.body
-            row, reason = None, None
-            if answer is not None and not succeeded(answer.status):
+        answers = self.client.details(user, repo, missing)
+        for item, answer in zip(missing, answers, strict=True):
+            reason, version = None, item.version
+            if not succeeded(answer.status):
                 reason = f"HTTP_{answer.status}"
-                failure = failure or f"Request failed with code {answer.status}: {body}"
+                failure = failure or f"Request failed with code {answer.status}: {answer.body}"
             else:
-                row, found = self.decoder.body(body)
+                document, found = self.decoder.checked(answer.body)
                 if found:
                     reason = " ".join(found[0]).strip()
                     failure = failure or f"Invalid body: {reason}"
-            if row is not None:
-                out.append(row)
-            if answer is not None:
-                entry = {
-                    "id": item.id,
-                    "version": item.version,
-                    "body": body,
-                    "fetched_ms": now,
-                    "status": answer.status,
-                    "reason": reason,
-                }
-                (good if reason is None else bad).append(entry)
+                else:
+                    version = document["updated_at"] or document["created_at"] or version
+                    bodies[item] = answer.body
+            entry = {
+                "id": item.id,
+                "version": version,
+                "listed": item.version,
+                "body": answer.body,
+                "fetched_ms": now,
+                "status": answer.status,
+                "reason": reason,
+            }
+            (good if reason is None else bad).append(entry)
         # before rows are handed out, and before a failure is raised
-        self._store("ok", good)
-        self._store("failed", bad)
-        if failure and self.options.mode == "FAILFAST":
-            raise RuntimeError(failure)
+        self.cache.keep("ok", good)
+        self.cache.keep("failed", bad)
+        return bodies, failure
+
+    def _chunk(self, part: list[Work]) -> list[tuple[str, int, Item, str]]:
+        cached = self.cache.find([(item.id, item.version) for *_, item in part])
+        by_repo: dict[tuple[str, str], list[Item]] = {}
+        fetched: dict[Item, str] = {}
+        for user, repo, _, item in part:
+            if (item.id, item.version) not in cached:
+                by_repo.setdefault((user, repo), []).append(item)
+        for (user, repo), missing in by_repo.items():
+            bodies, failure = self._fetch(user, repo, list(dict.fromkeys(missing)))
+            fetched |= bodies
+            if failure and self.options.mode == "FAILFAST":
+                raise RuntimeError(failure)
+        out = []
+        for user, repo, rank, item in part:
+            body = cached.get((item.id, item.version)) or fetched.get(item)
+            if body is not None:
+                out.append((f"{user}/{repo}", rank, item, body))
         return out
 
-    def batches(self, work: Iterator[Work], **constants) -> Iterator[pa.RecordBatch]:
+    def chunks(self, work: Iterator[Work]) -> Iterator[list[tuple[str, int, Item, str]]]:
         work = iter(work)
         while part := list(islice(work, CHUNK)):
-            by_repo: dict[tuple[str, str], list[Item]] = {}
-            for user, repo, item in part:
-                by_repo.setdefault((user, repo), []).append(item)
-            rows = [r for repo, items in by_repo.items() for r in self._chunk(*repo, items)]
-            for row in rows:
-                row.update(constants)
-            yield pa.RecordBatch.from_pylist(rows, schema=self.schema)
+            yield self._chunk(part)
+
+    def typed(self, work: Iterator[Work], schema: T.StructType, **constants) -> Iterator[pa.RecordBatch]:
+        """Decoded rows."""
+        shape = arrow_schema(schema)
+        for part in self.chunks(work):
+            rows = []
+            for *_, body in part:
+                row, found = self.decoder.body(body)
+                if row is not None:
+                    rows.append(row | constants)
+                elif self.options.mode == "FAILFAST":
+                    raise RuntimeError(f"Invalid body: {' '.join(found[0]).strip()}")
+            yield pa.RecordBatch.from_pylist(rows, schema=shape)
+
+    def texts(self, work: Iterator[Work]) -> Iterator[pa.RecordBatch]:
+        """Bodies as text, for Spark to decode."""
+        shape = arrow_schema(BODY_SCHEMA)
+        for part in self.chunks(work):
+            names, ranks, items, bodies = zip(*part, strict=True) if part else ((), (), (), ())
+            columns = [names, ranks, *([getattr(i, c) for i in items] for c in BODY_SCHEMA.names[2:6]), bodies]
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, shape, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=shape)
 
 
 class PullRequestReader(DataSourceReader):
     def __init__(self, options: Options):
         self.options = options
-        self._conditions: list[tuple[str, set]] = []
+        self._conditions: list[Callable[[Item], bool]] = []
 
     def _selected(self, item: Item) -> bool:
-        return all(getattr(item, column) in values for column, values in self._conditions)
+        return all(holds(item) for holds in self._conditions)
 
     def partitions(self) -> list[InputPartition]:
         options = self.options
@@ -237,27 +249,84 @@ class PullRequestReader(DataSourceReader):
 
     def _work(self, partition: WalksPartition) -> Iterator[Work]:
         for walk in partition.walks:
-            for _, item in walk_pages(self.options, walk):
+            for rank, item in walk_pages(self.options, walk):
                 if self._selected(item):
-                    yield walk.user, walk.repo, item
+                    yield walk.user, walk.repo, rank, item
+
+    def read(self, partition) -> Iterator[pa.RecordBatch]:
+        if partition is not None:
+            yield from _Fetcher(self.options).typed(self._work(partition), PULL_REQUEST_SCHEMA)
+
+
+class BodyReader(PullRequestReader):
+    """The same rows as the host's own text, with what the listing says of them."""
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
         if partition is not None:
-            yield from _Fetcher(self.options, PULL_REQUEST_SCHEMA).batches(self._work(partition))
+            yield from _Fetcher(self.options).texts(self._work(partition))
+
+
+_RANGES = {
+    GreaterThan: operator.gt,
+    GreaterThanOrEqual: operator.ge,
+    LessThan: operator.lt,
+    LessThanOrEqual: operator.le,
+}
+_DATES = ("created_at", "updated_at")
+
+
+def _instant(text: str | None) -> datetime | None:
+    if text is None:
+        return None
+    stamp = datetime.fromisoformat(text)
+    return stamp if stamp.tzinfo else stamp.replace(tzinfo=UTC)
+
+
+def _condition(asked: Filter) -> Callable[[Item], bool] | None:
+    """What a filter says of a listed item; none if the listing does not know."""
+    column = asked.attribute[0] if len(getattr(asked, "attribute", ())) == 1 else None
+    if column in ("id", "number", "url") and isinstance(asked, (EqualTo, In)):
+        values = {asked.value} if isinstance(asked, EqualTo) else set(asked.value)
+        return lambda item: getattr(item, column) in values
+    compare = _RANGES.get(type(asked))
+    if compare is None or column not in ("id", "number", *_DATES):
+        return None
+    bound = asked.value
+    if column not in _DATES:
+        return lambda item: compare(getattr(item, column), bound)
+    if not isinstance(bound, datetime):
+        return None
+    # a naive time is one of the process, as Spark hands it over
+    bound = bound.astimezone(UTC)
 
+    def holds(item: Item) -> bool:
+        stamp = _instant(getattr(item, column))
+        return stamp is not None and compare(stamp, bound)
 
-class PushdownReader(PullRequestReader):
-    """Drops unwanted items before they cost a request. Spark filters again."""
+    return holds
+
+
+class _Pushdown:
+    """Drops unwanted items before they cost a request. Spark filters again.
+
+    Dates are those of the listing, which is what a read is of: a pull request that changes
+    between its listing and its request is selected as it was listed.
+    """
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for condition in filters:
-            column = condition.attribute if isinstance(condition, (EqualTo, In)) else ()
-            # what never changes between listing and body
-            if column in (("id",), ("number",), ("url",)):
-                one = isinstance(condition, EqualTo)
-                values = {condition.value} if one else set(condition.value)
-                self._conditions.append((column[0], values))
-            yield condition
+        for asked in filters:
+            holds = _condition(asked)
+            if holds is not None:
+                self._conditions.append(holds)
+            yield asked
+
+
+class PushdownReader(_Pushdown, PullRequestReader):
+    pass
+
+
+class PushdownBodyReader(_Pushdown, BodyReader):
+    pass
 
 
 class PullRequestStreamReader(DataSourceStreamReader):
@@ -267,24 +336,6 @@ class PullRequestStreamReader(DataSourceStreamReader):
         self.options = options
         self.schema = schema
 
-    def _poll(self, tick: int) -> None:
-        options = self.options
-        check_identity(options.listing_dir, options.identity)
-        warn_without_token(options)
-        rows = [
-            {
-                "full_name": f"{walk.user}/{walk.repo}",
-                "rank": rank,
-                "id": item.id,
-                "number": item.number,
-                "url": item.url,
-                "version": item.version,
-            }
-            for walk in options.walks
-            for rank, item in walk_pages(options, walk)
-        ]
-        write_tick(options.listing_dir, tick, rows)
-
     def initialOffset(self) -> dict:
         start = self.options.starting_tick
         if start is None:
@@ -293,35 +344,57 @@ class PullRequestStreamReader(DataSourceStreamReader):
         return {"tick": start}
 
     def latestOffset(self) -> dict:
-        tick, age = last_tick(self.options.listing_dir)
-        if age >= self.options.poll_seconds:
+        """The newest tick; a new one is only begun here, its pages are left to tasks."""
+        options = self.options
+        tick, age = last_tick(options.listing_dir)
+        if age >= options.poll_seconds:
+            check_identity(options.listing_dir, options.identity)
+            warn_without_token(options)
             tick += 1
-            self._poll(tick)
+            begin_tick(options.listing_dir, tick, options.walks)
         return {"tick": tick}
 
+    def _planned(self, tick: int) -> list[InputPartition]:
+        options = self.options
+        walks = open_walks(options.listing_dir, tick)
+        if walks is None:
+            slices = plan_tick(options.listing_dir, tick, options.partitions)
+            return [LogPartition(tick, segments) for segments in slices]
+        numbered = list(enumerate(walks))
+        bounds = slice_bounds(len(walks), min(len(walks), options.partitions))
+        return [ListPartition(tick, numbered[low:high], len(walks)) for low, high in bounds]
+
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         if end["tick"] > start["tick"]:
             check_cache_dir(self.options.cache_dir)
-        return [
-            LogPartition(tick, segments)
-            for tick in range(start["tick"] + 1, end["tick"] + 1)
-            for segments in plan_tick(
-                self.options.listing_dir, tick, self.options.partitions
+        return [p for tick in range(start["tick"] + 1, end["tick"] + 1) for p in self._planned(tick)]
+
+    def _logged(self, partition: ListPartition) -> Iterator[pa.RecordBatch]:
+        """Rows of some walks, listed and logged here unless an earlier attempt has."""
+        log_dir = self.options.listing_dir
+        for number, walk in partition.walks:
+            rows = (
+                {"full_name": f"{walk.user}/{walk.repo}", "rank": rank}
+                | {c: getattr(item, c) for c in ("id", "number", "url", "version")}
+                for rank, item in walk_pages(self.options, walk)
             )
-        ]
-
-    def _work(self, segments: list[Segment]) -> Iterator[Work]:
-        for batch in read_segments(self.options.listing_dir, segments):
+            yield from list_walk(log_dir, partition.tick, number, rows)
+        finish_tick(log_dir, partition.tick, partition.of)
+
+    def _work(self, partition) -> Iterator[Work]:
+        if isinstance(partition, ListPartition):
+            batches = self._logged(partition)
+        else:
+            batches = read_segments(self.options.listing_dir, partition.segments)
+        for batch in batches:
             for row in batch.to_pylist():
                 user, repo = row["full_name"].split("/")
-                yield user, repo, Item(row["id"], row["number"], row["url"], row["version"])
+                yield user, repo, row["rank"], Item(row["id"], row["number"], row["url"], row["version"])
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
-        if partition is None:
-            return
-        fetcher = _Fetcher(self.options, self.schema)
-        constants = {"tick": partition.tick} if self.options.include_tick else {}
-        yield from fetcher.batches(self._work(partition.segments), **constants)
+        if partition is not None:
+            constants = {"tick": partition.tick} if self.options.include_tick else {}
+            yield from _Fetcher(self.options).typed(self._work(partition), self.schema, **constants)
 
     def commit(self, end: dict) -> None:
         pass
@@ -367,6 +440,21 @@ class PullRequestSource(DataSource):
         return PullRequestStreamReader(self.config, self._declared(schema))
 
 
-def with_pushdown() -> type[PullRequestSource]:
-    """The source whose reader takes filters; Spark must have filter pushdown on."""
-    return type("PushdownSource", (PullRequestSource,), {"reader_class": PushdownReader})
+class PullRequestBodySource(PullRequestSource):
+    """Bodies as text: ``pullgrid.pull_requests`` decodes them in Spark."""
+
+    reader_class = BodyReader
+
+    @classmethod
+    def name(cls) -> str:
+        return "pull_request_bodies"
+
+    def schema(self) -> T.StructType:
+        return BODY_SCHEMA
+
+    def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
+        raise ValueError(f"{self.name()} cannot be read as a stream")
+
+
+# readers that take filters; Spark must have filter pushdown on
+PUSHDOWN = {PullRequestSource: PushdownReader, PullRequestBodySource: PushdownBodyReader}

@@ -1,8 +1,7 @@
 """The two places a pull request can come from: a code host, or a mirror of one.
 
 Both answer the same two questions inside a task: a listing page, and the
-bodies of some listed items. Nothing here runs outside a Spark task, except a
-stream's poll.
+bodies of some listed items. Nothing here runs outside a Spark task.
 """
 
 from __future__ import annotations
@@ -26,8 +25,9 @@ from pullgrid.sources.storage import open_dir
 # The host's API root and the statuses that are worth a retry.
 DEFAULT_ENDPOINT = "https://api.github.com"
 RETRYABLE = (429, 500, 502, 503, 504)
-# Status given to a request that got no answer at all.
+# Status given to a request that got no answer at all, and to one that was never made.
 NO_ANSWER = 599
+UNASKED = 0
 # Requests of one task under way together, and the longest wait a task sits out (seconds).
 AT_ONCE = 8
 MAX_WAIT = 900.0
@@ -46,6 +46,8 @@ class Item(NamedTuple):
     number: int
     url: str
     version: str
+    created_at: str | None = None
+    updated_at: str | None = None
 
 
 def _segment(name: str) -> str:
@@ -99,30 +101,65 @@ def seconds_to_wait(headers: Mapping[str, str], now: float) -> float | None:
     return None
 
 
+class Allowance:
+    """A number of requests that several threads may make together; none: any number."""
+
+    def __init__(self, requests: int | None):
+        self.left = requests
+        self._lock = threading.Lock()
+
+    def take(self) -> bool:
+        if self.left is None:
+            return True
+        with self._lock:
+            if not self.left:
+                return False
+            self.left -= 1
+            return True
+
+
 class HttpsEndpoint:
     """GET over kept connections, a few at a time, with bounded retries.
 
     Redirects count as failures. The token goes to the endpoint's own host only. A wait
     the host asks for is kept; one beyond ``MAX_WAIT`` ends the task with an error.
+    Threads and their connections are kept as long as the endpoint. ``allowance``: the
+    requests it may make in all, retries included; what is beyond is not asked.
     """
 
-    def __init__(self, base: str, token: str | None = None, retries: int = 2, timeout: float = 30):
+    def __init__(
+        self,
+        base: str,
+        token: str | None = None,
+        retries: int = 2,
+        allowance: int | None = None,
+        timeout: float = 30,
+    ):
         self.base = base.rstrip("/")
         self._token = token
         self.retries = retries
         self.timeout = timeout
-        self._kept = None  # connections of each thread, made on the worker
+        self.allowance = allowance
+        self._start()
+
+    def _start(self) -> None:
+        self._kept = threading.local()  # connections of each thread
+        self._pool = None
+        self._allowed = Allowance(self.allowance)
 
     def __repr__(self) -> str:
         shown = "*****" if self._token is not None else None
         return f"HttpsEndpoint(base={self.base}, token={shown}, retries={self.retries})"
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_kept": None}
+        own = ("_kept", "_pool", "_allowed")
+        return {k: v for k, v in self.__dict__.items() if k not in own}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state
+        self._start()
 
     def _connection(self, scheme: str, host: str):
-        if self._kept is None:
-            self._kept = threading.local()
         held = self._kept.__dict__
         if (scheme, host) not in held:
             kind = http.client.HTTPSConnection if scheme == "https" else http.client.HTTPConnection
@@ -153,12 +190,16 @@ class HttpsEndpoint:
         return answer.status, body, seconds_to_wait(answer.headers, time.time())
 
     def get(self, url: str) -> Response:
+        last = Response(UNASKED, None, 0)
         for attempt in range(self.retries + 1):
+            if not self._allowed.take():
+                return last
             status, body, wait = self._once(url)
+            last = Response(status, body, attempt + 1)
             limited = status == 403 and wait is not None
             again = limited or status in RETRYABLE or status == NO_ANSWER
             if not again or attempt == self.retries:
-                return Response(status, body, attempt + 1)
+                return last
             if wait is not None and wait > MAX_WAIT:
                 raise RuntimeError(f"the host asks to wait {wait:.0f} s before the next request")
             time.sleep(2.0**attempt if wait is None else wait)
@@ -168,9 +209,9 @@ class HttpsEndpoint:
         """Answers in the order of the URLs, ``AT_ONCE`` requests at a time."""
         if len(urls) < 2:
             return [self.get(url) for url in urls]
-        self._kept = self._kept or threading.local()
-        with ThreadPoolExecutor(AT_ONCE) as pool:
-            return list(pool.map(self.get, urls))
+        if self._pool is None:
+            self._pool = ThreadPoolExecutor(AT_ONCE)
+        return list(self._pool.map(self.get, urls))
 
     def page(self, asked: ListingPage) -> Response:
         return self.get(self.base + asked.path())

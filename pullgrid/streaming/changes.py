@@ -1,6 +1,7 @@
 """From a stream that re-emits everything to changes and to current state.
 
-Both sinks are directories of one sub-directory per micro-batch. A replayed
+``changes_writer`` looks at all it has written; ``bounded_changes`` remembers only ids that
+were listed lately. Both sinks are directories of one sub-directory per micro-batch. A replayed
 micro-batch overwrites its own directory and looks only at earlier ones, so
 its output is the same however often it runs.
 """
@@ -53,6 +54,53 @@ def changes_writer(sink: str, schema: T.StructType) -> Writer:
     return run
 
 
+_SEEN = "version_us bigint, version string, seen_us bigint"
+
+
+def bounded_changes(listed: DataFrame, at: str, horizon_seconds: int) -> DataFrame:
+    """A streaming table of new versions: (id, version, tick) of rows with a time ``at``.
+
+    State holds one row per id that was listed within the horizon of event time, however long
+    the stream runs: a timer frees ids that are no longer listed. A row is a change if its
+    id is not remembered or its version names a later instant than the one remembered.
+    So an id that comes back after the horizon counts as new. Rows older than the
+    watermark (the horizon behind the newest) are late and dropped.
+    """
+    span, horizon = horizon_seconds * 1_000_000, f"{horizon_seconds} seconds"
+
+    def step(key, frames, state):
+        import pandas as pd
+
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(frames)).sort_values(["at_us", "version_us", "version"])
+        version_us, version, seen = state.get if state.exists else (None, None, None)
+        out = []
+        for at_us, own_us, own, tick in rows[["at_us", "version_us", "version", "tick"]].itertuples(index=False):
+            known = seen is not None and at_us - seen <= span
+            if not known or (own_us, own) > (version_us, version):
+                out.append((key[0], own, tick))
+                version_us, version = int(own_us), own
+            seen = max(int(at_us), seen or int(at_us)) if known else int(at_us)
+        state.update((version_us, version, seen))
+        state.setTimeoutTimestamp(max((seen + span) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=["id", "version", "tick"])
+
+    timed = listed.withWatermark(at, horizon).select(
+        "id",
+        "version",
+        F.col("tick").cast("long").alias("tick"),
+        F.unix_micros(at).alias("at_us"),
+        # a version that names no instant is older than all that do
+        F.coalesce(F.unix_micros(F.try_to_timestamp("version")), F.lit(-(1 << 62))).alias("version_us"),
+        at,
+    )
+    return timed.groupBy("id").applyInPandasWithState(
+        step, "id bigint, version string, tick bigint", _SEEN, "append", "EventTimeTimeout"
+    )
+
+
 def start_changes(
     stream: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
@@ -79,9 +127,15 @@ def _history(
     return rows
 
 
-def _newest(columns: list[str]) -> list[Column]:
-    """Newest version first; among equal ones, of the later tick."""
-    return [F.desc("version")] + ([F.desc("tick")] if "tick" in columns else [])
+def _place(schema: T.StructType) -> Column:
+    """What orders the rows of an id: the version, and among equal ones the tick.
+
+    A version written as text counts by the instant it names.
+    """
+    version = [F.col("version")]
+    if isinstance(schema["version"].dataType, T.StringType):
+        version.insert(0, F.try_to_timestamp("version").alias("instant"))
+    return F.struct(*version, *(["tick"] if "tick" in schema.names else []))
 
 
 def current_state(
@@ -89,7 +143,7 @@ def current_state(
 ) -> DataFrame:
     """The newest version of every id."""
     history = _history(spark, table, schema, before)
-    return newest_per_key(history, ["id"], _newest(history.columns))
+    return newest_per_key(history, ["id"], [F.desc(_place(schema))])
 
 
 def upsert_writer(table: str, schema: T.StructType, compact_every: int = 16) -> Writer:
@@ -102,12 +156,13 @@ def upsert_writer(table: str, schema: T.StructType, compact_every: int = 16) ->
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        newest = newest_per_key(batch, ["id"], _newest(batch.columns))
-        # two columns of the table, aggregated before their shuffle
+        newest = newest_per_key(batch, ["id"], [F.desc(_place(schema))])
+        # key columns of the table, aggregated before their shuffle; the same order decides
+        # inside a micro-batch and between two
         history = _history(spark, table, schema, before=batch_id)
-        held = history.groupBy("id").agg(F.max("version").alias("__held"))
+        held = history.groupBy("id").agg(F.max(_place(schema)).alias("__held"))
         changed = newest.join(held, "id", "left").where(
-            F.col("__held").isNull() | (F.col("__held") < F.col("version"))
+            F.col("__held").isNull() | (F.col("__held") < _place(schema))
         )
         delta = f"{table}/delta/{BATCH}={batch_id}"
         changed.select(*schema.names).write.mode("overwrite").parquet(delta)

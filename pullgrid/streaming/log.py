@@ -1,17 +1,25 @@
-"""The listing log as a Spark table and as a file stream."""
+"""The listing log as Spark tables and as a stream of its complete ticks."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from pullgrid.folders import create_once, names_in, qualified, ready_dir, text_of, there
 from pullgrid.functions.schema import plain_schema
 from pullgrid.operators.cache import decode_held, fetch_misses
 from pullgrid.operators.ranking import newest_per_key
+from pullgrid.shipping import ship_package
+from pullgrid.sources.listing_log import MANIFEST, manifest_text
+from pullgrid.sources.storage import open_dir
 
 LOG_SCHEMA = plain_schema(
     full_name=T.StringType(),
@@ -23,22 +31,87 @@ LOG_SCHEMA = plain_schema(
     tick=T.IntegerType(),
 )
 LOG_COLUMNS = LOG_SCHEMA.names[:-1]
+Write = Callable[[DataFrame, int], None]
 
 
-def record_tick(items: DataFrame, listing_dir: str, tick: int) -> None:
-    """Write a snapshot of any size as one tick, from the executors."""
+def record_tick(items: DataFrame, listing_dir: str, tick: int) -> bool:
+    """Write a snapshot of any size as one tick, from the executors.
+
+    The files lie in a folder of this run; a manifest, made only if absent, makes them the
+    tick. Whether they are: another run may have been first.
+    """
+    spark = items.sparkSession
+    folder = f"{ready_dir(spark, listing_dir).rstrip('/')}/tick={tick}"
+    run = f"run-{uuid.uuid4().hex}"
     # files hold neighbouring rows, so a slice of one asks for few repositories
     rows = items.select(*LOG_COLUMNS).hint("rebalance", "full_name")
-    ordered = rows.sortWithinPartitions("full_name", "rank")
-    ordered.write.mode("overwrite").parquet(f"{listing_dir}/tick={tick}")
+    rows.sortWithinPartitions("full_name", "rank").write.parquet(f"{folder}/{run}")
+    names = sorted(n for n in names_in(spark, f"{folder}/{run}") if n.endswith(".parquet"))
+    return create_once(spark, f"{folder}/{MANIFEST}", manifest_text([f"{run}/{n}" for n in names]))
+
+
+def poll_tick(
+    repos: DataFrame, endpoint: str, listing_dir: str, tick: int, token: str | None = None, retries: int = 2
+) -> bool:
+    """List (full_name, batch) repositories in tasks and record the answer as one tick."""
+    from pullgrid.operators.listing import decode_listing, list_pages, page_plan
+
+    pages = list_pages(page_plan(repos), endpoint, token, retries)
+    return record_tick(decode_listing(pages), listing_dir, tick)
+
+
+def complete_ticks(spark: SparkSession, listing_dir: str) -> list[int]:
+    """Ticks with a manifest, ascending."""
+    names = [n for n in names_in(spark, listing_dir) if n.startswith("tick=")]
+    return sorted(int(n[5:]) for n in names if there(spark, f"{listing_dir}/{n}/{MANIFEST}"))
+
+
+def read_tick(spark: SparkSession, listing_dir: str, tick: int) -> DataFrame:
+    """The snapshot of a complete tick."""
+    folder = f"{qualified(spark, listing_dir)}/tick={tick}"
+    parts = json.loads(text_of(spark, f"{folder}/{MANIFEST}"))["parts"]
+    schema = T.StructType(LOG_SCHEMA.fields[:-1])
+    if not parts:
+        return spark.createDataFrame([], LOG_SCHEMA)
+    rows = spark.read.schema(schema).parquet(*[f"{folder}/{p}" for p in parts])
+    return rows.withColumn("tick", F.lit(tick))
+
+
+def manifest_stream(spark: SparkSession, listing_dir: str, ticks_per_batch: int = 1000) -> DataFrame:
+    """(parts, tick) of every complete tick; Spark's file source tracks what was read."""
+    return (
+        spark.readStream.schema("parts array<string>, tick int")
+        .option("pathGlobFilter", MANIFEST)
+        .option("maxFilesPerTrigger", ticks_per_batch)
+        .json(listing_dir)
+    )
+
+
+def listing_stream(spark: SparkSession, listing_dir: str, ticks_per_batch: int = 1000) -> DataFrame:
+    """The rows of complete ticks as a stream; tasks read the files a manifest names."""
+    ship_package(spark)
+    root = qualified(spark, listing_dir)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, path = open_dir(root)
+        for batch in batches:
+            for part, tick in zip(*(batch.column(c).to_pylist() for c in ("part", "tick")), strict=True):
+                with pq.ParquetFile(fs.open_input_file(f"{path}/tick={tick}/{part}")) as source:
+                    for rows in source.iter_batches(10_000, columns=LOG_COLUMNS):
+                        ticks = pa.array([tick], pa.int32()).take(pa.array([0] * rows.num_rows))
+                        yield pa.RecordBatch.from_arrays([*rows.columns, ticks], LOG_SCHEMA.names)
+
+    parts = manifest_stream(spark, listing_dir, ticks_per_batch).select(F.explode("parts").alias("part"), "tick")
+    # a manifest is one row; its files are dealt to all tasks
+    return parts.repartition(spark.sparkContext.defaultParallelism).mapInArrow(read, LOG_SCHEMA)
 
 
-def listing_stream(spark: SparkSession, listing_dir: str, files_per_batch: int = 1000) -> DataFrame:
-    """New log files as a stream; Spark's file source tracks what was read."""
+def _each_batch(stream: DataFrame, run, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     return (
-        spark.readStream.schema(LOG_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(listing_dir)
+        stream.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
     )
 
 
@@ -63,12 +136,7 @@ def start_ingest(
         once = newest_per_key(batch, ["id", "version"], [F.desc("tick")])
         fetch_misses(once, endpoint, cache_dir, mode, token, retries)
 
-    return (
-        listed.writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    return _each_batch(listed, run, checkpoint, trigger)
 
 
 def start_decoded(
@@ -76,7 +144,7 @@ def start_decoded(
     endpoint: str,
     cache_dir: str,
     checkpoint: str,
-    write: Callable[[DataFrame, int], None],
+    write: Write,
     mode: str = "FAILFAST",
     token: str | None = None,
     retries: int = 2,
@@ -93,9 +161,63 @@ def start_decoded(
         fetch_misses(once, endpoint, cache_dir, mode, token, retries)
         write(decode_held(batch, cache_dir, ["tick"]), batch_id)
 
-    return (
-        listed.writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
+    return _each_batch(listed, run, checkpoint, trigger)
+
+
+def tick_difference(before: DataFrame | None, after: DataFrame) -> DataFrame:
+    """(full_name, id, number, url, change, version, was): what a snapshot changed.
+
+    ``change`` is insert, update (another version) or gone. Keys are (full_name, id); a key
+    listed twice in a snapshot counts once, under its newest version. Only listing rows
+    are compared, never bodies.
+    """
+    key = ["full_name", "id"]
+    order = [F.try_to_timestamp("version").desc(), F.desc("version"), F.asc("rank")]
+
+    def once(rows: DataFrame, prefix: str) -> DataFrame:
+        held = newest_per_key(rows, key, order)
+        return held.select(*key, *[F.col(c).alias(prefix + c) for c in ("number", "url", "version")])
+
+    now = once(after, "")
+    if before is None:
+        then = now.limit(0).select(*key, *[F.col(c).alias(f"was_{c}") for c in ("number", "url", "version")])
+    else:
+        then = once(before, "was_")
+    met = now.withColumn("here", F.lit(True)).join(then.withColumn("there", F.lit(True)), key, "full")
+    change = (
+        F.when(F.col("there").isNull(), "insert")
+        .when(F.col("here").isNull(), "gone")
+        .when(~F.col("version").eqNullSafe(F.col("was_version")), "update")
     )
+    return met.withColumn("change", change).where("change IS NOT NULL").select(
+        *key,
+        F.coalesce("number", "was_number").alias("number"),
+        F.coalesce("url", "was_url").alias("url"),
+        "change",
+        "version",
+        F.col("was_version").alias("was"),
+    )
+
+
+def start_difference(
+    spark: SparkSession,
+    listing_dir: str,
+    write: Write,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Hand the difference of every complete tick to the one before it to ``write(rows, tick)``.
+
+    Both snapshots come from the log, so nothing is kept in stream state, the order in which
+    ticks arrive does not matter, and a replayed tick gives the same rows.
+    """
+
+    def run(batch: DataFrame, _: int) -> None:
+        # a row per tick of the micro-batch
+        for tick in sorted(r.tick for r in batch.select("tick").collect()):
+            earlier = [t for t in complete_ticks(spark, listing_dir) if t < tick]
+            before = read_tick(spark, listing_dir, earlier[-1]) if earlier else None
+            after = read_tick(spark, listing_dir, tick)
+            write(tick_difference(before, after).withColumn("tick", F.lit(tick)), tick)
+
+    return _each_batch(manifest_stream(spark, listing_dir), run, checkpoint, trigger)

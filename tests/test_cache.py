@@ -89,13 +89,12 @@ def test_splits_read_no_bodies(spark, sf, work):
         assert not any("body" in line for line in scan)
 
 
-def test_cached_columns_are_pruned_before_the_shuffle(spark, sf):
+def test_cached_rows_are_decoded_where_they_lie(spark, sf):
     held = cache.read_cache(spark, mirror.warm_cache(spark, sf))
     rows = cache.cached_pulls(held).select("title")
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    # above the exchange neither the body nor other fields travel
-    top = plan[: plan.index("Exchange")]
-    assert "__body" not in top
+    # neither bodies nor fields travel: rows of a key share a bucket
+    assert "Exchange" not in plan and "Bucketed: true" in plan
 
 
 def test_point_lookup(spark, endpoint):

@@ -155,8 +155,19 @@ def test_bodies_that_are_no_object(spark):
     assert both(spark, bodies, schema(("a", INT))) == [(None, [("NOT_OBJECT", "")])] * len(bodies)
 
 
-def test_a_document_may_be_followed_by_anything(spark):
-    assert both(spark, [' {"a":1} junk'], schema(("a", INT))) == [({"a": 1}, [])]
+def test_text_behind_a_document(spark):
+    torn = [' {"a":1} junk', '{"a":1}{"a":2}', '{"a":1},{"a":2}', '{"a":1}] x', '{"a":1}} x', '{"a":1}] [{}',
+            '{"a":1},"w":{}', '{"a":1}}, {"v":{"a":1}', '[1] 2']
+    assert both(spark, torn, schema(("a", INT))) == [(None, [("TRAILING_TEXT", "")])] * len(torn)
+    assert both(spark, [' \t\r\n{"a":1} \t\r\n'], schema(("a", INT))) == [({"a": 1}, [])]
+
+
+def test_repeated_keys(spark):
+    shape = schema(("a", INT), ("s", schema(("x", STR)), True))
+    twice = ['{"a":1,"a":1,"s":null}', '{"a":1,"s":{"x":"p","x":"p"}}', '{"a":1,"s":null,"z":[{"q":1,"q":2}]}']
+    assert both(spark, twice, shape) == [(None, [("REPEATED_KEY", "")])] * 3
+    # equal keys of different objects are no repetition
+    assert both(spark, ['{"a":1,"s":{"x":"a","a":2}}'], shape) == [({"a": 1, "s": {"x": "a"}}, [])]
 
 
 @pytest.mark.parametrize(
@@ -212,7 +223,9 @@ def test_one_parse_per_body_and_pushdown(spark, tmp_path):
     df.write.parquet(str(tmp_path / "t"))
     rows = decode_strict(spark.read.parquet(str(tmp_path / "t")), "body", schema(("a", INT)), ["k"])
     plan = rows.where("a > 0 AND k > 0").select("a")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json") == 1
+    # once per body; the other one is for rows that break a rule
+    assert plan.count("from_json") == 2 and plan.count("ELSE (size(CASE") <= 1
+    assert plan.index("from_json(StructField(a") > 0
     assert "GreaterThan(k,0)" in plan
 
 

@@ -110,7 +110,7 @@ def test_user_schema_is_rejected(spark, endpoint, tmp_path):
 
 
 def test_option_errors_surface(spark):
-    with pytest.raises(Exception, match="Batch size 0 is out of bound"):
+    with pytest.raises(Exception, match="option 'batch' is 0, outside"):
         spark.read.format("pull_requests").option("batch", 0).load()
 
 
@@ -159,11 +159,11 @@ def test_filters_save_requests(endpoint, tmp_path):
     options["cacheDir"] = str(tmp_path)
     listed = lambda r: [w for p in r.partitions() for w in r._work(p)]
     everything = PullRequestReader(parse(options, 8))
-    numbers = [item.number for _, _, item in listed(everything)]
+    numbers = [item.number for *_, item in listed(everything)]
     reader = PushdownReader(parse(options, 8))
     filters = [In(("number",), tuple(numbers[:3])), GreaterThan(("commits",), 1)]
     assert list(reader.pushFilters(filters)) == filters
-    assert sorted(w[2].number for w in listed(reader)) == sorted(numbers[:3])
+    assert sorted(w[-1].number for w in listed(reader)) == sorted(numbers[:3])
     reader = PushdownReader(parse(options, 8))
     list(reader.pushFilters([EqualTo(("base", "repo", "id"), 1)]))
     assert len(listed(reader)) == 25
@@ -181,6 +181,87 @@ def test_pushdown_through_spark(spark, endpoint, tmp_path):
         import pyarrow.dataset as ds
 
         assert ds.dataset(str(other / "outcome=ok"), format="parquet").count_rows() == 1
+        # dates of the listing save requests as well
+        cut = df.orderBy(F.desc("created_at")).select("created_at").collect()[4][0]
+        dated = tmp_path / "dated"
+        newer = read(spark, endpoint, dated, user="AFRICA", repo="NATION_0").where(F.col("created_at") >= F.lit(cut))
+        found = newer.count()
+        assert found >= 5
+        assert ds.dataset(str(dated / "outcome=ok"), format="parquet").count_rows() == found
     finally:
         spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
         pullgrid.register(spark)
+
+
+def test_ranges_of_listed_dates_save_requests(endpoint, tmp_path):
+    from datetime import UTC, datetime
+
+    from pyspark.sql.datasource import GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual
+
+    options = {"user": "AFRICA", "repo": "NATION_0", "endpoint": endpoint, "cacheDir": str(tmp_path)}
+
+    def listed(*filters):
+        reader = PushdownReader(parse(options, 8))
+        assert list(reader.pushFilters(filters)) == list(filters)
+        return [w[-1] for p in reader.partitions() for w in reader._work(p)]
+
+    instant = lambda text: datetime.fromisoformat(text)
+    everything = listed()
+    created = sorted(instant(i.created_at) for i in everything)
+    updated = sorted(instant(i.updated_at) for i in everything if i.updated_at)
+    assert len(updated) < len(everything)
+    middle = created[12]
+    for kind, holds in (
+        (GreaterThan, lambda x: x > middle),
+        (GreaterThanOrEqual, lambda x: x >= middle),
+        (LessThan, lambda x: x < middle),
+        (LessThanOrEqual, lambda x: x <= middle),
+    ):
+        assert len(listed(kind(("created_at",), middle))) == sum(map(holds, created))
+    # an item without the date fails any range of it
+    assert len(listed(LessThanOrEqual(("updated_at",), updated[-1]))) == len(updated)
+    both = listed(GreaterThan(("created_at",), created[3]), LessThan(("created_at",), created[-3]))
+    assert {instant(i.created_at) for i in both} <= set(created[4:-3])
+    # what the listing does not know is left to Spark
+    assert len(listed(GreaterThan(("closed_at",), datetime(2100, 1, 1, tzinfo=UTC)))) == 25
+
+
+def test_bodies_as_text(spark, sf, endpoint, tmp_path):
+    from pullgrid.sources.pull_requests import BODY_SCHEMA
+
+    options = {"endpoint": endpoint, "user": "AFRICA", "repo": "NATION_0", "cacheDir": str(tmp_path)}
+    raw = spark.read.format("pull_request_bodies").options(**options).load()
+    assert raw.schema == BODY_SCHEMA
+    rows = raw.collect()
+    assert sorted(r["rank"] for r in rows) == list(range(1, 26))
+    typed = read(spark, endpoint, tmp_path, user="AFRICA", repo="NATION_0").orderBy("id").collect()
+    table = pullgrid.pull_requests(spark, **options)
+    assert table.schema == PULL_REQUEST_SCHEMA or [f.name for f in table.schema] == PULL_REQUEST_SCHEMA.names
+    assert table.orderBy("id").collect() == typed
+    pullgrid.create_view(spark, "prs_by_text", **options)
+    top = spark.sql("SELECT number, base.repo.full_name AS n FROM prs_by_text ORDER BY id DESC LIMIT 3")
+    assert [r["number"] for r in top.collect()] == [r["number"] for r in typed[::-1][:3]]
+    with pytest.raises(Exception, match="cannot be read as a stream"):
+        spark.readStream.format("pull_request_bodies").options(**options).load().writeStream.format(
+            "noop"
+        ).trigger(availableNow=True).start().awaitTermination()
+
+
+def test_modes_of_text_bodies(spark, sf, tmp_path):
+    endpoint = faulty_endpoint(spark, sf, tmp_path)
+    options = {"endpoint": endpoint, "user": "AFRICA", "repo": "NATION_0", "batch": 1000}
+    with pytest.raises(Exception, match="Invalid body|Request failed with code 404"):
+        pullgrid.pull_requests(spark, cacheDir=str(tmp_path / "a"), **options).collect()
+    rows = pullgrid.pull_requests(spark, cacheDir=str(tmp_path / "b"), mode="PERMISSIVE", **options)
+    listed = mirror.listing(spark, sf).where("full_name = 'AFRICA/NATION_0'")
+    assert rows.count() == listed.where("k % 11 IN (6, 10)").count()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from pullgrid.sources.options import DEFAULT_CACHE_DIR
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        parse({}, 8, None)
+    named = parse({"cacheDir": "hdfs://x/c"}, 8, None)
+    assert named.cache_dir == "hdfs://x/c" and named.listing_dir.startswith("hdfs://x/c-listing/")
+    assert parse({}, 8).cache_dir == DEFAULT_CACHE_DIR

@@ -51,11 +51,132 @@ def test_a_new_query_starts_with_the_current_listing(endpoint, tmp_path):
 
 def test_slices_cover_a_snapshot_once(endpoint, tmp_path):
     one = reader(endpoint, tmp_path, batch="1000")
+    row = {"full_name": "AFRICA/NATION_0", "rank": 1, "id": 1, "number": 1, "url": "u", "version": "v"}
+    listing_log.write_tick(str(tmp_path / "log"), 1, [row | {"id": k} for k in range(103)])
     parts = one.partitions({"tick": 0}, one.latestOffset())
     sizes = [sum(high - low for *_, low, high in p.segments) for p in parts]
     assert max(sizes) - min(sizes) <= 1
-    ids = [w[2].id for p in parts for w in one._work(p.segments)]
-    assert len(ids) == len(set(ids)) == sum(sizes)
+    ids = [w[-1].id for p in parts for w in one._work(p)]
+    assert len(ids) == len(set(ids)) == sum(sizes) == 103
+
+
+def test_tasks_list_a_tick_and_a_second_attempt_finds_the_first(endpoint, tmp_path, monkeypatch):
+    from pullgrid.sources import pull_requests
+
+    log_dir = str(tmp_path / "log")
+    one = reader(endpoint, tmp_path, batch="all", numPartitions="3")
+    end = one.latestOffset()
+    # the driver has listed nothing
+    assert [p.name for p in (tmp_path / "log" / "tick=1").iterdir()] == ["begun"]
+    parts = one.partitions({"tick": 0}, end)
+    assert len(parts) == 3 and all(isinstance(p, pull_requests.ListPartition) for p in parts)
+    first = [sorted(w[-1].id for w in one._work(p)) for p in parts[:2]]
+    with pytest.raises(RuntimeError, match="no complete tick 1"):
+        listing_log.parts_of(log_dir, 1)
+    # the host has changed: attempts that run again, also of another session, keep to the log
+    asked = []
+
+    def moved(options, user, repo, page):
+        asked.append(page)
+        return [], True
+
+    monkeypatch.setattr(pull_requests, "list_page", moved)
+    again = reader(endpoint, tmp_path, batch="all", numPartitions="7")
+    same = again.partitions({"tick": 0}, end)
+    assert sum(len(p.walks) for p in same) == 3
+    ids = sorted(w[-1].id for p in same for w in again._work(p))
+    assert ids == sorted(i for held in first for i in held) and len(asked) == 1
+    # the last walk made it complete, and now it is read from the files
+    assert len(listing_log.parts_of(log_dir, 1)) == 3
+    planned = again.partitions({"tick": 0}, end)
+    assert all(isinstance(p, pull_requests.LogPartition) for p in planned)
+    assert sorted(w[-1].id for p in planned for w in again._work(p)) == ids
+
+
+def test_recording_a_tick_twice_keeps_the_first(spark, tmp_path):
+    rows = [("a/b", 1, 1, 1, "u", "v")]
+    shape = "full_name string, rank long, id long, number int, url string, version string"
+    log_dir = str(tmp_path / "log")
+    assert log.record_tick(spark.createDataFrame(rows, shape), log_dir, 1)
+    assert not log.record_tick(spark.createDataFrame(rows * 2, shape), log_dir, 1)
+    assert log.read_tick(spark, log_dir, 1).count() == 1
+    assert log.record_tick(spark.createDataFrame([], shape), log_dir, 2)
+    assert log.read_tick(spark, log_dir, 2).count() == 0
+    assert log.complete_ticks(spark, log_dir) == [1, 2]
+
+
+SNAPSHOT = "full_name string, rank long, id long, number int, url string, version string"
+
+
+def test_differences_name_what_is_gone(spark):
+    before = [("a/b", 1, 1, 1, "u1", "1"), ("a/b", 2, 2, 2, "u2", "1"), ("c/d", 1, 1, 9, "u9", "1")]
+    after = [("a/b", 1, 2, 2, "u2", "2"), ("a/b", 2, 3, 3, "u3", "1"), ("a/b", 3, 2, 2, "u2", "1"),
+             ("c/d", 1, 1, 9, "u9", "1")]
+    rows = log.tick_difference(
+        spark.createDataFrame(before, SNAPSHOT), spark.createDataFrame(after, SNAPSHOT)
+    )
+    assert sorted((r["full_name"], r["id"], r["number"], r["change"], r["version"], r["was"]) for r in rows.collect()) == [
+        ("a/b", 1, 1, "gone", None, "1"),
+        ("a/b", 2, 2, "update", "2", "1"),
+        ("a/b", 3, 3, "insert", "1", None),
+    ]
+    first = log.tick_difference(None, spark.createDataFrame(before, SNAPSHOT)).collect()
+    assert {r["change"] for r in first} == {"insert"} and len(first) == 3
+
+
+def test_bounded_changes_forget_what_is_no_longer_listed(spark, tmp_path):
+    """Ids 0 to 9 are always listed, 1000 others at one tick each; one comes back."""
+    shape = "id long, version string, tick int"
+    version = lambda n: f"2020-01-0{n}T00:00:00Z"
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    expected, sizes = set(), []
+    for tick in range(1, 9):
+        rows = [(k, version(1 if tick < 5 else 2), tick) for k in range(10)]
+        rows += [(tick * 1000 + k, version(1), tick) for k in range(100)]
+        rows += [(7, version(1), tick)] * 2  # an older version listed again
+        if tick == 8:
+            rows.append((1000, version(1), tick))
+        expected |= {(i, v, tick) for i, v, _ in rows if i >= 1000}
+        expected |= {(k, version(1 if tick == 1 else 2), tick) for k in range(10) if tick in (1, 5)}
+        spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(shape).parquet(source)
+        timed = stream.withColumn("at", F.timestamp_seconds(F.col("tick") * 60))
+        query = (
+            changes.bounded_changes(timed, "at", 60)
+            .writeStream.format("parquet")
+            .option("checkpointLocation", str(tmp_path / "checkpoint"))
+            .trigger(availableNow=True)
+            .start(out)
+        )
+        query.awaitTermination()
+        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    found = [tuple(r) for r in spark.read.parquet(out).select("id", "version", "tick").collect()]
+    assert sorted(found) == sorted(expected)
+    # 10 ids and those of the last few ticks, not all 810
+    assert max(sizes[4:]) <= 10 + 4 * 100
+
+
+@pytest.mark.parametrize("cut", [1, 2])
+def test_the_later_tick_stays_however_rows_are_cut(spark, tmp_path, cut):
+    rows = [(1, 10, "early", 1), (1, 10, "late", 2)]
+    steps = [rows] if cut == 1 else [rows[:1], rows[1:]]
+    for name, order in (("forward", steps), ("backward", steps[::-1])):
+        table, checkpoint = str(tmp_path / name), str(tmp_path / f"{name}-checkpoint")
+        schema = batches(
+            spark, tmp_path, f"{name}-in", order, lambda s: changes.start_upsert(s, table, checkpoint)
+        )
+        held = changes.current_state(spark, table, schema).collect()
+        assert [r["state"] for r in held] == ["late"]
+
+
+def test_text_versions_order_by_instant(spark, tmp_path):
+    shape = "id bigint, version string, state string"
+    held, schema = str(tmp_path / "table"), None
+    for number, version in enumerate(["2020-01-01T09:00:00Z", "2020-01-01T10:00:00+05:00", "junk"]):
+        rows = spark.createDataFrame([(1, version, str(number))], shape)
+        changes.upsert_writer(held, rows.schema)(rows, number)
+        schema = rows.schema
+    assert [r["state"] for r in changes.current_state(spark, held, schema).collect()] == ["0"]
 
 
 def test_incomplete_ticks_do_not_count(endpoint, tmp_path):

@@ -144,3 +144,95 @@ def test_https_fetch_runs_in_tasks(spark):
     assert {(r["id"], r["status"], r["attempts"]) for r in answers} == {
         (i, transport.NO_ANSWER, 1) for i in range(3)
     }
+
+
+def test_an_allowance_is_never_exceeded(client):
+    endpoint, asked, _ = client([(503, "x", None)] * 9, retries=2)
+    endpoint.allowance = 4
+    endpoint._start()
+    answers = endpoint.get_all(["a", "b", "c"])
+    assert len(asked) == 4
+    assert sum(a.attempts for a in answers) == 4
+    assert {a.status for a in answers} <= {503, transport.UNASKED}
+
+
+def test_threads_are_kept_and_do_not_travel(monkeypatch):
+    import pickle
+
+    endpoint = HttpsEndpoint(BASE, "secret", allowance=100)
+    monkeypatch.setattr(HttpsEndpoint, "_once", lambda self, url: (200, url, None))
+    endpoint.get_all(["a", "b"])
+    pool = endpoint._pool
+    endpoint.get_all(["c", "d"])
+    assert endpoint._pool is pool
+    there = pickle.loads(pickle.dumps(endpoint))
+    assert there._pool is None and there._allowed.left == 100
+
+
+def test_shares_of_a_budget():
+    from pullgrid.operators.fetch import task_share
+
+    for budget, tasks in ((10, 3), (2, 8), (0, 4), (64, 8)):
+        shares = [task_share(budget, tasks, t) for t in range(tasks)]
+        assert sum(shares) == budget and max(shares) - min(shares) <= 1
+    assert task_share(None, 3, 0) is None
+
+
+SCRIPT = """
+import pathlib, uuid
+from pullgrid.sources import transport
+
+def once(self, url):
+    # every request leaves a mark; each third item fails once with a retryable status
+    folder = pathlib.Path({folder!r})
+    number = int(url.rsplit("/", 1)[1])
+    earlier = len(list(folder.glob(f"{{number}}-*")))
+    (folder / f"{{number}}-{{uuid.uuid4().hex}}").touch()
+    if number % 3 == 0 and not earlier:
+        return 503, "busy", 0.0
+    return 200, (pathlib.Path({bodies!r}) / str(number)).read_text(), None
+
+transport.HttpsEndpoint._once = once
+"""
+
+
+@pytest.mark.parametrize("budget", [0, 1, 7, 25, 200])
+def test_all_tasks_together_keep_to_a_budget(spark, sf, tmp_path, monkeypatch, budget):
+    """Scripted answers in the workers: requests are counted as files."""
+    from pyspark.sql import functions as F
+
+    from pullgrid.operators import cache, fetch
+    from pullgrid.plans import mirror
+
+    folder, bodies = tmp_path / "asked", tmp_path / "bodies"
+    folder.mkdir()
+    bodies.mkdir()
+    rows = mirror.details(spark, sf).where("k < 120").select("k", "id", "version", "body").collect()
+    for r in rows:
+        (bodies / str(r["k"])).write_text(r["body"])
+    script = SCRIPT.format(folder=str(folder), bodies=str(bodies))
+    made = fetch.HttpsEndpoint
+
+    def scripted(*args, **kwargs):
+        exec(script)
+        return made(*args, **kwargs)
+
+    monkeypatch.setattr(fetch, "HttpsEndpoint", scripted)
+    items = spark.createDataFrame(
+        [(f"https://host.test/{r['k']}", r["id"], r["version"]) for r in rows],
+        "url string, id long, version string",
+    )
+    held = str(tmp_path / "cache")
+    counts = cache.fetch_misses(items, "https://host.test", held, budget=budget, retries=2)
+    asked = len(list(folder.iterdir()))
+    assert counts["requests"] == asked <= budget
+    assert counts["fetched"] + counts["unasked"] == len(rows)
+    good = cache.read_cache(spark, held)
+    assert good.count() == counts["fetched"] - counts["failed"]
+    needed = len(rows) + sum(r["k"] % 3 == 0 for r in rows)
+    if budget >= needed:
+        assert counts == {"fetched": len(rows), "failed": 0, "requests": needed, "unasked": 0}
+    elif budget:
+        # a task's last request may have met a busy host; nothing else is left over
+        assert asked == budget
+    assert good.where(F.col("version") != F.col("listed")).count() == 0
