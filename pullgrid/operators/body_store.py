@@ -155,17 +155,34 @@ def _read_loose(spark: SparkSession, generation: Generation, names: list[str]) -
     return spark.read.schema(STORED).parquet(*paths)
 
 
-def stored(spark: SparkSession, generation: Generation) -> DataFrame:
-    """All rows of a generation as they were written; a key written again appears again."""
+def sources(spark: SparkSession, generation: Generation) -> list[DataFrame]:
+    """Good rows of base, deltas and plain files, each for itself.
+
+    A join with one of them on the id leaves its buckets in place, and a look at one id
+    opens one bucket. They are never united: Spark 4.1.2 takes a union of bucketed tables
+    for one that lies by bucket and then reads it otherwise, so that a grouping over it
+    gives wrong results.
+    """
     held = [_bucketed(spark, generation.root, f) for f in generation.folders]
     loose = _loose_files(spark, generation)
     if loose:
-        # dealt like the buckets, so that the union keeps their places
-        held.append(_read_loose(spark, generation, loose).repartition(generation.buckets, "id"))
-    out = held[0]
-    for more in held[1:]:
-        out = out.unionByName(more)
-    return out.withColumn("listed", F.coalesce("listed", "version"))
+        held.append(_read_loose(spark, generation, loose))
+    named = F.coalesce("listed", "version")
+    return [rows.where("reason IS NULL").withColumn("listed", named) for rows in held]
+
+
+def stored(spark: SparkSession, generation: Generation) -> DataFrame:
+    """All rows of a generation as they were written; a key written again appears again.
+
+    Read as plain files, whatever their buckets.
+    """
+    folders = [f"{generation.root}/{f.name}" for f in generation.folders]
+    loose = [f"{generation.root}/{LOOSE}/{n}" for n in _loose_files(spark, generation)]
+    paths = [p for p in folders if there(spark, p)] + loose
+    if not paths:
+        return spark.createDataFrame([], STORED)
+    rows = spark.read.schema(STORED).parquet(*paths)
+    return rows.withColumn("listed", F.coalesce("listed", "version"))
 
 
 def good(spark: SparkSession, generation: Generation) -> DataFrame:
@@ -201,8 +218,8 @@ def compact(
     """Merge base, deltas and plain files into a new base: a key once, the newest fetch.
 
     ``keep``: only the newest versions of an id stay, so many of them; all by default. New
-    appends go to a new delta from the start, so none of them is missed. Rows are
-    shuffled only if the number of buckets changes: it grows with the rows.
+    appends go to a new delta from the start, so none of them is missed. Rows are shuffled
+    once; those of a single folder stay in their buckets, unless there are too many for those.
     """
     start = open_store(spark, root)
     number = start.number + 1
@@ -211,14 +228,19 @@ def compact(
     loose = _loose_files(spark, opened)
     before = replace(opened, deltas=opened.deltas[:-1])
     everything = stored(spark, before)
-    rows, failed = everything.where("reason IS NULL"), everything.where("reason IS NOT NULL")
     total, n_failed = everything.agg(F.count_if(F.col("reason").isNull()), F.count("reason")).first()
     if n_failed:
+        failed = everything.where("reason IS NOT NULL")
         failed.write.mode("append").parquet(f"{start.root}/{FAILED}")
     wanted = buckets or max(start.buckets, 1 << max(0, -(-total // ROWS_PER_BUCKET) - 1).bit_length())
-    if wanted != start.buckets or len({f.buckets for f in before.folders}) > 1:
-        rows = rows.repartition(wanted, "id")
-    once = newest_per_key(rows, ["id", "version"], [F.desc("fetched_ms")])
+    full = [f for f in before.folders if there(spark, f"{start.root}/{f.name}")]
+    if len(full) == 1 and not loose and full[0].buckets == wanted:
+        rows = _bucketed(spark, start.root, full[0])
+    else:
+        rows = everything.repartition(wanted, "id")
+    order = [F.asc_nulls_first("reason"), F.desc("fetched_ms")]
+    once = newest_per_key(rows, ["id", "version"], order).where("reason IS NULL")
+    once = once.withColumn("listed", F.coalesce("listed", "version"))
     if keep is not None:
         order = [F.desc(F.struct(F.try_to_timestamp("version"), "version"))]
         once = top_per_group(once, ["id"], order, keep)

@@ -122,6 +122,54 @@ def _newest_leaves(cached: DataFrame) -> DataFrame:
     return newest_per_key(leaves, ["__id", "version"], [F.desc("fetched_ms")])
 
 
+def missing_from(items: DataFrame, store: Generation) -> DataFrame:
+    """Items whose version no part of the cache holds: key columns of the cache stay in place."""
+    for rows in body_store.sources(items.sparkSession, store):
+        items = cache_misses(items, rows)
+    return items
+
+
+def asked_bodies(asked: DataFrame, store: Generation) -> DataFrame:
+    """``newest_asked`` of a whole cache, without moving a body from its bucket.
+
+    Which part of the cache answers for a key is settled on key columns, and then each part
+    is asked for its own.
+    """
+    spark = asked.sparkSession
+    once = asked.select(*KEY).distinct()
+    parts = body_store.sources(spark, store)
+    if len(parts) == 1:
+        return newest_asked(parts[0], once)
+    places = None
+    for number, rows in enumerate(parts):
+        keys = _renamed(rows.select("id", "version", "listed", "fetched_ms"))
+        met = once.join(keys, _found_in(once, keys)).select(
+            once["id"],
+            once["version"],
+            F.struct(
+                (F.col("carried") == once["version"]).alias("exact"), "fetched_ms", F.lit(number).alias("part")
+            ).alias("place"),
+        )
+        places = met if places is None else places.unionByName(met)
+    path = scratch_dir(spark, "places")
+    places.groupBy(*KEY).agg(F.max("place").alias("place")).select(*KEY, "place.part").write.parquet(path)
+    settled = spark.read.schema("id bigint, version string, part int").parquet(path)
+    out = None
+    for number, rows in enumerate(parts):
+        own = newest_asked(rows, settled.where(F.col("part") == number))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def _renamed(rows: DataFrame) -> DataFrame:
+    return rows.withColumnsRenamed({"id": "__held", "version": "carried"})
+
+
+def _found_in(once: DataFrame, keys: DataFrame) -> Column:
+    versions = F.array(keys["carried"], keys["listed"])
+    return (once["id"] == keys["__held"]) & F.array_contains(versions, once["version"])
+
+
 def newest_asked(cached: DataFrame, asked: DataFrame) -> DataFrame:
     """Per asked (id, version) the cache row that answers: the same version, then the newest.
 
@@ -168,7 +216,7 @@ def fetch_misses(
     """
     spark = items.sparkSession
     store = open_store(spark, cache_dir)
-    missing = cache_misses(items, body_store.good(spark, store)).select("url", *KEY)
+    missing = missing_from(items, store).select("url", *KEY)
     return _fetch_all(missing, endpoint, store, mode, token, retries, budget, by_version)
 
 
@@ -214,9 +262,10 @@ def _fetch_within(missing, endpoint, store, mode, token, retries, budget, by_ver
             total[name] += counts[name]
         if counts["failed"] and mode.upper() == "FAILFAST":
             raise RuntimeError(counts["message"])
-        left -= counts["requests"]
+        made = answers.agg(F.coalesce(F.sum("attempts"), F.lit(0))).first()[0]
+        left -= made
         pending = answers.where(F.col("status") == UNASKED).select("url", *KEY)
-        width = None if counts["requests"] else 1
+        width = None if made else 1
         unasked -= counts["fetched"]
     return total | {"requests": budget - left, "unasked": unasked}
 
@@ -239,7 +288,6 @@ def _append(answers: DataFrame, store: Generation, mode: str) -> dict:
     counted = [
         F.count(F.lit(1)).alias("fetched"),
         F.count_if(failed).alias("failed"),
-        F.coalesce(F.sum("attempts"), F.lit(0)).alias("requests"),
         F.max(F.when(failed, message)).alias("message"),
     ]
     body_store.append(kept, store, lambda rows: rows.observe(seen, *counted))
@@ -275,7 +323,7 @@ def fetch_through_cache(
     wanted = spark.read.schema(wanted.schema).parquet(path)
     once = wanted.groupBy(*KEY).agg(F.min("url").alias("url"))
     _fetch_all(
-        cache_misses(once, body_store.good(spark, store)).select("url", *KEY),
+        missing_from(once, store).select("url", *KEY),
         endpoint, store, mode, token, retries, by_version=by_version,
     )
     leaves, broken = _decode_asked(once, store)
@@ -297,7 +345,7 @@ def fetch_through_cache(
 def _decode_asked(asked: DataFrame, store: Generation) -> tuple[DataFrame, int]:
     """(flat columns of the asked rows, ``__ok`` or not, as a table; how many are not)."""
     spark = asked.sparkSession
-    held = newest_asked(body_store.good(spark, store), asked)
+    held = asked_bodies(asked, store)
     named = held.withColumnRenamed("body", "__json")
     keep = [*KEY, "carried", "fetched_ms"]
     looked = checked_leaves(named, "__json", PULL_REQUEST_SCHEMA, keep)
@@ -315,7 +363,7 @@ def decode_held(items: DataFrame, cache_dir: str, keep: list[str]) -> DataFrame:
     """
     spark = items.sparkSession
     store = open_store(spark, cache_dir)
-    held = newest_asked(body_store.good(spark, store), items)
+    held = asked_bodies(items, store)
     named = held.withColumnsRenamed({"id": "__id", "body": "__json"})
     leaves = decode_leaves(named, "__json", PULL_REQUEST_SCHEMA, ["__id", "version", "fetched_ms"])
     own = [c for c in keep if c not in ("version", "fetched_ms")]

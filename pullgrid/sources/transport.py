@@ -190,16 +190,15 @@ class HttpsEndpoint:
         return answer.status, body, seconds_to_wait(answer.headers, time.time())
 
     def get(self, url: str) -> Response:
-        last = Response(UNASKED, None, 0)
         for attempt in range(self.retries + 1):
             if not self._allowed.take():
-                return last
+                # also behind a busy answer: whoever has requests left may ask again
+                return Response(UNASKED, None, attempt)
             status, body, wait = self._once(url)
-            last = Response(status, body, attempt + 1)
             limited = status == 403 and wait is not None
             again = limited or status in RETRYABLE or status == NO_ANSWER
             if not again or attempt == self.retries:
-                return last
+                return Response(status, body, attempt + 1)
             if wait is not None and wait > MAX_WAIT:
                 raise RuntimeError(f"the host asks to wait {wait:.0f} s before the next request")
             time.sleep(2.0**attempt if wait is None else wait)

@@ -69,7 +69,8 @@ def test_a_lookup_opens_one_bucket(spark, tmp_path):
     assert base.buckets == 16
     spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
     try:
-        text = plan(cache.read_cache(spark, str(tmp_path)).where("id = 42"))
+        base_rows = body_store.sources(spark, body_store.open_store(spark, str(tmp_path)))[0]
+        text = plan(base_rows.where("id = 42"))
     finally:
         spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
     assert "SelectedBucketsCount: 1 out of 16" in text
@@ -82,14 +83,61 @@ def test_asked_bodies_are_not_shuffled(spark, tmp_path, unbroadcast):
     body_store.compact(spark, root)
     cache.write_cache(rows(spark, [(i, "w", 2) for i in range(50)]), root)
     asked = spark.createDataFrame([(i, "w") for i in range(80)], "id long, version string")
+    store = body_store.open_store(spark, root)
+    for found in (cache.asked_bodies(asked, store), cache.missing_from(asked, store)):
+        text = plan(found)
+        assert text.count("Bucketed: true") == 2
+        # a scan of buckets stands below a sort, a filter and a projection, never an exchange
+        lines = text.splitlines()
+        for at in (n for n, line in enumerate(lines) if "Bucketed: true" in line):
+            depth, above = lines[at].index("FileScan"), []
+            for line in reversed(lines[:at]):
+                start = len(line) - len(line.lstrip(" :+-*"))
+                if start < depth:
+                    depth = start
+                    above.append(line[start:].split(" ")[0])
+            joined = next(n for n, name in enumerate(above) if "Join" in name)
+            assert "Exchange" not in above[:joined]
+    assert cache.asked_bodies(asked, store).count() == 50
+    assert "body" not in plan(cache.missing_from(asked, store))
+
+
+def test_a_compaction_shuffles_once_or_not_at_all(spark, tmp_path, monkeypatch):
+    root, plans, made = str(tmp_path), [], body_store._bucketed
+
+    def seen(session, place, folder, write=None):
+        if write is not None:
+            plans.append(plan(write))
+        return made(session, place, folder, write)
+
+    for version in "abc":
+        cache.write_cache(rows(spark, [(i, version, 1) for i in range(50)] + [(0, "a", 5)]), root)
+        monkeypatch.setattr(body_store, "_bucketed", seen)
+        after = body_store.compact(spark, root)
+        monkeypatch.setattr(body_store, "_bucketed", made)
+        assert plans[-1].count("Exchange") == (version > "a")
+        assert len(list((tmp_path / after.base.name).glob("*.parquet"))) == after.base.buckets
+    assert len(content(spark, root)) == 150
+
+
+def test_groupings_over_base_and_delta_are_right(spark, sf, endpoint, tmp_path):
+    """What a union of bucketed tables would get wrong."""
+    root = str(tmp_path)
+    work = mirror.ranked_listing(spark, sf)
+    cache.fetch_misses(work, endpoint, root)
+    body_store.compact(spark, root)
+    cache.write_cache(cache.read_cache(spark, root).withColumn("fetched_ms", F.lit(1 << 50)), root)
     held = cache.read_cache(spark, root)
-    found = cache.newest_asked(held, asked)
-    text = plan(found)
-    assert text.count("Bucketed: true") == 2
-    for part in text.split("Exchange")[1:]:
-        assert "body" not in part.split("FileScan")[0].split("Scan")[0]
-    assert found.count() == 50
-    assert "body" not in plan(cache.cache_misses(asked, held))
+    assert (held.count(), held.select("id", "version").distinct().count()) == (3000, 1500)
+    store = body_store.open_store(spark, root)
+    found = cache.asked_bodies(work, store)
+    assert found.groupBy("id").count().count() == found.count() == 1500
+    assert found.where("fetched_ms < 1 << 50").count() == 0
+    decoded = cache.decode_held(work, root, ["rank"])
+    assert decoded.count() == decoded.select("id").distinct().count() == 1500
+    assert cache.missing_from(work, store).count() == 0
+    assert cache.fetch_through_cache(work, "https://127.0.0.1:1", root).count() == 1500
+    assert cache.cached_pulls(held).count() == 1500
 
 
 def test_readers_of_an_older_generation_go_on(spark, tmp_path):
@@ -202,5 +250,11 @@ def test_the_same_version_is_taken_before_an_alias(spark, tmp_path):
     cache.write_cache(alias, root)
     cache.write_cache(rows(spark, [(1, "1", 3)]), root)
     asked = spark.createDataFrame([(1, "1"), (1, "2")], "id long, version string")
-    found = cache.newest_asked(cache.read_cache(spark, root), asked).collect()
-    assert {(r.version, r.carried) for r in found} == {("1", "1"), ("2", "2")}
+    for _ in range(2):
+        found = cache.newest_asked(cache.read_cache(spark, root), asked).collect()
+        assert {(r.version, r.carried) for r in found} == {("1", "1"), ("2", "2")}
+        store = body_store.open_store(spark, root)
+        assert sorted(cache.asked_bodies(asked, store).collect()) == sorted(found)
+        # the same over a base and a delta
+        body_store.compact(spark, root)
+        cache.write_cache(rows(spark, [(1, "1", 2), (2, "9", 1)]), root)
