@@ -8,7 +8,7 @@ its output is the same however often it runs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,40 +54,76 @@ def changes_writer(sink: str, schema: T.StructType) -> Writer:
     return run
 
 
-_SEEN = "version_us bigint, version string, seen_us bigint"
+Seen = dict[int, tuple[int, str, int]]  # id -> (instant of its version, version, last listed)
+_STATE = "id array<bigint>, instant array<bigint>, version array<string>, seen array<bigint>"
+STATE_BUCKETS = 64
 
 
-def bounded_changes(listed: DataFrame, at: str, horizon_seconds: int) -> DataFrame:
+def remember(held: Seen, rows: Iterable[tuple[int, int, int, str, int]], span: int) -> list[tuple]:
+    """The (id, version, tick) among (time, id, instant, version, tick) rows that are new.
+
+    ``held`` is brought up to date. An id that was not listed for longer than ``span`` is
+    forgotten, so whatever comes next of it is new.
+    """
+    out = []
+    for at, key, instant, version, tick in sorted(rows):
+        known = held.get(key)
+        if known is not None and at - known[2] > span:
+            known = None
+        if known is None or (instant, version) > known[:2]:
+            out.append((key, version, tick))
+            held[key] = (instant, version, at)
+        else:
+            held[key] = (*known[:2], max(at, known[2]))
+    return out
+
+
+def forget(held: Seen, before: int) -> Seen:
+    """What was listed at or after a time."""
+    return {key: known for key, known in held.items() if known[2] >= before}
+
+
+def bounded_changes(
+    listed: DataFrame, at: str, horizon_seconds: int, buckets: int = STATE_BUCKETS
+) -> DataFrame:
     """A streaming table of new versions: (id, version, tick) of rows with a time ``at``.
 
-    State holds one row per id that was listed within the horizon of event time, however long
-    the stream runs: a timer frees ids that are no longer listed. A row is a change if its
+    State holds the ids that were listed within the horizon of event time, however long the
+    stream runs: timers free those that are no longer listed. A row is a change if its
     id is not remembered or its version names a later instant than the one remembered.
     So an id that comes back after the horizon counts as new. Rows older than the
     watermark (the horizon behind the newest) are late and dropped.
+
+    Ids are hashed to ``buckets``, each one group of state; some 10,000 ids a bucket are
+    a good size. Keep the number for as long as the checkpoint.
     """
     span, horizon = horizon_seconds * 1_000_000, f"{horizon_seconds} seconds"
 
-    def step(key, frames, state):
+    def step(_, frames, state):
         import pandas as pd
 
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(frames)).sort_values(["at_us", "version_us", "version"])
-        version_us, version, seen = state.get if state.exists else (None, None, None)
+        held: Seen = {}
+        if state.exists:
+            ids, instants, versions, times = state.get
+            held = dict(zip(ids, zip(instants, versions, times, strict=True), strict=True))
         out = []
-        for at_us, own_us, own, tick in rows[["at_us", "version_us", "version", "tick"]].itertuples(index=False):
-            known = seen is not None and at_us - seen <= span
-            if not known or (own_us, own) > (version_us, version):
-                out.append((key[0], own, tick))
-                version_us, version = int(own_us), own
-            seen = max(int(at_us), seen or int(at_us)) if known else int(at_us)
-        state.update((version_us, version, seen))
-        state.setTimeoutTimestamp(max((seen + span) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        if not state.hasTimedOut:
+            rows = pd.concat(list(frames))
+            columns = (rows[c].tolist() for c in ("at_us", "id", "version_us", "version", "tick"))
+            out = remember(held, zip(*columns, strict=True), span)
+        watermark = state.getCurrentWatermarkMs()
+        held = forget(held, watermark * 1000 - span)
+        if held:
+            parts = zip(*((k, *v) for k, v in held.items()), strict=True)
+            state.update(tuple(list(p) for p in parts))
+            oldest = min(known[2] for known in held.values())
+            state.setTimeoutTimestamp(max((oldest + span) // 1000, watermark) + 1)
+        else:
+            state.remove()
         yield pd.DataFrame(out, columns=["id", "version", "tick"])
 
     timed = listed.withWatermark(at, horizon).select(
+        F.pmod(F.xxhash64("id"), F.lit(buckets)).alias("bucket"),
         "id",
         "version",
         F.col("tick").cast("long").alias("tick"),
@@ -96,8 +132,12 @@ def bounded_changes(listed: DataFrame, at: str, horizon_seconds: int) -> DataFra
         F.coalesce(F.unix_micros(F.try_to_timestamp("version")), F.lit(-(1 << 62))).alias("version_us"),
         at,
     )
-    return timed.groupBy("id").applyInPandasWithState(
-        step, "id bigint, version string, tick bigint", _SEEN, "append", "EventTimeTimeout"
+    return (
+        timed.where("id IS NOT NULL AND version IS NOT NULL")
+        .groupBy("bucket")
+        .applyInPandasWithState(
+            step, "id bigint, version string, tick bigint", _STATE, "append", "EventTimeTimeout"
+        )
     )
 
 

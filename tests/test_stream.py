@@ -142,18 +142,33 @@ def test_bounded_changes_forget_what_is_no_longer_listed(spark, tmp_path):
         stream = spark.readStream.schema(shape).parquet(source)
         timed = stream.withColumn("at", F.timestamp_seconds(F.col("tick") * 60))
         query = (
-            changes.bounded_changes(timed, "at", 60)
+            changes.bounded_changes(timed, "at", 60, buckets=16)
             .writeStream.format("parquet")
             .option("checkpointLocation", str(tmp_path / "checkpoint"))
             .trigger(availableNow=True)
             .start(out)
         )
         query.awaitTermination()
-        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+        sizes.append(query.lastProgress["stateOperators"][0]["memoryUsedBytes"])
     found = [tuple(r) for r in spark.read.parquet(out).select("id", "version", "tick").collect()]
     assert sorted(found) == sorted(expected)
-    # 10 ids and those of the last few ticks, not all 810
-    assert max(sizes[4:]) <= 10 + 4 * 100
+    # state does not grow with the history
+    assert max(sizes[5:]) <= 1.2 * max(sizes[2:5])
+
+
+def test_memory_holds_what_was_listed_lately():
+    held, emitted = {}, 0
+    for tick in range(1, 50):
+        rows = [(tick * 60, 1, 5, "v", tick)] + [(tick * 60, tick * 1000 + k, 5, "v", tick) for k in range(100)]
+        emitted += len(changes.remember(held, rows, span=60))
+        held = changes.forget(held, tick * 60 - 120)
+        assert len(held) <= 1 + 3 * 100
+    assert emitted == 1 + 49 * 100
+    # late and equal versions are no change; a later one is; a gap beyond the span is
+    held = {}
+    steps = [(0, 5, "b"), (10, 4, "c"), (20, 5, "b"), (30, 6, "a"), (91, 6, "a"), (100, 5, "z")]
+    new = [changes.remember(held, [(at, 1, i, v, 0)], span=60) for at, i, v in steps]
+    assert [len(n) for n in new] == [1, 0, 0, 1, 1, 0]
 
 
 @pytest.mark.parametrize("cut", [1, 2])
