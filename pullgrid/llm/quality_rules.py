@@ -17,12 +17,15 @@ narrow features, never the texts. What is broadcast is one row per stratum and r
 Defined results. Null or blank text: no words, so ``base_failed``. Null language: a
 stratum of its own. Null ``doc_id``: judged like any other, never matched to a
 label. Labels repeated for a document: good if all of them are. Null labels are
-ignored. Repeated rows are judged each; each counts in the holdout as its own row.
+ignored. Repeated rows are judged each; rows of one ``doc_id`` are one draw of the holdout,
+rejected if any of them is: copies of a row say nothing new about the rate.
 No labels: only the base rules reject. No rows: no rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -146,10 +149,12 @@ def cutoffs(counted: DataFrame, labels: DataFrame, risk: float, level: float) ->
         good, F.col("row.doc_id") == F.col("label_id"), "semi"
     )
     ladder = [(r, s, c) for r, (_, _, cs) in RULES.items() for s, c in enumerate(cs)]
-    lost = [
-        F.count_if(_rejects(r, F.lit(c))).alias(f"{r}_{s}") for r, s, c in ladder
-    ]
-    seen = held.groupBy("stratum").agg(F.count("*").alias("n"), *lost)
+    # a bit per cutoff that rejects; one draw per document, whatever rows it has
+    bits = [F.when(_rejects(r, F.lit(c)), F.lit(1 << k)).otherwise(F.lit(0)) for k, (r, _, c) in enumerate(ladder)]
+    mask = reduce(Column.bitwiseOR, [b.cast("long") for b in bits])
+    draws = held.groupBy("stratum", F.col("row.doc_id").alias("doc_id")).agg(F.bit_or(mask).alias("lost"))
+    lost = [F.sum(F.getbit("lost", F.lit(k)).cast("long")).alias(f"{r}_{s}") for k, (r, s, _) in enumerate(ladder)]
+    seen = draws.groupBy("stratum").agg(F.count("*").alias("n"), *lost)
     # one row per stratum: small enough for a window over all of them
     strata = F.count("*").over(Window.partitionBy(F.lit(0)))
     seen = seen.withColumn("family", strata * len(RULES))
@@ -213,7 +218,12 @@ _LADDER = ", ".join(
     for step, cutoff in enumerate(cs)
 )
 _LOST = ", ".join(
-    f"count(*) FILTER (1000 * {above} > {cutoff} * {below}) AS n_{rule}_{step}"
+    f"count(*) FILTER (l_{rule}_{step}) AS n_{rule}_{step}"
+    for rule, (_, _, cs) in RULES.items()
+    for step in range(len(cs))
+)
+_FLAGS = ", ".join(
+    f"bool_or(1000 * {above} > {cutoff} * {below}) AS l_{rule}_{step}"
     for rule, (above, below, cs) in RULES.items()
     for step, cutoff in enumerate(cs)
 )
@@ -254,7 +264,8 @@ counted AS (
 ), held AS (
   SELECT * FROM judged WHERE NOT base_failed AND doc_id IN (
     SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1)
-), seen AS (SELECT stratum, count(*) AS n, {_LOST} FROM held GROUP BY stratum),
+), draws AS (SELECT stratum, doc_id, {_FLAGS} FROM held GROUP BY stratum, doc_id),
+seen AS (SELECT stratum, count(*) AS n, {_LOST} FROM draws GROUP BY stratum),
 tests AS (
   SELECT stratum, n, t.rule, t.step, t.cutoff, t.k, (SELECT count(*) FROM seen) * {len(RULES)} AS family
   FROM seen, LATERAL (VALUES {_LADDER}) AS t(rule, step, cutoff, k)

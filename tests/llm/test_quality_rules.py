@@ -73,6 +73,17 @@ def test_too_few_labels_admit_nothing(spark):
     assert rejected(docs, labels) == set()
 
 
+def test_repeated_rows_are_one_draw(spark):
+    """Copies of a few labelled rows certify nothing; a document is lost if one of its rows is."""
+    docs, labels = labelled(spark, 60, 20, 0)
+    copies = docs.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(12)))).drop("copy")
+    assert rejected(copies, labels) == set()
+    # 600 good documents, each of which has a loud row as well
+    docs, labels = labelled(spark, 600, 20, 0)
+    loud = docs.where("doc_id < 600").withColumn("text", F.upper("text"))
+    assert rejected(docs.unionByName(loud), labels) == set()
+
+
 def test_odd_labels_and_nothing(spark, odd, nothing):
     labels = spark.createDataFrame(
         [(1, 1), (1, 0), (None, 1), (2, None), (9, 1), (9, 1)], "doc_id long, quality int"
