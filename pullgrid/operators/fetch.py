@@ -32,32 +32,38 @@ def mirror_table(spark, endpoint: str, table: str) -> DataFrame:
 def _fetch_mirror(items: DataFrame, endpoint: str, by_version: bool) -> DataFrame:
     """One equi-join against the mirror; unmatched items are 404.
 
-    Without a version, an item gets the newest body of its URL, as a request would.
-    Which body answers is settled on keys, and only those are shuffled. Bodies are never
-    broadcast: they compress so well that a file size says little about what they take
-    in memory.
+    Without a version, an item gets the newest body of its URL, as a request would: which
+    one that is is settled on two columns, before any body moves. Bodies that nobody asks
+    for are left out before the shuffle where the keys are few enough to be sent to them.
+    Bodies are never broadcast: they compress so well that a file size says little about
+    what they take in memory.
     """
     details = mirror_table(items.sparkSession, endpoint, "details")
     if by_version and "version" in items.columns:
-        keys = ["url", "version"]
+        asked = items.withColumn("__at", F.col("version"))
     else:
-        # which version is newest is settled on two columns, before any body moves
-        keys = ["url"]
-        asked = items.select("url").distinct()
+        urls = items.select(F.col("url").alias("__url")).distinct()
+        order = F.struct(F.try_to_timestamp("version"), "version")
         newest = (
-            details.select("url", "version")
-            .join(asked, "url", "left_semi")
-            .groupBy("url")
-            .agg(F.max_by("version", F.struct(F.try_to_timestamp("version"), "version")).alias("version"))
+            details.select(F.col("url").alias("__url"), "version")
+            .join(urls, "__url", "left_semi")
+            .groupBy("__url")
+            .agg(F.max_by("version", order).alias("__at"))
         )
-        details = details.join(newest, ["url", "version"], "left_semi").drop("version")
-    found = details.select(*keys, "status", F.lit(1).alias("attempts"), "body")
-    joined = items.join(found.hint("merge") if len(keys) > 1 else found, keys, "left")
-    return joined.select(
+        asked = items.join(newest, F.col("url") == F.col("__url"), "left").drop("__url")
+    keys = asked.select(F.col("url").alias("__url"), F.col("__at").alias("__held")).distinct()
+    found = details.select(
+        F.col("url").alias("__url"),
+        F.col("version").alias("__held"),
+        F.col("status").alias("__status"),
+        F.col("body").alias("__body"),
+    ).join(keys, ["__url", "__held"], "left_semi")
+    same = (F.col("url") == F.col("__url")) & (F.col("__at") == F.col("__held"))
+    return asked.join(found.hint("merge"), same, "left").select(
         *[F.col(f"`{c}`") for c in items.columns],
-        F.coalesce("status", F.lit(404)).alias("status"),
-        F.coalesce("attempts", F.lit(1)).alias("attempts"),
-        "body",
+        F.coalesce("__status", F.lit(404)).alias("status"),
+        F.lit(1).alias("attempts"),
+        F.col("__body").alias("body"),
     )
 
 

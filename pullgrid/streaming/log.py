@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pullgrid.folders import create_once, names_in, qualified, ready_dir, text_of, there
 from pullgrid.functions.schema import plain_schema
 from pullgrid.operators.cache import decode_held, fetch_misses
+from pullgrid.operators.listing import decode_listing, list_pages, page_plan
 from pullgrid.operators.ranking import newest_per_key
 from pullgrid.shipping import ship_package
 from pullgrid.sources.listing_log import MANIFEST, manifest_text
@@ -54,8 +55,6 @@ def poll_tick(
     repos: DataFrame, endpoint: str, listing_dir: str, tick: int, token: str | None = None, retries: int = 2
 ) -> bool:
     """List (full_name, batch) repositories in tasks and record the answer as one tick."""
-    from pullgrid.operators.listing import decode_listing, list_pages, page_plan
-
     pages = list_pages(page_plan(repos), endpoint, token, retries)
     return record_tick(decode_listing(pages), listing_dir, tick)
 
@@ -124,17 +123,19 @@ def start_ingest(
     token: str | None = None,
     retries: int = 2,
     trigger: dict | None = None,
+    budget: int | None = None,
 ) -> StreamingQuery:
     """Fetch every version the log lists that the cache does not hold yet.
 
     The split against the cache runs before any fetch, so a tick that repeats
     the last one costs no request. A replayed micro-batch finds its own rows in
-    the cache and fetches nothing.
+    the cache and fetches nothing. ``budget``: requests of one micro-batch at most; what it
+    leaves is asked for when a later tick lists it again.
     """
 
     def run(batch: DataFrame, _: int) -> None:
         once = newest_per_key(batch, ["id", "version"], [F.desc("tick")])
-        fetch_misses(once, endpoint, cache_dir, mode, token, retries)
+        fetch_misses(once, endpoint, cache_dir, mode, token, retries, budget)
 
     return _each_batch(listed, run, checkpoint, trigger)
 
