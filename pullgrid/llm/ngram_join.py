@@ -17,13 +17,16 @@
    matches are summed per pair, and a pair is discarded once its count and what is left
    behind its last match cannot reach the bound given by the two sizes.
 5. Remaining pairs are counted in full: 100 * intersection >= 75 * union.
+6. *Links*, where asked for: all links lie within components. Each is cut into parts of
+   bounded size like a family, every two parts are multiplied once, and a task returns one
+   number per node: the documents behind the sets that it links to. Pairs are never rows.
 
 Steps 1 and 4 drop only what cannot link; no group, bucket or candidate list is capped.
 
 Defined results. Null, empty or blank text: no shingles, a component by itself. Null
 ``doc_id``: counted, linked with nothing, null component. Rows that repeat a ``doc_id``
-are told apart by their text; equal rows fall together. No rows: no rows. Other columns
-are carried by the caller.
+are told apart by their text; equal rows fall together in a component, and each counts
+as a link of the others. No rows: no rows. Other columns are carried by the caller.
 """
 
 from __future__ import annotations
@@ -54,6 +57,7 @@ MIN_HASHES = 8
 TILE_NODES, TILE_SHINGLES = 1_000, 300_000
 DENSE_FROM, DENSE_COLUMNS = 32, 4_096
 BROADCAST_ROWS = 500_000
+CROWD, CROWD_SHARE = 500, 100_000  # a key is crowded beyond 500 rows and one in 100,000 of all
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 62, MIN_HASHES).astype(np.uint64)
 
 
@@ -293,22 +297,37 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(100 * F.col("both") >= SIMILARITY * union).select("u", "v")
 
 
+def _told(rows: DataFrame, facts: DataFrame, crowded: DataFrame) -> DataFrame:
+    """What is known of a key, told to its rows; the rows of a crowded key stay where they are."""
+    keys = ["k", "key"]
+    crowd = F.broadcast(crowded.select(*keys))
+    popular = rows.join(F.broadcast(facts.join(crowd, keys, "left_semi")), keys)
+    others = rows.join(crowd, keys, "left_anti").join(facts.join(crowd, keys, "left_anti"), keys)
+    return popular.unionByName(others)
+
+
 def families(sets: DataFrame) -> DataFrame:
     """(node, family): the most popular of the nodes that lead one of its min-hashes.
 
     Popular is who shares its min-hashes with many, as the original of edited copies does.
+    Keys are counted before rows are dealt by them: at most ``CROWD_SHARE`` are crowded,
+    and what is known of those is broadcast.
     """
     keyed = sets.select("node", F.posexplode("keys").alias("k", "key"))
-    held = keyed.groupBy("k", "key").agg(F.count("*").alias("held")).where("held > 1")
-    shared = written(keyed.join(held, ["k", "key"]), "keys")
+    counts = keyed.groupBy("k", "key").agg(F.count("*").alias("held")).where("held > 1")
+    held = written(counts, "held")
+    rows = held.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
+    crowded = held.where(F.col("held") > max(CROWD, rows // CROWD_SHARE))
+    shared = written(_told(keyed, held, crowded), "keys")
     popular = shared.groupBy("node").agg(F.sum("held").alias("popular"))
-    leaders = (
+    leaders = written(
         shared.join(popular, "node")
         .groupBy("k", "key")
-        .agg(F.max(F.struct("popular", "node")).alias("leader"))
+        .agg(F.max(F.struct("popular", "node")).alias("leader")),
+        "leaders",
     )
     return (
-        shared.join(leaders, ["k", "key"])
+        _told(shared, leaders, crowded)
         .groupBy("node")
         .agg(F.max("leader")["node"].alias("family"))
     )
@@ -344,46 +363,74 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def _tile_links(tile: pa.Table) -> pa.Table:
-    """(u, v) that connect a tile's nodes as their links do: each node and the least it reaches."""
-    nodes_ = tile.column("node").to_numpy()
+def _multiplied(tile: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """The tile's rows by node, and which two of them are linked."""
+    tile = tile.sort_by("node")
     sets = [s.values.to_numpy() for s in tile.column("shingles")]
-    order = np.argsort(nodes_)
-    nodes_, sets = nodes_[order], [sets[k] for k in order]
     n = np.array([len(s) for s in sets], np.float64)
     both = overlaps(sets).astype(np.float64)
-    linked = 100 * both >= SIMILARITY * (n[:, None] + n[None, :] - both)
-    label = np.arange(len(sets))
+    return tile, 100 * both >= SIMILARITY * (n[:, None] + n[None, :] - both)
+
+
+def _tile_links(tile: pa.Table) -> pa.Table:
+    """(u, v) that connect a tile's nodes as their links do: each node and the least it reaches."""
+    tile, linked = _multiplied(tile)
+    nodes_, size = tile.column("node").to_numpy(), len(linked)
+    label = np.arange(size)
     while True:
-        least = np.where(linked, label[None, :], len(sets)).min(1)
+        least = np.where(linked, label[None, :], size).min(1)
         least = np.minimum(label, least)
         least = least[least]
         if (least == label).all():
             break
         label = least
-    moved = np.flatnonzero(label != np.arange(len(sets)))
+    moved = np.flatnonzero(label != np.arange(size))
     return pa.table({"u": nodes_[moved], "v": nodes_[label[moved]]})
 
 
-def family_links(sets: DataFrame) -> DataFrame:
-    """Links within families, found tile by tile; a tile is two parts of bounded size."""
-    sizes = sets.groupBy("family").agg(F.count("*").alias("held"), F.sum("n").alias("total"))
+def _tile_counts(tile: pa.Table) -> pa.Table:
+    """(node, linked): documents of other nodes it links to, each pair of nodes in one tile."""
+    tile, linked = _multiplied(tile)
+    part, copies = tile.column("part").to_numpy(), tile.column("copies").to_numpy()
+    np.fill_diagonal(linked, False)
+    if part.min() < part.max():
+        # links inside a part are counted in the tile that the part has to itself
+        linked &= part[:, None] != part[None, :]
+    total = np.where(linked, copies[None, :], 0).sum(1)
+    return pa.table({"node": tile.column("node"), "linked": pa.array(total, pa.int64())})
+
+
+def tiles(sets: DataFrame, group: str) -> DataFrame:
+    """The rows of each group with two or more, once for every two parts that it is cut into.
+
+    A part has a bounded size; a row's ``tile`` names the group and the two parts.
+    """
+    sizes = sets.groupBy(group).agg(F.count("*").alias("held"), F.sum("n").alias("total"))
     parts = sizes.where("held > 1").select(
-        "family",
+        group,
         F.ceil(F.greatest(F.col("held") / TILE_NODES, F.col("total") / TILE_SHINGLES))
         .cast("int")
         .alias("parts"),
     )
-    placed = sets.select("node", "family", "shingles").join(parts, "family")
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    tiles = placed.select("node", "family", "shingles", part.alias("part"), other.alias("other"))
-    tiles = tiles.select(
-        "node",
-        "shingles",
-        F.struct("family", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")).alias("tile"),
-    )
-    return tiles.groupBy("tile").applyInArrow(_tile_links, "u long, v long")
+    placed = sets.join(parts, group).select("*", part.alias("part"), other.alias("other"))
+    a, b = F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")
+    return placed.withColumn("tile", F.struct(group, a, b))
+
+
+def family_links(sets: DataFrame) -> DataFrame:
+    """Links within families, found tile by tile."""
+    rows = tiles(sets.select("node", "family", "n", "shingles"), "family")
+    rows = rows.select("node", "shingles", "tile")
+    return rows.groupBy("tile").applyInArrow(_tile_links, "u long, v long")
+
+
+def link_counts(sets: DataFrame) -> DataFrame:
+    """(node, linked) of sets (node, label, n, shingles, copies) that share a component."""
+    rows = tiles(sets, "label").select("node", "shingles", "copies", "part", "tile")
+    counted = rows.groupBy("tile").applyInArrow(_tile_counts, "node long, linked long")
+    return counted.groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
 def _labelled(sets: DataFrame, links: DataFrame) -> DataFrame:
@@ -436,8 +483,8 @@ def product_pairs(sets: DataFrame) -> DataFrame:
     return summed.where(enough).select(F.col("node_u").alias("u"), F.col("node_v").alias("v"))
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``docs``."""
+def jaccard_components(docs: DataFrame, links: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of ``docs``; with ``links``, n_links too."""
     sketched = written(sketch(docs), "sketch")
     sets = nodes(docs, sketched)
     member = families(sets).withColumnRenamed("node", "member")
@@ -446,28 +493,33 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     within = written(family_links(sets), "within")
     labelled = written(_labelled(sets, within), "labels")
     more = verified(product_pairs(labelled), labelled)
-    final = _labelled(labelled.drop("label"), within.unionByName(more)).select("sig", "label")
+    final = _labelled(labelled.drop("label"), within.unionByName(more))
     known = sketched.where("doc_id IS NOT NULL AND n > 0")
-    firsts = known.groupBy("sig").agg(F.min("doc_id").alias("first_id"))
+    held = known.groupBy("sig").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
     # the least document of each component, told to each of its signatures
-    groups = written(final.join(firsts, "sig"), "groups")
+    groups = written(final.select("node", "sig", "label").join(held, "sig"), "groups")
     least = groups.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    of_sig = groups.select("sig", "label").distinct().join(least, "label").select(
-        F.col("sig").alias("group_sig"), "component_id"
+    # rows that repeat a document give its set twice: one node speaks for it
+    of_sig = groups.groupBy("sig").agg(
+        F.min("node").alias("node"), F.min("label").alias("label"), F.min("copies").alias("copies")
     )
-    met = sketched.join(of_sig, F.col("sig") == F.col("group_sig"), "left")
+    facts = [F.col("sig").alias("group_sig"), "component_id"]
+    if links:
+        rows = of_sig.select("node", "label", "copies").join(sets.select("node", "n", "shingles"), "node")
+        of_sig = of_sig.join(written(link_counts(rows), "counts"), "node", "left")
+        # of equal rows each has the others
+        facts.append((F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    met = sketched.join(of_sig.join(least, "label").select(*facts), F.col("sig") == F.col("group_sig"), "left")
     linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)
-    return met.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(linked, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias(
-            "component_id"
-        ),
-    )
+    component = F.when(linked, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
+    out = ["doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")]
+    if links:
+        out.append(F.when(linked, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).alias("n_links"))
+    return met.select(*out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents"), links=True)
 
 
 SQL = """
@@ -489,6 +541,9 @@ links AS (
   SELECT doc_id, doc_id FROM sets
   UNION SELECT r.doc_id, l.v FROM reach r JOIN links l ON r.other = l.u
 )
-SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.other) AS component_id
-FROM sets s JOIN reach r USING (doc_id) GROUP BY s.doc_id, s.s
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.other) AS component_id,
+       coalesce(any_value(l.n_links), 0)::BIGINT AS n_links
+FROM sets s JOIN reach r USING (doc_id)
+LEFT JOIN (SELECT u, count(*) AS n_links FROM links GROUP BY u) l ON l.u = s.doc_id
+GROUP BY s.doc_id, s.s
 """

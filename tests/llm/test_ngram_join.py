@@ -41,16 +41,33 @@ def brute(rows):
     )
 
 
+def brute_links(rows):
+    """(doc_id, links): other rows with a similar set; rows without an id or words have none."""
+    sets = [shingles(t) if doc is not None else frozenset() for doc, t, *_ in rows]
+    similar = lambda a, b: bool(a) and 100 * len(a & b) >= 75 * len(a | b)
+    return Counter(
+        (rows[a][0], sum(a != b and similar(sets[a], sets[b]) for b in range(len(rows))))
+        for a in range(len(rows))
+    )
+
+
+def links_of(df):
+    rows = ngram_join.jaccard_components(df, links=True).select("doc_id", "n_links").collect()
+    return Counter(tuple(r) for r in rows)
+
+
 def found(df):
     return Counter(tuple(r) for r in ngram_join.jaccard_components(df).collect())
 
 
 def test_odd_rows_match_brute_force(odd, odd_rows):
     assert found(odd) == brute(odd_rows)
+    assert links_of(odd) == brute_links(odd_rows)
 
 
 def test_nothing(nothing):
     assert found(nothing) == Counter()
+    assert links_of(nothing) == Counter()
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -65,7 +82,23 @@ def test_random_edits_match_brute_force(spark, seed):
             text = " ".join(words)
             rows.append((len(rows), f"{text} {passage}" if draw.random() < 0.3 else text, "en"))
     rows += [(len(rows) + k, f"{passage} {prose(200 + k, 60)}", "en") for k in range(20)]
-    assert found(frame(spark, rows).repartition(4)) == brute(rows)
+    rows += [(len(rows) + k, rows[k % 9][1], "en") for k in range(30)]
+    df = frame(spark, rows).repartition(4)
+    assert found(df) == brute(rows)
+    assert links_of(df) == brute_links(rows)
+
+
+def test_a_crowded_key_is_told_to_its_rows_where_they_are(spark, monkeypatch):
+    draw, rows = random.Random(3), []
+    for family in range(3):
+        words = prose(family + 70, 60).split()
+        for _ in range(20):
+            edited = [f"new{draw.random():.6f}" if draw.random() < 0.02 else w for w in words]
+            rows.append((len(rows), " ".join(edited), "en"))
+    df = frame(spark, rows)
+    for crowd in (2, 1_000):  # all shared keys, and none
+        monkeypatch.setattr(ngram_join, "CROWD", crowd)
+        assert found(df) == brute(rows)
 
 
 def test_links_between_families_are_found_by_the_product(spark, monkeypatch):
@@ -80,6 +113,7 @@ def test_links_between_families_are_found_by_the_product(spark, monkeypatch):
     alone = lambda sets: sets.selectExpr("node", "node AS family")
     monkeypatch.setattr(ngram_join, "families", alone)
     assert found(df) == brute(rows)
+    assert links_of(df) == brute_links(rows)
 
 
 def test_a_family_of_many_parts_gives_the_same_components(spark, monkeypatch):
@@ -90,7 +124,9 @@ def test_a_family_of_many_parts_gives_the_same_components(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "TILE_NODES", 7)
     monkeypatch.setattr(ngram_join, "DENSE_FROM", 3)
     monkeypatch.setattr(ngram_join, "DENSE_COLUMNS", 5)
+    rows += [(60 + k, rows[k][1], "en") for k in range(5)]
     assert found(frame(spark, rows)) == brute(rows)
+    assert links_of(frame(spark, rows)) == brute_links(rows)
 
 
 def test_components_of_a_long_chain_and_a_star(spark):
