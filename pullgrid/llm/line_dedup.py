@@ -3,7 +3,7 @@
 Every line becomes a 128-bit hash with its document and position. Hashes are
 range-partitioned and sorted by document and position, and a window streams over
 each run of equal hashes: its first document keeps the line, the others lose it.
-A hash that a large share of all lines carries is cut into salted runs first; each
+A hash with more lines than a run may have is cut into salted runs first; each
 run decides its own losers, and only the runs' first documents meet again. What
 comes back per document is a bitmap of kept lines in 64-bit words, without the
 words in which nothing is dropped; text moves once, to meet its bitmap.
@@ -22,9 +22,10 @@ from pyspark.sql.window import Window
 
 from pullgrid.llm.common import BLANKS, ascii_lower, partitions, table, written
 
-BUCKETS = 4096  # of hashes, for the hot-run count: bounds what is broadcast
-SALTS = 256
-HOT_SHARE = 0.002  # of all lines in one bucket
+BUCKETS = 4096  # of hashes: only lines in crowded ones are counted by hash
+RUN_LINES = 1_000_000  # a run that is longer is cut, whatever share of all lines it has
+HOT_SHARE = 0.002  # so is one with more than this share of all lines
+BROADCAST_HASHES = 1_000_000
 
 
 def split_lines(text: Column) -> Column:
@@ -52,17 +53,36 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
-def _with_salt(lines: DataFrame) -> DataFrame:
+def hot_hashes(lines: DataFrame) -> DataFrame:
+    """(hash, salts): hashes with more lines than a run may have, and the runs they are cut into.
+
+    Lines are counted by bucket first. A bucket within the limit holds no hot hash, so only
+    the lines of the others are counted by hash, before any line is dealt by it.
+    """
     bucket = F.pmod("h1", F.lit(BUCKETS))
     counts = lines.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # over BUCKETS rows at most
-    hot = counts.withColumn("total", total).where(F.col("n") > HOT_SHARE * F.col("total"))
-    hot = hot.select("bucket", F.lit(True).alias("is_hot"))
-    salt = F.pmod(F.xxhash64("doc", "tag", "pos"), F.lit(SALTS))
+    limit = F.greatest(F.lit(1.0), F.least(F.lit(float(RUN_LINES)), HOT_SHARE * total))
+    crowded = written(
+        counts.withColumn("limit", limit).where(F.col("n") > F.col("limit")).select("bucket", "limit"),
+        "crowded",
+    )
+    inside = lines.join(F.broadcast(crowded), bucket == F.col("bucket"))
+    held = inside.groupBy("h1", "limit").agg(F.count("*").alias("n")).where(F.col("n") > F.col("limit"))
+    salts = F.ceil(F.col("n") / F.col("limit")).cast("int")
+    return written(held.select(F.col("h1").alias("hash"), salts.alias("salts")), "hot")
+
+
+def _with_salt(lines: DataFrame) -> DataFrame:
+    hot = hot_hashes(lines)
+    # at most as many as limits fit into all lines; more than can be broadcast: joined by hash
+    if hot.count() <= BROADCAST_HASHES:
+        hot = F.broadcast(hot)
+    salt = F.pmod(F.xxhash64("doc", "tag", "pos"), F.col("salts"))
     return (
-        lines.join(F.broadcast(hot), bucket == F.col("bucket"), "left")
-        .withColumn("salt", F.when(F.col("is_hot"), salt).otherwise(F.lit(-1)))
-        .drop("bucket", "is_hot")
+        lines.join(hot, F.col("h1") == F.col("hash"), "left")
+        .withColumn("salt", F.coalesce(salt, F.lit(-1)))
+        .drop("hash", "salts")
     )
 
 

@@ -51,6 +51,22 @@ def test_a_hot_line_is_cut_into_runs_and_keeps_one_owner(spark):
     assert digest(line_dedup.dedup_lines(df)) == brute(rows)
 
 
+def test_a_run_is_cut_by_its_length_whatever_its_share(spark, monkeypatch):
+    """Every third line is the same, and no share of the lines counts as hot."""
+    rows = [(k, f"the very same line\nline of {k} alone\nand another of {k}", "en") for k in range(400)]
+    rows += [(None, "the very same line", "en")] * 200
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    monkeypatch.setattr(line_dedup, "HOT_SHARE", 1.0)
+    monkeypatch.setattr(line_dedup, "RUN_LINES", 50)
+    salted = line_dedup._with_salt(line_dedup.line_hashes(df, 10))
+    runs = salted.groupBy("h1", "h2", "salt").count().where("count > 1").collect()
+    assert len(runs) == 8 and max(r["count"] for r in runs) < 100
+    assert digest(line_dedup.dedup_lines(df)) == brute(rows)
+    # hot hashes beyond what is broadcast are joined by key
+    monkeypatch.setattr(line_dedup, "BROADCAST_HASHES", 0)
+    assert digest(line_dedup.dedup_lines(df)) == brute(rows)
+
+
 def test_bitmaps_leave_out_words_in_which_nothing_is_dropped(spark):
     shared = "a line that both of them hold"
     long_doc = "\n".join([f"only here, number {k}" for k in range(200)] + [shared])
