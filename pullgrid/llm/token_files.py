@@ -1,10 +1,12 @@
 """Token-ID output: Arrow files of equal-length sequences with masks.
 
 Documents are range-partitioned by ``doc_id`` and encoded by the tokenizers library;
-each document's ids end with an end id. A partition lays its ids end to end and
+rows without an id, or with the same one, are ranged on by their text, so any number of
+them spreads over tasks and files. Each document's ids end with an end id. A partition lays its ids end to end and
 writes one Arrow IPC file: ``ids`` and ``mask`` are fixed-size lists, so every record
-batch but the last holds the same number of equal-length rows, and sequence i is a
-slice of the mapped file without a copy. The last row is padded, its mask says where.
+batch but the last holds the same number of equal-length rows, and sequence i and its
+mask (a byte per position) are slices of the mapped file without a copy. The last row is
+padded, its mask says where.
 ``docs`` lists the documents that end in a row, each with its end in that row. Ids are
 16-bit where the vocabulary allows it.
 
@@ -13,7 +15,7 @@ retried or doubled task leaves an orphan at most. The manifest has one row per f
 the files' first positions are its running sum.
 
 Defined results. Null or empty text: the end id alone. Null ``doc_id``: first in the
-order. Repeated ``doc_id``: ordered by text. No rows: no files, no rows. A special
+order. Repeated ``doc_id``: ordered by the first characters of the text, then its hash. No rows: no files, no rows. A special
 token's string becomes its id, as the library does. Other columns are not written.
 """
 
@@ -37,6 +39,7 @@ from pullgrid.llm.bpe import merger
 from pullgrid.llm.common import partitions, table, written
 from pullgrid.llm.pieces import PieceEncoder
 from pullgrid.llm.ragged import gather, offsets
+from pullgrid.llm.runs import in_ranges
 from pullgrid.llm.slices import text_slices
 from pullgrid.shipping import ship_package
 
@@ -44,6 +47,7 @@ SEQUENCE = 1024
 BATCH_ROWS = 256
 END_ID = 2
 TABLE_PIECES = 250_000  # encoded pieces a worker keeps
+ORDER_CHARS = 64  # of a text, to order rows of one id: whole texts would travel to the driver as range bounds
 
 
 @lru_cache(maxsize=2)
@@ -91,7 +95,7 @@ def id_type(path: str) -> pa.DataType:
 def schema(ids: pa.DataType, sequence: int) -> pa.Schema:
     ends = pa.list_(pa.struct([("doc_id", pa.int64()), ("end", pa.int32())]))
     return pa.schema(
-        [("ids", pa.list_(ids, sequence)), ("mask", pa.list_(pa.bool_(), sequence)), ("docs", ends)]
+        [("ids", pa.list_(ids, sequence)), ("mask", pa.list_(pa.uint8(), sequence)), ("docs", ends)]
     )
 
 
@@ -123,7 +127,7 @@ class SequenceWriter:
         rows = -(-n // self.sequence)
         padded = np.zeros(rows * self.sequence, self.type.to_pandas_dtype())
         padded[:n] = out
-        mask = np.arange(len(padded)) < n
+        mask = (np.arange(len(padded)) < n).astype(np.uint8)
         local = ends[:here] - self.written
         row = np.maximum(local - 1, 0) // self.sequence
         docs = pa.StructArray.from_arrays(
@@ -165,11 +169,8 @@ def write_files(
 ) -> DataFrame:
     """Write the files; (part, path, n_tokens, start) of each, in the order of ``doc_id``."""
     ship_package(docs.sparkSession)
-    ordered = (
-        docs.select("doc_id", "text")
-        .repartitionByRange(partitions(docs.sparkSession), "doc_id")
-        .sortWithinPartitions("doc_id", "text")
-    )
+    keys = [F.col("doc_id"), F.substring("text", 1, ORDER_CHARS), F.xxhash64("text")]
+    ordered = in_ranges(docs.select("doc_id", "text"), keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = library_encoder(tokenizer), TaskContext.get().partitionId()
@@ -208,12 +209,11 @@ def open_file(path: str) -> pa.ipc.RecordBatchFileReader:
 
 
 def sequence_at(reader: pa.ipc.RecordBatchFileReader, i: int, batch_rows: int = BATCH_ROWS):
-    """(ids, mask) of sequence i: a view of the file's ids, and its unpacked mask."""
+    """(ids, mask) of sequence i, both views of the file; the mask is 1 where ids are."""
     batch = reader.get_batch(i // batch_rows)
     n, row = batch.schema.field("ids").type.list_size, i % batch_rows
-    ids = batch.column("ids").values.to_numpy()[row * n : (row + 1) * n]
-    mask = batch.column("mask").values.slice(row * n, n).to_numpy(zero_copy_only=False)
-    return ids, mask
+    here = slice(row * n, (row + 1) * n)
+    return batch.column("ids").values.to_numpy()[here], batch.column("mask").values.to_numpy()[here]
 
 
 def documents_of(path: str) -> Iterator[tuple[list[int | None], list[np.ndarray]]]:
@@ -223,7 +223,7 @@ def documents_of(path: str) -> Iterator[tuple[list[int | None], list[np.ndarray]
     for k in range(reader.num_record_batches):
         batch = reader.get_batch(k)
         width = batch.schema.field("ids").type.list_size
-        mask = batch.column("mask").values.to_numpy(zero_copy_only=False)
+        mask = batch.column("mask").values.to_numpy()
         ids = batch.column("ids").values.to_numpy()[: int(mask.sum())]
         docs = batch.column("docs")
         row = np.repeat(np.arange(len(docs)), np.diff(docs.offsets.to_numpy()))

@@ -41,8 +41,26 @@ def test_a_sequence_is_a_view_of_the_mapped_file(spark, tokenizer):
     (file,) = token_files.write_files(df, tokenizer, scratch_dir(spark, "tokens"), sequence=4).collect()
     reader = token_files.open_file(file.path)
     before = pa.total_allocated_bytes()
-    ids, _ = token_files.sequence_at(reader, 0)
+    ids, mask = token_files.sequence_at(reader, 0)
     assert not ids.flags.owndata and pa.total_allocated_bytes() - before < 256
+    assert not mask.flags.owndata and mask.tolist() == [1, 1, 1, 1]
+
+
+def test_rows_without_an_id_spread_over_the_files(spark, tokenizer):
+    """A third has no id, half of them with equal texts; a third repeats one id."""
+    rows = [(None, f"text {k}" if k % 2 else "equal text") for k in range(400)]
+    rows += [(7, f"other text {k}") for k in range(400)] + [(100 + k, f"own {k}") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    files = token_files.write_files(df, tokenizer, scratch_dir(spark, "tokens")).collect()
+    held = [
+        sum(len(ids) for ids, _ in token_files.documents_of(f.path)) for f in sorted(files, key=lambda f: f.part)
+    ]
+    assert sum(held) == len(rows) and max(held) < 2 * len(rows) / len(held) + 100
+    manifest = token_files.write_files(df, tokenizer, scratch_dir(spark, "tokens"))
+    got = sorted(tuple(r) for r in token_files.read_files(manifest).select("start", "n_tokens", "doc_id").collect())
+    assert [start for start, *_ in got] == [sum(n for _, n, _ in got[:k]) for k in range(len(got))]
+    order = [doc for *_, doc in got]
+    assert order == sorted(order, key=lambda d: -1 if d is None else d)
 
 
 def test_nothing(spark, nothing, tokenizer):
