@@ -509,7 +509,11 @@ def jaccard_components(docs: DataFrame, links: bool = False) -> DataFrame:
         of_sig = of_sig.join(written(link_counts(rows), "counts"), "node", "left")
         # of equal rows each has the others
         facts.append((F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
-    met = sketched.join(of_sig.join(least, "label").select(*facts), F.col("sig") == F.col("group_sig"), "left")
+    known_sigs = written(of_sig.join(least, "label").select(*facts), "facts")
+    # few sets are told to all rows, so those of a large group of copies stay where they are
+    if known_sigs.count() <= BROADCAST_ROWS:
+        known_sigs = F.broadcast(known_sigs)
+    met = sketched.join(known_sigs, F.col("sig") == F.col("group_sig"), "left")
     linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     component = F.when(linked, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
     out = ["doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")]
