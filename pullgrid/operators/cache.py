@@ -35,6 +35,8 @@ CACHE_SCHEMA = plain_schema(
     outcome=T.StringType(),
 )
 KEY = ["id", "version"]
+# so many urls and versions take some megabytes as a hash table
+FEW_ASKED = 20_000
 
 
 def read_cache(spark: SparkSession, cache_dir: str, outcome: str = "ok") -> DataFrame:
@@ -129,38 +131,56 @@ def missing_from(items: DataFrame, store: Generation) -> DataFrame:
     return items
 
 
+def _place() -> list[Column]:
+    """Where a row of the cache is: its file, whose name no other file has, and its number there."""
+    return [F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")]
+
+
 def asked_bodies(asked: DataFrame, store: Generation) -> DataFrame:
     """``newest_asked`` of a whole cache, without moving a body from its bucket.
 
-    Which part of the cache answers for a key is settled on key columns, and then each part
-    is asked for its own.
+    Which row of the cache answers for a key is settled on key columns. Then each part is
+    asked for its own: what is asked of a bucket is hashed, and the bodies stream past it
+    without being sorted.
     """
     spark = asked.sparkSession
     once = asked.select(*KEY).distinct()
     parts = body_store.sources(spark, store)
-    if len(parts) == 1:
-        return newest_asked(parts[0], once)
     places = None
     for number, rows in enumerate(parts):
-        keys = _renamed(rows.select("id", "version", "listed", "fetched_ms"))
+        keys = _renamed(rows.select("id", "version", "listed", "fetched_ms", *_place()))
+        exact = (F.col("carried") == once["version"]).alias("exact")
         met = once.join(keys, _found_in(once, keys)).select(
             once["id"],
             once["version"],
-            F.struct(
-                (F.col("carried") == once["version"]).alias("exact"), "fetched_ms", F.lit(number).alias("part")
-            ).alias("place"),
+            F.struct(exact, "fetched_ms", F.lit(number).alias("part"), "file", "row").alias("place"),
         )
         places = met if places is None else places.unionByName(met)
     path = scratch_dir(spark, "places")
-    places.groupBy(*KEY).agg(F.max("place").alias("place")).select(*KEY, "place.part").write.parquet(path)
-    settled = spark.read.schema("id bigint, version string, part int").parquet(path)
+    newest = places.groupBy(*KEY).agg(F.max("place").alias("place"))
+    newest.select(*KEY, "place.part", "place.file", "place.row").write.parquet(path)
+    settled = spark.read.schema("id bigint, version string, part int, file string, row bigint").parquet(path)
     out = None
     for number, rows in enumerate(parts):
-        own = newest_asked(rows, settled.where(F.col("part") == number))
+        own = _bodies_at(rows, settled.where(F.col("part") == number))
         out = own if out is None else out.unionByName(own)
     return out
 
 
+def _bodies_at(rows: DataFrame, settled: DataFrame) -> DataFrame:
+    """The rows at settled places of one part. Beside the id the place is no join key, so
+    that rows stay in their buckets."""
+    wanted = settled.select(
+        F.col("id").alias("__id"), F.col("version").alias("__version"), F.struct("file", "row").alias("__place")
+    )
+    held = rows.select(
+        "id", F.col("version").alias("carried"), "body", "fetched_ms", F.struct(*_place()).alias("__at")
+    )
+    there_too = F.array_contains(F.array("__at"), F.col("__place"))
+    met = held.join(wanted.hint("shuffle_hash"), (F.col("id") == F.col("__id")) & there_too)
+    return met.select("id", F.col("__version").alias("version"), "carried", "body", "fetched_ms")
+
+
 def _renamed(rows: DataFrame) -> DataFrame:
     return rows.withColumnsRenamed({"id": "__held", "version": "carried"})
 
@@ -174,7 +194,7 @@ def newest_asked(cached: DataFrame, asked: DataFrame) -> DataFrame:
     """Per asked (id, version) the cache row that answers: the same version, then the newest.
 
     Columns: the asked ``id`` and ``version``, ``carried`` (the body's own version), ``body``,
-    ``fetched_ms``. Bodies of a bucketed cache stay where they are.
+    ``fetched_ms``. For any table of cache rows; ``asked_bodies`` is the way for a whole cache.
     """
     once = asked.select(F.col("id").alias("__id"), F.col("version").alias("__version")).distinct()
     listed = cached["listed"] if "listed" in cached.columns else cached["version"]
@@ -231,12 +251,21 @@ def _fetch_all(
     by_version: bool = True,
 ) -> dict[str, int]:
     if budget is None:
-        answers = fetch(missing, endpoint, token, retries, by_version=by_version)
+        missing, few = _listed_once(missing)
+        answers = fetch(missing, endpoint, token, retries, by_version=by_version, few=few)
         counts = _append(judged(answers), store, mode)
         return {"fetched": counts["fetched"], "failed": counts["failed"]}
     return _fetch_within(missing, endpoint, store, mode, token, retries, budget, by_version)
 
 
+def _listed_once(missing: DataFrame) -> tuple[DataFrame, bool]:
+    """(what is to be fetched, as a table; whether it is little enough to be told to every task)."""
+    path = scratch_dir(missing.sparkSession, "missing")
+    missing.write.parquet(path)
+    listed = missing.sparkSession.read.schema(missing.schema).parquet(path)
+    return listed, listed.count() <= FEW_ASKED
+
+
 def _fetch_within(missing, endpoint, store, mode, token, retries, budget, by_version) -> dict[str, int]:
     """Rounds of requests: each deals what is left of the budget to its tasks.
 
@@ -335,7 +364,7 @@ def fetch_through_cache(
     leaves = leaves.where("__ok").withColumnsRenamed({"id": "__id", "version": "__version"})
     own = wanted.select(F.col("id").alias("__id"), F.col("version").alias("__version"), "full_name", "rank")
     rows = assemble(
-        own.join(leaves, ["__id", "__version"]),
+        own.hint("shuffle_hash").join(leaves, ["__id", "__version"]),
         PULL_REQUEST_SCHEMA,
         ["full_name", "rank", "__version", "carried", "fetched_ms"],
     )
@@ -367,7 +396,8 @@ def decode_held(items: DataFrame, cache_dir: str, keep: list[str]) -> DataFrame:
     named = held.withColumnsRenamed({"id": "__id", "body": "__json"})
     leaves = decode_leaves(named, "__json", PULL_REQUEST_SCHEMA, ["__id", "version", "fetched_ms"])
     own = [c for c in keep if c not in ("version", "fetched_ms")]
-    wanted = items.select(F.col("id").alias("__id"), "version", *own)
+    # never a broadcast: rows of a micro-batch have the statistics of the manifests they come from
+    wanted = items.select(F.col("id").alias("__id"), "version", *own).hint("shuffle_hash")
     return assemble(wanted.join(leaves, ["__id", "version"]), PULL_REQUEST_SCHEMA, keep)
 
 

@@ -29,14 +29,14 @@ def mirror_table(spark, endpoint: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{endpoint.rstrip('/')}/{table}")
 
 
-def _fetch_mirror(items: DataFrame, endpoint: str, by_version: bool) -> DataFrame:
+def _fetch_mirror(items: DataFrame, endpoint: str, by_version: bool, few: bool) -> DataFrame:
     """One equi-join against the mirror; unmatched items are 404.
 
     Without a version, an item gets the newest body of its URL, as a request would: which
-    one that is is settled on two columns, before any body moves. Bodies that nobody asks
-    for are left out before the shuffle where the keys are few enough to be sent to them.
-    Bodies are never broadcast: they compress so well that a file size says little about
-    what they take in memory.
+    one that is is settled on two columns, before any body moves. The items of a partition
+    are hashed and the bodies stream past them: a body is shuffled once, never sorted (that
+    spills several times its size) and never broadcast. With ``few`` items their keys are
+    sent to the bodies, and those that nobody asks for are not shuffled.
     """
     details = mirror_table(items.sparkSession, endpoint, "details")
     if by_version and "version" in items.columns:
@@ -51,15 +51,17 @@ def _fetch_mirror(items: DataFrame, endpoint: str, by_version: bool) -> DataFram
             .agg(F.max_by("version", order).alias("__at"))
         )
         asked = items.join(newest, F.col("url") == F.col("__url"), "left").drop("__url")
-    keys = asked.select(F.col("url").alias("__url"), F.col("__at").alias("__held")).distinct()
     found = details.select(
         F.col("url").alias("__url"),
         F.col("version").alias("__held"),
         F.col("status").alias("__status"),
         F.col("body").alias("__body"),
-    ).join(keys, ["__url", "__held"], "left_semi")
+    )
+    if few:
+        keys = asked.select(F.col("url").alias("__url"), F.col("__at").alias("__held")).distinct()
+        found = found.join(F.broadcast(keys), ["__url", "__held"], "left_semi")
     same = (F.col("url") == F.col("__url")) & (F.col("__at") == F.col("__held"))
-    return asked.join(found.hint("merge"), same, "left").select(
+    return asked.hint("shuffle_hash").join(found, same, "left").select(
         *[F.col(f"`{c}`") for c in items.columns],
         F.coalesce("__status", F.lit(404)).alias("status"),
         F.lit(1).alias("attempts"),
@@ -119,14 +121,16 @@ def fetch(
     parallelism: int | None = None,
     budget: int | None = None,
     by_version: bool = True,
+    few: bool = False,
 ) -> DataFrame:
     """Add ``status``, ``attempts`` and ``body`` to rows with a ``url``.
 
     ``budget``: requests that all tasks together may make; a mirror asks nobody.
     ``by_version``: a mirror answers for the ``version`` of a row, where there is one.
+    ``few``: there are so few rows that their keys may be sent to all tasks.
     """
     if is_mirror(endpoint):
-        return _fetch_mirror(items, endpoint, by_version)
+        return _fetch_mirror(items, endpoint, by_version, few)
     width = parallelism or items.sparkSession.sparkContext.defaultParallelism
     return _fetch_https(items, endpoint, token, retries, width, budget)
 

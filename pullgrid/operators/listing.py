@@ -75,8 +75,9 @@ def list_pages(
     )
     # past the last page the answer is an empty list; without a first page there is no repository
     empty = F.when(F.col("page") == 1, F.lit(404)).otherwise(F.lit(200))
-    # a shuffle on (repository, page) spreads the decoding that follows
-    return plan.join(stored.hint("merge"), ["full_name", "page"], "left").select(
+    # a shuffle on (repository, page) spreads the decoding that follows; pages stream past the
+    # plan's rows, unsorted
+    return plan.hint("shuffle_hash").join(stored, ["full_name", "page"], "left").select(
         *plan.columns,
         F.coalesce("__status", empty).alias("status"),
         F.lit(1).alias("attempts"),

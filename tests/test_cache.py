@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from pullgrid.operators import cache, fetch
+from pullgrid.operators import body_store, cache, fetch
 from pullgrid.plans import mirror
 
 
@@ -165,3 +165,29 @@ def test_versions_order_by_the_instant_they_name(spark):
     rows = [(1, "2020-01-01T10:00:00+05:00", "old"), (1, "2020-01-01T09:00:00Z", "new")]
     found = cache.latest_snapshot(spark.createDataFrame(rows, "id long, version string, state string"))
     assert [r["state"] for r in found.collect()] == ["new"]
+
+
+def test_rows_of_a_micro_batch_are_never_broadcast(spark, sf, endpoint, tmp_path):
+    """A micro-batch has the statistics of the manifests it was read from, however long it is."""
+    root = str(tmp_path)
+    listed = mirror.ranked_listing(spark, sf)
+    cache.fetch_misses(listed, endpoint, root)
+    few = spark.createDataFrame(listed.select("id", "version", "rank").head(3))
+    rows = cache.decode_held(few, root, ["rank"]).select("id", "rank", "title")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "ShuffledHashJoin" in plan
+    assert rows.count() == 3
+
+
+def test_bodies_are_joined_without_a_sort(spark, sf, endpoint, tmp_path):
+    """Neither a mirror's bodies nor those of the cache are sorted: a sort of them spills."""
+    root = str(tmp_path)
+    listed = mirror.ranked_listing(spark, sf)
+    answers = fetch.fetch(listed, endpoint)
+    cache.fetch_misses(listed, endpoint, root)
+    held = cache.asked_bodies(listed, body_store.open_store(spark, root))
+    for rows in (answers, held):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Sort [" in line and "body" in line]
+        assert "SortMergeJoin" not in plan.split("ShuffledHashJoin")[0]
+        assert rows.where("body IS NOT NULL").count() == 1500
