@@ -91,9 +91,9 @@ class ListPartition(InputPartition):
     of: int
 
 
-def list_page(options: Options, user: str, repo: str, page: int) -> tuple[list, bool]:
+def list_page(options: Options, user: str, repo: str, page: int, client=None) -> tuple[list, bool]:
     """((rank, item) of one listing page, cut at the batch; whether it was the last page)."""
-    client = connect(options.endpoint, options.token, options.retries)
+    client = client or connect(options.endpoint, options.token, options.retries)
     answer = client.page(ListingPage(user, repo, options.per_page, page))
     if not succeeded(answer.status):
         raise RuntimeError(f"Request failed with code {answer.status}: {answer.body}")
@@ -121,9 +121,9 @@ def list_page(options: Options, user: str, repo: str, page: int) -> tuple[list,
 
 def walk_pages(options: Options, walk: Walk) -> Iterator[tuple[int, Item]]:
     """(rank, item) of a walk's pages, until the last wanted or the first short one."""
-    page = walk.first
+    page, client = walk.first, connect(options.endpoint, options.token, options.retries)
     while walk.last is None or page <= walk.last:
-        items, short = list_page(options, walk.user, walk.repo, page)
+        items, short = list_page(options, walk.user, walk.repo, page, client)
         yield from items
         if short:
             return
@@ -205,8 +205,10 @@ class _Fetcher:
 
     def chunks(self, work: Iterator[Work]) -> Iterator[list[tuple[str, int, Item, str]]]:
         work = iter(work)
-        while part := list(islice(work, CHUNK)):
-            yield self._chunk(part)
+        while window := list(islice(work, self.client.window)):
+            window = self.client.arranged(window)
+            for start in range(0, len(window), CHUNK):
+                yield self._chunk(window[start : start + CHUNK])
 
     def typed(self, work: Iterator[Work], schema: T.StructType, **constants) -> Iterator[pa.RecordBatch]:
         """Decoded rows."""

@@ -17,8 +17,8 @@ from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.dataset as ds
-from pyarrow.fs import FileType
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSelector, FileType
 
 from pullgrid.sources.storage import open_dir
 
@@ -31,6 +31,9 @@ UNASKED = 0
 # Requests of one task under way together, and the longest wait a task sits out (seconds).
 AT_ONCE = 8
 MAX_WAIT = 900.0
+# Repositories of a mirror that a task holds open, and pages whose places it settles together.
+OPEN_REPOSITORIES = 4
+PAGES_AHEAD = 1 << 14
 
 
 class Response(NamedTuple):
@@ -127,6 +130,9 @@ class HttpsEndpoint:
     requests it may make in all, retries included; what is beyond is not asked.
     """
 
+    # items that a task lists before it asks for their bodies
+    window = 2048
+
     def __init__(
         self,
         base: str,
@@ -215,58 +221,163 @@ class HttpsEndpoint:
     def page(self, asked: ListingPage) -> Response:
         return self.get(self.base + asked.path())
 
+    def arranged(self, work: list[tuple]) -> list[tuple]:
+        return work
+
     def details(self, user: str, repo: str, items: Iterable[Item]) -> Iterator[Response]:
         yield from self.get_all([item.url for item in items])
 
 
+class MirrorRows:
+    """Answers in the files of one repository, found by their place: (file, row).
+
+    Places are told by a pass over key columns. Bodies are read along the files, so asking
+    in the order of places reads each of them once, whatever the row groups are.
+    """
+
+    def __init__(self, fs, path: str, keys: list[str], rows_at_once: int):
+        found = fs.get_file_info(FileSelector(path))
+        self.fs, self.keys, self.rows_at_once = fs, keys, rows_at_once
+        self.files = sorted(
+            f.path for f in found if f.type == FileType.File and not f.base_name.startswith((".", "_"))
+        )
+        self.asked: set[tuple] = set()
+        self.places: dict[tuple, tuple[int, int]] = {}
+        self._readers: dict[int, tuple[int, Iterator, pa.RecordBatch | None]] = {}
+        self._sources: dict[int, pq.ParquetFile] = {}
+
+    def _source(self, file: int) -> pq.ParquetFile:
+        if file not in self._sources:
+            self._sources[file] = pq.ParquetFile(self.fs.open_input_file(self.files[file]))
+        return self._sources[file]
+
+    def find(self, wanted: Iterable[tuple]) -> None:
+        """Settle the places of some keys; those of earlier ones are forgotten."""
+        self.asked, self.places = set(wanted), {}
+        if not self.asked:
+            return
+        wanted = self.asked
+        kind = pa.int32() if isinstance(next(iter(wanted))[0], int) else pa.string()
+        heads = pa.array({key[0] for key in wanted}, kind)
+        for file in range(len(self.files)):
+            ahead = 0
+            for batch in self._source(file).iter_batches(1 << 16, columns=self.keys, use_threads=False):
+                rows = pc.indices_nonzero(pc.is_in(batch.column(self.keys[0]), value_set=heads))
+                columns = [batch.column(c).take(rows).to_pylist() for c in self.keys]
+                for row, *key in zip(rows.to_pylist(), *columns, strict=True):
+                    if tuple(key) in wanted:
+                        self.places[tuple(key)] = (file, ahead + row)
+                ahead += batch.num_rows
+
+    def _from(self, file: int, row: int) -> tuple[int, Iterator, None]:
+        """A reader of a file that begins with the row group of a row."""
+        source, first, group = self._source(file), 0, 0
+        while first + source.metadata.row_group(group).num_rows <= row:
+            first, group = first + source.metadata.row_group(group).num_rows, group + 1
+        groups = list(range(group, source.metadata.num_row_groups))
+        batches = source.iter_batches(
+            self.rows_at_once, row_groups=groups, columns=["status", "body"], use_threads=False
+        )
+        return first, batches, None
+
+    def _same_group(self, file: int, one: int, other: int) -> bool:
+        end = 0
+        for group in range(self._source(file).metadata.num_row_groups):
+            end += self._source(file).metadata.row_group(group).num_rows
+            if one < end:
+                return other < end
+        return False
+
+    def answers(self, keys: Iterable[tuple]) -> dict[tuple, Response]:
+        """The answers for keys whose places are settled."""
+        there = sorted((self.places[key], key) for key in set(keys) if key in self.places)
+        out, picked = {}, []
+
+        def pick() -> None:
+            # what was asked of one batch, taken together
+            if picked:
+                some = batch.take(pa.array([row for row, _ in picked]))
+                columns = (some.column(c).to_pylist() for c in ("status", "body"))
+                for (_, key), status, body in zip(picked, *columns, strict=True):
+                    out[key] = Response(status, body, 1)
+                picked.clear()
+
+        current = batch = None
+        for (file, row), key in there:
+            if file != current or row >= first + batch.num_rows:
+                pick()
+                first, batches, batch = self._readers.get(file) or self._from(file, row)
+                behind = batch is not None and row >= first + batch.num_rows
+                if row < first or (behind and not self._same_group(file, first + batch.num_rows, row)):
+                    first, batches, batch = self._from(file, row)
+                while batch is None or row >= first + batch.num_rows:
+                    first += batch.num_rows if batch is not None else 0
+                    batch = next(batches)
+                self._readers[file], current = (first, batches, batch), file
+            picked.append((row - first, key))
+        pick()
+        return out
+
+
 class MirrorEndpoint:
     """Parquet tables ``pages`` and ``details``, laid out like the host's URL space."""
 
+    # items that a task lists before it asks for their bodies: each time it reads its
+    # repository once, in the order of the files
+    window = 1 << 17
+
     def __init__(self, root: str):
         self.root = root.rstrip("/")
-        self._open: dict = {}
+        self._open: dict[tuple, MirrorRows | None] = {}
 
-    def _data(self, table: str, user: str, repo: str):
-        """Dataset of one repository; its file footers are read once per task."""
+    def _rows(self, table: str, user: str, repo: str) -> MirrorRows | None:
         key = (table, _segment(user), _segment(repo))
         if key not in self._open:
             directory = f"{self.root}/{table}/owner={quote(user)}/repo={quote(repo)}"
             fs, path = open_dir(directory)
             there = fs.get_file_info(path).type == FileType.Directory
-            self._open[key] = ds.dataset(path, filesystem=fs, format="parquet") if there else None
+            keys, at_once = (["page"], 64) if table == "pages" else (["url", "version"], 2048)
+            # a task that goes on to other repositories lets go of the first
+            while len(self._open) >= OPEN_REPOSITORIES:
+                del self._open[next(iter(self._open))]
+            self._open[key] = MirrorRows(fs, path, keys, at_once) if there else None
         return self._open[key]
 
-    def _table(self, table: str, user: str, repo: str, columns: list[str], condition):
-        data = self._data(table, user, repo)
-        if data is None:
-            return None
-        return data.to_table(columns=columns, filter=condition, use_threads=False)
-
     def page(self, asked: ListingPage) -> Response:
         asked.path()
-        condition = pc.field("page") == asked.page
-        found = self._table("pages", asked.user, asked.repo, ["status", "body"], condition)
+        found = self._rows("pages", asked.user, asked.repo)
         if found is None:
             return Response(404, '{"message":"Not Found"}', 1)
-        if found.num_rows == 0:
-            return Response(200, "[]", 1)
-        row = found.to_pylist()[0]
-        return Response(row["status"], row["body"], 1)
+        if (asked.page,) not in found.asked:
+            # this page and those a walk will ask for next
+            found.find((asked.page + k,) for k in range(PAGES_AHEAD))
+        return found.answers([(asked.page,)]).get((asked.page,), Response(200, "[]", 1))
+
+    def arranged(self, work: list[tuple]) -> list[tuple]:
+        """(user, repo, rank, item) rows in the order in which their bodies lie."""
+        by_repo: dict[tuple[str, str], list[tuple]] = {}
+        for row in work:
+            by_repo.setdefault(row[:2], []).append(row)
+        out = []
+        for (user, repo), rows in by_repo.items():
+            found = self._rows("details", user, repo)
+            if found is not None:
+                found.find((row[3].url, row[3].version) for row in rows)
+                nowhere = (-1, -1)
+                rows.sort(key=lambda row: found.places.get((row[3].url, row[3].version), nowhere))
+            out += rows
+        return out
 
     def details(self, user: str, repo: str, items: Iterable[Item]) -> Iterator[Response]:
         items = list(items)
         if not items:
             return
-        wanted = pc.field("url").isin(pa.array([i.url for i in items], pa.string()))
-        columns = ["url", "version", "status", "body"]
-        found = self._table("details", user, repo, columns, wanted)
-        rows = {} if found is None else {(r["url"], r["version"]): r for r in found.to_pylist()}
-        for item in items:
-            row = rows.get((item.url, item.version))
-            if row is None:
-                yield Response(404, '{"message":"Not Found"}', 1)
-                continue
-            yield Response(row["status"], row["body"], 1)
+        found, keys = self._rows("details", user, repo), [(item.url, item.version) for item in items]
+        if found is not None and not found.asked.issuperset(keys):
+            found.find(keys)
+        rows = {} if found is None else found.answers(keys)
+        for key in keys:
+            yield rows.get(key) or Response(404, '{"message":"Not Found"}', 1)
 
 
 def is_mirror(endpoint: str) -> bool:

@@ -235,3 +235,48 @@ def test_all_tasks_together_keep_to_a_budget(spark, sf, tmp_path, monkeypatch, b
     else:
         assert asked == budget and counts["failed"] == 0
     assert good.where(F.col("version") != F.col("listed")).count() == 0
+
+
+def test_a_task_reads_a_repository_of_a_mirror_once(spark, tmp_path, monkeypatch):
+    """However many pages and chunks it asks for, in whatever order."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from pullgrid.sources import transport
+
+    rows = [{"url": f"u{k}", "version": f"v{k % 2}", "status": 200, "body": f"b{k}"} for k in range(5000)]
+    details, pages = (tmp_path / t / "owner=o" / "repo=r" for t in ("details", "pages"))
+    for folder in (details, pages):
+        folder.mkdir(parents=True)
+    for part in range(2):
+        pq.write_table(pa.Table.from_pylist(rows[part::2]), details / f"part-{part}.parquet", row_group_size=700)
+        listed = [{"page": n, "status": 200, "body": f"p{n}"} for n in range(1 + part, 300, 2)]
+        table = pa.Table.from_pylist(listed).cast(
+            pa.schema([("page", pa.int32()), ("status", pa.int32()), ("body", pa.string())])
+        )
+        pq.write_table(table, pages / f"part-{part}.parquet")
+    read = []
+    iterate = pq.ParquetFile.iter_batches
+
+    def counted(self, *args, **kwargs):
+        read.append(kwargs["columns"])
+        return iterate(self, *args, **kwargs)
+
+    monkeypatch.setattr(pq.ParquetFile, "iter_batches", counted)
+    endpoint = transport.connect(str(tmp_path))
+    got = [endpoint.page(transport.ListingPage("o", "r", 100, n)).body for n in range(1, 302)]
+    assert got == [f"p{n}" for n in range(1, 300)] + ["[]", "[]"]
+    assert len(read) == 4  # two files: places, and pages
+    read.clear()
+    items = [transport.Item(k, k, f"u{k * 7 % 5000}", f"v{k * 7 % 2}") for k in range(5000)]
+    absent = [transport.Item(-1, 0, "none", "v0"), transport.Item(-2, 0, "u1", "v0")]
+    work = endpoint.arranged([("o", "r", 1, item) for item in items + absent])
+    for start in range(0, len(work), 64):
+        some = [item for *_, item in work[start : start + 64]]
+        for item, answer in zip(some, endpoint.details("o", "r", some), strict=True):
+            assert answer.body == (f"b{item.url[1:]}" if item.id >= 0 else '{"message":"Not Found"}')
+    assert len(read) == 4
+    # without an order told before, each question is answered by itself
+    picked = [items[4999], absent[0], items[0], items[17]]
+    assert [a.status for a in endpoint.details("o", "r", picked)] == [200, 404, 200, 200]
+    assert [a.status for a in endpoint.details("o", "none", picked)] == [404] * 4
