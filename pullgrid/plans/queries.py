@@ -374,10 +374,13 @@ def stream_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_changes_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New versions; an id that was not listed for longer than a tick counts as new."""
     out = scratch_dir(spark, "bounded")
-    listed = log.listing_stream(spark, mirror.gap_log(spark, sf_dir), ticks_per_batch=1)
+    root = mirror.gap_log(spark, sf_dir)
+    listed = log.listing_stream(spark, root, ticks_per_batch=1)
+    # two ticks lie within the horizon
+    buckets = changes.state_buckets(2 * log.widest_tick(spark, root))
     timed = listed.withColumn("at", F.timestamp_seconds(F.col("tick") * 60))
     _run(
-        changes.bounded_changes(timed, "at", 60)
+        changes.bounded_changes(timed, "at", 60, buckets)
         .writeStream.format("parquet")
         .option("checkpointLocation", f"{out}/checkpoint")
         .trigger(availableNow=True)

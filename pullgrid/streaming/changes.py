@@ -56,7 +56,13 @@ def changes_writer(sink: str, schema: T.StructType) -> Writer:
 
 Seen = dict[int, tuple[int, str, int]]  # id -> (instant of its version, version, last listed)
 _STATE = "id array<bigint>, instant array<bigint>, version array<string>, seen array<bigint>"
-STATE_BUCKETS = 64
+STATE_BUCKETS, IDS_PER_BUCKET = 64, 10_000
+
+
+def state_buckets(ids: int) -> int:
+    """Buckets for a stream that lists so many ids within its horizon: a bucket's state is
+    held whole by a Python worker, so it must not grow with the stream."""
+    return max(STATE_BUCKETS, -(-ids // IDS_PER_BUCKET))
 
 
 def remember(held: Seen, rows: Iterable[tuple[int, int, int, str, int]], span: int) -> list[tuple]:
@@ -94,8 +100,8 @@ def bounded_changes(
     So an id that comes back after the horizon counts as new. Rows older than the
     watermark (the horizon behind the newest) are late and dropped.
 
-    Ids are hashed to ``buckets``, each one group of state; some 10,000 ids a bucket are
-    a good size. Keep the number for as long as the checkpoint.
+    Ids are hashed to ``buckets``, each one group of state; ``state_buckets`` tells how
+    many a number of ids needs. Keep the number for as long as the checkpoint.
     """
     span, horizon = horizon_seconds * 1_000_000, f"{horizon_seconds} seconds"
 

@@ -76,6 +76,12 @@ def read_tick(spark: SparkSession, listing_dir: str, tick: int) -> DataFrame:
     return rows.withColumn("tick", F.lit(tick))
 
 
+def widest_tick(spark: SparkSession, listing_dir: str) -> int:
+    """Rows of the longest complete tick, from file footers alone."""
+    ticks = complete_ticks(spark, listing_dir)
+    return max((read_tick(spark, listing_dir, tick).count() for tick in ticks), default=0)
+
+
 def manifest_stream(spark: SparkSession, listing_dir: str, ticks_per_batch: int = 1000) -> DataFrame:
     """(parts, tick) of every complete tick; Spark's file source tracks what was read."""
     return (
