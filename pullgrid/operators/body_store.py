@@ -200,16 +200,23 @@ def rejected(spark: SparkSession, generation: Generation) -> DataFrame:
 
 
 def append(
-    rows: DataFrame, generation: Generation, watch: Callable[[DataFrame], DataFrame] | None = None
+    rows: DataFrame,
+    generation: Generation,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Append rows. What a finished task wrote stays, even if the job fails later:
     a fetched body costs a request, and a key written twice is resolved on read.
 
-    ``watch`` may observe the rows where they are written.
+    ``watch`` may observe the rows, and ``finish`` add to them where they are written.
     """
-    spread = rows.repartition(generation.buckets, "id")
+    n = generation.buckets
+    spread = rows.repartition(n, "id")
     spread = watch(spread) if watch else spread
-    _bucketed(rows.sparkSession, generation.root, generation.deltas[-1], spread)
+    # as the write wants them, so that it sorts nothing itself
+    placed = spread.sortWithinPartitions(F.pmod(F.hash("id"), F.lit(n)), "id", "version")
+    placed = finish(placed) if finish else placed
+    _bucketed(rows.sparkSession, generation.root, generation.deltas[-1], placed)
 
 
 def compact(

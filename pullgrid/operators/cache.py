@@ -10,6 +10,7 @@ says where rows lie.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -74,13 +75,24 @@ def read_file_cache(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-def write_cache(rows: DataFrame, cache_dir: str) -> None:
-    """Append rows by their ``outcome``; ``listed``, where it is given, finds a body too."""
-    if "listed" not in rows.columns:
-        rows = rows.withColumn("listed", F.col("version"))
-    # a row with a reason is one of the quarantine
-    reason = F.when(F.col("outcome") == "failed", F.coalesce("reason", F.lit("FAILED")))
-    body_store.append(rows.withColumn("reason", reason), open_store(rows.sparkSession, cache_dir))
+def write_cache(
+    rows: DataFrame, cache_dir: str, finish: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> None:
+    """Append rows by their ``outcome``; ``listed``, where it is given, finds a body too.
+
+    ``finish`` makes cache rows of ``rows``, which have an id and a version, where they are
+    written: a body that can be made of a few columns is then neither shuffled nor sorted.
+    """
+
+    def whole(placed: DataFrame) -> DataFrame:
+        made = finish(placed)
+        if "listed" not in made.columns:
+            made = made.withColumn("listed", F.col("version"))
+        # a row with a reason is one of the quarantine
+        reason = F.when(F.col("outcome") == "failed", F.coalesce("reason", F.lit("FAILED")))
+        return made.withColumn("reason", reason)
+
+    body_store.append(rows, open_store(rows.sparkSession, cache_dir), finish=whole)
 
 
 def _answered(asked_version: Column, cached: DataFrame) -> Column:

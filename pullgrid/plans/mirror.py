@@ -6,6 +6,8 @@ the host's API so that every operator can run, and be checked, without network.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,8 +100,10 @@ def ranked_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All fields of every pull request."""
     returned = F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))
+    # moved once by order: two distinct counts would move every line three times
     stats = (
         table(spark, sf_dir, "lineitem")
+        .repartition("l_orderkey")
         .groupBy(F.col("l_orderkey").alias("k"))
         .agg(
             F.count(F.lit(1)).alias("commits"),
@@ -169,10 +173,9 @@ def body_json(k: Column, updated_at: Column) -> Column:
     )
 
 
-def details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the host answers for every pull request URL."""
-    k = F.col("k")
-    return pulls(spark, sf_dir).select(
+def answers_of(rows: DataFrame) -> DataFrame:
+    """The answers for rows of ``pulls``."""
+    return rows.select(
         "owner",
         "repo",
         "k",
@@ -180,11 +183,16 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
         "url",
         "version",
         F.lit(200).alias("status"),
-        body_json(k, F.col("updated_at")).alias("body"),
+        body_json(F.col("k"), F.col("updated_at")).alias("body"),
     )
 
 
-def faulty_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+def details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the host answers for every pull request URL."""
+    return answers_of(pulls(spark, sf_dir))
+
+
+def faulty_answers_of(rows: DataFrame) -> DataFrame:
     """The same answers with one mutation by ``k % 11``."""
     body, case = F.col("body"), F.col("k") % 11
 
@@ -207,7 +215,11 @@ def faulty_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(body)
     )
     status = F.when(case == 8, 404).otherwise(200)
-    return details(spark, sf_dir).withColumns({"status": status, "body": broken})
+    return answers_of(rows).withColumns({"status": status, "body": broken})
+
+
+def faulty_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return faulty_answers_of(pulls(spark, sf_dir))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,20 +244,24 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tick_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every pull request at every tick 1..4, under the version it then has."""
+def _at_ticks(ids: DataFrame) -> DataFrame:
+    """Rows of ``identities`` at every tick 1..4, under the version they then have."""
     steps = F.explode(F.sequence(F.lit(1), F.lit(TICKS))).alias("tick")
     late = F.col("k") % 4
-    ids = identities(spark, sf_dir).select("*", steps)
     shift = F.when(F.col("tick") - 1 >= late, late).otherwise(F.lit(0)).cast("int")
     moved = F.when(shift > 0, iso(F.col("version_ts") + F.make_dt_interval(shift)))
-    return ids.withColumn("shift", shift).withColumn(
+    return ids.select("*", steps).withColumn("shift", shift).withColumn(
         "updated_at", F.coalesce(moved, F.col("updated_at"))
     ).withColumn("version", version_date(F.col("updated_at"), F.col("created_at")))
 
 
-def tick_details(spark: SparkSession, sf_dir: str, last_only: bool = False) -> DataFrame:
-    """What the host answers for every version that is listed at some tick, or for the last one."""
+def tick_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pull request at every tick 1..4, under the version it then has."""
+    return _at_ticks(identities(spark, sf_dir))
+
+
+def tick_pulls(spark: SparkSession, sf_dir: str, last_only: bool = False) -> DataFrame:
+    """``pulls`` under every version that is listed at some tick, or under the last one."""
     late = (F.col("k") % 4).cast("int")
     # version 0, and the late one unless it is the same
     held = F.array(late) if last_only else F.array_distinct(F.array(F.lit(0), late))
@@ -254,20 +270,33 @@ def tick_details(spark: SparkSession, sf_dir: str, last_only: bool = False) -> D
         F.col("shift") > 0, iso(F.col("version_ts") + F.make_dt_interval(F.col("shift")))
     )
     updated = F.coalesce(moved, F.col("updated_at"))
-    return pulls(spark, sf_dir).select("*", shifts).select(
-        "owner",
-        "repo",
-        "url",
-        version_date(updated, F.col("created_at")).alias("version"),
-        F.lit(200).alias("status"),
-        body_json(F.col("k"), updated).alias("body"),
-    )
+    at = pulls(spark, sf_dir).select("*", shifts).withColumn("updated_at", updated)
+    return at.withColumn("version", version_date(F.col("updated_at"), F.col("created_at")))
+
+
+def tick_answers_of(rows: DataFrame) -> DataFrame:
+    return answers_of(rows).drop("k", "id")
+
+
+def tick_details(spark: SparkSession, sf_dir: str, last_only: bool = False) -> DataFrame:
+    """What the host answers for those versions."""
+    return tick_answers_of(tick_pulls(spark, sf_dir, last_only))
+
+
+def ranked_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The identities with their newest-first rank, ranked once for all ticks."""
+
+    def build(root: str) -> None:
+        order = [F.desc("created_at"), F.desc("id")]
+        ranked = rank_in_group(identities(spark, sf_dir), ["full_name"], F.col("created_at"), order)
+        ranked.write.parquet(root)
+
+    return spark.read.parquet(_once(spark, sf_dir, "ranked", build))
 
 
 def listed_at(spark: SparkSession, sf_dir: str, tick: int) -> DataFrame:
     """The whole listing at a tick, ranked."""
-    at = tick_versions(spark, sf_dir).where(F.col("tick") == tick)
-    return at.join(ranked_listing(spark, sf_dir).select("id", "rank"), "id")
+    return _at_ticks(ranked_identities(spark, sf_dir)).where(F.col("tick") == tick)
 
 
 def torn_details(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,29 +378,38 @@ def entry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prior_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cache rows: a third current, a third one day stale, a third absent."""
-    k = F.col("k")
-    day = F.make_dt_interval(F.lit(1))
+    return prior_answers_of(prior_pulls(spark, sf_dir))
+
+
+def prior_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``pulls`` that the prior cache holds, under the version it holds."""
+    k, day = F.col("k"), F.make_dt_interval(F.lit(1))
     version = F.when(k % 3 == 0, F.col("version_ts")).otherwise(F.col("version_ts") - day)
-    return (
-        pulls(spark, sf_dir)
-        .where(k % 3 != 2)
-        .select(
-            "id",
-            iso(version).alias("version"),
-            body_json(k, F.col("updated_at")).alias("body"),
-            F.lit(0).cast("long").alias("fetched_ms"),
-            F.lit(200).alias("status"),
-            F.lit(None).cast("string").alias("reason"),
-            F.lit("ok").alias("outcome"),
-        )
+    return pulls(spark, sf_dir).where(k % 3 != 2).withColumn("version", iso(version))
+
+
+def prior_answers_of(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "id",
+        "version",
+        body_json(F.col("k"), F.col("updated_at")).alias("body"),
+        F.lit(0).cast("long").alias("fetched_ms"),
+        F.lit(200).alias("status"),
+        F.lit(None).cast("string").alias("reason"),
+        F.lit("ok").alias("outcome"),
     )
 
 
-def _write(df: DataFrame, path: str, sort: list[str]) -> None:
-    """One directory per repository; large repositories are split over many files."""
-    df.hint("rebalance", "owner", "repo").sortWithinPartitions("owner", "repo", *sort).write.mode(
-        "error"
-    ).partitionBy("owner", "repo").parquet(path)
+def _write(
+    df: DataFrame, path: str, sort: list[str], finish: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> None:
+    """One directory per repository; large repositories are split over many files.
+
+    ``finish`` makes the rows' texts where they are written, so that they are neither
+    shuffled nor sorted.
+    """
+    placed = df.hint("rebalance", "owner", "repo").sortWithinPartitions("owner", "repo", *sort)
+    finish(placed).write.mode("error").partitionBy("owner", "repo").parquet(path)
 
 
 _BUILT: dict[tuple[str, str, str], str] = {}
@@ -391,7 +429,7 @@ def host_mirror(spark: SparkSession, sf_dir: str) -> str:
 
     def build(root: str) -> None:
         _write(pages(spark, sf_dir), f"{root}/pages", ["page"])
-        _write(details(spark, sf_dir), f"{root}/details", ["url"])
+        _write(pulls(spark, sf_dir), f"{root}/details", ["url"], answers_of)
 
     return _once(spark, sf_dir, "mirror", build)
 
@@ -400,7 +438,7 @@ def faulty_mirror(spark: SparkSession, sf_dir: str) -> str:
     """Endpoint with one fault per answer, ten kinds of them."""
 
     def build(root: str) -> None:
-        _write(faulty_details(spark, sf_dir), f"{root}/details", ["url"])
+        _write(pulls(spark, sf_dir), f"{root}/details", ["url"], faulty_answers_of)
 
     return _once(spark, sf_dir, "faulty", build)
 
@@ -409,7 +447,7 @@ def tick_mirror(spark: SparkSession, sf_dir: str) -> str:
     """Endpoint that knows every version listed at some tick."""
 
     def build(root: str) -> None:
-        _write(tick_details(spark, sf_dir), f"{root}/details", ["url", "version"])
+        _write(tick_pulls(spark, sf_dir), f"{root}/details", ["url", "version"], tick_answers_of)
 
     return _once(spark, sf_dir, "ticks", build)
 
@@ -418,7 +456,7 @@ def moved_mirror(spark: SparkSession, sf_dir: str) -> str:
     """Endpoint that knows the last version only."""
 
     def build(root: str) -> None:
-        _write(tick_details(spark, sf_dir, last_only=True), f"{root}/details", ["url"])
+        _write(tick_pulls(spark, sf_dir, last_only=True), f"{root}/details", ["url"], tick_answers_of)
 
     return _once(spark, sf_dir, "moved", build)
 
@@ -456,11 +494,8 @@ def tick_log(spark: SparkSession, sf_dir: str) -> str:
     """Listing log with one complete snapshot per tick."""
 
     def build(root: str) -> None:
-        versions = tick_versions(spark, sf_dir).drop("k")
-        ranks = ranked_listing(spark, sf_dir).select("id", "rank")
         for tick in range(1, TICKS + 1):
-            at = versions.where(F.col("tick") == tick).join(ranks, "id")
-            record_tick(at, root, tick)
+            record_tick(listed_at(spark, sf_dir, tick), root, tick)
 
     return _once(spark, sf_dir, "log", build)
 
@@ -468,7 +503,10 @@ def tick_log(spark: SparkSession, sf_dir: str) -> str:
 def warm_cache(spark: SparkSession, sf_dir: str) -> str:
     """The prior cache, for reading."""
     return _once(
-        spark, sf_dir, "cache", lambda root: write_cache(prior_cache(spark, sf_dir), root)
+        spark,
+        sf_dir,
+        "cache",
+        lambda root: write_cache(prior_pulls(spark, sf_dir), root, prior_answers_of),
     )
 
 

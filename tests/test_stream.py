@@ -344,3 +344,26 @@ def test_decoded_stream_fetches_a_version_once(spark, sf, tmp_path):
     assert spark.read.parquet(out).count() == versions.count()
     distinct = versions.select("id", "version").distinct().count()
     assert read_cache(spark, held).count() == distinct
+
+
+def test_state_buckets_grow_with_the_listing(spark, sf, monkeypatch):
+    """A bucket is held whole by a Python worker."""
+    from pullgrid.plans import queries
+
+    assert changes.state_buckets(0) == changes.state_buckets(640_000) == 64
+    assert changes.state_buckets(50_000_000) == 5_000
+    given, made = [], changes.bounded_changes
+
+    def seen(listed, at, horizon, buckets=changes.STATE_BUCKETS):
+        given.append(buckets)
+        return made(listed, at, horizon, buckets)
+
+    monkeypatch.setattr(changes, "bounded_changes", seen)
+    monkeypatch.setattr(changes, "IDS_PER_BUCKET", 25)
+    rows = queries.stream_changes_bounded(spark, sf)
+    assert given[0] >= 2 * 1000 / 25 and rows.count() == 2750
+
+
+def test_pull_requests_are_ranked_once_for_all_ticks(spark, sf):
+    text = mirror.listed_at(spark, sf, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "Join" not in text
