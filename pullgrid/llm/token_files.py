@@ -3,10 +3,11 @@
 Documents are range-partitioned by ``doc_id`` and encoded by the tokenizers library;
 rows without an id, or with the same one, are ranged on by their text, so any number of
 them spreads over tasks and files. Each document's ids end with an end id. A partition lays its ids end to end and
-writes one Arrow IPC file: ``ids`` and ``mask`` are fixed-size lists, so every record
+writes one Arrow IPC file: ``ids`` are fixed-size lists, so every record
 batch but the last holds the same number of equal-length rows, and sequence i and its
 mask (a byte per position) are slices of the mapped file without a copy. The last row is
-padded, its mask says where.
+padded, its mask says where. The masks are views of a list of bytes: those of all full
+rows are one and the same stretch, so they take no room for each row.
 ``docs`` lists the documents that end in a row, each with its end in that row. Ids are
 16-bit where the vocabulary allows it.
 
@@ -95,7 +96,7 @@ def id_type(path: str) -> pa.DataType:
 def schema(ids: pa.DataType, sequence: int) -> pa.Schema:
     ends = pa.list_(pa.struct([("doc_id", pa.int64()), ("end", pa.int32())]))
     return pa.schema(
-        [("ids", pa.list_(ids, sequence)), ("mask", pa.list_(pa.uint8(), sequence)), ("docs", ends)]
+        [("ids", pa.list_(ids, sequence)), ("mask", pa.list_view(pa.uint8())), ("docs", ends)]
     )
 
 
@@ -127,7 +128,11 @@ class SequenceWriter:
         rows = -(-n // self.sequence)
         padded = np.zeros(rows * self.sequence, self.type.to_pandas_dtype())
         padded[:n] = out
-        mask = (np.arange(len(padded)) < n).astype(np.uint8)
+        # a full row's mask, and from its middle on that of a row that is full up to somewhere
+        filled = n - (rows - 1) * self.sequence
+        masks = np.repeat(np.array([1, 0], np.uint8), self.sequence)
+        first = np.zeros(rows, np.int32)
+        first[-1] = self.sequence - filled
         local = ends[:here] - self.written
         row = np.maximum(local - 1, 0) // self.sequence
         docs = pa.StructArray.from_arrays(
@@ -142,7 +147,9 @@ class SequenceWriter:
             pa.RecordBatch.from_arrays(
                 [
                     pa.FixedSizeListArray.from_arrays(pa.array(padded), self.sequence),
-                    pa.FixedSizeListArray.from_arrays(pa.array(mask), self.sequence),
+                    pa.ListViewArray.from_arrays(
+                        pa.array(first), pa.array(np.full(rows, self.sequence, np.int32)), pa.array(masks)
+                    ),
                     pa.ListArray.from_arrays(pa.array(starts), docs),
                 ],
                 schema=self.schema,
@@ -212,8 +219,9 @@ def sequence_at(reader: pa.ipc.RecordBatchFileReader, i: int, batch_rows: int =
     """(ids, mask) of sequence i, both views of the file; the mask is 1 where ids are."""
     batch = reader.get_batch(i // batch_rows)
     n, row = batch.schema.field("ids").type.list_size, i % batch_rows
-    here = slice(row * n, (row + 1) * n)
-    return batch.column("ids").values.to_numpy()[here], batch.column("mask").values.to_numpy()[here]
+    masks = batch.column("mask")
+    first = masks.offsets[row].as_py()
+    return batch.column("ids").values.to_numpy()[row * n : (row + 1) * n], masks.values.to_numpy()[first : first + n]
 
 
 def documents_of(path: str) -> Iterator[tuple[list[int | None], list[np.ndarray]]]:
@@ -223,8 +231,11 @@ def documents_of(path: str) -> Iterator[tuple[list[int | None], list[np.ndarray]
     for k in range(reader.num_record_batches):
         batch = reader.get_batch(k)
         width = batch.schema.field("ids").type.list_size
-        mask = batch.column("mask").values.to_numpy()
-        ids = batch.column("ids").values.to_numpy()[: int(mask.sum())]
+        masks, last = batch.column("mask"), batch.num_rows - 1
+        first = masks.offsets[last].as_py()
+        # only the last row may be padded
+        filled = int(masks.values.to_numpy()[first : first + width].sum())
+        ids = batch.column("ids").values.to_numpy()[: last * width + filled]
         docs = batch.column("docs")
         row = np.repeat(np.arange(len(docs)), np.diff(docs.offsets.to_numpy()))
         ends = docs.values.field("end").to_numpy(zero_copy_only=False) + row * width + len(held)

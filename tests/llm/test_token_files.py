@@ -66,3 +66,16 @@ def test_rows_without_an_id_spread_over_the_files(spark, tokenizer):
 def test_nothing(spark, nothing, tokenizer):
     files = token_files.write_files(nothing, tokenizer, scratch_dir(spark, "tokens"))
     assert token_files.read_files(files).count() == 0
+
+
+def test_masks_of_full_rows_take_no_room(spark, tokenizer):
+    df = spark.createDataFrame([(1, "the cat sat on the mat " * 20_000)], "doc_id long, text string")
+    (file,) = token_files.write_files(df, tokenizer, scratch_dir(spark, "tokens")).collect()
+    reader = token_files.open_file(file.path)
+    size = token_files.pafs.FileSystem.from_uri(file.path)
+    width = token_files.id_type(tokenizer).bit_width // 8
+    assert file.n_tokens > 100_000
+    assert size[0].get_file_info(size[1]).size < (width + 0.1) * file.n_tokens
+    masks = [token_files.sequence_at(reader, i)[1] for i in range(-(-file.n_tokens // 1024))]
+    assert [len(m) for m in masks] == [1024] * len(masks)
+    assert all(m.all() for m in masks[:-1]) and sum(int(m.sum()) for m in masks) == file.n_tokens
