@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pullgrid.functions.keys import MAX_PAGE_SIZE, cache_key, pull_url, version_date
-from pullgrid.operators.cache import read_cache, write_cache
+from pullgrid.operators.cache import write_cache
 from pullgrid.operators.ranking import rank_in_group
-from pullgrid.folders import scratch_dir
+from pullgrid.folders import PACKED, scratch_dir
 from pullgrid.shipping import ship_package
 from pullgrid.sources.storage import open_dir
 from pullgrid.streaming.log import record_tick
@@ -22,6 +22,11 @@ from pullgrid.streaming.log import record_tick
 HOST = "https://api.example.test"
 FIRST_ID = 2147480000
 TICKS = 4
+FACTS = [
+    "k", "owner", "repo", "n_nationkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "c_name", "c_custkey"
+]
+PAGED = ["k", "owner", "repo", "o_orderdate"]
+COUNTS = ["commits", "additions", "deletions", "changed_files", "comments"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,38 +52,43 @@ def repos(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a listing knows of every pull request (no line items are read)."""
+def _facts_with(orders: DataFrame, spark: SparkSession, sf_dir: str, more: list[str]) -> DataFrame:
+    """The few columns that names and texts are made of, for rows of ``orders``, and ``more`` of its own."""
     customer = table(spark, sf_dir, "customer")
-    orders = table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
+    return (
+        orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
+        .join(repos(spark, sf_dir).drop("batch", "full_name"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .withColumn("k", F.col("o_orderkey"))
+        .select(*FACTS, *more)
+    )
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """Rows of facts with what can be said of them: names, addresses, dates as text."""
+    k = F.col("k")
     updated = F.when(
         k % 7 != 0, F.col("o_orderdate") + F.make_dt_interval((k % 90).cast("int"))
     )
     number = (k + 1).cast("int")
-    return (
-        orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
-        .join(repos(spark, sf_dir).drop("batch"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            k.alias("k"),
-            (FIRST_ID + k).alias("id"),
-            number.alias("number"),
-            "owner",
-            "repo",
-            "full_name",
-            "n_nationkey",
-            pull_url(HOST, F.col("full_name"), number).alias("url"),
-            "o_orderdate",
-            "o_orderstatus",
-            "o_orderpriority",
-            "c_name",
-            "c_custkey",
-            iso(F.col("o_orderdate")).alias("created_at"),
-            iso(updated).alias("updated_at"),
-            version_date(updated, F.col("o_orderdate")).alias("version_ts"),
-        )
-        .withColumn("version", iso(F.col("version_ts")))
-    )
+    full_name = F.concat("owner", F.lit("/"), "repo")
+    version_ts = version_date(updated, F.col("o_orderdate"))
+    names = {
+        "id": FIRST_ID + k,
+        "number": number,
+        "full_name": full_name,
+        "url": pull_url(HOST, full_name, number),
+        "created_at": iso(F.col("o_orderdate")),
+        "updated_at": iso(updated),
+        "version_ts": version_ts,
+        "version": iso(version_ts),
+    }
+    # those that rows were sorted by are there already
+    return rows.select("*", *[made.alias(name) for name, made in names.items() if name not in rows.columns])
+
+
+def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a listing knows of every pull request (no line items are read)."""
+    return _named(_facts_with(table(spark, sf_dir, "orders"), spark, sf_dir, []))
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,26 +107,50 @@ def ranked_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All fields of every pull request."""
+def _first_of(column: str) -> Column:
+    """1 where an order's line is the first of its value: one sort of lines that are together."""
+    before = F.lag(column).over(Window.partitionBy("l_orderkey").orderBy(column))
+    return (F.col(column).isNotNull() & ~F.col(column).eqNullSafe(before)).cast("int")
+
+
+def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of every pull request, and the counts of its line items."""
     returned = F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))
-    # moved once by order: two distinct counts would move every line three times
+    # moved once by order, and never multiplied: distinct counts would do both
     stats = (
         table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_quantity", returned.alias("returned"), "l_partkey", "l_suppkey")
         .repartition("l_orderkey")
-        .groupBy(F.col("l_orderkey").alias("k"))
+        .withColumn("new_part", _first_of("l_partkey"))
+        .withColumn("new_supplier", _first_of("l_suppkey"))
+        .groupBy(F.col("l_orderkey").alias("__k"))
         .agg(
             F.count(F.lit(1)).alias("commits"),
             F.sum("l_quantity").alias("additions"),
-            F.sum(returned).alias("deletions"),
-            F.count_distinct("l_partkey").alias("changed_files"),
-            F.count_distinct("l_suppkey").alias("comments"),
+            F.sum("returned").alias("deletions"),
+            F.sum("new_part").alias("changed_files"),
+            F.sum("new_supplier").alias("comments"),
         )
     )
-    joined = identities(spark, sf_dir).join(stats, "k", "left")
-    for name in ("commits", "additions", "deletions", "changed_files", "comments"):
-        joined = joined.withColumn(name, F.coalesce(name, F.lit(0)).cast("int"))
-    return joined
+    whole = [F.coalesce(name, F.lit(0)).cast("int").alias(name) for name in COUNTS]
+    orders = table(spark, sf_dir, "orders")
+    met = orders.join(stats, F.col("o_orderkey") == F.col("__k"), "left").drop("__k")
+    return _facts_with(met, spark, sf_dir, COUNTS).select(*FACTS, *whole)
+
+
+def pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fields of every pull request."""
+    return _named(_counted(spark, sf_dir))
+
+
+def pull_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts and counts, joined once for all mirrors. They lie by repository."""
+
+    def build(root: str) -> None:
+        rows = _counted(spark, sf_dir).hint("rebalance", "owner", "repo")
+        rows.sortWithinPartitions("owner", "repo", "k").write.options(**PACKED).parquet(root)
+
+    return spark.read.parquet(_once(spark, sf_dir, "pulls", build))
 
 
 def body_json(k: Column, updated_at: Column) -> Column:
@@ -225,23 +259,25 @@ def faulty_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages of 100, newest first, as JSON arrays."""
     element = F.struct("rank", "id", "number", "url", "updated_at", "created_at")
-    # at most 100 elements in each group
+    page = F.ceil(F.col("rank") / MAX_PAGE_SIZE).cast("int").alias("page")
+    # at most 100 elements in each group, whose texts are made where they are gathered
     grouped = (
-        ranked_listing(spark, sf_dir)
-        .groupBy("full_name", F.ceil(F.col("rank") / MAX_PAGE_SIZE).cast("int").alias("page"))
+        _named(_ranked(spark, sf_dir, PAGED).select("*", page).repartition("owner", "repo", "page"))
+        .groupBy("owner", "repo", "page")
         .agg(F.array_sort(F.collect_list(element)).alias("items"))
     )
     body = F.to_json(
         F.transform("items", lambda x: x.dropFields("rank")), {"ignoreNullFields": "false"}
     )
-    parts = F.split("full_name", "/")
-    return grouped.select(
-        F.get(parts, F.lit(0)).alias("owner"),
-        F.get(parts, F.lit(1)).alias("repo"),
-        "page",
-        F.lit(200).alias("status"),
-        body.alias("body"),
-    )
+    return grouped.select("owner", "repo", "page", F.lit(200).alias("status"), body.alias("body"))
+
+
+def _ranked(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """Columns of the facts with the newest-first rank of ``ranked_listing``."""
+    facts = _facts_with(table(spark, sf_dir, "orders"), spark, sf_dir, [])
+    dated = facts.select(*columns, iso(F.col("o_orderdate")).alias("created_at"))
+    order = [F.desc("created_at"), F.desc("k")]
+    return rank_in_group(dated, ["owner", "repo"], F.col("created_at"), order).drop("created_at")
 
 
 def _at_ticks(ids: DataFrame) -> DataFrame:
@@ -260,20 +296,28 @@ def tick_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _at_ticks(identities(spark, sf_dir))
 
 
-def tick_pulls(spark: SparkSession, sf_dir: str, last_only: bool = False) -> DataFrame:
-    """``pulls`` under every version that is listed at some tick, or under the last one."""
+def _shifts(last_only: bool) -> Column:
+    """The versions of a pull request that are listed at some tick, or the last one."""
     late = (F.col("k") % 4).cast("int")
     # version 0, and the late one unless it is the same
     held = F.array(late) if last_only else F.array_distinct(F.array(F.lit(0), late))
-    shifts = F.explode(held).alias("shift")
+    return F.explode(held).alias("shift")
+
+
+def _shifted(rows: DataFrame) -> DataFrame:
+    """Rows of ``pulls`` with a ``shift``, under the version that it makes."""
     moved = F.when(
         F.col("shift") > 0, iso(F.col("version_ts") + F.make_dt_interval(F.col("shift")))
     )
-    updated = F.coalesce(moved, F.col("updated_at"))
-    at = pulls(spark, sf_dir).select("*", shifts).withColumn("updated_at", updated)
+    at = rows.withColumn("updated_at", F.coalesce(moved, F.col("updated_at")))
     return at.withColumn("version", version_date(F.col("updated_at"), F.col("created_at")))
 
 
+def tick_pulls(spark: SparkSession, sf_dir: str, last_only: bool = False) -> DataFrame:
+    """``pulls`` under every version that is listed at some tick, or under the last one."""
+    return _shifted(pulls(spark, sf_dir).select("*", _shifts(last_only)))
+
+
 def tick_answers_of(rows: DataFrame) -> DataFrame:
     return answers_of(rows).drop("k", "id")
 
@@ -287,11 +331,9 @@ def ranked_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The identities with their newest-first rank, ranked once for all ticks."""
 
     def build(root: str) -> None:
-        order = [F.desc("created_at"), F.desc("id")]
-        ranked = rank_in_group(identities(spark, sf_dir), ["full_name"], F.col("created_at"), order)
-        ranked.write.parquet(root)
+        _ranked(spark, sf_dir, FACTS).write.options(**PACKED).parquet(root)
 
-    return spark.read.parquet(_once(spark, sf_dir, "ranked", build))
+    return _named(spark.read.parquet(_once(spark, sf_dir, "ranked", build)))
 
 
 def listed_at(spark: SparkSession, sf_dir: str, tick: int) -> DataFrame:
@@ -383,9 +425,13 @@ def prior_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prior_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of ``pulls`` that the prior cache holds, under the version it holds."""
+    return _as_held(pulls(spark, sf_dir))
+
+
+def _as_held(rows: DataFrame) -> DataFrame:
     k, day = F.col("k"), F.make_dt_interval(F.lit(1))
     version = F.when(k % 3 == 0, F.col("version_ts")).otherwise(F.col("version_ts") - day)
-    return pulls(spark, sf_dir).where(k % 3 != 2).withColumn("version", iso(version))
+    return rows.where(k % 3 != 2).withColumn("version", iso(version))
 
 
 def prior_answers_of(rows: DataFrame) -> DataFrame:
@@ -400,16 +446,30 @@ def prior_answers_of(rows: DataFrame) -> DataFrame:
     )
 
 
-def _write(
-    df: DataFrame, path: str, sort: list[str], finish: Callable[[DataFrame], DataFrame] = lambda rows: rows
+def _write(df: DataFrame, path: str, sort: list[str]) -> None:
+    """One directory per repository; large repositories are split over many files."""
+    placed = df.hint("rebalance", "owner", "repo").sortWithinPartitions("owner", "repo", *sort)
+    placed.write.mode("error").options(**PACKED).partitionBy("owner", "repo").parquet(path)
+
+
+def _write_details(
+    spark: SparkSession,
+    sf_dir: str,
+    root: str,
+    answers: Callable[[DataFrame], DataFrame],
+    shift: Column | None = None,
 ) -> None:
-    """One directory per repository; large repositories are split over many files.
+    """The answers of a host, one directory per repository.
 
-    ``finish`` makes the rows' texts where they are written, so that they are neither
-    shuffled nor sorted.
+    The table of pull requests lies by repository already: a task sorts the facts of its
+    rows, and ``answers`` makes names and texts where they are written, so that they are
+    neither shuffled nor sorted.
     """
-    placed = df.hint("rebalance", "owner", "repo").sortWithinPartitions("owner", "repo", *sort)
-    finish(placed).write.mode("error").partitionBy("owner", "repo").parquet(path)
+    facts = pull_table(spark, sf_dir)
+    rows = facts if shift is None else facts.select("*", shift)
+    placed = rows.sortWithinPartitions("owner", "repo", "k", *[] if shift is None else ["shift"])
+    made = _named(placed) if shift is None else _shifted(_named(placed))
+    answers(made).write.mode("error").options(**PACKED).partitionBy("owner", "repo").parquet(f"{root}/details")
 
 
 _BUILT: dict[tuple[str, str, str], str] = {}
@@ -429,7 +489,7 @@ def host_mirror(spark: SparkSession, sf_dir: str) -> str:
 
     def build(root: str) -> None:
         _write(pages(spark, sf_dir), f"{root}/pages", ["page"])
-        _write(pulls(spark, sf_dir), f"{root}/details", ["url"], answers_of)
+        _write_details(spark, sf_dir, root, answers_of)
 
     return _once(spark, sf_dir, "mirror", build)
 
@@ -438,7 +498,7 @@ def faulty_mirror(spark: SparkSession, sf_dir: str) -> str:
     """Endpoint with one fault per answer, ten kinds of them."""
 
     def build(root: str) -> None:
-        _write(pulls(spark, sf_dir), f"{root}/details", ["url"], faulty_answers_of)
+        _write_details(spark, sf_dir, root, faulty_answers_of)
 
     return _once(spark, sf_dir, "faulty", build)
 
@@ -447,7 +507,7 @@ def tick_mirror(spark: SparkSession, sf_dir: str) -> str:
     """Endpoint that knows every version listed at some tick."""
 
     def build(root: str) -> None:
-        _write(tick_pulls(spark, sf_dir), f"{root}/details", ["url", "version"], tick_answers_of)
+        _write_details(spark, sf_dir, root, tick_answers_of, _shifts(last_only=False))
 
     return _once(spark, sf_dir, "ticks", build)
 
@@ -456,7 +516,7 @@ def moved_mirror(spark: SparkSession, sf_dir: str) -> str:
     """Endpoint that knows the last version only."""
 
     def build(root: str) -> None:
-        _write(tick_pulls(spark, sf_dir, last_only=True), f"{root}/details", ["url"], tick_answers_of)
+        _write_details(spark, sf_dir, root, tick_answers_of, _shifts(last_only=True))
 
     return _once(spark, sf_dir, "moved", build)
 
@@ -500,14 +560,16 @@ def tick_log(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "log", build)
 
 
+def _write_prior(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The prior cache: facts are moved to their buckets, texts made where they are written."""
+    facts = pull_table(spark, sf_dir)
+    held = _as_held(_named(facts)).select(*facts.columns, "id", "version")
+    write_cache(held, root, lambda rows: prior_answers_of(_named(rows)))
+
+
 def warm_cache(spark: SparkSession, sf_dir: str) -> str:
     """The prior cache, for reading."""
-    return _once(
-        spark,
-        sf_dir,
-        "cache",
-        lambda root: write_cache(prior_pulls(spark, sf_dir), root, prior_answers_of),
-    )
+    return _once(spark, sf_dir, "cache", lambda root: _write_prior(spark, sf_dir, root))
 
 
 _SPARE: dict[tuple[str, str], list[str]] = {}
@@ -520,8 +582,9 @@ def spare_caches(spark: SparkSession, sf_dir: str, copies: int = 2) -> None:
 
 
 def _cache_copy(spark: SparkSession, sf_dir: str) -> str:
+    # made again from the facts: a copy would move the bodies
     root = scratch_dir(spark, "cache-copy")
-    write_cache(read_cache(spark, warm_cache(spark, sf_dir)), root)
+    _write_prior(spark, sf_dir, root)
     return root
 
 
