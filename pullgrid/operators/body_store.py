@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pullgrid.folders import create_once, names_in, ready_dir, remove, text_of, there
+from pullgrid.folders import PACKED, create_once, names_in, ready_dir, remove, scratch_dir, text_of, there
 from pullgrid.functions.schema import plain_schema
 from pullgrid.operators.ranking import newest_per_key, top_per_group
 
@@ -125,19 +125,32 @@ def open_store(spark: SparkSession, root: str, buckets: int | None = None) -> Ge
 
 
 def _bucketed(spark: SparkSession, root: str, folder: Folder, write: DataFrame | None = None) -> DataFrame:
-    """A folder as a bucketed table: declared, resolved (or appended to) and forgotten."""
+    """A folder of the store as a bucketed table."""
+    return _laid(spark, f"{root}/{folder.name}", STORED, ["id", "version"], folder.buckets, write)
+
+
+def _laid(
+    spark: SparkSession,
+    location: str,
+    schema: T.StructType,
+    order: list[str],
+    buckets: int,
+    write: DataFrame | None = None,
+) -> DataFrame:
+    """A folder as a table bucketed by the first column of its order: declared, resolved (or
+    appended to) and forgotten."""
     name = f"pullgrid_bodies_{uuid.uuid4().hex}"
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STORED.fields)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
         f"""CREATE TABLE {name} ({columns}) USING parquet
         OPTIONS ('mapreduce.fileoutputcommitter.algorithm.version' = '2',
-                 'parquet.block.size' = '{ROW_GROUP_BYTES}')
-        CLUSTERED BY (id) SORTED BY (id, version) INTO {folder.buckets} BUCKETS
-        LOCATION '{root}/{folder.name}'"""
+                 'parquet.block.size' = '{ROW_GROUP_BYTES}', 'compression' = '{PACKED["compression"]}')
+        CLUSTERED BY ({order[0]}) SORTED BY ({", ".join(order)}) INTO {buckets} BUCKETS
+        LOCATION '{location}'"""
     )
     try:
         if write is not None:
-            write.select(*STORED.names).write.insertInto(name)
+            write.select(*schema.names).write.insertInto(name)
         return spark.table(name)
     finally:
         # its files stay: the location is the store's
@@ -208,10 +221,11 @@ def append(
     """Append rows. What a finished task wrote stays, even if the job fails later:
     a fetched body costs a request, and a key written twice is resolved on read.
 
-    ``watch`` may observe the rows, and ``finish`` add to them where they are written.
+    ``watch`` may observe the rows, and ``finish`` add to them where they are written. AQE cuts
+    large buckets, so what a task sorts does not grow with the input: a bucket has as many files.
     """
     n = generation.buckets
-    spread = rows.repartition(n, "id")
+    spread = rows.hint("rebalance", n, "id")
     spread = watch(spread) if watch else spread
     # as the write wants them, so that it sorts nothing itself
     placed = spread.sortWithinPartitions(F.pmod(F.hash("id"), F.lit(n)), "id", "version")
@@ -225,8 +239,9 @@ def compact(
     """Merge base, deltas and plain files into a new base: a key once, the newest fetch.
 
     ``keep``: only the newest versions of an id stay, so many of them; all by default. New
-    appends go to a new delta from the start, so none of them is missed. Rows are shuffled
-    once; those of a single folder stay in their buckets, unless there are too many for those.
+    appends go to a new delta from the start, so none of them is missed. Which rows stay is
+    settled on key columns; bodies are shuffled and sorted once, and only sorted where a single
+    folder has buckets enough.
     """
     start = open_store(spark, root)
     number = start.number + 1
@@ -235,24 +250,19 @@ def compact(
     loose = _loose_files(spark, opened)
     before = replace(opened, deltas=opened.deltas[:-1])
     everything = stored(spark, before)
-    total, n_failed = everything.agg(F.count_if(F.col("reason").isNull()), F.count("reason")).first()
+    counts = [F.count_if(F.col("reason").isNull()), F.count("reason"), F.count_if(F.col("id").isNull())]
+    total, n_failed, n_unnamed = everything.agg(*counts).first()
     if n_failed:
         failed = everything.where("reason IS NOT NULL")
         failed.write.mode("append").parquet(f"{start.root}/{FAILED}")
     wanted = buckets or max(start.buckets, 1 << max(0, -(-total // ROWS_PER_BUCKET) - 1).bit_length())
     full = [f for f in before.folders if there(spark, f"{start.root}/{f.name}")]
     if len(full) == 1 and not loose and full[0].buckets == wanted:
-        rows = _bucketed(spark, start.root, full[0])
+        rows = _bucketed(spark, start.root, full[0]).where("reason IS NULL")
     else:
-        rows = everything.repartition(wanted, "id")
-    order = [F.asc_nulls_first("reason"), F.desc("fetched_ms")]
-    once = newest_per_key(rows, ["id", "version"], order).where("reason IS NULL")
-    once = once.withColumn("listed", F.coalesce("listed", "version"))
-    if keep is not None:
-        order = [F.desc(F.struct(F.try_to_timestamp("version"), "version"))]
-        once = top_per_group(once, ["id"], order, keep)
+        rows = everything.where("reason IS NULL").selectExpr(*_AT_PLACE).repartition(wanted, "id")
     base = _new("base", number + 1, wanted)
-    _bucketed(spark, start.root, base, once)
+    _bucketed(spark, start.root, base, _at_places(rows, _kept_places(everything, wanted, keep), n_unnamed > 0))
     present = names_in(spark, f"{start.root}/{LOOSE}")
     done = tuple(n for n in (*opened.absorbed, *loose) if n in present)
     deltas = opened.deltas[-1:]
@@ -261,6 +271,38 @@ def compact(
     return _commit(spark, Generation(start.root, number + 1, base, deltas, done))
 
 
+_AT_PLACE = [*STORED.names, "struct(_metadata.file_name, _metadata.row_index) AS __at"]
+
+
+_PLACES = plain_schema(held=T.LongType(), file=T.StringType(), row=T.LongType())
+
+
+def _kept_places(everything: DataFrame, buckets: int, keep: int | None) -> DataFrame:
+    """Where the rows lie that a compaction keeps, by bucket. Reads no bodies."""
+    keys = everything.selectExpr("id", "version", "reason", "fetched_ms", _AT_PLACE[-1]).repartition(buckets, "id")
+    order = [F.asc_nulls_first("reason"), F.desc("fetched_ms")]
+    once = newest_per_key(keys, ["id", "version"], order).where("reason IS NULL")
+    if keep is not None:
+        order = [F.desc(F.struct(F.try_to_timestamp("version"), "version"))]
+        once = top_per_group(once, ["id"], order, keep)
+    places = once.selectExpr("id AS held", "__at.file_name AS file", "__at.row_index AS row")
+    spark = everything.sparkSession
+    return _laid(spark, scratch_dir(spark, "kept"), _PLACES, ["held"], buckets, places)
+
+
+def _at_places(rows: DataFrame, kept: DataFrame, unnamed: bool) -> DataFrame:
+    """The rows that lie at these places: bodies stream past hashed places, in their buckets.
+
+    Beside the id the place is no join key, so that rows stay in their buckets; only rows
+    that are ``unnamed``, without an id, make them move.
+    """
+    held = rows if "__at" in rows.columns else rows.selectExpr(*_AT_PLACE)
+    same = F.col("id").eqNullSafe(F.col("held")) if unnamed else F.col("id") == F.col("held")
+    there_too = F.array_contains(F.array("__at"), F.struct(F.col("file").alias("file_name"), F.col("row").alias("row_index")))
+    met = held.join(kept.hint("shuffle_hash"), same & there_too)
+    return met.withColumn("listed", F.coalesce("listed", "version"))
+
+
 def expire(spark: SparkSession, root: str, older_than: float = 86_400.0) -> list[str]:
     """Remove what the newest generation no longer names; returns the names.
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pullgrid.folders import scratch_dir, there
+from pullgrid.folders import PACKED, scratch_dir, there
 from pullgrid.functions.decode import assemble, checked_leaves, decode_leaves
 from pullgrid.functions.schema import PULL_REQUEST_SCHEMA, plain_schema
 from pullgrid.operators import body_store
@@ -170,7 +170,7 @@ def asked_bodies(asked: DataFrame, store: Generation) -> DataFrame:
         places = met if places is None else places.unionByName(met)
     path = scratch_dir(spark, "places")
     newest = places.groupBy(*KEY).agg(F.max("place").alias("place"))
-    newest.select(*KEY, "place.part", "place.file", "place.row").write.parquet(path)
+    newest.select(*KEY, "place.part", "place.file", "place.row").write.options(**PACKED).parquet(path)
     settled = spark.read.schema("id bigint, version string, part int, file string, row bigint").parquet(path)
     out = None
     for number, rows in enumerate(parts):
@@ -273,7 +273,7 @@ def _fetch_all(
 def _listed_once(missing: DataFrame) -> tuple[DataFrame, bool]:
     """(what is to be fetched, as a table; whether it is little enough to be told to every task)."""
     path = scratch_dir(missing.sparkSession, "missing")
-    missing.write.parquet(path)
+    missing.write.options(**PACKED).parquet(path)
     listed = missing.sparkSession.read.schema(missing.schema).parquet(path)
     return listed, listed.count() <= FEW_ASKED
 
@@ -295,7 +295,7 @@ def _fetch_within(missing, endpoint, store, mode, token, retries, budget, by_ver
         tasks = min(width or spark.sparkContext.defaultParallelism, unasked, left)
         answers = judged(fetch(pending, endpoint, token, retries, tasks, left, by_version))
         path = scratch_dir(spark, "answers")
-        answers.drop("row").write.parquet(path)
+        answers.drop("row").write.options(**PACKED).parquet(path)
         answers = spark.read.schema(answers.drop("row").schema).parquet(path)
         done = answers.where(F.col("status") != UNASKED)
         counts = _append(done, store, "PERMISSIVE" if mode.upper() == "FAILFAST" else mode)
@@ -360,7 +360,7 @@ def fetch_through_cache(
     # the listing is asked for once, however many steps follow
     path = scratch_dir(spark, "items")
     wanted = items.select("full_name", "rank", "url", *KEY)
-    wanted.write.parquet(path)
+    wanted.write.options(**PACKED).parquet(path)
     wanted = spark.read.schema(wanted.schema).parquet(path)
     once = wanted.groupBy(*KEY).agg(F.min("url").alias("url"))
     _fetch_all(
@@ -393,7 +393,7 @@ def _decode_asked(asked: DataFrame, store: Generation) -> tuple[DataFrame, int]:
     seen = Observation()
     path = scratch_dir(spark, "decoded")
     watched = looked.observe(seen, F.count_if(~F.col("__ok")).alias("broken"))
-    watched.write.parquet(path)
+    watched.write.options(**PACKED).parquet(path)
     return spark.read.schema(looked.schema).parquet(path), seen.get["broken"]
 
 

@@ -258,3 +258,22 @@ def test_the_same_version_is_taken_before_an_alias(spark, tmp_path):
         # the same over a base and a delta
         body_store.compact(spark, root)
         cache.write_cache(rows(spark, [(1, "1", 2), (2, "9", 1)]), root)
+
+
+def test_a_compaction_sorts_bodies_once_and_settles_on_keys(spark, tmp_path, monkeypatch):
+    """Windows over whole rows sorted (and spilled) each body three times."""
+    root, plans, made = str(tmp_path), [], body_store._bucketed
+
+    def seen(session, place, folder, write=None):
+        if write is not None:
+            plans.append(plan(write))
+        return made(session, place, folder, write)
+
+    given = [(i, v, t) for i in range(40) for v, t in (("2020-01-01T00:00:00Z", 1), ("2021-01-01T00:00:00Z", 2))]
+    cache.write_cache(rows(spark, [*given, (7, "2021-01-01T00:00:00Z", 9), (None, "v", 1)]), root)
+    monkeypatch.setattr(body_store, "_bucketed", seen)
+    body_store.compact(spark, root, keep=1)
+    assert "Window" not in plans[-1] and "Sort " not in plans[-1]
+    held = [(i, "2021-01-01T00:00:00Z", 9 if i == 7 else 2) for i in range(40)]
+    found = cache.read_cache(spark, root).select("id", "version", "fetched_ms").collect()
+    assert sorted(map(tuple, found), key=str) == sorted([*held, (None, "v", 1)], key=str)
