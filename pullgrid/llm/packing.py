@@ -196,7 +196,7 @@ def pieces_of(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = library_encoder(tokenizer)
         for batch in text_slices(batches):
-            ids, counts = encode(batch.column("text").to_pylist())
+            ids, counts = encode(batch.column("text"))
             sizes = counts + 1
             ends = offsets(sizes)
             flat = np.full(ends[-1], end_id, "<u4")

@@ -14,6 +14,8 @@ from collections.abc import Callable, Iterable
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from pullgrid.llm.ragged import gather, offsets
 
@@ -38,7 +40,9 @@ class PieceEncoder:
         """Codes of new pieces, and all ids and lengths with theirs behind."""
         found, regular = {}, []
         for piece in unknown:
-            if piece[0] == FIRST:
+            if not piece:
+                bad = True
+            elif piece[0] == FIRST:
                 bad = len(piece) == 1 or piece[-1].isspace()
             else:
                 bad = piece[0].isspace() or piece[-1].isspace()
@@ -57,34 +61,36 @@ class PieceEncoder:
             self.flat, self.lengths = flat, all_lengths
         return found, flat, all_lengths
 
-    def __call__(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts end to end, number of ids of each text)."""
-        pieces: list[str] = []
-        counts, whole = [], {}
-        for n, text in enumerate(texts):
-            if not text:
-                counts.append(0)
-            elif FIRST in text or any(s in text for s in self.special):
-                whole[n] = text
-                counts.append(0)
-            else:
-                split = text.split(" ")
-                split[0] = FIRST + split[0]
-                pieces += split
-                counts.append(len(split))
+    def __call__(self, texts: Iterable[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, number of ids of each text).
+
+        Arrow splits the texts and tells equal pieces; the table is asked once for each.
+        """
+        column = texts if isinstance(texts, pa.Array) else pa.array(list(texts), pa.large_string())
+        column = pc.fill_null(column.cast(pa.large_string()), "")
+        odd = np.zeros(len(column), bool)
+        for string in (FIRST, *self.special):
+            odd |= pc.match_substring(column, string).to_numpy(zero_copy_only=False)
+        whole = {int(n): column[int(n)].as_py() for n in np.flatnonzero(odd)}
+        plain = ~odd & (pc.binary_length(column).to_numpy(zero_copy_only=False) > 0)
+        marks = [pa.scalar(c, pa.large_string()) for c in (FIRST, "")]
+        marked = pc.binary_join_element_wise(marks[0], column.filter(pa.array(plain)), marks[1])
+        split = pc.split_pattern(marked, " ")
+        counts = np.zeros(len(column), np.int64)
+        counts[plain] = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        told = split.flatten().dictionary_encode()
+        pieces = told.dictionary.to_pylist()
         codes = np.fromiter(map(self.codes.get, pieces, repeat(UNKNOWN)), np.int64, len(pieces))
-        if pieces and "" in pieces:
-            empty = np.fromiter((not p for p in pieces), bool, len(pieces))
-            codes[empty] = IRREGULAR
         at = np.flatnonzero(codes == UNKNOWN)
         flat, lengths = self.flat, self.lengths
         if len(at):
             missing = [pieces[i] for i in at]
-            found, flat, lengths = self._learn(list(dict.fromkeys(missing)))
+            found, flat, lengths = self._learn(missing)
             codes[at] = np.fromiter(map(found.__getitem__, missing), np.int64, len(at))
-        bounds = offsets(np.array(counts, np.int64))
+        codes = codes[told.indices.to_numpy()]
+        bounds = offsets(counts)
         for n in np.unique(np.searchsorted(bounds, np.flatnonzero(codes == IRREGULAR), "right") - 1):
-            whole[int(n)] = self._joined(pieces[bounds[n] : bounds[n + 1]])
+            whole[int(n)] = column[int(n)].as_py()
         if whole:
             codes, bounds, flat, lengths = self._with_whole(whole, codes, bounds, flat, lengths)
         per_piece = lengths[codes]
@@ -92,10 +98,6 @@ class PieceEncoder:
         ends = offsets(per_piece)
         return ids, ends[bounds[1:]] - ends[bounds[:-1]]
 
-    @staticmethod
-    def _joined(split: list[str]) -> str:
-        return " ".join([split[0][1:], *split[1:]])
-
     def _with_whole(self, whole, codes, bounds, flat, lengths):
         """The texts that are encoded whole stand as one piece each."""
         encoded = [self.encode_whole(whole[n]) for n in sorted(whole)]

@@ -189,7 +189,7 @@ def write_files(
                 files.create_dir(place.rpartition("/")[0])
                 sink = files.open_output_stream(place)
                 writer = SequenceWriter(sink, id_type(tokenizer), sequence, batch_rows)
-            ids, counts = encode(batch.column("text").to_pylist())
+            ids, counts = encode(batch.column("text"))
             ends = offsets(counts)[1:] + np.arange(len(counts))
             all_ids = np.full(len(ids) + len(counts), end_id, np.uint32)
             inner = np.ones(len(all_ids), bool)

@@ -79,3 +79,25 @@ def test_masks_of_full_rows_take_no_room(spark, tokenizer):
     masks = [token_files.sequence_at(reader, i)[1] for i in range(-(-file.n_tokens // 1024))]
     assert [len(m) for m in masks] == [1024] * len(masks)
     assert all(m.all() for m in masks[:-1]) and sum(int(m.sum()) for m in masks) == file.n_tokens
+
+
+def test_pieces_are_told_apart_once_per_slice(tokenizer):
+    """The table of pieces was asked for every word; odd and empty texts stand between the others."""
+    from pullgrid.llm.pieces import PieceEncoder
+    from pullgrid.llm.token_files import library_encoder
+
+    library, asked = library_encoder(tokenizer), []
+
+    class Table(dict):
+        def get(self, piece, default=None):
+            asked.append(piece)
+            return super().get(piece, default)
+
+    encoder = PieceEncoder(library.encode_many, library.encode_whole, library.special)
+    encoder.codes = Table()
+    texts = ["one two one two " * 50 + "end", None, "", " lead", "a  b", "tab\tx one", "nul\0l two", "é\nü one", "two"]
+    ids, counts = encoder(texts)
+    assert len(asked) == len(set(asked)) < 30
+    expected = [library.encode_whole(t).tolist() if t else [] for t in texts]
+    ends = counts.cumsum()
+    assert [ids[e - n : e].tolist() for e, n in zip(ends, counts, strict=True)] == expected
