@@ -156,8 +156,21 @@ def asked_bodies(asked: DataFrame, store: Generation) -> DataFrame:
     without being sorted.
     """
     spark = asked.sparkSession
-    once = asked.select(*KEY).distinct()
     parts = body_store.sources(spark, store)
+    path = scratch_dir(spark, "places")
+    _newest_places(asked, parts).write.options(**PACKED).parquet(path)
+    settled = spark.read.schema("id bigint, version string, part int, file string, row bigint").parquet(path)
+    out = None
+    for number, rows in enumerate(parts):
+        own = _bodies_at(rows, settled.where(F.col("part") == number))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def _newest_places(asked: DataFrame, parts: list[DataFrame]) -> DataFrame:
+    """Which row of which part answers for each asked key."""
+    # never a broadcast: rows of a micro-batch have the statistics of the manifests they come from
+    once = asked.select(*KEY).distinct().hint("shuffle_hash")
     places = None
     for number, rows in enumerate(parts):
         keys = _renamed(rows.select("id", "version", "listed", "fetched_ms", *_place()))
@@ -168,15 +181,8 @@ def asked_bodies(asked: DataFrame, store: Generation) -> DataFrame:
             F.struct(exact, "fetched_ms", F.lit(number).alias("part"), "file", "row").alias("place"),
         )
         places = met if places is None else places.unionByName(met)
-    path = scratch_dir(spark, "places")
     newest = places.groupBy(*KEY).agg(F.max("place").alias("place"))
-    newest.select(*KEY, "place.part", "place.file", "place.row").write.options(**PACKED).parquet(path)
-    settled = spark.read.schema("id bigint, version string, part int, file string, row bigint").parquet(path)
-    out = None
-    for number, rows in enumerate(parts):
-        own = _bodies_at(rows, settled.where(F.col("part") == number))
-        out = own if out is None else out.unionByName(own)
-    return out
+    return newest.select(*KEY, "place.part", "place.file", "place.row")
 
 
 def _bodies_at(rows: DataFrame, settled: DataFrame) -> DataFrame:

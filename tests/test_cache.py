@@ -179,6 +179,21 @@ def test_rows_of_a_micro_batch_are_never_broadcast(spark, sf, endpoint, tmp_path
     assert rows.count() == 3
 
 
+def test_keys_of_a_micro_batch_are_never_broadcast(spark, sf, endpoint, tmp_path):
+    """Nor where it is settled which row of the cache answers for a key, however many parts there are."""
+    root = str(tmp_path)
+    listed = mirror.ranked_listing(spark, sf)
+    cache.fetch_misses(listed, endpoint, root)
+    body_store.compact(spark, root)
+    cache.fetch_misses(listed.withColumn("version", F.lit("2030-01-01T00:00:00Z")), endpoint, root, by_version=False)
+    few = spark.createDataFrame(listed.select("id", "version").head(3))
+    parts = body_store.sources(spark, body_store.open_store(spark, root))
+    places = cache._newest_places(few, parts)
+    plan = places._jdf.queryExecution().executedPlan().toString()
+    assert len(parts) == 2 and plan.count("ShuffledHashJoin") == 2 and "BroadcastExchange" not in plan
+    assert places.count() == 3
+
+
 def test_bodies_are_joined_without_a_sort(spark, sf, endpoint, tmp_path):
     """Neither a mirror's bodies nor those of the cache are sorted: a sort of them spills."""
     root = str(tmp_path)
