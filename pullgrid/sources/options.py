@@ -47,6 +47,8 @@ class Options:
     include_tick: bool
     identity: str  # of a poll: endpoint, batch and repositories
     token: str | None = field(default=None, repr=False)
+    # what a walk has connected, so that its pages share it
+    client: object = field(default=None, repr=False, compare=False)
 
     @property
     def per_page(self) -> int:

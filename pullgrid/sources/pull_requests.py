@@ -10,7 +10,7 @@ import operator
 import time
 import warnings
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 from itertools import islice
 
@@ -91,9 +91,9 @@ class ListPartition(InputPartition):
     of: int
 
 
-def list_page(options: Options, user: str, repo: str, page: int, client=None) -> tuple[list, bool]:
+def list_page(options: Options, user: str, repo: str, page: int) -> tuple[list, bool]:
     """((rank, item) of one listing page, cut at the batch; whether it was the last page)."""
-    client = client or connect(options.endpoint, options.token, options.retries)
+    client = options.client or connect(options.endpoint, options.token, options.retries)
     answer = client.page(ListingPage(user, repo, options.per_page, page))
     if not succeeded(answer.status):
         raise RuntimeError(f"Request failed with code {answer.status}: {answer.body}")
@@ -121,9 +121,10 @@ def list_page(options: Options, user: str, repo: str, page: int, client=None) ->
 
 def walk_pages(options: Options, walk: Walk) -> Iterator[tuple[int, Item]]:
     """(rank, item) of a walk's pages, until the last wanted or the first short one."""
-    page, client = walk.first, connect(options.endpoint, options.token, options.retries)
+    options = replace(options, client=connect(options.endpoint, options.token, options.retries))
+    page = walk.first
     while walk.last is None or page <= walk.last:
-        items, short = list_page(options, walk.user, walk.repo, page, client)
+        items, short = list_page(options, walk.user, walk.repo, page)
         yield from items
         if short:
             return
