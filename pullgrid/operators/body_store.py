@@ -38,7 +38,9 @@ STORED = plain_schema(
     listed=T.StringType(),
 )
 LOOSE, FAILED, MANIFESTS = "outcome=ok", "outcome=failed", "generations"
-ROWS_PER_BUCKET = 500_000
+ROWS_PER_BUCKET, ROWS_PER_TASK = 500_000, 100_000
+# spark.shuffle.sort.bypassMergeThreshold
+UNSORTED_SHUFFLE = 200
 # a row group is the least that a task of the data source reads for one id
 ROW_GROUP_BYTES = 16 << 20
 
@@ -217,20 +219,34 @@ def append(
     generation: Generation,
     watch: Callable[[DataFrame], DataFrame] | None = None,
     finish: Callable[[DataFrame], DataFrame] | None = None,
+    placed: bool = False,
 ) -> None:
     """Append rows. What a finished task wrote stays, even if the job fails later:
     a fetched body costs a request, and a key written twice is resolved on read.
 
     ``watch`` may observe the rows, and ``finish`` add to them where they are written. AQE cuts
     large buckets, so what a task sorts does not grow with the input: a bucket has as many files.
+    ``placed`` rows lie by id already, in as many partitions as ``placing`` says.
     """
     n = generation.buckets
-    spread = rows.hint("rebalance", n, "id")
+    spread = rows if placed else rows.hint("rebalance", n, "id")
     spread = watch(spread) if watch else spread
     # as the write wants them, so that it sorts nothing itself
-    placed = spread.sortWithinPartitions(F.pmod(F.hash("id"), F.lit(n)), "id", "version")
-    placed = finish(placed) if finish else placed
-    _bucketed(rows.sparkSession, generation.root, generation.deltas[-1], placed)
+    ordered = spread.sortWithinPartitions(F.pmod(F.hash("id"), F.lit(n)), "id", "version")
+    ordered = finish(ordered) if finish else ordered
+    _bucketed(rows.sparkSession, generation.root, generation.deltas[-1], ordered)
+
+
+def placing(buckets: int, rows: int) -> int:
+    """Partitions by id for rows that are to be appended: each bucket lies in one, or each in
+    one bucket. A task sorts ``ROWS_PER_TASK`` rows, and ``ROWS_PER_BUCKET`` if that makes
+    no more than ``UNSORTED_SHUFFLE`` partitions: those are shuffled straight to their
+    files, and a task that reads bodies does not collect and spill them for it.
+    """
+    wanted = max(min(buckets, UNSORTED_SHUFFLE), -(-rows // ROWS_PER_TASK))
+    least = max(min(buckets, UNSORTED_SHUFFLE) // 4, -(-rows // ROWS_PER_BUCKET), 1)
+    few = [w for w in range(least, UNSORTED_SHUFFLE + 1) if buckets % w == 0 or w % buckets == 0]
+    return next((w for w in few if w >= wanted), few[-1] if few else buckets * -(-wanted // buckets))
 
 
 def compact(

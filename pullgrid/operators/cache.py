@@ -21,10 +21,10 @@ from pullgrid.functions.decode import assemble, checked_leaves, decode_leaves
 from pullgrid.functions.schema import PULL_REQUEST_SCHEMA, plain_schema
 from pullgrid.operators import body_store
 from pullgrid.operators.body_store import Generation, open_store
-from pullgrid.operators.fetch import fetch, judged, request_failure
+from pullgrid.operators.fetch import fetch, fetch_placed, judged, request_failure
 from pullgrid.operators.listing import newest_version
 from pullgrid.operators.ranking import newest_per_key
-from pullgrid.sources.transport import UNASKED
+from pullgrid.sources.transport import UNASKED, is_mirror
 
 CACHE_SCHEMA = plain_schema(
     id=T.LongType(),
@@ -269,19 +269,45 @@ def _fetch_all(
     by_version: bool = True,
 ) -> dict[str, int]:
     if budget is None:
-        missing, few = _listed_once(missing)
-        answers = fetch(missing, endpoint, token, retries, by_version=by_version, few=few)
-        counts = _append(judged(answers), store, mode)
-        return {"fetched": counts["fetched"], "failed": counts["failed"]}
+        missing, n = _listed_once(missing)
+        if is_mirror(endpoint) and by_version and n > FEW_ASKED:
+            return _fetch_placed(missing, n, endpoint, store, mode)
+        answers = fetch(missing, endpoint, token, retries, by_version=by_version, few=n <= FEW_ASKED)
+        return _told(mode, _append(judged(answers), store))
     return _fetch_within(missing, endpoint, store, mode, token, retries, budget, by_version)
 
 
-def _listed_once(missing: DataFrame) -> tuple[DataFrame, bool]:
-    """(what is to be fetched, as a table; whether it is little enough to be told to every task)."""
+def _fetch_placed(missing: DataFrame, n: int, endpoint: str, store: Generation, mode: str) -> dict[str, int]:
+    """Fetch from a mirror with one shuffle of bodies, for the request and the cache together.
+
+    What is not answered where its id lies is asked for again as any request is.
+    """
+    unmet, now = Observation(), int(time.time() * 1000)
+    met = fetch_placed(missing, endpoint, body_store.placing(store.buckets, n))
+    met = met.observe(unmet, F.count_if(F.col("status").isNull()).alias("n"))
+    counts = [_append(judged(met.where("status IS NOT NULL")), store, now, placed=True)]
+    if unmet.get["n"]:
+        kept = body_store.stored(missing.sparkSession, store).where(F.col("fetched_ms") == now)
+        done = kept.select("id", F.col("listed").alias("version"))
+        rest, n = _listed_once(missing.join(done, KEY, "left_anti"))
+        counts.append(_append(judged(fetch(rest, endpoint, few=n <= FEW_ASKED)), store))
+    return _told(mode, *counts)
+
+
+def _told(mode: str, *counts: dict) -> dict[str, int]:
+    """The counts of a run's appends together; FAILFAST raises if an answer was bad."""
+    total = {name: sum(c[name] for c in counts) for name in ("fetched", "failed")}
+    if total["failed"] and mode.upper() == "FAILFAST":
+        raise RuntimeError(max(c["message"] for c in counts if c["message"]))
+    return total
+
+
+def _listed_once(missing: DataFrame) -> tuple[DataFrame, int]:
+    """(what is to be fetched, as a table; how much it is)."""
     path = scratch_dir(missing.sparkSession, "missing")
     missing.write.options(**PACKED).parquet(path)
     listed = missing.sparkSession.read.schema(missing.schema).parquet(path)
-    return listed, listed.count() <= FEW_ASKED
+    return listed, listed.count()
 
 
 def _fetch_within(missing, endpoint, store, mode, token, retries, budget, by_version) -> dict[str, int]:
@@ -304,7 +330,7 @@ def _fetch_within(missing, endpoint, store, mode, token, retries, budget, by_ver
         answers.drop("row").write.options(**PACKED).parquet(path)
         answers = spark.read.schema(answers.drop("row").schema).parquet(path)
         done = answers.where(F.col("status") != UNASKED)
-        counts = _append(done, store, "PERMISSIVE" if mode.upper() == "FAILFAST" else mode)
+        counts = _append(done, store)
         for name in total:
             total[name] += counts[name]
         if counts["failed"] and mode.upper() == "FAILFAST":
@@ -317,8 +343,11 @@ def _fetch_within(missing, endpoint, store, mode, token, retries, budget, by_ver
     return total | {"requests": budget - left, "unasked": unasked}
 
 
-def _append(answers: DataFrame, store: Generation, mode: str) -> dict:
-    """Keep good answers under the version they carry; those with a reason are the quarantine."""
+def _append(answers: DataFrame, store: Generation, now: int | None = None, placed: bool = False) -> dict:
+    """Keep good answers under the version they carry; those with a reason are the quarantine.
+
+    Returns how many were fetched and how many failed, and a ``message`` of one that did.
+    """
     message = F.when(
         F.col("reason").startswith("HTTP_"), request_failure(F.col("status"), F.col("body"))
     ).otherwise(F.concat(F.lit("Invalid body: "), F.col("reason")))
@@ -329,7 +358,7 @@ def _append(answers: DataFrame, store: Generation, mode: str) -> dict:
     own = F.when(failed, F.col("version")).otherwise(F.coalesce(carried, "version"))
     # one time for the whole run
     kept = answers.withColumns(
-        {"fetched_ms": F.lit(int(time.time() * 1000)), "listed": F.col("version"), "version": own}
+        {"fetched_ms": F.lit(now or int(time.time() * 1000)), "listed": F.col("version"), "version": own}
     )
     seen = Observation()
     counted = [
@@ -337,11 +366,8 @@ def _append(answers: DataFrame, store: Generation, mode: str) -> dict:
         F.count_if(failed).alias("failed"),
         F.max(F.when(failed, message)).alias("message"),
     ]
-    body_store.append(kept, store, lambda rows: rows.observe(seen, *counted))
-    counts = seen.get
-    if counts["failed"] and mode.upper() == "FAILFAST":
-        raise RuntimeError(counts["message"])
-    return counts
+    body_store.append(kept, store, lambda rows: rows.observe(seen, *counted), placed=placed)
+    return seen.get
 
 
 def fetch_through_cache(

@@ -69,6 +69,35 @@ def _fetch_mirror(items: DataFrame, endpoint: str, by_version: bool, few: bool)
     )
 
 
+def fetch_placed(items: DataFrame, endpoint: str, width: int) -> DataFrame:
+    """``fetch`` by version from a mirror, in ``width`` partitions by id, for rows that are kept by id.
+
+    A body names its pull request, so it is sent to the id's partition before it is known
+    who asks: one shuffle brings it to its request and to its place. The id only says
+    where to meet; address and version decide, as in ``fetch``. An item whose answer names
+    no id, or another one, is not met there: its status is null, and ``fetch`` can tell.
+    """
+    named = F.expr("try_cast(get_json_object(body, '$.id') AS BIGINT)").alias("__own")
+    # behind a generator, so that a body is looked at once
+    details = mirror_table(items.sparkSession, endpoint, "details").select(
+        F.col("url").alias("__url"),
+        F.col("version").alias("__held"),
+        F.col("status").alias("__status"),
+        F.col("body").alias("__body"),
+        F.inline(F.array(F.struct(named))),
+    )
+    found = details.where("__own IS NOT NULL").repartition(width, "__own")
+    asked = items.repartition(width, "id").hint("shuffle_hash")
+    # no join keys beside the id, so that both sides stay where they are
+    same = F.array_contains(F.array("__url"), F.col("url")) & F.array_contains(F.array("__held"), F.col("version"))
+    return asked.join(found, (F.col("id") == F.col("__own")) & same, "left").select(
+        *[F.col(f"`{c}`") for c in items.columns],
+        F.col("__status").alias("status"),
+        F.lit(1).alias("attempts"),
+        F.col("__body").alias("body"),
+    )
+
+
 def task_share(budget: int | None, tasks: int, task: int) -> int | None:
     """The requests that one of some tasks may make, of what all together may."""
     if budget is None:

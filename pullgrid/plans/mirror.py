@@ -22,6 +22,7 @@ from pullgrid.streaming.log import record_tick
 HOST = "https://api.example.test"
 FIRST_ID = 2147480000
 TICKS = 4
+ROWS_PER_FILE = 30_000
 FACTS = [
     "k", "owner", "repo", "n_nationkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "c_name", "c_custkey"
 ]
@@ -144,11 +145,13 @@ def pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pull_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts and counts, joined once for all mirrors. They lie by repository."""
+    """Facts and counts, joined once for all mirrors. They lie by repository, in files so small
+    that a task which makes bodies of some of them sorts their rows in memory."""
 
     def build(root: str) -> None:
         rows = _counted(spark, sf_dir).hint("rebalance", "owner", "repo")
-        rows.sortWithinPartitions("owner", "repo", "k").write.options(**PACKED).parquet(root)
+        placed = rows.sortWithinPartitions("owner", "repo", "k")
+        placed.write.options(**PACKED, maxRecordsPerFile=ROWS_PER_FILE).parquet(root)
 
     return spark.read.parquet(_once(spark, sf_dir, "pulls", build))
 
@@ -274,7 +277,9 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ranked(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
     """Columns of the facts with the newest-first rank of ``ranked_listing``."""
-    facts = _facts_with(table(spark, sf_dir, "orders"), spark, sf_dir, [])
+    # joined already if there is a mirror with bodies
+    held = _BUILT.get((spark.sparkContext.applicationId, sf_dir, "pulls"))
+    facts = spark.read.parquet(held) if held else _facts_with(table(spark, sf_dir, "orders"), spark, sf_dir, [])
     dated = facts.select(*columns, iso(F.col("o_orderdate")).alias("created_at"))
     order = [F.desc("created_at"), F.desc("k")]
     return rank_in_group(dated, ["owner", "repo"], F.col("created_at"), order).drop("created_at")
@@ -328,10 +333,12 @@ def tick_details(spark: SparkSession, sf_dir: str, last_only: bool = False) -> D
 
 
 def ranked_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The identities with their newest-first rank, ranked once for all ticks."""
+    """What a listing is made of with its newest-first rank, ranked once for all ticks. The rows
+    lie by repository and rank."""
 
     def build(root: str) -> None:
-        _ranked(spark, sf_dir, FACTS).write.options(**PACKED).parquet(root)
+        rows = _ranked(spark, sf_dir, PAGED).hint("rebalance", "owner", "repo")
+        rows.sortWithinPartitions("owner", "repo", "rank").write.options(**PACKED).parquet(root)
 
     return _named(spark.read.parquet(_once(spark, sf_dir, "ranked", build)))
 
@@ -488,8 +495,9 @@ def host_mirror(spark: SparkSession, sf_dir: str) -> str:
     """Endpoint whose answers are all good."""
 
     def build(root: str) -> None:
-        _write(pages(spark, sf_dir), f"{root}/pages", ["page"])
+        # first: the pages are made of the same facts
         _write_details(spark, sf_dir, root, answers_of)
+        _write(pages(spark, sf_dir), f"{root}/pages", ["page"])
 
     return _once(spark, sf_dir, "mirror", build)
 
@@ -526,7 +534,7 @@ def gap_log(spark: SparkSession, sf_dir: str) -> str:
 
     def build(root: str) -> None:
         for tick in range(1, TICKS + 1):
-            record_tick(listed_at(spark, sf_dir, tick).where(F.col("k") % 6 != tick), root, tick)
+            record_tick(listed_at(spark, sf_dir, tick).where(F.col("k") % 6 != tick), root, tick, placed=True)
 
     return _once(spark, sf_dir, "gap-log", build)
 
@@ -555,7 +563,7 @@ def tick_log(spark: SparkSession, sf_dir: str) -> str:
 
     def build(root: str) -> None:
         for tick in range(1, TICKS + 1):
-            record_tick(listed_at(spark, sf_dir, tick), root, tick)
+            record_tick(listed_at(spark, sf_dir, tick), root, tick, placed=True)
 
     return _once(spark, sf_dir, "log", build)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pullgrid.folders import create_once, names_in, qualified, ready_dir, text_of, there
+from pullgrid.folders import PACKED, create_once, names_in, qualified, ready_dir, text_of, there
 from pullgrid.functions.schema import plain_schema
 from pullgrid.operators.cache import decode_held, fetch_misses
 from pullgrid.operators.listing import decode_listing, list_pages, page_plan
@@ -33,20 +33,25 @@ LOG_SCHEMA = plain_schema(
 )
 LOG_COLUMNS = LOG_SCHEMA.names[:-1]
 Write = Callable[[DataFrame, int], None]
+# the least that a task of a stream reads
+ROWS_PER_FILE = 250_000
 
 
-def record_tick(items: DataFrame, listing_dir: str, tick: int) -> bool:
+def record_tick(items: DataFrame, listing_dir: str, tick: int, placed: bool = False) -> bool:
     """Write a snapshot of any size as one tick, from the executors.
 
     The files lie in a folder of this run; a manifest, made only if absent, makes them the
-    tick. Whether they are: another run may have been first.
+    tick. Whether they are: another run may have been first. ``placed`` items lie by
+    repository and rank already, and are written where they are.
     """
     spark = items.sparkSession
     folder = f"{ready_dir(spark, listing_dir).rstrip('/')}/tick={tick}"
     run = f"run-{uuid.uuid4().hex}"
     # files hold neighbouring rows, so a slice of one asks for few repositories
-    rows = items.select(*LOG_COLUMNS).hint("rebalance", "full_name")
-    rows.sortWithinPartitions("full_name", "rank").write.parquet(f"{folder}/{run}")
+    rows = items.select(*LOG_COLUMNS)
+    if not placed:
+        rows = rows.hint("rebalance", "full_name").sortWithinPartitions("full_name", "rank")
+    rows.write.options(**PACKED, maxRecordsPerFile=ROWS_PER_FILE).parquet(f"{folder}/{run}")
     names = sorted(n for n in names_in(spark, f"{folder}/{run}") if n.endswith(".parquet"))
     return create_once(spark, f"{folder}/{MANIFEST}", manifest_text([f"{run}/{n}" for n in names]))
 
@@ -106,9 +111,11 @@ def listing_stream(spark: SparkSession, listing_dir: str, ticks_per_batch: int =
                         ticks = pa.array([tick], pa.int32()).take(pa.array([0] * rows.num_rows))
                         yield pa.RecordBatch.from_arrays([*rows.columns, ticks], LOG_SCHEMA.names)
 
-    parts = manifest_stream(spark, listing_dir, ticks_per_batch).select(F.explode("parts").alias("part"), "tick")
-    # a manifest is one row; its files are dealt to all tasks
-    return parts.repartition(spark.sparkContext.defaultParallelism).mapInArrow(read, LOG_SCHEMA)
+    parts = manifest_stream(spark, listing_dir, ticks_per_batch).select(F.posexplode("parts").alias("at", "part"), "tick")
+    # a manifest is one row; its files are dealt to all tasks, those at the same place of several
+    # ticks to one: what such ticks repeat then collapses before it is shuffled
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return parts.repartition(tasks, "at").select("part", "tick").mapInArrow(read, LOG_SCHEMA)
 
 
 def _each_batch(stream: DataFrame, run, checkpoint: str, trigger: dict | None) -> StreamingQuery:

@@ -277,3 +277,81 @@ def test_a_compaction_sorts_bodies_once_and_settles_on_keys(spark, tmp_path, mon
     held = [(i, "2021-01-01T00:00:00Z", 9 if i == 7 else 2) for i in range(40)]
     found = cache.read_cache(spark, root).select("id", "version", "fetched_ms").collect()
     assert sorted(map(tuple, found), key=str) == sorted([*held, (None, "v", 1)], key=str)
+
+
+def plans_of(monkeypatch, name):
+    """The plans of what is written from now on."""
+    plans, made = [], getattr(body_store, name)
+
+    def seen(*given, **named):
+        written = given[-1] if name == "_laid" else (given[3:] or [None])[0]
+        if written is not None and not isinstance(written, int):
+            plans.append(plan(written))
+        return made(*given, **named)
+
+    monkeypatch.setattr(body_store, name, seen)
+    return plans
+
+
+def in_their_buckets(folder, buckets):
+    import pyarrow.parquet as pq
+
+    from pullgrid.sources.cached_bodies import bucket_of
+
+    for file in folder.glob("*.parquet"):
+        number = int(file.name.split("_")[-1].split(".")[0])
+        table = pq.read_table(file, columns=["id", "version"])
+        keys = [tuple(r.values()) for r in table.to_pylist()]
+        assert keys == sorted(keys)
+        assert set(bucket_of(table.column("id").to_numpy(), buckets)) <= {number}
+
+
+def test_a_fetched_body_is_shuffled_once(spark, sf, endpoint, tmp_path, monkeypatch):
+    """For its request and its place together: the second shuffle was by id again."""
+    monkeypatch.setattr(cache, "FEW_ASKED", 0)
+    root, work = str(tmp_path), mirror.ranked_listing(spark, sf)
+    plans = plans_of(monkeypatch, "_bucketed")
+    assert cache.fetch_misses(work, endpoint, root) == {"fetched": 1500, "failed": 0}
+    assert plans[-1].count("Exchange ") == 2 and "ShuffledHashJoin" in plans[-1]
+    store = body_store.open_store(spark, root)
+    in_their_buckets(tmp_path / store.deltas[-1].name, store.buckets)
+    assert cache.fetch_misses(work, endpoint, root) == {"fetched": 0, "failed": 0}
+    decoded = cache.decode_held(work, root, ["rank"])
+    assert decoded.count() == decoded.select("id").distinct().count() == 1500
+
+
+def test_answers_that_do_not_name_their_id_are_met_by_address(spark, sf, endpoint, tmp_path, monkeypatch):
+    from pullgrid.operators import fetch
+
+    work = mirror.ranked_listing(spark, sf)
+    odd = F.col("id") % 4
+    held = fetch.mirror_table(spark, endpoint, "details")
+    body = (
+        F.when(odd == 1, F.regexp_replace("body", '^.."id":[0-9]+', '{"id":7'))
+        .when(odd == 2, F.regexp_replace("body", '"id":[0-9]+,', ""))
+        .otherwise(F.col("body"))
+    )
+    changed = held.where(odd < 3).withColumn("body", body)
+    changed.write.partitionBy("owner", "repo").parquet(str(tmp_path / "odd" / "details"))
+    found = []
+    for few in (10**9, 0):
+        monkeypatch.setattr(cache, "FEW_ASKED", few)
+        root = str(tmp_path / f"cache-{few}")
+        counts = cache.fetch_misses(work, str(tmp_path / "odd"), root, mode="PERMISSIVE")
+        rows = body_store.stored(spark, body_store.open_store(spark, root))
+        found.append((counts, sorted(map(tuple, rows.drop("fetched_ms").collect()), key=str)))
+    assert found[0] == found[1]
+    assert found[1][0]["fetched"] == len(found[1][1]) == 1500
+    # a host with faults: what is bad is kept apart, and FAILFAST raises after all is asked
+    with pytest.raises(RuntimeError, match="Invalid body|Request failed with code 404"):
+        cache.fetch_misses(work, mirror.faulty_mirror(spark, sf), str(tmp_path / "faulty"))
+    assert cache.read_cache(spark, str(tmp_path / "faulty")).count() == 272
+    assert cache.read_cache(spark, str(tmp_path / "faulty"), "failed").count() == 1228
+
+
+@pytest.mark.parametrize("buckets", [1, 8, 12, 200, 211, 600])
+def test_partitions_of_an_append_agree_with_its_buckets(buckets):
+    for rows in (1, 250_000, 94_500_000, 10**9):
+        width = body_store.placing(buckets, rows)
+        assert width % buckets == 0 or buckets % width == 0
+        assert rows <= width * body_store.ROWS_PER_BUCKET

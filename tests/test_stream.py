@@ -367,3 +367,25 @@ def test_state_buckets_grow_with_the_listing(spark, sf, monkeypatch):
 def test_pull_requests_are_ranked_once_for_all_ticks(spark, sf):
     text = mirror.listed_at(spark, sf, 2)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in text and "Join" not in text
+
+
+def test_what_ticks_repeat_is_read_by_one_task(spark, sf, tmp_path, monkeypatch):
+    """So that it collapses before it is shuffled; files were dealt to any task."""
+    monkeypatch.setattr(log, "ROWS_PER_FILE", 50)
+    root, out = str(tmp_path / "log"), str(tmp_path / "out")
+    for tick in (1, 2, 3):
+        listed = mirror.listed_at(spark, sf, tick)
+        assert "Exchange" not in listed._jdf.queryExecution().executedPlan().toString()
+        log.record_tick(listed, root, tick, placed=True)
+        assert log.read_tick(spark, root, tick).select("id", "version").exceptAll(listed.select("id", "version")).isEmpty()
+
+    def write(batch, _):
+        batch.select("full_name", "rank", "tick", F.spark_partition_id().alias("task")).write.parquet(out)
+
+    stream = log.listing_stream(spark, root).writeStream.foreachBatch(write).trigger(availableNow=True)
+    stream.option("checkpointLocation", str(tmp_path / "checkpoint")).start().awaitTermination()
+    tasks = spark.read.parquet(out).groupBy("full_name", "rank").agg(
+        F.count_distinct("task").alias("tasks"), F.count_distinct("tick").alias("ticks")
+    )
+    assert tasks.count() == 1500 and tasks.where("tasks > 1 OR ticks < 3").count() == 0
+    assert spark.read.parquet(out).select("task").distinct().count() > 4
