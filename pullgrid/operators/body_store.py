@@ -256,8 +256,8 @@ def compact(
 
     ``keep``: only the newest versions of an id stay, so many of them; all by default. New
     appends go to a new delta from the start, so none of them is missed. Which rows stay is
-    settled on key columns; bodies are shuffled and sorted once, and only sorted where a single
-    folder has buckets enough.
+    settled on key columns; bodies are shuffled and sorted once. Where there is a single folder,
+    neither keys nor bodies are shuffled: more buckets are made by cutting those it has.
     """
     start = open_store(spark, root)
     number = start.number + 1
@@ -271,14 +271,17 @@ def compact(
     if n_failed:
         failed = everything.where("reason IS NOT NULL")
         failed.write.mode("append").parquet(f"{start.root}/{FAILED}")
-    wanted = buckets or max(start.buckets, 1 << max(0, -(-total // ROWS_PER_BUCKET) - 1).bit_length())
     full = [f for f in before.folders if there(spark, f"{start.root}/{f.name}")]
-    if len(full) == 1 and not loose and full[0].buckets == wanted:
-        rows = _bucketed(spark, start.root, full[0]).where("reason IS NULL")
+    held = full[0].buckets if len(full) == 1 else start.buckets
+    wanted = buckets or max(start.buckets, held << (-(-total // (held * ROWS_PER_BUCKET)) - 1).bit_length())
+    if len(full) == 1 and not loose and wanted % held == 0:
+        alone = _bucketed(spark, start.root, full[0])
+        rows, kept = alone.where("reason IS NULL"), _kept_places(alone, held, keep, placed=True)
     else:
         rows = everything.where("reason IS NULL").selectExpr(*_AT_PLACE).repartition(wanted, "id")
+        kept = _kept_places(everything, wanted, keep)
     base = _new("base", number + 1, wanted)
-    _bucketed(spark, start.root, base, _at_places(rows, _kept_places(everything, wanted, keep), n_unnamed > 0))
+    _bucketed(spark, start.root, base, _at_places(rows, kept, n_unnamed > 0))
     present = names_in(spark, f"{start.root}/{LOOSE}")
     done = tuple(n for n in (*opened.absorbed, *loose) if n in present)
     deltas = opened.deltas[-1:]
@@ -293,9 +296,13 @@ _AT_PLACE = [*STORED.names, "struct(_metadata.file_name, _metadata.row_index) AS
 _PLACES = plain_schema(held=T.LongType(), file=T.StringType(), row=T.LongType())
 
 
-def _kept_places(everything: DataFrame, buckets: int, keep: int | None) -> DataFrame:
-    """Where the rows lie that a compaction keeps, by bucket. Reads no bodies."""
-    keys = everything.selectExpr("id", "version", "reason", "fetched_ms", _AT_PLACE[-1]).repartition(buckets, "id")
+def _kept_places(
+    everything: DataFrame, buckets: int, keep: int | None, placed: bool = False
+) -> DataFrame:
+    """Where the rows lie that a compaction keeps, by bucket. Reads no bodies, and moves no
+    keys that are ``placed`` in these buckets."""
+    keys = everything.selectExpr("id", "version", "reason", "fetched_ms", _AT_PLACE[-1])
+    keys = keys if placed else keys.repartition(buckets, "id")
     order = [F.asc_nulls_first("reason"), F.desc("fetched_ms")]
     once = newest_per_key(keys, ["id", "version"], order).where("reason IS NULL")
     if keep is not None:

@@ -355,3 +355,17 @@ def test_partitions_of_an_append_agree_with_its_buckets(buckets):
         width = body_store.placing(buckets, rows)
         assert width % buckets == 0 or buckets % width == 0
         assert rows <= width * body_store.ROWS_PER_BUCKET
+
+
+def test_a_single_folder_is_cut_into_more_buckets_in_place(spark, tmp_path, monkeypatch, unbroadcast):
+    """Keys and bodies were shuffled for it, also those that do not stay."""
+    monkeypatch.setattr(body_store, "ROWS_PER_BUCKET", 10)
+    root, years = str(tmp_path), ("2020-01-01T00:00:00Z", "2021-01-01T00:00:00Z")
+    cache.write_cache(rows(spark, [(i * 7919 % 1000, v, 1) for i in range(300) for v in years]), root)
+    plans = plans_of(monkeypatch, "_laid")
+    base = body_store.compact(spark, root, keep=1).base
+    assert base.buckets == 64
+    kept, bodies = [p for p in plans if "row_index" in p]
+    assert "Exchange" not in kept and "Exchange" not in bodies
+    in_their_buckets(tmp_path / base.name, 64)
+    assert content(spark, root) == sorted((i * 7919 % 1000, years[1], 1) for i in range(300))
