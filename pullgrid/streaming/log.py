@@ -70,10 +70,14 @@ def complete_ticks(spark: SparkSession, listing_dir: str) -> list[int]:
     return sorted(int(n[5:]) for n in names if there(spark, f"{listing_dir}/{n}/{MANIFEST}"))
 
 
+def _parts(spark: SparkSession, listing_dir: str, tick: int) -> list[str]:
+    return json.loads(text_of(spark, f"{listing_dir}/tick={tick}/{MANIFEST}"))["parts"]
+
+
 def read_tick(spark: SparkSession, listing_dir: str, tick: int) -> DataFrame:
     """The snapshot of a complete tick."""
     folder = f"{qualified(spark, listing_dir)}/tick={tick}"
-    parts = json.loads(text_of(spark, f"{folder}/{MANIFEST}"))["parts"]
+    parts = _parts(spark, listing_dir, tick)
     schema = T.StructType(LOG_SCHEMA.fields[:-1])
     if not parts:
         return spark.createDataFrame([], LOG_SCHEMA)
@@ -112,10 +116,12 @@ def listing_stream(spark: SparkSession, listing_dir: str, ticks_per_batch: int =
                         yield pa.RecordBatch.from_arrays([*rows.columns, ticks], LOG_SCHEMA.names)
 
     parts = manifest_stream(spark, listing_dir, ticks_per_batch).select(F.posexplode("parts").alias("at", "part"), "tick")
-    # a manifest is one row; its files are dealt to all tasks, those at the same place of several
-    # ticks to one: what such ticks repeat then collapses before it is shuffled
-    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return parts.repartition(tasks, "at").select("part", "tick").mapInArrow(read, LOG_SCHEMA)
+    # a manifest is one row; its files are dealt to as many tasks as the newest tick has, those at
+    # the same place of several ticks to one: what such ticks repeat collapses before it is shuffled
+    files = [_parts(spark, root, tick) for tick in complete_ticks(spark, listing_dir)[-1:]]
+    tasks = max(spark.sparkContext.defaultParallelism, *map(len, files), 1)
+    dealt = parts.repartitionById(tasks, F.pmod("at", F.lit(tasks)).cast("int"))
+    return dealt.select("part", "tick").mapInArrow(read, LOG_SCHEMA)
 
 
 def _each_batch(stream: DataFrame, run, checkpoint: str, trigger: dict | None) -> StreamingQuery:
